@@ -92,4 +92,5 @@ def read_snapshot(spark: SparkSession, table_path: str, before: int | None = Non
         snaps = snaps.where(F.col("v") < before)
     if not snaps.limit(1).count():
         return None
-    return latest_run(snaps, "v").drop("v")
+    # Folder values come back as text; the flag is a boolean.
+    return latest_run(snaps, "v").drop("v").withColumn("is_current", F.col("is_current").cast("boolean"))
