@@ -20,9 +20,16 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      bound_by: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    ``bound_by`` checks a table that ``df`` is derived from without growing
+    (a projection, filter or N:1 lookup join of it) instead of ``df`` itself:
+    counting a plain Parquet scan is answered from file footers, while
+    counting a derived join would run the join.
+    """
+    return F.broadcast(df) if is_bounded(bound_by if bound_by is not None else df, max_rows) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",

@@ -25,8 +25,29 @@ def flight_dedup_order() -> list[Column]:
     return [F.col("extract_ts").desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in FLIGHT_TIE_BREAK]
 
 
+# Fact tables and the key their first shuffle is on (the join or window key).
+FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "user_id"}
+
+
+def ensure_parallel(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition a scan on ``key`` only when it yields fewer input
+    partitions than the cluster has cores.
+
+    A Parquet split never cuts a row group, so a large file written as one row
+    group scans as one task and every narrow operator before the first
+    shuffle runs on one core. On real data (many files and row groups) the
+    scan is already wide and ``df`` is returned unchanged, so no shuffle is
+    added. When it does repartition, it hashes on the key the next join or
+    window needs, so that operator reuses the partitioning instead of
+    shuffling again. Only the split plan is computed here; no data is read.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want, key)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return ensure_parallel(df, FACT_KEYS[name]) if name in FACT_KEYS else df
 
 
 def _s(c: Column) -> Column:
@@ -55,14 +76,19 @@ def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Plan shape: nation (25 rows, checked) is broadcast into supplier and
     customer; lineitem then joins orders, supplier and part on their keys.
-    Those three joins are left to Catalyst + AQE, which broadcast a side only
-    when its runtime size is under the threshold and otherwise shuffle.
+    The airline (supplier), aircraft (part) and customer dimensions carry a
+    broadcast hint only when a bounded count proves them small, so the fact
+    side always streams: without the hint the planner may broadcast the
+    *fact* (its static size estimate can look small) and stream a one-task
+    dimension scan, serialising all row work into one task. Past the bound
+    the joins are shuffle joins chosen by Catalyst + AQE.
     """
     nation = read(spark, sf_dir, "nation")
-    origin = bounded_broadcast(_airport(nation, "origin"))
-    dest = bounded_broadcast(_airport(nation, "destination", blank_lat_nation=13))
+    origin = bounded_broadcast(_airport(nation, "origin"), bound_by=nation)
+    dest = bounded_broadcast(_airport(nation, "destination", blank_lat_nation=13), bound_by=nation)
 
-    airline = (read(spark, sf_dir, "supplier")
+    supplier = read(spark, sf_dir, "supplier")
+    airline = (supplier
                .join(origin, F.col("s_nationkey") == F.col("origin_nationkey"))
                .select(
                    "s_suppkey",
@@ -71,13 +97,15 @@ def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.col("s_name").alias("airline_name"),
                    F.concat(F.lit("A"), _s(F.col("s_suppkey") % 36)).alias("airline_iata"),
                    *[c for c in origin.columns if c != "origin_nationkey"]))
-    customer = (read(spark, sf_dir, "customer")
-                .join(dest, F.col("c_nationkey") == F.col("destination_nationkey"))
-                .drop("c_nationkey", "destination_nationkey"))
+    cust = read(spark, sf_dir, "customer")
+    customer = bounded_broadcast(cust.join(dest, F.col("c_nationkey") == F.col("destination_nationkey"))
+                                 .drop("c_nationkey", "destination_nationkey"), bound_by=cust)
     orders = (read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
               .join(customer, F.col("o_custkey") == F.col("c_custkey")))
-    part = read(spark, sf_dir, "part").select(
-        "p_partkey", F.concat("p_type", F.lit(" "), "p_name").alias("aircraft_model"))
+    airline = bounded_broadcast(airline, bound_by=supplier)
+    parts = read(spark, sf_dir, "part")
+    part = bounded_broadcast(parts.select(
+        "p_partkey", F.concat("p_type", F.lit(" "), "p_name").alias("aircraft_model")), bound_by=parts)
     li = read(spark, sf_dir, "lineitem")
 
     ln = F.col("l_linenumber")
