@@ -19,6 +19,7 @@ from contrail.functions.geo import haversine_km
 from contrail.functions.timefmt import epoch_seconds
 from contrail.operators.dedup import top_k_per_group
 from contrail.operators.dims import join_dimension
+from contrail.operators.sequence import DEFAULT_SLICE_SECONDS, time_slice, with_neighbor
 
 # Decimal places kept for floating averages and distances in outputs.
 ROUND_DIGITS = 6
@@ -202,3 +203,21 @@ def flown_time(active: DataFrame) -> DataFrame:
     elapsed = (epoch_seconds("extract_ts")
                - (epoch_seconds("scheduled_time_arrival") - F.col("historical_flighttime")))
     return active.select("id", elapsed.cast("bigint").alias("flown_seconds"))
+
+
+def trail_distance(points: DataFrame, key: str = "id", ts: str = "ts", lat: str = "lat", lng: str = "lng",
+                   tie_break: Sequence[str] = (), slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+    """Path length per key over its fixes ordered by time.
+
+    Each fix is paired with the previous fix of the same key by the skew-safe
+    sliced lag (``with_neighbor``), so no key's whole track lands in one task
+    and nothing is collected into an array; the legs are summed with a
+    partial aggregate. For a trail already held as a bounded array in one
+    row, ``functions.geo.path_length_km`` does the same with no shuffle.
+    """
+    legs = with_neighbor(points, [key], [ts, *tie_break], [lat, lng], time_slice(ts, slice_seconds), "prev",
+                         prefix="__p_")
+    leg_km = haversine_km(f"__p_{lat}", f"__p_{lng}", lat, lng)
+    return (legs.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("n_points"),
+                 F.round(F.coalesce(F.sum(leg_km), F.lit(0.0)), ROUND_DIGITS).alias("trail_km")))

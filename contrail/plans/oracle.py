@@ -383,6 +383,7 @@ GROUP BY user_id""",
   ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn FROM events WHERE ts < {EVENTS_SPLIT}) WHERE rn = 1""",
     "scd2_merge": _scd_sql(False),
     "scd2_merge_nullsafe": _scd_sql(True),
+    "scd2_stored_merge": _scd_sql(False),
     "scd2_current_view": _scd_sql(False, only_current=True),
     "scd2_history": w(HISTORY) + "SELECT * FROM hist",
     "scd2_as_of": w(HISTORY) + "SELECT * FROM hist WHERE effective_time <= TIMESTAMP '2024-01-15 12:00:00' "

@@ -22,11 +22,10 @@ from contrail.operators.dims import airline_country_dim, continent_dim
 from contrail.operators.enrich import enrich
 from contrail.operators.nested import explode_flatten
 from contrail.operators.scd2 import scd2_as_of, scd2_history, scd2_init, scd2_merge
-from contrail.operators.sequence import time_slice, with_neighbor
-from contrail.functions.geo import haversine_km
 from contrail.plans import views as V
 from contrail.session import scratch_path, table_path
 from contrail.sources import feeds, sinks
+from contrail.sources.scd2_table import read_scd2, upsert_scd2
 from contrail.streaming import active_counts as S
 
 # Fixed parameters of the registered queries.
@@ -183,9 +182,6 @@ def q_flatten_struct(spark, d):
     return out.select("id", *V.TIME_DETAIL_LEAVES.values())
 
 
-EPOCH_LIFTED = [c for c in V.EPOCH_TEXT_COLUMNS]
-
-
 def q_epoch_to_ts(spark, d):
     out = C.flatten_struct(V.detail_view(spark, d), "time_details", V.TIME_DETAIL_LEAVES)
     return C.epoch_columns_to_ts(out, V.EPOCH_TEXT_COLUMNS).select("id", *V.EPOCH_TEXT_COLUMNS)
@@ -332,18 +328,12 @@ def q_flown_time(spark, d):
 
 
 def q_trail_distance(spark, d):
-    """Path length per user over the ordered fixes (D4): each fix is paired with the
-    previous one of the same user (skew-safe sliced lag), legs summed with a
-    partial aggregate."""
+    """Path length per user over the ordered fixes (D4); fixes derived from events."""
     ev = V.events(spark, d).select(
         "user_id", "ts", "event_id",
         ((F.col("event_id") * 7) % 120 - 60).cast("double").alias("lat"),
         ((F.col("event_id") * 37) % 360 - 180).cast("double").alias("lng"))
-    legs = with_neighbor(ev, ["user_id"], ["ts", "event_id"], ["lat", "lng"], time_slice("ts"), "prev")
-    leg_km = haversine_km("prev_lat", "prev_lng", "lat", "lng")
-    return (legs.groupBy("user_id")
-            .agg(F.count(F.lit(1)).alias("n_points"),
-                 F.round(F.coalesce(F.sum(leg_km), F.lit(0.0)), I.ROUND_DIGITS).alias("trail_km")))
+    return I.trail_distance(ev, "user_id", "ts", "lat", "lng", tie_break=["event_id"])
 
 
 # ---- SCD2 --------------------------------------------------------------------
@@ -367,6 +357,16 @@ def q_scd2_merge_nullsafe(spark, d):
     return _merged(spark, d, nullsafe_variant=True)
 
 
+def q_scd2_stored_merge(spark, d):
+    """Writes: the same two batches merged through the stored Parquet history
+    (first load, then one upsert that reads only the current part), read back."""
+    base, updates = _events_scd(spark, d)
+    path = scratch_path(spark, "scd2_stored")
+    upsert_scd2(spark, path, base, "user_id", "ts", ["event_type"], tie_break=["event_id"])
+    upsert_scd2(spark, path, updates, "user_id", "ts", ["event_type"], tie_break=["event_id"])
+    return read_scd2(spark, path)
+
+
 def q_scd2_current_view(spark, d):
     return current_versions(_merged(spark, d))
 

@@ -13,12 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from contrail.operators.scd2 import scd2_init, scd2_merge
-from contrail.sources.sinks import latest_run, read_table, write_table
+from contrail.sources.scd2_table import upsert_scd2
+from contrail.sources.sinks import read_table, write_table
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -64,33 +63,14 @@ def read_window_counts(spark: SparkSession, out_path: str, keys: Sequence[str])
 
 def start_scd2_stream(stream: DataFrame, table_path: str, key: str, ts: str, tracked: Sequence[str],
                       checkpoint: str, tie_break: Sequence[str] = ()) -> StreamingQuery:
-    """Keep a type-2 history current from a stream.
+    """Keep a stored type-2 history current from a stream.
 
-    Every micro-batch merges into the latest published snapshot and writes a
-    new one at ``<table_path>/v=<batch>``; it never reads and overwrites one
-    folder in one job. A failed batch is replayed from the checkpoint and
-    rewrites the same snapshot, so the result is the same as one clean run.
+    Each micro-batch is merged into the table with ``upsert_scd2`` under the
+    stream's batch id, so a batch replayed from the checkpoint after a
+    failure rewrites the same ``batch=<id>`` folder from the same input.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = read_snapshot(spark, table_path, before=batch_id)
-        out = (scd2_init(batch, key, ts, tie_break) if prev is None
-               else scd2_merge(prev, batch, key, ts, tracked, tie_break))
-        write_table(out, f"{table_path}/v={batch_id}", partition_by="is_current", mode="overwrite")
+        upsert_scd2(batch.sparkSession, table_path, batch, key, ts, tracked, tie_break, batch=batch_id)
 
     return (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
             .trigger(availableNow=True).start())
-
-
-def read_snapshot(spark: SparkSession, table_path: str, before: int | None = None) -> DataFrame | None:
-    """The newest published snapshot (optionally older than ``before``), or None."""
-    try:
-        snaps = read_table(spark, table_path)
-    except AnalysisException:
-        return None
-    if before is not None:
-        snaps = snaps.where(F.col("v") < before)
-    if not snaps.limit(1).count():
-        return None
-    # Folder values come back as text; the flag is a boolean.
-    return latest_run(snaps, "v").drop("v").withColumn("is_current", F.col("is_current").cast("boolean"))

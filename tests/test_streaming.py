@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators.scd2 import scd2_init, scd2_merge
 from contrail.session import scratch_path
+from contrail.sources.scd2_table import read_scd2
 from contrail.sources.sinks import write_table
 from contrail.streaming import active_counts as S
 
@@ -39,7 +40,7 @@ def test_scd2_stream_matches_batch_merges(spark):
     q = S.start_scd2_stream(S.file_stream(spark, land, ev.schema), table, "user_id", "ts", ["event_type"], ckpt,
                             tie_break=["event_id"])
     q.awaitTermination()
-    got = S.read_snapshot(spark, table)
+    got = read_scd2(spark, table)
     want = scd2_merge(scd2_init(first, "user_id", "ts", ["event_id"]), second, "user_id", "ts", ["event_type"],
                       ["event_id"])
     key = lambda r: (r.user_id, r.event_id, r.is_current, r.effective_time, r.end_time)
