@@ -25,8 +25,12 @@ def flight_dedup_order() -> list[Column]:
     return [F.col("extract_ts").desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in FLIGHT_TIE_BREAK]
 
 
-# Fact tables and the key their first shuffle is on (the join or window key).
-FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "user_id"}
+# Fact tables and the column their parallelism guard hashes on. lineitem and
+# orders use the key of the join between them, which can then reuse the
+# partitioning. events uses its unique id on purpose: hashing on user_id
+# would satisfy, and so silently replace, the finer (user_id, time slice)
+# partitioning that the skew-safe sequence windows ask for.
+FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def ensure_parallel(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
@@ -37,9 +41,7 @@ def ensure_parallel(df: DataFrame, key: str, min_partitions: int | None = None)
     group scans as one task and every narrow operator before the first
     shuffle runs on one core. On real data (many files and row groups) the
     scan is already wide and ``df`` is returned unchanged, so no shuffle is
-    added. When it does repartition, it hashes on the key the next join or
-    window needs, so that operator reuses the partitioning instead of
-    shuffling again. Only the split plan is computed here; no data is read.
+    added. Only the split plan is computed here; no data is read.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= want else df.repartition(want, key)
