@@ -1,9 +1,9 @@
 """Slowly changing dimension, type 2, as plain DataFrame plans.
 
-Layout of a stored history: the same columns as the feed plus
-``is_current`` (bool), ``effective_time`` and ``end_time`` (NULL while
-current). Stored partitioned by ``is_current`` so a merge reads and rewrites
-only the current part; closed versions are append-only.
+A history has the feed's columns plus ``is_current`` (bool),
+``effective_time`` and ``end_time`` (NULL while current). These functions
+are lazy DataFrame plans; ``contrail.sources.scd2_table`` stores a history
+on Parquet so that a merge reads only the current part.
 
 Differences from the reference, on purpose:
 * ``effective_time`` is the record's own source time, not the wall clock, so
@@ -96,13 +96,20 @@ def scd2_merge(history: DataFrame, updates: DataFrame, key: str, ts: str, tracke
 
 
 def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie_break: Sequence[str] = (),
-                 slice_seconds: int = 86_400) -> DataFrame:
+                 slice_seconds: int = 86_400, checkpoint: bool = True) -> DataFrame:
     """Whole type-2 history from a full change feed.
 
     A version starts at the first row of a key and at every row whose tracked
     attributes differ (NULL-safe) from the previous row; it ends where the
     next version starts. Equals what repeated ``scd2_merge`` runs build when
     batches arrive in order with at most one change per key per batch.
+
+    The version-start rows feed two branches (the rows themselves and the
+    slice edges of the "next version" lookup). They are written once with a
+    reliable ``checkpoint()`` into ``spark.checkpoint.dir`` (shared storage on
+    a cluster) instead of being recomputed from the feed for each branch;
+    they are usually far fewer than the feed rows. ``checkpoint=False``
+    keeps a lazy plan.
     """
     order = [ts, *tie_break]
     sl = time_slice(ts, slice_seconds)
@@ -112,6 +119,8 @@ def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie
     for a in tracked:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"__p_{a}"))
     versions = p.where(changed).drop(*[f"__p_{c}" for c in [ts, *tracked]])
+    if checkpoint:
+        versions = versions.checkpoint(eager=True)
     n = with_neighbor(versions, [key], order, [ts], time_slice(ts, slice_seconds), "next", prefix="__n_")
     return (n.withColumnRenamed(f"__n_{ts}", "end_time")
              .withColumn("effective_time", F.col(ts))
