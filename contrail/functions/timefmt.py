@@ -1,7 +1,7 @@
 """Time helpers that do not depend on the session time zone.
 
 Driver tables load as ``timestamp_ntz``. All conversions here stay in NTZ
-arithmetic (``timestamp_add`` / ``timestamp_diff``), so results are the same
+arithmetic (``timestamp_add``) and calendar fields, so results are the same
 whatever ``spark.sql.session.timeZone`` the caller runs with.
 """
 
@@ -38,9 +38,26 @@ def ts_literal(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _epoch_day(ts: Column) -> Column:
+    return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+
+
 def epoch_seconds(ts) -> Column:
-    """Whole seconds since 1970-01-01 of an NTZ timestamp (BIGINT)."""
-    return F.timestamp_diff("SECOND", epoch_ntz(), _c(ts))
+    """Whole seconds since 1970-01-01 of an NTZ timestamp (BIGINT, floored).
+
+    Built from calendar fields (day number, hour, minute, second), which are
+    zone-free for NTZ; ``timestamp_diff`` on NTZ values applies the session
+    zone and is off by an hour around daylight-saving gaps.
+    """
+    t = _c(ts)
+    return _epoch_day(t) * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of an NTZ timestamp (BIGINT), zone-free."""
+    t = _c(ts)
+    return ((_epoch_day(t) * 86400 + F.hour(t) * 3600 + F.minute(t) * 60) * 1_000_000
+            + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
 
 
 def epoch_to_ts(text) -> Column:

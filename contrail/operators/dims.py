@@ -16,8 +16,24 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+def plan_key(df: DataFrame) -> tuple:
+    """Identity of a plan over its current files: the canonical plan hash plus
+    the sorted input file list. Spark writers never rewrite a file in place,
+    so new data means new file names and a new key."""
+    return df.semanticHash(), tuple(sorted(df.inputFiles()))
+
+
+_BOUNDED: dict[tuple, bool] = {}
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """At most ``max_rows`` rows? Reads at most ``max_rows + 1`` rows; the answer
+    is remembered for this plan and file set, so a dimension is counted once
+    per process, not once per query."""
+    key = (*plan_key(df), max_rows)
+    if key not in _BOUNDED:
+        _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _BOUNDED[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -69,7 +69,7 @@ SELECT n_name AS country, r_name AS continent FROM nation JOIN region ON n_regio
 
 
 def epoch(ts: str) -> str:
-    # Whole seconds, truncated like Spark's timestamp_diff (DuckDB's cast would round).
+    # Whole seconds, floored like the Spark side (DuckDB's cast would round).
     return f"CAST(floor(epoch({ts})) AS BIGINT)"
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions.timefmt import epoch_seconds
-from contrail.operators.dims import bounded_broadcast
+from contrail.operators.dims import bounded_broadcast, plan_key
 from contrail.session import table_path
 
 # Latest snapshot first, then enough attributes to make the order total:
@@ -44,7 +44,13 @@ def ensure_parallel(df: DataFrame, key: str, min_partitions: int | None = None)
     added. Only the split plan is computed here; no data is read.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= want else df.repartition(want, key)
+    k = plan_key(df)
+    if k not in _SPLITS:
+        _SPLITS[k] = df.rdd.getNumPartitions()
+    return df if _SPLITS[k] >= want else df.repartition(want, key)
+
+
+_SPLITS: dict[tuple, int] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

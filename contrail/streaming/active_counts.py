@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from contrail.functions.timefmt import epoch_micros, epoch_ntz
 from contrail.sources.scd2_table import upsert_scd2
 from contrail.sources.sinks import read_table, write_table
 
@@ -33,13 +34,21 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 def windowed_counts(stream: DataFrame, ts: str, group: Sequence[str], window: str, watermark: str) -> DataFrame:
     """Event-time tumbling-window counts per group with a watermark.
 
-    Watermarks need a TIMESTAMP (not NTZ) column; the cast is an identity in a
-    UTC session. Window bounds are cast back to NTZ for output.
+    Watermarks need a TIMESTAMP (not NTZ) column. The NTZ event time is moved
+    to the instant with the same UTC wall clock through epoch microseconds
+    (not a cast, which would apply the session zone), so windows align to the
+    NTZ calendar in any session zone; bounds are moved back the same way.
     """
-    ev = stream.withColumn("__ets", F.col(ts).cast("timestamp")).withWatermark("__ets", watermark)
+    def to_instant(c):
+        return F.timestamp_micros(epoch_micros(c))
+
+    def to_ntz(c):
+        return F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch_ntz())
+
+    ev = stream.withColumn("__ets", to_instant(F.col(ts))).withWatermark("__ets", watermark)
     agg = ev.groupBy(F.window("__ets", window).alias("w"), *group).agg(F.count(F.lit(1)).alias("n"))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), *group, "n")
+    return agg.select(to_ntz(F.col("w.start")).alias("window_start"),
+                      to_ntz(F.col("w.end")).alias("window_end"), *group, "n")
 
 
 def start_window_counts(counts: DataFrame, out_path: str, checkpoint: str, available_now: bool = True

@@ -50,3 +50,22 @@ def test_active_filter(spark):
          (5, "N/A", "Scheduled"), (6, "0", "Scheduled")],
         "id int, on_ground string, status_text string")
     assert {r.id for r in active_flights(df).collect()} == {1, 6}
+
+
+def test_epoch_fields_are_zone_free(spark):
+    from pyspark.sql import functions as F
+
+    from contrail.functions.timefmt import epoch_micros, epoch_seconds, epoch_to_ts
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Europe/Paris"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([("1998-04-05 02:30:00.250000",), ("1969-12-31 23:59:59",)], "s string")
+            df = df.select(F.col("s").cast("timestamp_ntz").alias("t"))
+            r = df.select(epoch_seconds("t").alias("e"), epoch_micros("t").alias("m"),
+                          epoch_to_ts(epoch_seconds("t")).alias("back")).collect()
+            assert [x.e for x in r] == [891743400, -1]
+            assert r[0].m == 891743400_250000
+            assert str(r[0].back) == "1998-04-05 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

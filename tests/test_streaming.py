@@ -9,7 +9,20 @@ from contrail.streaming import active_counts as S
 SF = "/root/testdata/sf0.001"
 
 
-def test_stream_counts_equal_batch(spark):
+import pytest
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_stream_counts_equal_batch(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _stream_counts_equal_batch(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _stream_counts_equal_batch(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     land = scratch_path(spark, "land")
     # Land the feed as several files so the stream sees several micro-batches.
