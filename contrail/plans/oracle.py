@@ -239,6 +239,8 @@ ORACLE: dict[str, str] = {
     "mart_latest_run": _airline_mart("TIMESTAMP '1998-01-02 00:00:00'"),
     "ingest_json": "SELECT event_id, ts, user_id, event_type, value, props, "
                    + STAMP_TS.format(t=AS_OF) + " FROM events",
+    "bronze_ingest": "SELECT event_id, ts, user_id, event_type, value, props, "
+                     + STAMP_TS.format(t=AS_OF) + " FROM events",
     "enrich_detail": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity "
                      "FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
     "enrich_detail_missing": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders "

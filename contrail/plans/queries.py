@@ -147,6 +147,21 @@ def q_ingest_json(spark, d):
     return good
 
 
+BRONZE_SCHEMA = T.StructType(EVENTS_JSON_SCHEMA.fields + [
+    T.StructField("extract_year", T.StringType()), T.StructField("extract_month", T.StringType()),
+    T.StructField("extract_day", T.StringType()), T.StructField("extract_time", T.LongType())])
+
+
+def q_bronze_ingest(spark, d):
+    """Writes: one extraction run end to end - landed JSON -> declared schema ->
+    stamp -> bronze partitioned by run - run twice (a retry), read back."""
+    landing, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    feeds.land_json(V.events(spark, d), landing)
+    for _ in range(2):
+        feeds.ingest_to_bronze(spark, landing, EVENTS_JSON_SCHEMA, bronze, AS_OF)
+    return sinks.read_table(spark, bronze, BRONZE_SCHEMA)
+
+
 def q_enrich_detail(spark, d):
     matched, _ = enrich(V.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
                         V.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"),
@@ -391,7 +406,8 @@ def q_stream_active_counts(spark, d):
     schema = V.events(spark, d).schema
     out, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_ckpt")
     stream = S.file_stream(spark, d, schema, glob="events.parquet")
-    q = S.start_window_counts(S.windowed_counts(stream, "ts", ["event_type"], "1 day", "2 days"), out, ckpt)
+    counts = S.windowed_counts(stream, "ts", ["event_type"], "1 day", "2 days", dedup_keys=["event_id"])
+    q = S.start_window_counts(counts, out, ckpt)
     q.awaitTermination()
     return S.read_window_counts(spark, out, ["window_start", "event_type"])
 

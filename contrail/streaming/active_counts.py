@@ -31,13 +31,17 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
-def windowed_counts(stream: DataFrame, ts: str, group: Sequence[str], window: str, watermark: str) -> DataFrame:
+def windowed_counts(stream: DataFrame, ts: str, group: Sequence[str], window: str, watermark: str,
+                    dedup_keys: Sequence[str] = ()) -> DataFrame:
     """Event-time tumbling-window counts per group with a watermark.
 
     Watermarks need a TIMESTAMP (not NTZ) column. The NTZ event time is moved
     to the instant with the same UTC wall clock through epoch microseconds
     (not a cast, which would apply the session zone), so windows align to the
     NTZ calendar in any session zone; bounds are moved back the same way.
+    ``dedup_keys`` drops records seen again within the watermark (a snapshot
+    landed twice by a retried poll) before counting; that state is bounded
+    by the watermark too.
     """
     def to_instant(c):
         return F.timestamp_micros(epoch_micros(c))
@@ -46,6 +50,8 @@ def windowed_counts(stream: DataFrame, ts: str, group: Sequence[str], window: st
         return F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch_ntz())
 
     ev = stream.withColumn("__ets", to_instant(F.col(ts))).withWatermark("__ets", watermark)
+    if dedup_keys:
+        ev = ev.dropDuplicatesWithinWatermark(list(dedup_keys))
     agg = ev.groupBy(F.window("__ets", window).alias("w"), *group).agg(F.count(F.lit(1)).alias("n"))
     return agg.select(to_ntz(F.col("w.start")).alias("window_start"),
                       to_ntz(F.col("w.end")).alias("window_end"), *group, "n")
