@@ -13,7 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A dimension at or below this many rows is shipped to every executor.
+# Override per session with the ``contrail.broadcast.maxRows`` setting.
 DEFAULT_BROADCAST_ROWS = 100_000
+BROADCAST_ROWS_CONF = "contrail.broadcast.maxRows"
+
+
+def broadcast_bound(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
 def plan_key(df: DataFrame) -> tuple:
@@ -36,7 +42,7 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return _BOUNDED[key]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
                       bound_by: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
@@ -45,11 +51,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     counting a plain Parquet scan is answered from file footers, while
     counting a derived join would run the join.
     """
-    return F.broadcast(df) if is_bounded(bound_by if bound_by is not None else df, max_rows) else df
+    probe = bound_by if bound_by is not None else df
+    return F.broadcast(df) if is_bounded(probe, max_rows or broadcast_bound(df)) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_rows: int | None = None) -> DataFrame:
     return fact.join(bounded_broadcast(dim, max_rows), on, how)
 
 

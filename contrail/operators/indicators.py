@@ -126,7 +126,9 @@ def airport_in_out(current: DataFrame) -> DataFrame:
     aggregate counts both: one scan, one shuffle, partial aggregation, and a
     one-sided airport still gets 0 for the missing side. Airports are keyed by
     IATA code alone; the name is the largest seen, so a NULL or variant name
-    does not split an airport in two.
+    does not split an airport in two. Counting per (code, name) first keeps
+    the big aggregate a hash aggregate (a string ``max`` buffer would force a
+    sort of every row); names are folded per code over that small result.
     """
     legs = F.array(
         F.struct(F.col("origin_airport_iata").alias("airport_iata"),
@@ -136,25 +138,30 @@ def airport_in_out(current: DataFrame) -> DataFrame:
                  F.col("destination_airport_name").alias("airport_name"),
                  F.lit(0).alias("o"), F.lit(1).alias("i")),
     )
-    per_airport = (current.select(F.inline(legs)).groupBy("airport_iata")
-                   .agg(F.max("airport_name").alias("airport_name"),
-                        F.sum("o").cast("bigint").alias("out_flight_count"),
-                        F.sum("i").cast("bigint").alias("in_flight_count")))
+    per_name = (current.select(F.inline(legs)).groupBy("airport_iata", "airport_name")
+                .agg(F.sum("o").cast("bigint").alias("o"), F.sum("i").cast("bigint").alias("i")))
+    per_airport = per_name.groupBy("airport_iata").agg(
+        F.max("airport_name").alias("airport_name"),
+        F.sum("o").alias("out_flight_count"), F.sum("i").alias("in_flight_count"))
     return per_airport.withColumn("difference", F.abs(F.col("out_flight_count") - F.col("in_flight_count")))
 
 
+def _per_airport(current: DataFrame, side: str, out: str) -> DataFrame:
+    per_name = (current.groupBy(F.col(f"{side}_airport_iata").alias("airport_iata"),
+                                F.col(f"{side}_airport_name").alias("airport_name"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    return per_name.groupBy("airport_iata").agg(F.max("airport_name").alias("airport_name"),
+                                                F.sum("n").alias(out))
+
+
 def airport_outbound(current: DataFrame) -> DataFrame:
     """Outbound flights per airport."""
-    return (current.groupBy(F.col("origin_airport_iata").alias("airport_iata"))
-            .agg(F.max("origin_airport_name").alias("airport_name"),
-                 F.count(F.lit(1)).alias("out_flight_count")))
+    return _per_airport(current, "origin", "out_flight_count")
 
 
 def airport_inbound(current: DataFrame) -> DataFrame:
     """Inbound flights per airport."""
-    return (current.groupBy(F.col("destination_airport_iata").alias("airport_iata"))
-            .agg(F.max("destination_airport_name").alias("airport_name"),
-                 F.count(F.lit(1)).alias("in_flight_count")))
+    return _per_airport(current, "destination", "in_flight_count")
 
 
 def with_continent(df: DataFrame, continents: DataFrame, country_col: str = "origin_airport_country_name"
