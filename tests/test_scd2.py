@@ -119,3 +119,32 @@ def test_as_of(spark):
     at = scd2_as_of(hist, F.lit(t(15)).cast("timestamp_ntz"))
     got = {r.id: r.name for r in at.collect()}
     assert got == {"1": "A", "2": "B2", "3": "C", "4": "D"}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_batch = st.lists(st.tuples(st.sampled_from("abcd"), st.sampled_from([None, "x", "y"]), st.integers(0, 3)),
+                  min_size=1, max_size=6)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(_batch, min_size=1, max_size=3))
+def test_merge_properties_random(spark, batches):
+    hist = None
+    for n, rows in enumerate(batches):
+        # Each batch is later than the previous one; the minute offset makes duplicates within a batch.
+        df = spark.createDataFrame([(k, v, None, t(10 * n) + dt.timedelta(minutes=m)) for k, v, m in rows], SCHEMA)
+        hist = scd2_init(df, "id", "ts") if hist is None else scd2_merge(hist, df, "id", "ts", ["name"])
+    rows = hist.collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.id, []).append(r)
+    for versions in by.values():
+        assert sum(v.is_current for v in versions) == 1
+        versions.sort(key=lambda v: v.effective_time)
+        for a, b in zip(versions, versions[1:]):
+            assert a.end_time == b.effective_time and not a.is_current
+            assert a.name != b.name  # a new version only on a (NULL-safe) change
+    again = scd2_merge(hist, df, "id", "ts", ["name"])
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, rows))

@@ -79,3 +79,19 @@ def test_scan_pushes_filter_and_prunes_columns(spark):
     plan = plan_text(df)
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in plan
+
+
+def test_bronze_run_is_idempotent_and_keeps_other_runs(spark):
+    landing, bronze = scratch_path(spark, "landing_b"), scratch_path(spark, "bronze_b")
+    spark.createDataFrame([('{"id": 1, "name": "A"}',), ('{"id": 2, "name": "B"}',), ('{"id": ',)],
+                          "value string").write.text(landing)
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    r1 = feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 07:00:00")
+    feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 07:00:00")     # retry of the same run
+    r2 = feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 08:00:00")  # next run, same day
+    assert r2 - r1 == 3600
+    df = spark.read.parquet(bronze)
+    assert df.count() == 4                                   # 2 rows x 2 runs, retry not doubled
+    assert sorted(r.extract_time for r in df.select("extract_time").distinct().collect()) == [r1, r2]
+    q = spark.read.parquet(f"{bronze}/_quarantine")
+    assert q.count() == 2 and q.columns[0] == "_corrupt_record"
