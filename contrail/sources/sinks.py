@@ -54,10 +54,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def latest_run(df: DataFrame, run_col: str = "extract_time") -> DataFrame:
     """Rows of the most recent run only.
 
-    The max run id is a one-row aggregate (so broadcasting it is bounded by
-    construction) semi-joined on the run column. When ``run_col`` is a
-    partition column, dynamic partition pruning lets the outer scan skip the
-    folders of older runs.
+    ``run_col = (scalar subquery max(run_col))``: when ``run_col`` is a
+    partition column the subquery reads only partition values and the filter
+    lands in the scan's ``PartitionFilters``, so only the newest run's folder
+    is read however many runs the mart has accumulated.
     """
-    last = df.agg(F.max(run_col).alias("__last"))
-    return df.join(F.broadcast(last), F.col(run_col) == F.col("__last"), "left_semi")
+    return df.where(F.col(run_col) == df.select(F.max(run_col)).scalar())
