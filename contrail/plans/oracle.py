@@ -279,6 +279,7 @@ ORACLE: dict[str, str] = {
   AND origin_airport_country_code = destination_airport_country_code) THEN 1 ELSE 0 END AS regional_flights_active
 FROM active_f""",
     "route_distance": FA + f"SELECT id, round({ROUTE}, 6) AS distance_km FROM active_f",
+    "route_distance_sql": FA + f"SELECT id, round({ROUTE}, 6) AS distance_km FROM active_f",
     "serving_current": w(FLIGHTS, SILVER) + f"""SELECT *,
   CASE WHEN coalesce(estimated_arrival, scheduled_time_arrival) < {AS_OF} THEN FALSE ELSE TRUE END AS is_current,
   CASE WHEN coalesce(estimated_arrival, scheduled_time_arrival) < {AS_OF} THEN {AS_OF} END AS end_time

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contrail.functions.geo import register_sql_functions
 from contrail.functions.timefmt import ts_literal
 from contrail.operators import clean as C
 from contrail.operators import indicators as I
@@ -240,6 +241,19 @@ def q_route_distance(spark, d):
         "id", F.round("distance_km", I.ROUND_DIGITS).alias("distance_km"))
 
 
+def q_route_distance_sql(spark, d):
+    """The same route distance through the SQL API (U1): ``haversine_km`` is a SQL
+    function that the analyzer inlines, so the plan equals the DataFrame one."""
+    register_sql_functions(spark)
+    active(spark, d).createOrReplaceTempView("contrail_active_flights")
+    return spark.sql("""
+        SELECT id, round(haversine_km(try_cast(origin_airport_latitude AS DOUBLE),
+                                      try_cast(origin_airport_longitude AS DOUBLE),
+                                      try_cast(destination_airport_latitude AS DOUBLE),
+                                      try_cast(destination_airport_longitude AS DOUBLE)), 6) AS distance_km
+        FROM contrail_active_flights""")
+
+
 def q_serving_current(spark, d):
     """Writes: the cleaned table with ``is_current`` refreshed against ``as_of``."""
     path = scratch_path(spark, "serving_current")
