@@ -392,6 +392,7 @@ GROUP BY user_id""",
     "scd2_as_of": w(HISTORY) + "SELECT * FROM hist WHERE effective_time <= TIMESTAMP '2024-01-15 12:00:00' "
                   "AND (end_time IS NULL OR end_time > TIMESTAMP '2024-01-15 12:00:00')",
     # streaming
+    "stream_scd2_merge": _scd_sql(False),
     "stream_active_counts": "SELECT date_trunc('day', ts) AS window_start, "
                             "date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n "
                             "FROM events GROUP BY 1, 2, 3",

@@ -426,6 +426,23 @@ def q_stream_active_counts(spark, d):
     return S.read_window_counts(spark, out, ["window_start", "event_type"])
 
 
+def q_stream_scd2_merge(spark, d):
+    """Writes: the change feed lands in two drops (before / after the split);
+    after each drop the stream is drained with ``availableNow`` from the same
+    checkpoint, merging each micro-batch into the stored SCD2 history
+    (foreachBatch). Landing the second drop only after the first is merged
+    fixes the order, as an hourly poll would. The history is read back."""
+    base, updates = _events_scd(spark, d)
+    land, table, ckpt = (scratch_path(spark, n) for n in ("scd_land", "scd_table", "scd_ckpt"))
+    schema = V.events(spark, d).schema
+    for part in (base, updates):
+        sinks.write_table(part, land)
+        stream = S.file_stream(spark, land, schema)
+        S.start_scd2_stream(stream, table, "user_id", "ts", ["event_type"], ckpt, tie_break=["event_id"]) \
+            .awaitTermination()
+    return read_scd2(spark, table)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
