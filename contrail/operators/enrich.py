@@ -14,9 +14,16 @@ from pyspark.sql import DataFrame
 def enrich(summary: DataFrame, detail: DataFrame, summary_key: str, detail_key: str | None = None
            ) -> tuple[DataFrame, DataFrame]:
     """Return (``matched``, ``missing``): summary rows joined with their detail
-    rows, and summary rows that have no detail at all."""
+    rows, and summary rows that have no detail at all.
+
+    The audit side needs only key existence, so detail keys are deduplicated
+    first (partial aggregate: one row per key per map task) - a hot key can
+    then not pile its detail rows into one reducer of the anti join, where
+    AQE cannot split the right side. The inner join is left to AQE's skew
+    handling, which can split the streamed side.
+    """
     detail_key = detail_key or summary_key
-    cond = summary[summary_key] == detail[detail_key]
-    matched = summary.join(detail, cond, "inner")
-    missing = summary.join(detail, cond, "left_anti")
+    matched = summary.join(detail, summary[summary_key] == detail[detail_key], "inner")
+    keys = detail.select(detail[detail_key].alias("__k")).distinct()
+    missing = summary.join(keys, summary[summary_key] == keys["__k"], "left_anti")
     return matched, missing
