@@ -19,7 +19,8 @@ from contrail.functions.geo import haversine_km
 from contrail.functions.timefmt import epoch_seconds
 from contrail.operators.dedup import top_k_per_group
 from contrail.operators.dims import join_dimension
-from contrail.operators.sequence import DEFAULT_SLICE_SECONDS, time_slice, with_neighbor
+from contrail.operators.sequence import (DEFAULT_SLICE_SECONDS, DEFAULT_TARGET_ROWS, SLICE_COL, with_neighbor,
+                                         with_time_slices)
 
 # Decimal places kept for floating averages and distances in outputs.
 ROUND_DIGITS = 6
@@ -213,7 +214,8 @@ def flown_time(active: DataFrame) -> DataFrame:
 
 
 def trail_distance(points: DataFrame, key: str = "id", ts: str = "ts", lat: str = "lat", lng: str = "lng",
-                   tie_break: Sequence[str] = (), slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+                   tie_break: Sequence[str] = (), slice_seconds: int = DEFAULT_SLICE_SECONDS,
+                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Path length per key over its fixes ordered by time.
 
     Each fix is paired with the previous fix of the same key by the skew-safe
@@ -222,8 +224,8 @@ def trail_distance(points: DataFrame, key: str = "id", ts: str = "ts", lat: str
     partial aggregate. For a trail already held as a bounded array in one
     row, ``functions.geo.path_length_km`` does the same with no shuffle.
     """
-    legs = with_neighbor(points, [key], [ts, *tie_break], [lat, lng], time_slice(ts, slice_seconds), "prev",
-                         prefix="__p_")
+    sliced = with_time_slices(points, [key], ts, slice_seconds, target_rows)
+    legs = with_neighbor(sliced, [key], [ts, *tie_break], [lat, lng], F.col(SLICE_COL), "prev", prefix="__p_")
     leg_km = haversine_km(f"__p_{lat}", f"__p_{lng}", lat, lng)
     return (legs.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_points"),

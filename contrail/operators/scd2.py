@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.operators.dedup import dedup_latest
-from contrail.operators.sequence import time_slice, with_neighbor
+from contrail.operators.sequence import DEFAULT_TARGET_ROWS, SLICE_COL, with_neighbor, with_time_slices
 
 SCD_COLUMNS = ("is_current", "effective_time", "end_time")
 
@@ -96,7 +96,8 @@ def scd2_merge(history: DataFrame, updates: DataFrame, key: str, ts: str, tracke
 
 
 def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie_break: Sequence[str] = (),
-                 slice_seconds: int = 86_400, checkpoint: bool = True) -> DataFrame:
+                 slice_seconds: int = 86_400, checkpoint: bool = True, target_rows: int = DEFAULT_TARGET_ROWS
+                 ) -> DataFrame:
     """Whole type-2 history from a full change feed.
 
     A version starts at the first row of a key and at every row whose tracked
@@ -112,8 +113,9 @@ def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie
     keeps a lazy plan.
     """
     order = [ts, *tie_break]
-    sl = time_slice(ts, slice_seconds)
-    p = with_neighbor(feed, [key], order, [ts, *tracked], sl, "prev", prefix="__p_")
+    sliced = with_time_slices(feed, [key], ts, slice_seconds, target_rows)
+    sl = F.col(SLICE_COL)
+    p = with_neighbor(sliced, [key], order, [ts, *tracked], sl, "prev", prefix="__p_")
     first = F.col(f"__p_{ts}").isNull()
     changed = first
     for a in tracked:
@@ -121,7 +123,7 @@ def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie
     versions = p.where(changed).drop(*[f"__p_{c}" for c in [ts, *tracked]])
     if checkpoint:
         versions = versions.checkpoint(eager=True)
-    n = with_neighbor(versions, [key], order, [ts], time_slice(ts, slice_seconds), "next", prefix="__n_")
+    n = with_neighbor(versions, [key], order, [ts], sl, "next", prefix="__n_")
     return (n.withColumnRenamed(f"__n_{ts}", "end_time")
              .withColumn("effective_time", F.col(ts))
              .withColumn("is_current", F.col("end_time").isNull())

@@ -7,6 +7,8 @@ spreads over as many tasks as it has slices. The first (or last) row of each
 slice takes its neighbour from the edge row of the adjacent non-empty slice,
 found by a partial aggregate (``max_by`` / ``min_by``, combined map-side)
 plus a small window over slice edges (one row per key and slice).
+``with_time_slices`` narrows the slices of hot keys so that no slice holds
+much more than ``target_rows`` rows.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.timefmt import epoch_seconds
+from contrail.operators.dims import is_bounded
 
 DEFAULT_SLICE_SECONDS = 86_400
 
@@ -59,3 +62,32 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
         f"{prefix}{c}": F.when(F.col(edge), F.col(nb)[c]).otherwise(F.col(f"{prefix}{c}")) for c in cols
     })
     return out.drop(edge, nb, sl)
+
+
+SLICE_COL = "__ts_slice"
+DEFAULT_TARGET_ROWS = 1_000_000
+DEFAULT_MAX_HOT_KEYS = 100_000
+
+
+def with_time_slices(df: DataFrame, keys: Sequence[str], ts: str, base_seconds: int = DEFAULT_SLICE_SECONDS,
+                     target_rows: int = DEFAULT_TARGET_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS
+                     ) -> DataFrame:
+    """Add ``__ts_slice``: fixed ``base_seconds`` slices, narrowed for hot keys.
+
+    A key with more than ``target_rows`` rows gets a slice width of about
+    (its time span x ``target_rows`` / its row count), so even a key holding a
+    third of the data inside one day is cut into slices of ~``target_rows``
+    rows (for evenly spread times). Finding hot keys is one partial aggregate
+    over (key, time) only. The hot-key table (one row per hot key, at most
+    total rows / ``target_rows``) is broadcast only after a bounded count
+    proves it small; otherwise the fixed width is kept.
+    """
+    e = epoch_seconds(ts)
+    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(e).alias("__t0"), F.max(e).alias("__t1"))
+             .where(F.col("__n") > target_rows)
+             .select(*keys, F.greatest(F.lit(1), F.least(F.lit(base_seconds), F.floor(
+                 (F.col("__t1") - F.col("__t0") + 1) * F.lit(target_rows) / F.col("__n")))).alias("__w")))
+    if not is_bounded(stats, max_hot_keys):
+        return df.withColumn(SLICE_COL, F.floor(e / F.lit(base_seconds)))
+    out = df.join(F.broadcast(stats), list(keys), "left")
+    return out.withColumn(SLICE_COL, F.floor(e / F.coalesce(F.col("__w"), F.lit(base_seconds)))).drop("__w")

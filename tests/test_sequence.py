@@ -41,3 +41,23 @@ def test_hot_key_is_split_across_slices(spark):
     plan = plan_text(got)
     # The big window is partitioned by (key, slice), never by the key alone.
     assert "hashpartitioning(k#" in plan and "__slice" in plan
+
+
+def test_adaptive_slices_split_a_hot_key_inside_one_slice(spark):
+    from contrail.operators.sequence import SLICE_COL, with_time_slices
+    df = spark.createDataFrame(_rows(11, n=600), "k int, ts timestamp_ntz, i int, v string")
+    year = 365 * 86_400                      # one fixed slice would hold each key's whole history
+    sliced = with_time_slices(df, ["k"], "ts", base_seconds=year, target_rows=20)
+    per_key = {r.k: r.n for r in sliced.groupBy("k").agg(F.countDistinct(SLICE_COL).alias("n")).collect()}
+    assert per_key[0] >= 5                   # the hot key (~200 rows) is cut into many slices
+    got = with_neighbor(sliced, ["k"], ["ts", "i"], ["v"], F.col(SLICE_COL), "prev")
+    w = Window.partitionBy("k").orderBy("ts", "i")
+    want = {r.i: r.nv for r in df.select("i", F.lag("v").over(w).alias("nv")).collect()}
+    assert {r.i: r.prev_v for r in got.collect()} == want
+
+
+def test_adaptive_slices_fall_back_when_hot_keys_unbounded(spark):
+    from contrail.operators.sequence import SLICE_COL, with_time_slices
+    df = spark.createDataFrame(_rows(12, n=200), "k int, ts timestamp_ntz, i int, v string")
+    sliced = with_time_slices(df, ["k"], "ts", base_seconds=86_400, target_rows=1, max_hot_keys=1)
+    assert sliced.select(SLICE_COL).distinct().count() <= 6   # fixed daily slices over 5 days
