@@ -7,7 +7,7 @@ codegen stage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,22 +22,19 @@ def leaf_paths(dt: T.DataType, path: tuple[str, ...] = ()) -> list[tuple[str, ..
     return [path]
 
 
-def _get(base: Column, path: tuple[str, ...]) -> Column:
-    c = base
-    for p in path:
-        c = c.getField(p)
-    return c
-
-
 def flatten(df: DataFrame, col: str, prefix: str | None = None, sep: str = "_", drop: bool = True) -> DataFrame:
     """Replace struct column ``col`` by one column per leaf, named
     ``<prefix><sep><path joined by sep>`` (prefix defaults to ``col``)."""
     prefix = col if prefix is None else prefix
     dt = df.schema[col].dataType
-    leaves = [_get(F.col(col), p).alias(sep.join((prefix, *p)) if prefix else sep.join(p))
+
+    def q(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+    # One SQL projection string per leaf: a single call builds the whole select.
+    leaves = [f"{'.'.join(q(x) for x in (col, *p))} AS {q(sep.join((prefix, *p)) if prefix else sep.join(p))}"
               for p in leaf_paths(dt)]
-    keep = [F.col(f"`{c}`") for c in df.columns if not (drop and c == col)]
-    return df.select(*keep, *leaves)
+    keep = [q(c) for c in df.columns if not (drop and c == col)]
+    return df.selectExpr(*keep, *leaves)
 
 
 def explode_flatten(df: DataFrame, col: str, outer: bool = False, prefix: str | None = None,

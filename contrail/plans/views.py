@@ -185,8 +185,9 @@ def detail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every value is derived per row, so no grouping is needed to build it.
     """
-    f = flight_view(spark, sf_dir).withColumn("_ln", F.split("id", "-")[1].cast("int"))
-    arr_s = epoch_seconds("scheduled_time_arrival")
+    f = flight_view(spark, sf_dir).withColumns({
+        "_ln": F.split("id", "-")[1].cast("int"), "_arr_s": epoch_seconds("scheduled_time_arrival")})
+    arr_s = F.col("_arr_s")
     dep_s = arr_s - F.col("historical_flighttime")
     upd_s = epoch_seconds("extract_ts")
     est_s = epoch_seconds("estimated_arrival")
@@ -204,47 +205,40 @@ def detail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return f.select(
         *[c for c in f.columns if c not in ("scheduled_time_arrival", "estimated_arrival", "historical_flighttime",
-                                            "extract_ts", "_ln")],
+                                            "extract_ts") and not c.startswith("_")],
         F.when(blank_every_7, F.lit("x")).otherwise(F.lit(None).cast("string")).alias("squawk"),
         _s(upd_s).alias("time"),
         time_details.alias("time_details"),
-        history_array(f).alias("aircraft_history"),
+        history_array().alias("aircraft_history"),
         "extract_ts",
     )
 
 
-def _leg(f: DataFrame, k: int) -> Column:
-    """Past leg number ``k`` of a flight's aircraft: a nested struct per leg."""
-    def airport(side: str) -> Column:
-        return F.struct(
-            F.struct(F.col(f"{side}_airport_iata").alias("iata"),
-                     F.concat(F.lit("I"), F.col(f"{side}_airport_iata")).alias("icao")).alias("code"),
-            F.col(f"{side}_airport_name").alias("name"),
-            F.struct(
-                F.struct(F.col(f"{side}_airport_country_name").alias("name"),
-                         F.col(f"{side}_airport_country_code").alias("code")).alias("country"),
-                F.col(f"{side}_airport_latitude").alias("latitude"),
-                F.col(f"{side}_airport_longitude").alias("longitude"),
-                F.struct(F.concat(F.lit("City "), F.col(f"{side}_airport_iata")).alias("city")).alias("region"),
-            ).alias("position"),
-            F.struct(F.lit("UTC").alias("name"), _s(F.lit(k * 3600)).alias("offset")).alias("timezone"),
-        )
+def _airport_sql(side: str, k: int) -> str:
+    a = f"{side}_airport"
+    return (f"named_struct('code', named_struct('iata', {a}_iata, 'icao', concat('I', {a}_iata)), "
+            f"'name', {a}_name, "
+            f"'position', named_struct('country', named_struct('name', {a}_country_name, 'code', {a}_country_code), "
+            f"'latitude', {a}_latitude, 'longitude', {a}_longitude, "
+            f"'region', named_struct('city', concat('City ', {a}_iata))), "
+            f"'timezone', named_struct('name', 'UTC', 'offset', '{k * 3600}'))")
+
+
+def _leg_sql(k: int) -> str:
+    """Past leg number ``k`` of a flight's aircraft, as one SQL struct expression."""
     # Legs alternate direction: odd legs fly the route backwards.
     first, second = ("destination", "origin") if k % 2 else ("origin", "destination")
-    return F.struct(
-        F.struct(F.struct(F.concat(F.col("airline_iata"), _s(F.col("_ln") * 100 + k)).alias("default"))
-                  .alias("number"),
-                 F.concat(F.col("id"), F.lit(f"#{k}")).alias("id")).alias("identification"),
-        F.struct(F.struct(_s(epoch_seconds("scheduled_time_arrival") - k * 86400).alias("departure"))
-                  .alias("real")).alias("time"),
-        F.struct(airport(second).alias("destination"), airport(first).alias("origin")).alias("airport"),
-    )
+    return (f"named_struct('identification', named_struct("
+            f"'number', named_struct('default', concat(airline_iata, CAST(_ln * 100 + {k} AS STRING))), "
+            f"'id', concat(id, '#{k}')), "
+            f"'time', named_struct('real', named_struct('departure', CAST(_arr_s - {k * 86400} AS STRING))), "
+            f"'airport', named_struct('destination', {_airport_sql(second, k)}, 'origin', {_airport_sql(first, k)}))")
 
 
-def history_array(f: DataFrame) -> Column:
-    legs = F.array(_leg(f, 1), _leg(f, 2), _leg(f, 3))
-    n = F.col("_ln") % 4
-    return F.when(F.col("_ln") == 7, F.lit(None)).otherwise(F.slice(legs, F.lit(1), n))
+def history_array() -> Column:
+    """0-3 past legs per flight (NULL for line 7); needs ``_ln`` and ``_arr_s``."""
+    legs = ", ".join(_leg_sql(k) for k in (1, 2, 3))
+    return F.expr(f"CASE WHEN _ln = 7 THEN NULL ELSE slice(array({legs}), 1, _ln % 4) END")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
