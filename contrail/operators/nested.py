@@ -45,10 +45,14 @@ def explode_flatten(df: DataFrame, col: str, outer: bool = False, prefix: str |
     ``outer=True`` keeps them with NULL leaves. ``position`` keeps the element
     index. No shuffle: explode is a narrow generator.
     """
-    gen = F.posexplode_outer if outer else F.posexplode
     pos = position or "__pos"
     others = [F.col(f"`{c}`") for c in df.columns if c != col]
-    exploded = df.select(*others, gen(F.col(col)).alias(pos, col))
+    # Always the outer generator, then drop the element-less rows for the inner
+    # case: an inner explode makes Catalyst infer ``size(array) > 0`` and push
+    # it below joins, so a computed array would be built twice per row.
+    exploded = df.select(*others, F.posexplode_outer(F.col(col)).alias(pos, col))
+    if not outer:
+        exploded = exploded.where(F.col(pos).isNotNull())
     if not position:
         exploded = exploded.drop(pos)
     return flatten(exploded, col, prefix=prefix)

@@ -265,10 +265,10 @@ def q_serving_current(spark, d):
 # ---- nested ------------------------------------------------------------------
 
 def q_explode_history(spark, d):
-    legs = (V.detail_view(spark, d)
-            .selectExpr("id AS current_id", "aircraft_model", "aircraft_history")
-            .select("current_id", "aircraft_model", F.posexplode("aircraft_history").alias("leg_pos", "leg")))
-    return legs.select("current_id", "aircraft_model", "leg_pos", F.col("leg.identification.id").alias("leg_id"))
+    legs = explode_flatten(V.detail_view(spark, d).selectExpr("id AS current_id", "aircraft_model",
+                                                              "aircraft_history"),
+                           "aircraft_history", prefix="leg", position="leg_pos")
+    return legs.select("current_id", "aircraft_model", "leg_pos", F.col("leg_identification_id").alias("leg_id"))
 
 
 def q_flatten_history(spark, d):
