@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from contrail.operators import clean as C
 from contrail.operators.nested import explode_flatten, flatten
 
