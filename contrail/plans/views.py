@@ -43,8 +43,11 @@ def ensure_parallel(df: DataFrame, key: str, min_partitions: int | None = None)
     scan is already wide and ``df`` is returned unchanged, so no shuffle is
     added. Only the split plan is computed here; no data is read.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    k = plan_key(df)
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    # The split count also depends on the session's split settings.
+    k = (*plan_key(df), spark.sparkContext.defaultParallelism,
+         spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes"))
     if k not in _SPLITS:
         _SPLITS[k] = df.rdd.getNumPartitions()
     return df if _SPLITS[k] >= want else df.repartition(want, key)
