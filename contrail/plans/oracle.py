@@ -285,7 +285,7 @@ FROM active_f""",
   CASE WHEN coalesce(estimated_arrival, scheduled_time_arrival) < {AS_OF} THEN {AS_OF} END AS end_time
 FROM silver""",
     # nested
-    "explode_history": w(FLIGHTS, DETAIL) + "SELECT id AS current_id, aircraft_model, k - 1 AS leg_pos, "
+    "explode_history": w(FLIGHTS, DETAIL) + "SELECT id AS current_id, aircraft_model, CAST(k - 1 AS INTEGER) AS leg_pos, "
                        "id || '#' || CAST(k AS VARCHAR) AS leg_id FROM detail, range(1, 4) AS t(k) "
                        "WHERE ln <> 7 AND k <= ln % 4",
     "flatten_history": _leg_leaf_sql(),
@@ -312,8 +312,8 @@ FROM active_f GROUP BY 1, 2, 3, 4""",
     "top_manufacturer": FA + "SELECT split_part(aircraft_model, ' ', 1) AS aircraft_manufacturer, "
                         "count(*) AS total_active_flights FROM active_f GROUP BY 1 "
                         "ORDER BY total_active_flights DESC, aircraft_manufacturer ASC NULLS LAST LIMIT 1",
-    "models_by_country": FC + """SELECT *, row_number() OVER (PARTITION BY country
-  ORDER BY total_aircraft_model DESC, aircraft_model ASC NULLS LAST) AS rank_in_country
+    "models_by_country": FC + """SELECT *, CAST(row_number() OVER (PARTITION BY country
+  ORDER BY total_aircraft_model DESC, aircraft_model ASC NULLS LAST) AS INTEGER) AS rank_in_country
 FROM (SELECT origin_airport_country_name AS country, aircraft_model, count(aircraft_model) AS total_aircraft_model
       FROM current_f GROUP BY 1, 2)""",
     "airport_outbound": FC + "SELECT origin_airport_iata AS airport_iata, max(origin_airport_name) AS airport_name, "
@@ -361,8 +361,8 @@ WHERE rk = 1""",
   round(avg({ROUTE}), 6) AS average_flight_length_km
 FROM active_f a LEFT JOIN continents c ON a.origin_airport_country_name = c.country GROUP BY 1""",
     "top3_models_by_airline_country": FC + """SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY airline_country_name ORDER BY total_aircraft_model DESC,
-    aircraft_model ASC NULLS LAST) AS model_rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY airline_country_name ORDER BY total_aircraft_model DESC,
+    aircraft_model ASC NULLS LAST) AS INTEGER) AS model_rank FROM (
     SELECT d.airline_country_name, aircraft_model, count(aircraft_model) AS total_aircraft_model
     FROM current_f f LEFT JOIN (SELECT s_name AS airline_name,
       'NATION_' || CAST((s_suppkey * 7) % 25 AS VARCHAR) AS airline_country_name FROM supplier) d

@@ -1,8 +1,13 @@
 """Every registered query against its DuckDB oracle on sf0.001 (the driver checks sf0.01)."""
 
+import os
+import sys
+
 import duckdb
 import pytest
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
 import __spark_entry__ as E
 from helpers import rows_of
 
@@ -28,6 +33,8 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
+    from check_oracles import kinds_differ
+    assert not kinds_differ(df, cur.description)
     from helpers import norm
     want = sorted((tuple(norm(r[dcols.index(c)]) for c in sorted(dcols)) for r in cur.fetchall()), key=repr)
     assert rows_of(df) == want
