@@ -35,6 +35,8 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     or next (``'next'``) row of the same key, rows ordered by ``order`` ascending
     (NULLs first). ``order`` must be total within a key and ``slice_col`` must be
     non-decreasing along it (e.g. ``time_slice`` of the first order column).
+    NULL times are fine (they sort first). Rows whose key is NULL are not
+    stitched across slices; the cleaning step drops NULL keys before this.
     """
     if direction not in ("prev", "next"):
         raise ValueError("direction must be 'prev' or 'next'")
@@ -43,6 +45,9 @@ def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     keys, order, cols = list(keys), list(order), list(cols)
     sl, edge, nb = "__slice", "__edge", "__nb"
 
+    # NULL times sort first and so does the smallest long: a NULL slice becomes
+    # that value, so slice edges still join (an equi-join never matches NULL).
+    slice_col = F.coalesce(slice_col.cast("bigint"), F.lit(-(2 ** 63)).cast("bigint"))
     d = df.withColumn(sl, slice_col)
     w = Window.partitionBy(*keys, sl).orderBy(*[F.col(o).asc_nulls_first() for o in order])
     shift = F.lag if prev else F.lead

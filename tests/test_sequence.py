@@ -61,3 +61,14 @@ def test_adaptive_slices_fall_back_when_hot_keys_unbounded(spark):
     df = spark.createDataFrame(_rows(12, n=200), "k int, ts timestamp_ntz, i int, v string")
     sliced = with_time_slices(df, ["k"], "ts", base_seconds=86_400, target_rows=1, max_hot_keys=1)
     assert sliced.select(SLICE_COL).distinct().count() <= 6   # fixed daily slices over 5 days
+
+
+@pytest.mark.parametrize("direction", ["prev", "next"])
+def test_null_times_are_stitched(spark, direction):
+    rows = [(k, None if i % 7 == 0 else ts, i, v) for k, ts, i, v in _rows(21, n=300)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, i int, v string")
+    got = with_neighbor(df, ["k"], ["ts", "i"], ["i"], time_slice("ts", 3600), direction)
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), "i")
+    fn = F.lag if direction == "prev" else F.lead
+    want = {r.i: r.n for r in df.select("i", fn("i").over(w).alias("n")).collect()}
+    assert {r.i: r[f"{direction}_i"] for r in got.collect()} == want
