@@ -148,3 +148,11 @@ def test_merge_properties_random(spark, batches):
             assert a.name != b.name  # a new version only on a (NULL-safe) change
     again = scd2_merge(hist, df, "id", "ts", ["name"])
     assert sorted(map(repr, again.collect())) == sorted(map(repr, rows))
+
+
+def test_history_same_with_adaptive_hot_key_slices(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plain = scd2_history(ev, "user_id", "ts", ["event_type"], ["event_id"], checkpoint=False)
+    hot = scd2_history(ev, "user_id", "ts", ["event_type"], ["event_id"], target_rows=3)
+    k = lambda r: (r.user_id, r.event_id, r.effective_time, r.end_time, r.is_current)
+    assert sorted(map(k, plain.collect())) == sorted(map(k, hot.collect()))
