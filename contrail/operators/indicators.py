@@ -106,7 +106,7 @@ def longest_by_distance(routes: DataFrame, k: int) -> DataFrame:
 
 def hms(seconds: Column) -> Column:
     """Seconds as 'H:MM:SS' with unbounded hours (a duration, not a clock time)."""
-    s = seconds.cast("bigint")
+    s = seconds.try_cast("bigint")
     return F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60)
 
 
@@ -114,7 +114,7 @@ def longest_by_time(active: DataFrame, k: int) -> DataFrame:
     """The ``k`` longest active flights by duration (O3): sorted on the BIGINT seconds,
     rendered after; durations over 24 h do not wrap."""
     return top_k(active.select("id", "airline_name",
-                               F.col("historical_flighttime").cast("bigint").alias("flighttime_seconds"),
+                               F.col("historical_flighttime").try_cast("bigint").alias("flighttime_seconds"),
                                hms(F.col("historical_flighttime")).alias("flighttime_hms")),
                  [F.col("flighttime_seconds").desc_nulls_last(), F.col("id").asc()], k)
 
@@ -209,7 +209,7 @@ def flown_distance(active: DataFrame) -> DataFrame:
 def flown_time(active: DataFrame) -> DataFrame:
     """Seconds from departure (scheduled arrival minus flight time) to the last fix."""
     elapsed = (epoch_seconds("extract_ts")
-               - (epoch_seconds("scheduled_time_arrival") - F.col("historical_flighttime")))
+               - (epoch_seconds("scheduled_time_arrival") - F.col("historical_flighttime").try_cast("bigint")))
     return active.select("id", elapsed.cast("bigint").alias("flown_seconds"))
 
 

@@ -33,3 +33,22 @@ def test_silver_job_two_runs(spark):
     key = lambda r: (r.id, r.time_updated, r.is_current, r.end_time)
     assert sorted(map(key, got.collect())) == sorted(map(key, mem.collect()))
     assert got.where("is_current").groupBy("id").count().where("count > 1").count() == 0
+
+
+def test_production_path_marts_from_stored_silver(spark):
+    from contrail.operators.dims import airline_country_dim
+    from contrail.plans import pipeline as P
+    from contrail.plans import queries as Q
+    from contrail.sources.sinks import latest_run, read_table
+    detail = V.detail_view(spark, SF).drop("extract_ts")
+    bronze, silver, marts = (scratch_path(spark, n) for n in ("bronze_p", "silver_p", "marts_p"))
+    write_table(stamp_extract(detail, "2002-01-01 00:00:00"), bronze,
+                ["extract_year", "extract_month", "extract_day", "extract_time"], mode="overwrite")
+    silver_job(spark, bronze, silver, V.TIME_DETAIL_LEAVES, V.EPOCH_TEXT_COLUMNS, TRACKED,
+               tie_break=["airline_name", "aircraft_model"])
+    current_part = read_scd2(spark, silver, current_only=True).withColumnRenamed("time_updated", "extract_ts")
+    dims = {"continents": Q.continents(spark, SF),
+            "airline_countries": airline_country_dim(V.read(spark, SF, "supplier"))}
+    names = P.publish_indicators(current_part, Q.AS_OF, marts, dims)
+    for n in names:
+        assert latest_run(read_table(spark, f"{marts}/{n}")).count() > 0, n
