@@ -22,9 +22,20 @@ RUN_PARTITIONS = (*STAMP_FORMATS.keys(), "extract_time")
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | str = (), mode: str = "append",
-                fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> None:
-    """Append (or overwrite) ``df`` at ``path``, partitioned by 0..n columns."""
+                fmt: str = "parquet", max_records_per_file: int = 5_000_000,
+                files_per_value: int | None = None) -> None:
+    """Append (or overwrite) ``df`` at ``path``, partitioned by 0..n columns.
+
+    ``files_per_value`` bounds small files: rows are hash-partitioned by the
+    partition columns plus a salt in ``[0, files_per_value)``, so each
+    partition value is written by at most that many tasks, and a hot value
+    is still spread over that many. The salt is a hash of the row, not
+    ``rand()``, so a retried task rebuilds exactly the same partitioning.
+    """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    if files_per_value and cols:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_value))
+        df = df.repartition(*[F.col(f"`{c}`") for c in cols], salt)
     w = df.write.format(fmt).mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if mode == "overwrite":
         # Replace only the partitions this run writes, never the whole table.

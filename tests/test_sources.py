@@ -98,3 +98,14 @@ def test_bronze_run_is_idempotent_and_keeps_other_runs(spark):
     assert sorted(r.extract_time for r in df.select("extract_time").distinct().collect()) == [r1, r2]
     q = spark.read.parquet(f"{bronze}/_quarantine")
     assert q.count() == 2 and q.columns[0] == "_corrupt_record"
+
+
+def test_files_per_value_bounds_small_files(spark):
+    path = scratch_path(spark, "fpv")
+    df = spark.range(0, 2000).selectExpr("id", "CAST(id % 3 AS STRING) AS day").repartition(16)
+    sinks.write_table(df, path, "day", files_per_value=2)
+    for day in ("0", "1", "2"):
+        folder = os.path.join(_local(path), f"day={day}")
+        files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    assert sinks.read_table(spark, path).count() == 2000
