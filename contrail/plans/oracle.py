@@ -237,6 +237,8 @@ ORACLE: dict[str, str] = {
                          + STAMP_TS.format(t="ts") + " FROM events",
     "mart_append": _airline_mart(AS_OF),
     "mart_latest_run": _airline_mart("TIMESTAMP '1998-01-02 00:00:00'"),
+    "mart_top3": "SELECT * FROM (" + _airline_mart("TIMESTAMP '1998-01-02 00:00:00'") + ") ORDER BY "
+                 "total_active_flights DESC, airline_name ASC NULLS LAST, airline_iata ASC NULLS LAST LIMIT 3",
     "ingest_json": "SELECT event_id, ts, user_id, event_type, value, props, "
                    + STAMP_TS.format(t=AS_OF) + " FROM events",
     "bronze_ingest": "SELECT event_id, ts, user_id, event_type, value, props, "

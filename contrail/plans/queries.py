@@ -130,6 +130,17 @@ def q_mart_latest_run(spark, d):
     return sinks.latest_run(sinks.read_table(spark, path, AIRLINE_MART_SCHEMA))
 
 
+def q_mart_top3(spark, d):
+    """Writes: three runs published to a mart; the reader takes the newest run
+    and its top 3 airlines (O6: first rows of a stored mart, ordered explicitly)."""
+    path = scratch_path(spark, "mart_top3")
+    for as_of in RUN_AS_OF:
+        sinks.write_mart(_airline_mart(spark, d, as_of), path)
+    last = sinks.latest_run(sinks.read_table(spark, path, AIRLINE_MART_SCHEMA))
+    return I.top_k(last, [F.col("total_active_flights").desc(), F.col("airline_name").asc_nulls_last(),
+                          F.col("airline_iata").asc_nulls_last()], 3)
+
+
 EVENTS_JSON_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
