@@ -66,3 +66,16 @@ def test_active_set_properties(spark):
     assert silver.groupBy("id").count().where("count > 1").count() == 0
     act = Q.active(spark, SF)
     assert act.where("on_ground <> '0' OR status_text LIKE '%Landed%'").count() == 0
+
+
+def test_parallel_guard_is_a_no_op_on_wide_tables(spark):
+    from contrail.plans.views import ensure_parallel
+    from contrail.session import scratch_path
+    from helpers import plan_text
+    path = scratch_path(spark, "wide")
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, 10_000).repartition(n * 2).write.parquet(path)      # >= one file per core
+    wide = spark.read.parquet(path)
+    assert "REPARTITION" not in plan_text(ensure_parallel(wide, "id"))
+    narrow = spark.read.parquet(f"{SF}/lineitem.parquet")               # one row group: one split
+    assert "REPARTITION" in plan_text(ensure_parallel(narrow, "l_orderkey"))
