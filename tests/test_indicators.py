@@ -79,3 +79,38 @@ def test_parallel_guard_is_a_no_op_on_wide_tables(spark):
     assert "REPARTITION" not in plan_text(ensure_parallel(wide, "id"))
     narrow = spark.read.parquet(f"{SF}/lineitem.parquet")               # one row group: one split
     assert "REPARTITION" in plan_text(ensure_parallel(narrow, "l_orderkey"))
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ap = st.sampled_from(["AAA", "BBB", "CCC", None])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(_ap, st.sampled_from(["n1", "n2", None]), _ap, st.sampled_from(["m1", None])),
+                min_size=1, max_size=30))
+def test_in_out_sums_random(spark, flights):
+    df = spark.createDataFrame(flights, "origin_airport_iata string, origin_airport_name string, "
+                                        "destination_airport_iata string, destination_airport_name string")
+    r = I.airport_in_out(df).agg(F.sum("out_flight_count").alias("o"), F.sum("in_flight_count").alias("i"),
+                                 F.count(F.lit(1)).alias("n")).collect()[0]
+    assert r.o == r.i == len(flights)
+    assert r.n == len({f[0] for f in flights} | {f[2] for f in flights})   # one row per code (NULL included)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 1000), st.sampled_from([None, 1, 5, 9]), st.sampled_from([None, 2, 6])),
+                min_size=1, max_size=25))
+def test_current_equals_serving_flag_random(spark, rows):
+    import datetime as dt
+
+    from contrail.operators.current import current_flights, with_current_flag
+    t0 = dt.datetime(2024, 6, 1)
+    data = [(i, None if s is None else t0 + dt.timedelta(hours=s), None if e is None else t0 + dt.timedelta(hours=e))
+            for i, s, e in rows]
+    df = spark.createDataFrame(data, "id int, scheduled_time_arrival timestamp_ntz, estimated_arrival timestamp_ntz")
+    as_of = "2024-06-01 05:00:00"
+    a = sorted(r.id for r in current_flights(df, as_of).collect())
+    b = sorted(r.id for r in with_current_flag(df, as_of).where("is_current").collect())
+    assert a == b
