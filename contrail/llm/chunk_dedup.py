@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import id_text, stored, text_slices, utf8
+from contrail.llm.common import id_text, stored, text_slices, utf8, without_ids
 
 #: Chunks have 2 KiB on average and lie between these bounds (the last may be shorter).
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 512, 16384, 11
@@ -120,5 +120,4 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that ``exact_groups`` keeps."""
-    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    return without_ids(docs, exact_groups(docs).where(~F.col("kept")).select("doc_id").distinct())

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +65,11 @@ def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -
     return docs.mapInArrow(run, docs.schema)
 
 
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose doc_id is not in the one column of ``gone``."""
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[gone.columns[0]]), "left_anti")
+
+
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts, offsets of length n + 1); null counts as empty."""
     col = pc.fill_null(col.cast(pa.binary()), b"")
@@ -73,6 +79,40 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, file, row): rows named by where they stand in their files, the same on every read.
+
+    A frame that doesn't come straight from files is written first.
+    """
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    try:
+        return docs.select(*columns, *place)
+    except AnalysisException as e:
+        if e.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
+            raise
+    return stored(docs.select(*columns), "located").select(*columns, *place)
+
+
+#: Byte tables for ``split_words``: lower-case A-Z and blank what parts words, either all
+#: ASCII white space or everything but 0-9, a-z and bytes from 0x80.
+ASCII_LOWER_WORDS = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
+ALNUM_WORDS = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def split_words(texts: list[bytes], table: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts in one list, and the offset of each text in it."""
+    if not texts:
+        return [], np.zeros(1, np.int64)
+    joined = b" ".join([*texts, b""]).translate(table)
+    is_word = np.frombuffer(joined, np.uint8) != 32
+    first = is_word.copy()
+    first[1:] &= ~is_word[:-1]
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    return joined.split(), np.r_[0, np.cumsum(np.add.reduceat(first, begins, dtype=np.int64))]
+
+
 def text_bytes(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     return pc.fill_null(col.cast(pa.binary()), b"").to_pylist()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import filter_rows, id_text, text_bytes, text_slices
+from contrail.llm.common import ALNUM_WORDS, filter_rows, id_text, split_words, text_bytes, text_slices
 
 WINDOW = 13
 #: Benchmark text searched in one pass; more benchmark takes more passes, never fewer items.
@@ -31,23 +31,9 @@ BLOCK_BYTES = 8 << 20
 LANE = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
-#: Lower-cases A-Z, keeps 0-9, a-z and every byte from 0x80, blanks the rest.
-WORD_BYTES = bytes(
-    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
-)
-
 
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(WORD_BYTES).split()
-
-
-def split_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """The words of all texts in one list, and the offset of each text in it."""
-    joined = b" ".join(texts).translate(WORD_BYTES)
-    is_word = np.frombuffer(joined, np.uint8) != 32
-    starts = np.r_[0, np.cumsum(is_word & np.r_[True, ~is_word[:-1]])] if joined else np.zeros(1, np.int64)
-    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    return joined.split(), np.r_[0, starts[ends]].astype(np.int64)
+    return text.translate(ALNUM_WORDS).split()
 
 
 class Patterns:
@@ -134,7 +120,7 @@ class Searcher:
 
     def search(self, texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], list[list[str]]]:
         """Words per text, the sorted positions of hit words, and the ids of the items found."""
-        words, off = split_words(texts)
+        words, off = split_words(texts, ALNUM_WORDS)
         n = np.diff(off)
         ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.int32, len(words))
         delta = np.zeros(off[-1] + 1, np.int64)

@@ -8,18 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm.byte_bpe import encode_documents
 from contrail.llm.chunk_dedup import drop_copies
+from contrail.llm.circulant_minhash import drop_near_duplicates
 from contrail.llm.common import read_table, stored
+from contrail.llm.quality_knn import keep_quality
 from contrail.llm.queries import byte_bpe_files
 from contrail.llm.wu_manber import drop_contaminated
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts as label 0 go."""
+    return keep_quality(docs, read_table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     return drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates (five-word shingles, similarity 0.85) the document with the smallest id stays."""
+    return drop_near_duplicates(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with at least a twentieth of their words in benchmark windows go."""
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
@@ -31,7 +43,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
     ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
     ("benchmark decontamination", decontamination),
     ("byte-level BPE", tokens),
 ]
