@@ -1,7 +1,7 @@
 """Job entry points, as run by ``spark-submit`` (or ``python -m contrail.cli``).
 
     ingest      landed JSON -> bronze run (S13/S14)
-    clean       newest bronze run -> stored SCD2 silver (I8)
+    clean       every unmerged bronze run (or --run) -> stored SCD2 silver (I8)
     indicators  current part of silver -> indicator marts for one ``as_of`` (I1-I7, D1-D3)
 
 Each command uses the session ``spark-submit`` provides (``getOrCreate``); all
@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     c = sub.add_parser("clean")
     c.add_argument("--bronze", required=True)
     c.add_argument("--silver", required=True)
+    c.add_argument("--run", type=int, help="extract_time of one bronze run")
     c.add_argument("--tracked", default="status_text,on_ground,estimated_arrival")
     i = sub.add_parser("indicators")
     i.add_argument("--silver", required=True)
@@ -53,12 +54,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         result = {"run": run}
     elif args.cmd == "clean":
         batch = silver_job(spark, args.bronze, args.silver, views.TIME_DETAIL_LEAVES, views.EPOCH_TEXT_COLUMNS,
-                           args.tracked.split(","), tie_break=["airline_name", "aircraft_model"])
+                           args.tracked.split(","), run_id=args.run, tie_break=["airline_name", "aircraft_model"])
         result = {"batch": batch}
     else:
         dims = {"continents": continent_dim(views.read(spark, args.dims, "nation"),
                                             views.read(spark, args.dims, "region")),
-                "airline_countries": airline_country_dim(views.read(spark, args.dims, "supplier"))}
+                "airline_countries": airline_country_dim(views.read(spark, args.dims, "supplier"),
+                                                           views.read(spark, args.dims, "nation"))}
         current_part = read_scd2(spark, args.silver, current_only=True).withColumnRenamed("time_updated",
                                                                                           "extract_ts")
         names = args.names.split(",") if args.names else None

@@ -24,6 +24,10 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# 0001-01-01 00:00:00 and 9999-12-31 23:59:59 as epoch seconds.
+MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
+
+
 def epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
@@ -63,16 +67,20 @@ def epoch_micros(ts) -> Column:
 def epoch_to_ts(text) -> Column:
     """Epoch seconds held as text/number -> ``timestamp_ntz``.
 
-    Dirty input ('' / 'N/A' / junk) becomes NULL through ``try_cast`` instead
-    of failing the task under ANSI mode.
+    Dirty input ('' / 'N/A' / junk, or a number outside the years 0001-9999)
+    becomes NULL instead of failing the task under ANSI mode.
     """
     secs = _c(text).try_cast("bigint")
-    return F.timestamp_add("SECOND", secs, epoch_ntz())
+    # The bound sits inside the argument too: Spark may evaluate it ahead of the condition.
+    known = F.when(secs.between(MIN_EPOCH, MAX_EPOCH), secs)
+    return F.timestamp_add("SECOND", known, epoch_ntz())
 
 
 def duration(seconds) -> Column:
     """Seconds -> day-time interval; unlike a clock format it does not wrap at 24 h."""
     secs = _c(seconds).try_cast("bigint")
+    # An interval holds about 1e11 seconds with six decimals; more is junk.
+    secs = F.when(F.abs(secs.cast("decimal(20,0)")) <= MAX_EPOCH, secs)
     return F.make_dt_interval(secs=secs.cast("decimal(18,6)"))
 
 

@@ -36,14 +36,16 @@ def with_current_flag(df: DataFrame, as_of) -> DataFrame:
 
 
 def current_flights(df: DataFrame, as_of) -> DataFrame:
-    """Rows whose arrival is unknown or not before ``as_of``.
+    """Rows whose arrival is unknown or not before ``as_of`` (P7), with
+    ``is_current`` (true) and ``end_time`` (NULL: the flight has not ended).
 
     Written as a plain disjunction on the two stored columns so the predicate
     is evaluated right after the scan/join, before any shuffle.
     """
     now = ts_literal(as_of)
     arr = arrival_time()
-    return df.where(arr.isNull() | (arr >= now))
+    return df.where(arr.isNull() | (arr >= now)).withColumns(
+        {"is_current": F.lit(True), "end_time": F.lit(None).cast("timestamp_ntz")})
 
 
 def active_flights(df: DataFrame, on_ground: str = "on_ground", status: str = "status_text") -> DataFrame:

@@ -1,10 +1,11 @@
 """Dimension joins with a size check in front of every broadcast.
 
-A side is broadcast only after a bounded count proves it small: the count
-reads at most ``max_rows + 1`` rows, so the check itself stays cheap even if
-the dimension turns out to be large. Beyond the bound the join is left to
-Catalyst + AQE (shuffle join, converted at runtime if the shuffled side turns
-out small).
+A side is broadcast only when the bytes of the table it comes from, as the
+planner knows them from the files, are within Spark's own broadcast
+threshold. The check reads no data, runs no job and remembers nothing, so a
+table that has grown is seen as it is. Beyond the threshold the join is left to
+Catalyst + AQE (shuffle join, converted at runtime if the shuffled side
+turns out small).
 """
 
 from __future__ import annotations
@@ -12,52 +13,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension at or below this many rows is shipped to every executor.
-# Override per session with the ``contrail.broadcast.maxRows`` setting.
-DEFAULT_BROADCAST_ROWS = 100_000
-BROADCAST_ROWS_CONF = "contrail.broadcast.maxRows"
+# Bytes a broadcast table may have on disk. Override per session.
+DEFAULT_BROADCAST_BYTES = 10 << 20
+BROADCAST_BYTES_CONF = "contrail.broadcast.maxBytes"
 
 
-def broadcast_bound(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size of a table, from its file lengths."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def plan_key(df: DataFrame) -> tuple:
-    """Identity of a plan over its current files: the canonical plan hash plus
-    the sorted input file list. Spark writers never rewrite a file in place,
-    so new data means new file names and a new key."""
-    return df.semanticHash(), tuple(sorted(df.inputFiles()))
+def is_bounded(df: DataFrame, max_bytes: int | None = None) -> bool:
+    if max_bytes is None:
+        max_bytes = int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
+    return planned_bytes(df) <= max_bytes
 
 
-_BOUNDED: dict[tuple, bool] = {}
+def bounded_broadcast(df: DataFrame, max_bytes: int | None = None, bound_by: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if its table is small enough, else ``df`` unchanged.
 
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """At most ``max_rows`` rows? Reads at most ``max_rows + 1`` rows; the answer
-    is remembered for this plan and file set, so a dimension is counted once
-    per process, not once per query."""
-    key = (*plan_key(df), max_rows)
-    if key not in _BOUNDED:
-        _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _BOUNDED[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
-                      bound_by: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    ``bound_by`` checks a table that ``df`` is derived from without growing
-    (a projection, filter or N:1 lookup join of it) instead of ``df`` itself:
-    counting a plain Parquet scan is answered from file footers, while
-    counting a derived join would run the join.
+    ``bound_by`` is the table that ``df`` is derived from without growing (a
+    projection, filter or N:1 lookup join of it).
     """
-    probe = bound_by if bound_by is not None else df
-    return F.broadcast(df) if is_bounded(probe, max_rows or broadcast_bound(df)) else df
+    return F.broadcast(df) if is_bounded(df if bound_by is None else bound_by, max_bytes) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int | None = None) -> DataFrame:
-    return fact.join(bounded_broadcast(dim, max_rows), on, how)
+                   max_bytes: int | None = None) -> DataFrame:
+    return fact.join(bounded_broadcast(dim, max_bytes), on, how)
 
 
 def continent_dim(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -66,14 +49,11 @@ def continent_dim(nation: DataFrame, region: DataFrame) -> DataFrame:
             .select(F.col("n_name").alias("country"), F.col("r_name").alias("continent")))
 
 
-def airline_country_dim(supplier: DataFrame) -> DataFrame:
-    """airline name -> the airline's home country.
+def airline_country_dim(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """airline name -> the airline's home country, one row per airline.
 
-    The feed carries no airline country; this dimension stands in for the
-    airline reference table. The home country is a fixed arithmetic pick so
-    that it differs from the origin country of the airline's flights.
+    The supplier's nation. An airline name that stands for suppliers of several
+    nations takes the smallest country name, so a join on it never multiplies rows.
     """
-    return supplier.select(
-        F.col("s_name").alias("airline_name"),
-        F.concat(F.lit("NATION_"), ((F.col("s_suppkey") * 7) % 25).cast("string")).alias("airline_country_name"),
-    )
+    named = supplier.join(bounded_broadcast(nation), supplier.s_nationkey == nation.n_nationkey, "left")
+    return named.groupBy(F.col("s_name").alias("airline_name")).agg(F.min("n_name").alias("airline_country_name"))

@@ -19,8 +19,7 @@ from contrail.functions.geo import haversine_km
 from contrail.functions.timefmt import epoch_seconds
 from contrail.operators.dedup import top_k_per_group
 from contrail.operators.dims import join_dimension
-from contrail.operators.sequence import (DEFAULT_SLICE_SECONDS, DEFAULT_TARGET_ROWS, SLICE_COL, with_neighbor,
-                                         with_time_slices)
+from contrail.operators.sequence import with_neighbor
 
 # Decimal places kept for floating averages and distances in outputs.
 ROUND_DIGITS = 6
@@ -68,17 +67,15 @@ def manufacturer_counts(active: DataFrame) -> DataFrame:
 
 
 def models_by_country(current: DataFrame) -> DataFrame:
-    """Aircraft models in use per origin country (A5, O2).
+    """Aircraft models in use per origin country, ordered by country, count (falling) and model (A5, O2).
 
-    ``count(model)`` so a NULL-model group counts 0. Instead of a global sort
-    the order (country asc, count desc, model asc) is kept as a rank column.
+    ``count(model)`` so a NULL-model group counts 0. The order is a distributed
+    sort of the aggregated rows, so no country is ranked inside one task.
     """
     agg = (current.groupBy(F.col("origin_airport_country_name").alias("country"), "aircraft_model")
            .agg(F.count("aircraft_model").alias("total_aircraft_model")))
-    return top_k_per_group(
-        agg, "country",
-        [F.col("total_aircraft_model").desc(), F.col("aircraft_model").asc_nulls_last()],
-        k=2 ** 31 - 1, rank_col="rank_in_country")
+    return agg.orderBy(F.col("country").asc_nulls_first(), F.col("total_aircraft_model").desc(),
+                       F.col("aircraft_model").asc_nulls_last())
 
 
 def route_distance(active: DataFrame) -> DataFrame:
@@ -97,26 +94,33 @@ def avg_distance(routes: DataFrame, by: Sequence) -> DataFrame:
     return routes.groupBy(*by).agg(F.round(F.avg("distance_km"), ROUND_DIGITS).alias("average_flight_length_km"))
 
 
-def longest_by_distance(routes: DataFrame, k: int) -> DataFrame:
-    """The ``k`` longest routes among active flights (O4); NULL distances last, ties by id."""
-    return top_k(routes.select("id", "airline_name", "origin_airport_iata", "destination_airport_iata",
-                               F.round("distance_km", ROUND_DIGITS).alias("distance_km")),
-                 [F.col("distance_km").desc_nulls_last(), F.col("id").asc()], k)
+def longest_by_distance(routes: DataFrame) -> DataFrame:
+    """Route km of every active flight (O4); ``top_longest_by_distance`` reads the longest."""
+    return routes.select("id", "airline_name", "origin_airport_iata", "destination_airport_iata",
+                         F.round("distance_km", ROUND_DIGITS).alias("distance_km"))
+
+
+def top_longest_by_distance(mart: DataFrame, k: int) -> DataFrame:
+    """The ``k`` longest routes; NULL distances last, ties by id."""
+    return top_k(mart, [F.col("distance_km").desc_nulls_last(), F.col("id").asc()], k)
 
 
 def hms(seconds: Column) -> Column:
-    """Seconds as 'H:MM:SS' with unbounded hours (a duration, not a clock time)."""
+    """Seconds as 'H:MM:SS' with unbounded hours (a duration, not a clock time); NULL for no number."""
     s = seconds.try_cast("bigint")
-    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60)
+    return F.when(s.isNotNull(), F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60))
+
+
+def longest_by_time(active: DataFrame) -> DataFrame:
+    """Flight time of every active flight (O3), in seconds and rendered; durations over 24 h do not wrap."""
+    return active.select("id", "airline_name",
+                         F.col("historical_flighttime").try_cast("bigint").alias("flighttime_seconds"),
+                         hms(F.col("historical_flighttime")).alias("flighttime_hms"))
 
 
-def longest_by_time(active: DataFrame, k: int) -> DataFrame:
-    """The ``k`` longest active flights by duration (O3): sorted on the BIGINT seconds,
-    rendered after; durations over 24 h do not wrap."""
-    return top_k(active.select("id", "airline_name",
-                               F.col("historical_flighttime").try_cast("bigint").alias("flighttime_seconds"),
-                               hms(F.col("historical_flighttime")).alias("flighttime_hms")),
-                 [F.col("flighttime_seconds").desc_nulls_last(), F.col("id").asc()], k)
+def top_longest_by_time(mart: DataFrame, k: int) -> DataFrame:
+    """The ``k`` longest flights by seconds; unknown times last, ties by id."""
+    return top_k(mart, [F.col("flighttime_seconds").desc_nulls_last(), F.col("id").asc()], k)
 
 
 def airport_in_out(current: DataFrame) -> DataFrame:
@@ -206,26 +210,23 @@ def flown_distance(active: DataFrame) -> DataFrame:
         .alias("flown_km"))
 
 
-def flown_time(active: DataFrame) -> DataFrame:
-    """Seconds from departure (scheduled arrival minus flight time) to the last fix."""
-    elapsed = (epoch_seconds("extract_ts")
-               - (epoch_seconds("scheduled_time_arrival") - F.col("historical_flighttime").try_cast("bigint")))
+def flown_time(active: DataFrame, departure: str = "real_time_departure", fix: str = "extract_ts") -> DataFrame:
+    """Seconds from the real departure to the last fix (D6); NULL while the departure is unknown."""
+    elapsed = epoch_seconds(fix) - epoch_seconds(departure)
     return active.select("id", elapsed.cast("bigint").alias("flown_seconds"))
 
 
 def trail_distance(points: DataFrame, key: str = "id", ts: str = "ts", lat: str = "lat", lng: str = "lng",
-                   tie_break: Sequence[str] = (), slice_seconds: int = DEFAULT_SLICE_SECONDS,
-                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+                   tie_break: Sequence[str] = ()) -> DataFrame:
     """Path length per key over its fixes ordered by time.
 
-    Each fix is paired with the previous fix of the same key by the skew-safe
-    sliced lag (``with_neighbor``), so no key's whole track lands in one task
-    and nothing is collected into an array; the legs are summed with a
-    partial aggregate. For a trail already held as a bounded array in one
-    row, ``functions.geo.path_length_km`` does the same with no shuffle.
+    Each fix is paired with the previous fix of the same key by
+    ``with_neighbor``, so no key's whole track lands in one task and nothing
+    is collected into an array; the legs are summed with a partial aggregate.
+    For a trail already held as a bounded array in one row,
+    ``functions.geo.path_length_km`` does the same with no shuffle.
     """
-    sliced = with_time_slices(points, [key], ts, slice_seconds, target_rows)
-    legs = with_neighbor(sliced, [key], [ts, *tie_break], [lat, lng], F.col(SLICE_COL), "prev", prefix="__p_")
+    legs = with_neighbor(points, [key], [ts, *tie_break], [lat, lng], "prev", prefix="__p_")
     leg_km = haversine_km(f"__p_{lat}", f"__p_{lng}", lat, lng)
     return (legs.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_points"),

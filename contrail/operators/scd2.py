@@ -12,6 +12,8 @@ Differences from the reference, on purpose:
 * The first load is deduplicated too, so a key never has two current rows.
 * Attribute comparison is NULL-safe by default (NULL -> value is a change).
 * Only the attributes the caller names are tracked; extraction stamps are not.
+* A NULL key is a key like any other. A row without a source time is older than
+  any row with one: it can start a key's history but never replaces a version.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.operators.dedup import dedup_latest
-from contrail.operators.sequence import DEFAULT_TARGET_ROWS, SLICE_COL, with_neighbor, with_time_slices
+from contrail.operators.sequence import with_neighbor
 
 SCD_COLUMNS = ("is_current", "effective_time", "end_time")
 
@@ -58,25 +60,28 @@ def scd2_merge(history: DataFrame, updates: DataFrame, key: str, ts: str, tracke
     """Upsert a batch of snapshots into a type-2 history (C2) and return the new history.
 
     * key absent from the batch: untouched;
-    * new key: inserted as current;
-    * tracked attributes changed and the update is newer: the current version
-      is closed (``end_time`` = update time) and the update inserted as current;
-    * unchanged, or not newer: nothing.
-
-    Plan: closed versions pass through untouched; the current part and the
-    deduplicated batch (at most one row per key each, so no key can skew the
-    join) meet in one full outer join on the key, and each joined pair emits
-    0, 1 or 2 rows through ``inline`` of a filtered array - one pass, no
-    second scan of the join.
+    * new key: inserted as current, with a NULL ``effective_time`` if it has no source time;
+    * tracked attributes changed and the update is newer (any time is newer than
+      none): the current version is closed (``end_time`` = update time) and the
+      update inserted as current;
+    * unchanged, not newer, or without a source time: nothing.
+
+    Keys meet NULL-safely, and ``is_current`` is never NULL. Plan: closed
+    versions pass through untouched; the current part and the deduplicated
+    batch (at most one row per key each, so no key can skew the join) meet in
+    one full outer join on the key, and each joined pair emits 0, 1 or 2 rows
+    through ``inline`` of a filtered array - one pass, no second scan of the join.
     """
     cols = [c for c in history.columns if c not in SCD_COLUMNS]
     closed = history.where(~F.col("is_current"))
-    current = history.where(F.col("is_current"))
-    batch = _latest(updates.select(*cols), key, ts, tie_break)
-
-    j = current.alias("c").join(batch.alias("u"), F.col(f"c.{key}") == F.col(f"u.{key}"), "full_outer")
-    has_c, has_u = F.col(f"c.{key}").isNotNull(), F.col(f"u.{key}").isNotNull()
-    newer = F.col(f"u.{ts}") > F.col(f"c.{ts}")
+    current = history.where(F.col("is_current")).withColumn("__there", F.lit(True))
+    batch = _latest(updates.select(*cols), key, ts, tie_break).withColumn("__there", F.lit(True))
+
+    j = current.alias("c").join(batch.alias("u"), F.col(f"c.{key}").eqNullSafe(F.col(f"u.{key}")), "full_outer")
+    # Presence by marker: a NULL key says nothing about which side has the row.
+    has_c, has_u = F.col("c.__there").isNotNull(), F.col("u.__there").isNotNull()
+    new_ts, old_ts = F.col(f"u.{ts}"), F.col(f"c.{ts}")
+    newer = new_ts.isNotNull() & (old_ts.isNull() | F.coalesce(new_ts > old_ts, F.lit(False)))
     replace = has_c & has_u & newer & _changed("c", "u", tracked, nullsafe)
     insert = (has_u & ~has_c) | replace
 
@@ -95,8 +100,7 @@ def scd2_merge(history: DataFrame, updates: DataFrame, key: str, ts: str, tracke
     return closed.unionByName(merged)
 
 
-def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie_break: Sequence[str] = (),
-                 slice_seconds: int = 86_400, checkpoint: bool = True, target_rows: int = DEFAULT_TARGET_ROWS
+def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie_break: Sequence[str] = ()
                  ) -> DataFrame:
     """Whole type-2 history from a full change feed.
 
@@ -104,29 +108,21 @@ def scd2_history(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie
     attributes differ (NULL-safe) from the previous row; it ends where the
     next version starts. Equals what repeated ``scd2_merge`` runs build when
     batches arrive in order with at most one change per key per batch.
+    NULL keys form one history, and rows without a time come first in theirs.
 
-    The version-start rows feed two branches (the rows themselves and the
-    slice edges of the "next version" lookup). They are written once with a
-    reliable ``checkpoint()`` into ``spark.checkpoint.dir`` (shared storage on
-    a cluster) instead of being recomputed from the feed for each branch;
-    they are usually far fewer than the feed rows. ``checkpoint=False``
-    keeps a lazy plan.
+    One lazy plan that reads the feed once: the previous row and the next
+    version are looked up by ``with_neighbor``, which splits a hot key by rank.
     """
     order = [ts, *tie_break]
-    sliced = with_time_slices(feed, [key], ts, slice_seconds, target_rows)
-    sl = F.col(SLICE_COL)
-    p = with_neighbor(sliced, [key], order, [ts, *tracked], sl, "prev", prefix="__p_")
-    first = F.col(f"__p_{ts}").isNull()
-    changed = first
+    p = with_neighbor(feed.withColumn("__seen", F.lit(True)), [key], order, ["__seen", *tracked], "prev", prefix="__p_")
+    changed = F.col("__p___seen").isNull()
     for a in tracked:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"__p_{a}"))
-    versions = p.where(changed).drop(*[f"__p_{c}" for c in [ts, *tracked]])
-    if checkpoint:
-        versions = versions.checkpoint(eager=True)
-    n = with_neighbor(versions, [key], order, [ts], sl, "next", prefix="__n_")
-    return (n.withColumnRenamed(f"__n_{ts}", "end_time")
+    versions = p.where(changed).select(*feed.columns, "__seen")
+    n = with_neighbor(versions, [key], order, [ts, "__seen"], "next", prefix="__n_")
+    return (n.withColumn("end_time", F.col(f"__n_{ts}"))
              .withColumn("effective_time", F.col(ts))
-             .withColumn("is_current", F.col("end_time").isNull())
+             .withColumn("is_current", F.col("__n___seen").isNull())
              .select(*feed.columns, "is_current", "effective_time", "end_time"))
 
 

@@ -2,97 +2,48 @@
 
 ``lag(x) over (partition by key order by ts)`` sends every row of a key to
 one task; a key holding a third of the data would then run in one task. Here
-each key is cut into time slices and windowed per (key, slice), so a hot key
-spreads over as many tasks as it has slices. The first (or last) row of each
-slice takes its neighbour from the edge row of the adjacent non-empty slice,
-found by a partial aggregate (``max_by`` / ``min_by``, combined map-side)
-plus a small window over slice edges (one row per key and slice).
-``with_time_slices`` narrows the slices of hot keys so that no slice holds
-much more than ``target_rows`` rows.
+the rows are range-partitioned by (key, order): Spark samples the order and
+cuts it at quantiles, so a hot key is split by rank into as many pieces as
+its share of the rows asks for, whatever its times look like. A window then
+runs per (key, piece), and the last row of a piece is handed on to the
+key's next piece as a carried copy, which a second window reads and drops.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.functions.timefmt import epoch_seconds
-from contrail.operators.dims import is_bounded
-
-DEFAULT_SLICE_SECONDS = 86_400
-
-
-def time_slice(ts: str, seconds: int = DEFAULT_SLICE_SECONDS) -> Column:
-    """Slice number of an NTZ timestamp: whole ``seconds``-wide buckets since the epoch."""
-    return F.floor(epoch_seconds(ts) / F.lit(seconds))
-
 
 def with_neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                  slice_col: Column, direction: str = "prev", prefix: str | None = None) -> DataFrame:
+                  direction: str = "prev", prefix: str | None = None, pieces: int | None = None) -> DataFrame:
     """Add ``<prefix><c>`` = value of ``c`` on the previous (``direction='prev'``)
     or next (``'next'``) row of the same key, rows ordered by ``order`` ascending
-    (NULLs first). ``order`` must be total within a key and ``slice_col`` must be
-    non-decreasing along it (e.g. ``time_slice`` of the first order column).
-    NULL times are fine (they sort first). Rows whose key is NULL are not
-    stitched across slices; the cleaning step drops NULL keys before this.
+    (NULLs first). ``order`` must be total within a key. A NULL key is a key.
+
+    One lazy plan over one read of ``df`` (plus Spark's sample of the order):
+    rows of a key stand in neighbouring pieces, and a piece between two pieces of
+    one key holds that key only, so its next piece is always the one that follows.
+    ``pieces`` fixes the number of pieces; by default it follows Spark's settings.
     """
     if direction not in ("prev", "next"):
         raise ValueError("direction must be 'prev' or 'next'")
-    prev = direction == "prev"
     prefix = prefix if prefix is not None else f"{direction}_"
     keys, order, cols = list(keys), list(order), list(cols)
-    sl, edge, nb = "__slice", "__edge", "__nb"
-
-    # NULL times sort first and so does the smallest long: a NULL slice becomes
-    # that value, so slice edges still join (an equi-join never matches NULL).
-    slice_col = F.coalesce(slice_col.cast("bigint"), F.lit(-(2 ** 63)).cast("bigint"))
-    d = df.withColumn(sl, slice_col)
-    w = Window.partitionBy(*keys, sl).orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    shift = F.lag if prev else F.lead
-    d = d.withColumns({f"{prefix}{c}": shift(c).over(w) for c in cols})
-    d = d.withColumn(edge, shift(F.lit(1)).over(w).isNull())
-
-    # Edge row of every (key, slice): its last row when looking back, its first when looking ahead.
-    okey = F.struct(*[F.col(o) for o in order])
-    val = F.struct(*[F.col(c).alias(c) for c in cols])
-    pick = F.max_by(val, okey) if prev else F.min_by(val, okey)
-    edges = df.withColumn(sl, slice_col).groupBy(*keys, sl).agg(pick.alias("__v"))
-    ws = Window.partitionBy(*keys).orderBy(F.col(sl).asc() if prev else F.col(sl).desc())
-    edges = edges.select(*keys, sl, F.lag("__v").over(ws).alias(nb))
-
-    out = d.join(edges, [*keys, sl], "left")
-    out = out.withColumns({
-        f"{prefix}{c}": F.when(F.col(edge), F.col(nb)[c]).otherwise(F.col(f"{prefix}{c}")) for c in cols
-    })
-    return out.drop(edge, nb, sl)
-
-
-SLICE_COL = "__ts_slice"
-DEFAULT_TARGET_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 100_000
-
-
-def with_time_slices(df: DataFrame, keys: Sequence[str], ts: str, base_seconds: int = DEFAULT_SLICE_SECONDS,
-                     target_rows: int = DEFAULT_TARGET_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS
-                     ) -> DataFrame:
-    """Add ``__ts_slice``: fixed ``base_seconds`` slices, narrowed for hot keys.
-
-    A key with more than ``target_rows`` rows gets a slice width of about
-    (its time span x ``target_rows`` / its row count), so even a key holding a
-    third of the data inside one day is cut into slices of ~``target_rows``
-    rows (for evenly spread times). Finding hot keys is one partial aggregate
-    over (key, time) only. The hot-key table (one row per hot key, at most
-    total rows / ``target_rows``) is broadcast only after a bounded count
-    proves it small; otherwise the fixed width is kept.
-    """
-    e = epoch_seconds(ts)
-    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(e).alias("__t0"), F.max(e).alias("__t1"))
-             .where(F.col("__n") > target_rows)
-             .select(*keys, F.greatest(F.lit(1), F.least(F.lit(base_seconds), F.floor(
-                 (F.col("__t1") - F.col("__t0") + 1) * F.lit(target_rows) / F.col("__n")))).alias("__w")))
-    if not is_bounded(stats, max_hot_keys):
-        return df.withColumn(SLICE_COL, F.floor(e / F.lit(base_seconds)))
-    out = df.join(F.broadcast(stats), list(keys), "left")
-    return out.withColumn(SLICE_COL, F.floor(e / F.coalesce(F.col("__w"), F.lit(base_seconds)))).drop("__w")
+    # Looking ahead is looking back over the reversed order.
+    rank = [F.col(o).asc_nulls_first() if direction == "prev" else F.col(o).desc_nulls_last() for o in order]
+    rng = [*(F.col(k).asc_nulls_first() for k in keys), *rank]
+    piece, last, copy = "__piece", "__last", "__copy"
+
+    d = df.repartitionByRange(pieces, *rng) if pieces else df.repartitionByRange(*rng)
+    d = d.withColumn(piece, F.spark_partition_id())
+    in_piece = Window.partitionBy(*keys, piece).orderBy(*rank)
+    d = d.withColumn(last, F.lead(F.lit(1)).over(in_piece).isNull())
+    # Every row stays; the last one of a piece also goes to the next piece, marked as a copy that sorts first.
+    d = d.withColumn(copy, F.explode(F.when(F.col(last), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    d = d.withColumn(piece, F.col(piece) + F.col(copy))
+    w = Window.partitionBy(*keys, piece).orderBy(F.col(copy).desc(), *rank)
+    d = d.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in cols})
+    return d.where(F.col(copy) == 0).drop(piece, last, copy)

@@ -11,49 +11,58 @@ from __future__ import annotations
 AS_OF = "TIMESTAMP '1998-01-01 00:00:00'"
 
 
-def _airport(alias: str, side: str, blank_lat: bool = False) -> str:
+def _airport(alias: str, side: str, blank_lat: bool = False, iata: str | None = None) -> str:
+    iata = iata or f"'AP' || CAST({alias}.n_nationkey AS VARCHAR)"
     lat = f"CAST(({alias}.n_nationkey * 7) % 120 - 60 AS VARCHAR)"
     if blank_lat:
         lat = f"CASE WHEN {alias}.n_nationkey = 13 THEN '' ELSE {lat} END"
     return f"""
   {alias}.n_name AS {side}_airport_country_name,
   'C' || CAST({alias}.n_nationkey AS VARCHAR) AS {side}_airport_country_code,
-  'AP' || CAST({alias}.n_nationkey AS VARCHAR) AS {side}_airport_iata,
+  {iata} AS {side}_airport_iata,
   'Airport ' || {alias}.n_name AS {side}_airport_name,
   {lat} AS {side}_airport_latitude,
   CAST(({alias}.n_nationkey * 37) % 360 - 180 AS VARCHAR) AS {side}_airport_longitude,"""
 
 
+HUB = "CASE WHEN os.n_nationkey = 3 THEN 'HUB' ELSE 'AP' || CAST(os.n_nationkey AS VARCHAR) END"
+DEST = "CASE WHEN c_custkey % 97 <> 0 THEN 'AP' || CAST(dn.n_nationkey AS VARCHAR) END"
 FLIGHTS = f"""flights AS (
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
-  CASE WHEN s_suppkey % 17 = 0 THEN 'N/A' ELSE 'S' || CAST(s_suppkey AS VARCHAR) END AS airline_icao,
+  CASE WHEN s_suppkey % 17 = 0 THEN 'N/A' WHEN s_suppkey % 19 = 0 THEN NULL WHEN s_suppkey % 23 = 0 THEN ''
+       ELSE 'S' || CAST(s_suppkey AS VARCHAR) END AS airline_icao,
   s_name AS airline_name,
-  'A' || CAST(s_suppkey % 36 AS VARCHAR) AS airline_iata,{_airport('os', 'origin')}{_airport('dn', 'destination', True)}
-  p_type || ' ' || p_name AS aircraft_model,
+  'A' || CAST(s_suppkey % 36 AS VARCHAR) AS airline_iata,{_airport('os', 'origin', iata=HUB)}{_airport('dn', 'destination', True, DEST)}
+  CASE WHEN p_partkey % 101 <> 0 THEN p_type || ' ' || p_name END AS aircraft_model,
   CAST((l_partkey * 7) % 120 - 60 AS VARCHAR) AS latitude,
   CAST((l_partkey * 37) % 360 - 180 AS VARCHAR) AS longitude,
   CASE WHEN l_linestatus = 'F' THEN '1' ELSE '0' END AS on_ground,
   CASE WHEN l_returnflag = 'R' THEN 'Landed 10:00' WHEN l_returnflag = 'A' THEN 'Estimated 11:00'
        WHEN l_linenumber = 7 THEN NULL ELSE 'Scheduled' END AS status_text,
-  CAST(l_quantity * 3600 AS BIGINT) AS historical_flighttime,
-  l_shipdate AS scheduled_time_arrival,
+  CASE WHEN l_orderkey % 59 <> 0 THEN CAST(l_quantity * 3600 AS BIGINT) END AS historical_flighttime,
+  CASE WHEN l_orderkey % 53 <> 0 THEN l_shipdate END AS scheduled_time_arrival,
   CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_shipdate + INTERVAL 2 HOUR END AS estimated_arrival,
-  l_shipdate - INTERVAL 12 HOUR AS extract_ts
+  l_shipdate - INTERVAL 90 DAY - INTERVAL 12 HOUR AS extract_ts
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
 JOIN nation os ON s_nationkey = os.n_nationkey JOIN nation dn ON c_nationkey = dn.n_nationkey)"""
 
-SILVER = """silver AS (
+def _silver(as_of: str = AS_OF) -> str:
+    return f"""silver AS (
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC NULLS LAST,
     aircraft_model ASC NULLS LAST, airline_name ASC NULLS LAST, historical_flighttime ASC NULLS LAST,
     on_ground ASC NULLS LAST, destination_airport_iata ASC NULLS LAST, status_text ASC NULLS LAST) AS rn
-  FROM flights) WHERE rn = 1)"""
+  FROM flights WHERE extract_ts <= {as_of}) WHERE rn = 1)"""
+
+
+SILVER = _silver()
 
 
 def _current(as_of: str = AS_OF, name: str = "current_f", src: str = "silver") -> str:
     arr = "coalesce(estimated_arrival, scheduled_time_arrival)"
-    return f"{name} AS (SELECT * FROM {src} WHERE {arr} IS NULL OR {arr} >= {as_of})"
+    return (f"{name} AS (SELECT *, TRUE AS is_current, CAST(NULL AS TIMESTAMP) AS end_time FROM {src} "
+            f"WHERE {arr} IS NULL OR {arr} >= {as_of})")
 
 
 def _active(name: str = "active_f", src: str = "current_f") -> str:
@@ -108,7 +117,8 @@ FLIGHT_COLS = ["id", "airline_icao", "airline_name", "airline_iata",
 
 LIFTED_TEXT = {
     "scheduled_time_departure": "CAST(arr_s - historical_flighttime AS VARCHAR)",
-    "real_time_departure": "CASE WHEN ln = 7 THEN '' ELSE CAST(arr_s - historical_flighttime AS VARCHAR) END",
+    "real_time_departure": "CASE WHEN ln = 7 THEN '' WHEN ln = 6 THEN '99999999999999999' "
+                           "ELSE CAST(arr_s - historical_flighttime AS VARCHAR) END",
     "scheduled_time_arrival": "CAST(arr_s AS VARCHAR)",
     "estimated_arrival": "CAST(est_s AS VARCHAR)",
     "historical_flighttime": "CAST(historical_flighttime AS VARCHAR)",
@@ -121,7 +131,7 @@ LIFTED_TS = {
     "estimated_arrival": "estimated_arrival",
     "time_updated": "extract_ts",
     "time_eta": "coalesce(estimated_arrival, scheduled_time_arrival)",
-    "real_time_departure": f"CASE WHEN ln = 7 THEN NULL ELSE {DEP_TS} END",
+    "real_time_departure": f"CASE WHEN ln IN (6, 7) THEN NULL ELSE {DEP_TS} END",
     "scheduled_time_arrival": "scheduled_time_arrival",
     "scheduled_time_departure": DEP_TS,
     "time": "extract_ts",
@@ -219,7 +229,7 @@ def _airline_mart(as_of: str) -> str:
     a = _active("act", "cur")
     stamp = (f"strftime({as_of}, '%Y') AS extract_year, strftime({as_of}, '%Y_%m') AS extract_month, "
              f"strftime({as_of}, '%Y_%m_%d') AS extract_day, {epoch(as_of)} AS extract_time")
-    return (w(FLIGHTS, SILVER, c, a) + "SELECT airline_name, airline_iata, count(*) AS total_active_flights, "
+    return (w(FLIGHTS, _silver(as_of), c, a) + "SELECT airline_name, airline_iata, count(*) AS total_active_flights, "
             f"{stamp} FROM act GROUP BY airline_name, airline_iata")
 
 
@@ -228,14 +238,48 @@ STAMP_TS = ("strftime({t}, '%Y') AS extract_year, strftime({t}, '%Y_%m') AS extr
 
 TRAIL = hav("p_lat", "p_lng", "lat", "lng")
 
+LONGEST_TIME = """SELECT id, airline_name, historical_flighttime AS flighttime_seconds,
+  CASE WHEN historical_flighttime IS NOT NULL THEN printf('%02d:%02d:%02d', historical_flighttime // 3600,
+    (historical_flighttime % 3600) // 60, historical_flighttime % 60) END AS flighttime_hms FROM active_f"""
+LONGEST_DISTANCE = f"""SELECT id, airline_name, origin_airport_iata, destination_airport_iata,
+  round({ROUTE}, 6) AS distance_km FROM active_f"""
+
+# The cleaned feed: valid keys only, times parsed, as the cleaning job stores it.
+KEYS_OK = " AND ".join(f"{k} IS NOT NULL AND {k} NOT IN ('', 'N/A')" for k in (
+    "airline_icao", "destination_airport_iata", "origin_airport_iata"))
+CLEAN = f"clean AS (SELECT * FROM flights WHERE {KEYS_OK})"
+
+# SCD2 rules on a feed with NULL keys, NULL times, late and equal times: newest row per key, NULL times oldest.
+DIRTY_EVENTS = """ev AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN ts END AS ts,
+  CASE WHEN user_id % 13 <> 0 THEN user_id END AS user_id, event_type, value, props, event_id % 3 = 0 AS late FROM events)"""
+
+
+def _dirty_side(name: str, where: str) -> str:
+    return f"""{name} AS (SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM ev WHERE {where}) WHERE rn = 1)"""
+
+
+SCD_DIRTY = w(DIRTY_EVENTS, _dirty_side("base", "NOT late"), _dirty_side("upd", "late"),
+              """pairs AS (SELECT b.event_id AS b_id, u.event_id AS u_id, u.ts AS u_ts,
+  coalesce(b.event_id IS NOT NULL AND u.event_id IS NOT NULL AND u.ts IS NOT NULL AND (b.ts IS NULL OR u.ts > b.ts)
+    AND b.event_type IS DISTINCT FROM u.event_type, FALSE) AS replace_it
+  FROM base b FULL OUTER JOIN upd u ON b.user_id IS NOT DISTINCT FROM u.user_id)""") + """
+SELECT b.*, NOT p.replace_it AS is_current, b.ts AS effective_time, CASE WHEN p.replace_it THEN p.u_ts END AS end_time
+FROM base b JOIN pairs p ON p.b_id = b.event_id
+UNION ALL
+SELECT u.*, TRUE AS is_current, u.ts AS effective_time, CAST(NULL AS TIMESTAMP) AS end_time
+FROM upd u JOIN pairs p ON p.u_id = u.event_id WHERE p.replace_it OR p.b_id IS NULL"""
+
 ORACLE: dict[str, str] = {
     # sources / sinks
     "scan_filter": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem "
                    "WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00' AND l_returnflag = 'R'",
     "scan_schema": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders",
-    "write_partitioned": "SELECT event_id, ts, user_id, event_type, value, "
+    "write_partitioned": "SELECT event_id, ts, user_id, event_type, value, props, "
                          + STAMP_TS.format(t="ts") + " FROM events",
     "mart_append": _airline_mart(AS_OF),
+    "mart_empty_rerun": _airline_mart("TIMESTAMP '1997-12-31 00:00:00'"),
     "mart_latest_run": _airline_mart("TIMESTAMP '1998-01-02 00:00:00'"),
     "mart_top3": "SELECT * FROM (" + _airline_mart("TIMESTAMP '1998-01-02 00:00:00'") + ") ORDER BY "
                  "total_active_flights DESC, airline_name ASC NULLS LAST, airline_iata ASC NULLS LAST LIMIT 3",
@@ -269,8 +313,17 @@ ORACLE: dict[str, str] = {
         f"CASE WHEN {c} IS NULL OR trim({c}) IN ('', 'N/A') THEN NULL ELSE {c} END AS {c}" for c in FLIGHT_COLS)
         + ", historical_flighttime, scheduled_time_arrival, estimated_arrival, extract_ts FROM flights",
     "null_ratio_profile": _null_ratio_sql(),
-    "prune_sparse_columns": w(FLIGHTS, DETAIL) + f"SELECT {', '.join(FLIGHT_COLS)}, "
-                            "CAST(upd_s AS VARCHAR) AS time, extract_ts FROM detail",
+    "prune_sparse_columns": w(FLIGHTS, DETAIL) + "SELECT " + ", ".join(
+        f"CASE WHEN {c} IS NULL OR trim({c}) IN ('', 'N/A') THEN NULL ELSE {c} END AS {c}" for c in FLIGHT_COLS)
+        + ", CAST(upd_s AS VARCHAR) AS time, extract_ts, TRUE AS has_time_details, ln <> 7 AS has_aircraft_history "
+        "FROM detail",
+    "clean_to_silver": w(FLIGHTS, CLEAN, """versions AS (
+SELECT id, airline_icao, origin_airport_iata, destination_airport_iata, status_text, on_ground, extract_ts AS time_updated,
+  row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC NULLS LAST, aircraft_model ASC NULLS LAST,
+    airline_name ASC NULLS LAST, historical_flighttime ASC NULLS LAST, on_ground ASC NULLS LAST,
+    destination_airport_iata ASC NULLS LAST, status_text ASC NULLS LAST) AS rn FROM clean)""")
+    + "SELECT * EXCLUDE (rn), TRUE AS is_current, time_updated AS effective_time, CAST(NULL AS TIMESTAMP) AS end_time "
+    "FROM versions WHERE rn = 1",
     "current_flights": FC + "SELECT * FROM current_f",
     "active_flights": FA + "SELECT * FROM active_f",
     "dedup_latest": w(FLIGHTS, SILVER) + "SELECT * FROM silver",
@@ -314,10 +367,8 @@ FROM active_f GROUP BY 1, 2, 3, 4""",
     "top_manufacturer": FA + "SELECT split_part(aircraft_model, ' ', 1) AS aircraft_manufacturer, "
                         "count(*) AS total_active_flights FROM active_f GROUP BY 1 "
                         "ORDER BY total_active_flights DESC, aircraft_manufacturer ASC NULLS LAST LIMIT 1",
-    "models_by_country": FC + """SELECT *, CAST(row_number() OVER (PARTITION BY country
-  ORDER BY total_aircraft_model DESC, aircraft_model ASC NULLS LAST) AS INTEGER) AS rank_in_country
-FROM (SELECT origin_airport_country_name AS country, aircraft_model, count(aircraft_model) AS total_aircraft_model
-      FROM current_f GROUP BY 1, 2)""",
+    "models_by_country": FC + """SELECT origin_airport_country_name AS country, aircraft_model,
+  count(aircraft_model) AS total_aircraft_model FROM current_f GROUP BY 1, 2""",
     "airport_outbound": FC + "SELECT origin_airport_iata AS airport_iata, max(origin_airport_name) AS airport_name, "
                         "count(*) AS out_flight_count FROM current_f GROUP BY 1",
     "airport_inbound": FC + "SELECT destination_airport_iata AS airport_iata, "
@@ -341,12 +392,10 @@ FULL OUTER JOIN (SELECT destination_airport_iata AS airport_iata, max(destinatio
   FULL OUTER JOIN (SELECT destination_airport_iata AS airport_iata, max(destination_airport_name) AS airport_name,
         count(*) AS n FROM current_f GROUP BY 1) i ON o.airport_iata = i.airport_iata)
 ORDER BY difference DESC, airport_iata ASC NULLS LAST LIMIT 1""",
-    "longest_by_time": FA + """SELECT id, airline_name, historical_flighttime AS flighttime_seconds,
-  printf('%02d:%02d:%02d', historical_flighttime // 3600, (historical_flighttime % 3600) // 60,
-         historical_flighttime % 60) AS flighttime_hms
-FROM active_f ORDER BY flighttime_seconds DESC NULLS LAST, id ASC LIMIT 10""",
-    "longest_by_distance": FA + f"""SELECT id, airline_name, origin_airport_iata, destination_airport_iata,
-  round({ROUTE}, 6) AS distance_km FROM active_f ORDER BY distance_km DESC NULLS LAST, id ASC LIMIT 10""",
+    "longest_by_time": FA + LONGEST_TIME,
+    "top_longest_by_time": FA + LONGEST_TIME + " ORDER BY flighttime_seconds DESC NULLS LAST, id ASC LIMIT 10",
+    "longest_by_distance": FA + LONGEST_DISTANCE,
+    "top_longest_by_distance": FA + LONGEST_DISTANCE + " ORDER BY distance_km DESC NULLS LAST, id ASC LIMIT 10",
     "top_regional_airline_by_continent": w(FLIGHTS, SILVER, CURRENT, ACTIVE, CONTINENTS) + """SELECT continent,
   airline_name, airline_iata, total_regional_flights FROM (
   SELECT *, row_number() OVER (PARTITION BY continent ORDER BY total_regional_flights DESC,
@@ -366,15 +415,16 @@ FROM active_f a LEFT JOIN continents c ON a.origin_airport_country_name = c.coun
   SELECT *, CAST(row_number() OVER (PARTITION BY airline_country_name ORDER BY total_aircraft_model DESC,
     aircraft_model ASC NULLS LAST) AS INTEGER) AS model_rank FROM (
     SELECT d.airline_country_name, aircraft_model, count(aircraft_model) AS total_aircraft_model
-    FROM current_f f LEFT JOIN (SELECT s_name AS airline_name,
-      'NATION_' || CAST((s_suppkey * 7) % 25 AS VARCHAR) AS airline_country_name FROM supplier) d
+    FROM current_f f LEFT JOIN (SELECT s_name AS airline_name, min(n_name) AS airline_country_name
+      FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY 1) d
     ON f.airline_name = d.airline_name GROUP BY 1, 2))
 WHERE model_rank <= 3""",
     "flown_distance": FA + "SELECT id, round(" + hav(
         "TRY_CAST(origin_airport_latitude AS DOUBLE)", "TRY_CAST(origin_airport_longitude AS DOUBLE)",
         "TRY_CAST(latitude AS DOUBLE)", "TRY_CAST(longitude AS DOUBLE)") + ", 6) AS flown_km FROM active_f",
-    "flown_time": FA + f"SELECT id, {epoch('extract_ts')} - ({epoch('scheduled_time_arrival')} "
-                  "- historical_flighttime) AS flown_seconds FROM active_f",
+    "flown_time": w(FLIGHTS, CLEAN, SILVER.replace("FROM flights", "FROM clean"), CURRENT, ACTIVE)
+                  + f"SELECT id, CASE WHEN CAST(split_part(id, '-', 2) AS INTEGER) NOT IN (6, 7) THEN {epoch('extract_ts')} "
+                  f"- ({epoch('scheduled_time_arrival')} - historical_flighttime) END AS flown_seconds FROM active_f",
     "trail_distance": f"""SELECT user_id, count(*) AS n_points, round(coalesce(sum({TRAIL}), 0.0), 6) AS trail_km
 FROM (SELECT user_id, lat, lng,
         lag(lat) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p_lat,
@@ -383,9 +433,12 @@ FROM (SELECT user_id, lat, lng,
                    CAST((event_id * 37) % 360 - 180 AS DOUBLE) AS lng FROM events))
 GROUP BY user_id""",
     # SCD2
-    "scd2_first_load": f"""SELECT * EXCLUDE (rn), TRUE AS is_current, ts AS effective_time,
+    "scd2_first_load": """SELECT * EXCLUDE (rn), TRUE AS is_current, ts AS effective_time,
   CAST(NULL AS TIMESTAMP) AS end_time FROM (SELECT *, row_number() OVER (PARTITION BY user_id
-  ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn FROM events WHERE ts < {EVENTS_SPLIT}) WHERE rn = 1""",
+  ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn FROM events) WHERE rn = 1""",
+    "scd2_merge_dirty": SCD_DIRTY,
+    "scd2_stored_dirty": SCD_DIRTY,
+    "scd2_stored_current": _scd_sql(False, only_current=True),
     "scd2_merge": _scd_sql(False),
     "scd2_merge_nullsafe": _scd_sql(True),
     "scd2_stored_merge": _scd_sql(False),

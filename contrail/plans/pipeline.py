@@ -4,7 +4,7 @@ The reference runs seven scripts that each rescan the silver table and
 recompute the current/active sets. Here the current and active sets are
 built once; when several indicators read the same set it is persisted for
 the duration of the run (and released after), and every indicator is
-published as a mart stamped with the run's ``as_of``.
+published as a mart under the run's ``as_of``.
 """
 
 from __future__ import annotations
@@ -17,15 +17,14 @@ from pyspark.sql import functions as F
 
 from contrail.operators import indicators as I
 from contrail.operators.current import active_flights, current_flights
-from contrail.sources.feeds import stamp_extract
-from contrail.sources.sinks import write_mart
+from contrail.sources.sinks import write_run
 
 # name -> (input set, builder(input, dims))
 INDICATORS: dict[str, tuple[str, Callable[[DataFrame, dict], DataFrame]]] = {
     "current_flight_by_airline": ("active", lambda a, d: I.airline_counts(a)),
     "regional_flight": ("active", lambda a, d: I.regional_counts(a)),
-    "longest_flight_by_time": ("active", lambda a, d: I.longest_by_time(a, d.get("k", 10))),
-    "longest_flight_by_distance": ("active", lambda a, d: I.longest_by_distance(I.route_distance(a), d.get("k", 10))),
+    "longest_flight_by_time": ("active", lambda a, d: I.longest_by_time(a)),
+    "longest_flight_by_distance": ("active", lambda a, d: I.longest_by_distance(I.route_distance(a))),
     "avg_distance_by_country": ("active", lambda a, d: I.avg_distance(
         I.route_distance(a), [F.col("origin_airport_country_name").alias("country"),
                               F.col("origin_airport_country_code").alias("country_code")])),
@@ -41,6 +40,14 @@ INDICATORS: dict[str, tuple[str, Callable[[DataFrame, dict], DataFrame]]] = {
 }
 
 
+# The columns indicators read; nothing else is persisted.
+USED_COLUMNS = (
+    "id", "airline_name", "airline_iata", "aircraft_model", "on_ground", "status_text", "historical_flighttime",
+    *(f"{side}_airport_{a}" for side in ("origin", "destination") for a in (
+        "iata", "name", "country_name", "country_code", "latitude", "longitude")),
+)
+
+
 def build_indicators(silver: DataFrame, as_of, dims: dict | None = None, names: Iterable[str] | None = None
                      ) -> dict[str, DataFrame]:
     """Lazy DataFrames, one per requested indicator, over the current versions of ``silver``."""
@@ -60,7 +67,7 @@ def publish_indicators(silver: DataFrame, as_of, out_root: str, dims: dict | Non
     """
     dims = dims or {}
     names = list(names or INDICATORS)
-    current = current_flights(silver, as_of)
+    current = current_flights(silver, as_of).select(*[c for c in USED_COLUMNS if c in silver.columns])
     active = active_flights(current)
     uses = {s: sum(INDICATORS[n][0] == s for n in names) for s in ("current", "active")}
     shared = []
@@ -72,7 +79,7 @@ def publish_indicators(silver: DataFrame, as_of, out_root: str, dims: dict | Non
     try:
         for n in names:
             src, build = INDICATORS[n]
-            write_mart(stamp_extract(build(sets[src], dims), as_of), f"{out_root}/{n}")
+            write_run(build(sets[src], dims), f"{out_root}/{n}", as_of)
     finally:
         for df in shared:
             df.unpersist()

@@ -24,6 +24,7 @@ from contrail.operators.enrich import enrich
 from contrail.operators.nested import explode_flatten
 from contrail.operators.scd2 import scd2_as_of, scd2_history, scd2_init, scd2_merge
 from contrail.plans import views as V
+from contrail.plans.jobs import silver_job
 from contrail.session import scratch_path, table_path
 from contrail.sources import feeds, sinks
 from contrail.sources.scd2_table import read_scd2, upsert_scd2
@@ -41,13 +42,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- shared stages -----------------------------------------------------------
 
-def silver(spark, d) -> DataFrame:
-    """Latest snapshot per flight id (W1 over the flight feed)."""
-    return dedup_latest(V.flight_view(spark, d), "id", V.flight_dedup_order())
+def silver(spark, d, as_of=AS_OF) -> DataFrame:
+    """Latest snapshot per flight id (W1 over the flight feed) among those taken by ``as_of``."""
+    seen = V.flight_view(spark, d).where(F.col("extract_ts") <= ts_literal(as_of))
+    return dedup_latest(seen, "id", V.flight_dedup_order())
 
 
 def current(spark, d, as_of=AS_OF) -> DataFrame:
-    return current_flights(silver(spark, d), as_of)
+    return current_flights(silver(spark, d, as_of), as_of)
 
 
 def active(spark, d) -> DataFrame:
@@ -69,7 +71,7 @@ def _events_scd(spark, d, nullsafe_variant=False):
 # ---- sources / sinks ---------------------------------------------------------
 
 def q_scan_filter(spark, d):
-    return feeds.read_feed(spark, table_path(d, "lineitem"),
+    return feeds.read_feed(spark, table_path(d, "lineitem"), schema=V.TABLE_SCHEMAS["lineitem"],
                            where="l_shipdate >= TIMESTAMP_NTZ'1998-01-01 00:00:00' AND l_returnflag = 'R'",
                            columns=["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"])
 
@@ -83,14 +85,14 @@ def q_scan_schema(spark, d):
 
 
 def _stamped_events(spark, d):
-    return feeds.stamp_extract(V.events(spark, d).drop("props"), "ts")
+    return feeds.stamp_extract(V.events(spark, d), "ts")
 
 
 STAMPED_EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()), T.StructField("extract_time", T.LongType()),
-    T.StructField("extract_year", T.StringType()), T.StructField("extract_month", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+    T.StructField("extract_time", T.LongType()), T.StructField("extract_year", T.StringType()), T.StructField("extract_month", T.StringType()),
     T.StructField("extract_day", T.StringType()),
 ])
 
@@ -103,7 +105,7 @@ def q_write_partitioned(spark, d):
 
 
 def _airline_mart(spark, d, as_of):
-    return feeds.stamp_extract(I.airline_counts(active_flights(current(spark, d, as_of))), as_of)
+    return I.airline_counts(active_flights(current(spark, d, as_of)))
 
 
 AIRLINE_MART_SCHEMA = T.StructType([
@@ -115,30 +117,40 @@ AIRLINE_MART_SCHEMA = T.StructType([
 
 
 def q_mart_append(spark, d):
-    """Writes: the same run published twice; dynamic overwrite keeps it once."""
+    """Writes: the same run published twice; its folder is replaced, so it is there once."""
     path = scratch_path(spark, "mart_append")
     for _ in range(2):
-        sinks.write_mart(_airline_mart(spark, d, AS_OF), path)
+        sinks.write_run(_airline_mart(spark, d, AS_OF), path, AS_OF)
     return sinks.read_table(spark, path, AIRLINE_MART_SCHEMA)
 
 
-def q_mart_latest_run(spark, d):
-    """Writes: three runs with rising extraction time; the reader returns the last run."""
-    path = scratch_path(spark, "mart_latest_run")
+def q_mart_empty_rerun(spark, d):
+    """Writes: two runs, the later one published again with no rows; only the earlier one's rows are left."""
+    path = scratch_path(spark, "mart_empty_rerun")
+    for as_of in RUN_AS_OF[:2]:
+        sinks.write_run(_airline_mart(spark, d, as_of), path, as_of)
+    sinks.write_run(_airline_mart(spark, d, RUN_AS_OF[1]).where("airline_name IS NULL AND false"), path, RUN_AS_OF[1])
+    return sinks.read_table(spark, path, AIRLINE_MART_SCHEMA)
+
+
+def _three_runs(spark, d, name):
+    path = scratch_path(spark, name)
     for as_of in RUN_AS_OF:
-        sinks.write_mart(_airline_mart(spark, d, as_of), path)
+        sinks.write_run(_airline_mart(spark, d, as_of), path, as_of)
     return sinks.latest_run(sinks.read_table(spark, path, AIRLINE_MART_SCHEMA))
 
 
+def q_mart_latest_run(spark, d):
+    """Writes: three runs with rising extraction time; the reader returns the last run."""
+    return _three_runs(spark, d, "mart_latest_run")
+
+
 def q_mart_top3(spark, d):
     """Writes: three runs published to a mart; the reader takes the newest run
     and its top 3 airlines (O6: first rows of a stored mart, ordered explicitly)."""
-    path = scratch_path(spark, "mart_top3")
-    for as_of in RUN_AS_OF:
-        sinks.write_mart(_airline_mart(spark, d, as_of), path)
-    last = sinks.latest_run(sinks.read_table(spark, path, AIRLINE_MART_SCHEMA))
-    return I.top_k(last, [F.col("total_active_flights").desc(), F.col("airline_name").asc_nulls_last(),
-                          F.col("airline_iata").asc_nulls_last()], 3)
+    return I.top_k(_three_runs(spark, d, "mart_top3"),
+                   [F.col("total_active_flights").desc(), F.col("airline_name").asc_nulls_last(),
+                    F.col("airline_iata").asc_nulls_last()], 3)
 
 
 EVENTS_JSON_SCHEMA = T.StructType([
@@ -228,7 +240,31 @@ def q_null_ratio_profile(spark, d):
 
 
 def q_prune_sparse_columns(spark, d):
-    return C.prune_sparse(V.detail_view(spark, d).drop("time_details", "aircraft_history"), 0.7)
+    """All columns profiled, nested ones included; those that stay nested are shown as present or not."""
+    out = C.prune_sparse(V.detail_view(spark, d), 0.7)
+    nested = {f.name: F.col(f.name).isNotNull().alias(f"has_{f.name}")
+              for f in out.schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType))}
+    return out.select(*[nested.get(c, F.col(c)) for c in out.columns])
+
+
+# Fixed order among snapshots of one flight and time: every column the silver query shows.
+SILVER_COLUMNS = ["id", "airline_icao", "origin_airport_iata", "destination_airport_iata", "status_text", "on_ground",
+                  "time_updated"]
+SILVER_TIE_BREAK = ["status_text", "on_ground", "airline_icao", "origin_airport_iata", "destination_airport_iata"]
+
+
+def q_clean_to_silver(spark, d):
+    """Writes: the detail feed as two bronze runs, then one cleaning job over every run
+    not yet merged (twice: the second finds none), into the stored silver history; read back."""
+    bronze, path = scratch_path(spark, "bronze_detail"), scratch_path(spark, "silver")
+    detail = V.detail_view(spark, d).drop("extract_ts")
+    first = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    for part, as_of in ((first, RUN_AS_OF[0]), (~first, RUN_AS_OF[1])):
+        sinks.write_run(detail.where(part), bronze, as_of)
+    for _ in range(2):
+        silver_job(spark, bronze, path, V.TIME_DETAIL_LEAVES, V.EPOCH_TEXT_COLUMNS, ["status_text"],
+                   tie_break=SILVER_TIE_BREAK)
+    return read_scd2(spark, path).select(*SILVER_COLUMNS, "is_current", "effective_time", "end_time")
 
 
 def q_current_flights(spark, d):
@@ -266,11 +302,13 @@ def q_route_distance_sql(spark, d):
 
 
 def q_serving_current(spark, d):
-    """Writes: the cleaned table with ``is_current`` refreshed against ``as_of``."""
+    """Writes: the cleaned table with ``is_current`` against two rising ``as_of`` (D8);
+    the second refresh replaces the first as a whole. Both see the snapshots taken by the second."""
     path = scratch_path(spark, "serving_current")
-    table = with_current_flag(silver(spark, d), AS_OF)
-    sinks.write_table(table, path, partition_by="is_current", mode="overwrite")
-    return sinks.read_table(spark, path, table.schema)
+    for as_of in RUN_AS_OF[:2]:
+        table = with_current_flag(silver(spark, d), as_of)
+        sinks.write_version(table, path, partition_by="is_current")
+    return sinks.read_version(spark, path, table.schema)
 
 
 # ---- nested ------------------------------------------------------------------
@@ -340,11 +378,19 @@ def q_airport_max_imbalance(spark, d):
 
 
 def q_longest_by_time(spark, d):
-    return I.longest_by_time(active(spark, d), TOP_K)
+    return I.longest_by_time(active(spark, d))
+
+
+def q_top_longest_by_time(spark, d):
+    return I.top_longest_by_time(I.longest_by_time(active(spark, d)), TOP_K)
 
 
 def q_longest_by_distance(spark, d):
-    return I.longest_by_distance(I.route_distance(active(spark, d)), TOP_K)
+    return I.longest_by_distance(I.route_distance(active(spark, d)))
+
+
+def q_top_longest_by_distance(spark, d):
+    return I.top_longest_by_distance(I.longest_by_distance(I.route_distance(active(spark, d))), TOP_K)
 
 
 def q_top_regional_airline_by_continent(spark, d):
@@ -355,8 +401,12 @@ def q_avg_distance_by_continent(spark, d):
     return I.avg_distance_by_continent(I.route_distance(active(spark, d)), continents(spark, d))
 
 
+def _airline_countries(spark, d):
+    return airline_country_dim(V.read(spark, d, "supplier"), V.read(spark, d, "nation"))
+
+
 def q_top3_models_by_airline_country(spark, d):
-    return I.top_models_by_airline_country(current(spark, d), airline_country_dim(V.read(spark, d, "supplier")), 3)
+    return I.top_models_by_airline_country(current(spark, d), _airline_countries(spark, d), 3)
 
 
 def q_flown_distance(spark, d):
@@ -364,7 +414,11 @@ def q_flown_distance(spark, d):
 
 
 def q_flown_time(spark, d):
-    return I.flown_time(active(spark, d))
+    """Over the cleaned detail feed, which has the real departure."""
+    clean = C.clean_flights(V.detail_view(spark, d), time_struct="time_details", leaves=V.TIME_DETAIL_LEAVES,
+                            epoch_cols=V.EPOCH_TEXT_COLUMNS).where(F.col("extract_ts") <= ts_literal(AS_OF))
+    latest = dedup_latest(clean, "id", V.flight_dedup_order())
+    return I.flown_time(active_flights(current_flights(latest, AS_OF)))
 
 
 def q_trail_distance(spark, d):
@@ -379,8 +433,7 @@ def q_trail_distance(spark, d):
 # ---- SCD2 --------------------------------------------------------------------
 
 def q_scd2_first_load(spark, d):
-    base, _ = _events_scd(spark, d)
-    return scd2_init(base, "user_id", "ts", tie_break=["event_id"])
+    return scd2_init(V.events(spark, d), "user_id", "ts", tie_break=["event_id"])
 
 
 def _merged(spark, d, nullsafe_variant=False):
@@ -407,6 +460,37 @@ def q_scd2_stored_merge(spark, d):
     return read_scd2(spark, path)
 
 
+def _dirty_events(spark, d):
+    """Events with NULL keys and NULL times, dealt over two batches whose times overlap."""
+    ev = V.events(spark, d).withColumns({
+        "ts": F.when(F.col("event_id") % 11 != 0, F.col("ts")),
+        "user_id": F.when(F.col("user_id") % 13 != 0, F.col("user_id"))})
+    late = F.col("event_id") % 3 == 0
+    return ev.where(~late), ev.where(late)
+
+
+def q_scd2_merge_dirty(spark, d):
+    base, updates = _dirty_events(spark, d)
+    hist = scd2_init(base, "user_id", "ts", tie_break=["event_id"])
+    return scd2_merge(hist, updates, "user_id", "ts", ["event_type"], tie_break=["event_id"])
+
+
+def q_scd2_stored_dirty(spark, d):
+    """Writes: the dirty batches merged through the stored history, read back."""
+    path = scratch_path(spark, "scd2_dirty")
+    for part in _dirty_events(spark, d):
+        upsert_scd2(spark, path, part, "user_id", "ts", ["event_type"], tie_break=["event_id"])
+    return read_scd2(spark, path)
+
+
+def q_scd2_stored_current(spark, d):
+    """Writes: the stored history after two batches; its current part read through partition pruning."""
+    path = scratch_path(spark, "scd2_current")
+    for part in _events_scd(spark, d):
+        upsert_scd2(spark, path, part, "user_id", "ts", ["event_type"], tie_break=["event_id"])
+    return read_scd2(spark, path, current_only=True)
+
+
 def q_scd2_current_view(spark, d):
     return current_versions(_merged(spark, d))
 
@@ -430,7 +514,7 @@ def q_stream_active_counts(spark, d):
     drained with ``availableNow`` into a foreachBatch sink and read back."""
     schema = V.events(spark, d).schema
     out, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_ckpt")
-    stream = S.file_stream(spark, d, schema, glob="events.parquet")
+    stream = S.file_stream(spark, table_path(d, "events"), schema)
     counts = S.windowed_counts(stream, "ts", ["event_type"], "1 day", "2 days", dedup_keys=["event_id"])
     q = S.start_window_counts(counts, out, ckpt)
     q.awaitTermination()

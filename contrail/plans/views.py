@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions.timefmt import epoch_seconds
-from contrail.operators.dims import bounded_broadcast, plan_key
+from contrail.operators.dims import bounded_broadcast
 from contrail.session import table_path
 
 # Latest snapshot first, then enough attributes to make the order total:
@@ -22,40 +22,9 @@ FLIGHT_TIE_BREAK = ("aircraft_model", "airline_name", "historical_flighttime", "
 
 
 def flight_dedup_order() -> list[Column]:
-    return [F.col("extract_ts").desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in FLIGHT_TIE_BREAK]
-
-
-# Fact tables and the column their parallelism guard hashes on. lineitem and
-# orders use the key of the join between them, which can then reuse the
-# partitioning. events uses its unique id on purpose: hashing on user_id
-# would satisfy, and so silently replace, the finer (user_id, time slice)
-# partitioning that the skew-safe sequence windows ask for.
-FACT_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
-
-def ensure_parallel(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition a scan on ``key`` only when it yields fewer input
-    partitions than the cluster has cores.
-
-    A Parquet split never cuts a row group, so a large file written as one row
-    group scans as one task and every narrow operator before the first
-    shuffle runs on one core. On real data (many files and row groups) the
-    scan is already wide and ``df`` is returned unchanged, so no shuffle is
-    added. Only the split plan is computed here; no data is read.
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= want:
-        return df      # a file is at least one split: wide already, skip the split plan
-    # The split count also depends on the session's split settings.
-    k = (*plan_key(df), spark.sparkContext.defaultParallelism,
-         spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes"))
-    if k not in _SPLITS:
-        _SPLITS[k] = df.rdd.getNumPartitions()
-    return df if _SPLITS[k] >= want else df.repartition(want, key)
-
-
-_SPLITS: dict[tuple, int] = {}
+    # Flight times order as numbers, also where a feed holds them as text.
+    tie = [F.col(c).try_cast("bigint") if c == "historical_flighttime" else F.col(c) for c in FLIGHT_TIE_BREAK]
+    return [F.col("extract_ts").desc_nulls_last()] + [c.asc_nulls_last() for c in tie]
 
 
 # Declared schemas of the driver tables: reading under them skips Parquet
@@ -77,17 +46,21 @@ TABLE_SCHEMAS = {
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     r = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
-    df = r.parquet(table_path(sf_dir, name))
-    return ensure_parallel(df, FACT_KEYS[name]) if name in FACT_KEYS else df
+    return r.parquet(table_path(sf_dir, name))
 
 
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _airport(nation: DataFrame, prefix: str, blank_lat_nation: int | None = None) -> DataFrame:
-    """Airport attributes per nation key (one airport per country)."""
+def _airport(nation: DataFrame, prefix: str, blank_lat_nation: int | None = None, hub_nation: int | None = None
+             ) -> DataFrame:
+    """Airport attributes per nation key (one airport per country; flights of
+    ``hub_nation`` use an airport of their own, which then has one side only)."""
     nk = F.col("n_nationkey")
+    code = F.concat(F.lit("AP"), _s(nk))
+    if hub_nation is not None:
+        code = F.when(nk == hub_nation, F.lit("HUB")).otherwise(code)
     lat = _s((nk * 7) % 120 - 60)
     if blank_lat_nation is not None:
         lat = F.when(nk == blank_lat_nation, F.lit("")).otherwise(lat)
@@ -95,7 +68,7 @@ def _airport(nation: DataFrame, prefix: str, blank_lat_nation: int | None = None
         nk.alias(f"{prefix}_nationkey"),
         F.col("n_name").alias(f"{prefix}_airport_country_name"),
         F.concat(F.lit("C"), _s(nk)).alias(f"{prefix}_airport_country_code"),
-        F.concat(F.lit("AP"), _s(nk)).alias(f"{prefix}_airport_iata"),
+        code.alias(f"{prefix}_airport_iata"),
         F.concat(F.lit("Airport "), F.col("n_name")).alias(f"{prefix}_airport_name"),
         lat.alias(f"{prefix}_airport_latitude"),
         _s((nk * 37) % 360 - 180).alias(f"{prefix}_airport_longitude"),
@@ -103,7 +76,10 @@ def _airport(nation: DataFrame, prefix: str, blank_lat_nation: int | None = None
 
 
 def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per flight snapshot, shaped like the cleaned detail feed.
+    """One row per flight snapshot, shaped like the detail feed, with its dirt: 'N/A',
+    blank and NULL airline codes, NULL destinations, models, flight times and
+    scheduled arrivals, and airports that only flights in or only flights out use.
+    A snapshot is taken ninety and a half days before arrival.
 
     Plan shape: nation (25 rows, checked) is broadcast into supplier and
     customer; lineitem then joins orders, supplier and part on their keys.
@@ -115,7 +91,7 @@ def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     the joins are shuffle joins chosen by Catalyst + AQE.
     """
     nation = read(spark, sf_dir, "nation")
-    origin = bounded_broadcast(_airport(nation, "origin"), bound_by=nation)
+    origin = bounded_broadcast(_airport(nation, "origin", hub_nation=3), bound_by=nation)
     dest = bounded_broadcast(_airport(nation, "destination", blank_lat_nation=13), bound_by=nation)
 
     supplier = read(spark, sf_dir, "supplier")
@@ -124,19 +100,24 @@ def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                .select(
                    "s_suppkey",
                    F.when(F.col("s_suppkey") % 17 == 0, F.lit("N/A"))
+                    .when(F.col("s_suppkey") % 19 == 0, F.lit(None).cast("string"))
+                    .when(F.col("s_suppkey") % 23 == 0, F.lit(""))
                     .otherwise(F.concat(F.lit("S"), _s(F.col("s_suppkey")))).alias("airline_icao"),
                    F.col("s_name").alias("airline_name"),
                    F.concat(F.lit("A"), _s(F.col("s_suppkey") % 36)).alias("airline_iata"),
                    *[c for c in origin.columns if c != "origin_nationkey"]))
     cust = read(spark, sf_dir, "customer")
+    unknown = F.col("c_custkey") % 97 == 0
     customer = bounded_broadcast(cust.join(dest, F.col("c_nationkey") == F.col("destination_nationkey"))
+                                 .withColumn("destination_airport_iata", F.when(~unknown, F.col("destination_airport_iata")))
                                  .drop("c_nationkey", "destination_nationkey"), bound_by=cust)
     orders = (read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
               .join(customer, F.col("o_custkey") == F.col("c_custkey")))
     airline = bounded_broadcast(airline, bound_by=supplier)
     parts = read(spark, sf_dir, "part")
     part = bounded_broadcast(parts.select(
-        "p_partkey", F.concat("p_type", F.lit(" "), "p_name").alias("aircraft_model")), bound_by=parts)
+        "p_partkey", F.when(F.col("p_partkey") % 101 != 0, F.concat("p_type", F.lit(" "), "p_name")).alias("aircraft_model")),
+        bound_by=parts)
     li = read(spark, sf_dir, "lineitem")
 
     ln = F.col("l_linenumber")
@@ -159,11 +140,11 @@ def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("l_returnflag") == "A", F.lit("Estimated 11:00"))
          .when(ln == 7, F.lit(None).cast("string"))
          .otherwise(F.lit("Scheduled")).alias("status_text"),
-        (F.col("l_quantity") * 3600).cast("bigint").alias("historical_flighttime"),
-        ship.alias("scheduled_time_arrival"),
+        F.when(F.col("l_orderkey") % 59 != 0, (F.col("l_quantity") * 3600).cast("bigint")).alias("historical_flighttime"),
+        F.when(F.col("l_orderkey") % 53 != 0, ship).alias("scheduled_time_arrival"),
         F.when(ln % 3 == 0, F.lit(None).cast("timestamp_ntz"))
          .otherwise(ship + F.expr("INTERVAL 2 HOURS")).alias("estimated_arrival"),
-        (ship - F.expr("INTERVAL 12 HOURS")).alias("extract_ts"),
+        (ship - F.expr("INTERVAL 90 DAYS") - F.expr("INTERVAL 12 HOURS")).alias("extract_ts"),
     )
 
 
@@ -183,6 +164,10 @@ EPOCH_TEXT_COLUMNS = ["estimated_arrival", "time_updated", "time_eta", "real_tim
                       "scheduled_time_arrival", "scheduled_time_departure", "time"]
 
 
+# A number no calendar holds, as a broken record would have it.
+HUGE_EPOCH = "99999999999999999"
+
+
 def detail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw detail feed: times as epoch text inside a nested ``time_details``
     struct, a ``time`` column, a sparse ``squawk`` and a bounded
@@ -205,7 +190,8 @@ def detail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("historical"),
         F.struct(_s(upd_s).alias("updated"), _s(F.coalesce(est_s, arr_s)).alias("eta")).alias("other"),
         F.struct(F.lit(None).cast("string").alias("arrival"),
-                 F.when(blank_every_7, F.lit("")).otherwise(_s(dep_s)).alias("departure")).alias("real"),
+                 F.when(blank_every_7, F.lit("")).when(F.col("_ln") == 6, F.lit(HUGE_EPOCH)).otherwise(_s(dep_s))
+                  .alias("departure")).alias("real"),
         F.struct(_s(arr_s).alias("arrival"), _s(dep_s).alias("departure")).alias("scheduled"),
     )
     return f.select(

@@ -4,12 +4,13 @@ Partitioned writes need no pre-shuffle: Spark's file writer sorts each task's
 rows by the partition columns and writes one file per (task, partition value)
 in sequence, so a partition value holding a third of the data is still
 written by many tasks in parallel. ``max_records_per_file`` caps file size.
-Reruns of one run are idempotent with ``mode='overwrite'`` under dynamic
-partition overwrite: only the partitions present in the new data are replaced.
+A run owns its partition folder and replaces it as a whole, so a rerun is
+idempotent even when it has fewer rows or none.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.timefmt import STAMP_FORMATS
+from contrail.sources.commits import commit, last_version
 
 RUN_PARTITIONS = (*STAMP_FORMATS.keys(), "extract_time")
 
@@ -31,24 +33,63 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | str = ()
     partition value is written by at most that many tasks, and a hot value
     is still spread over that many. The salt is a hash of the row, not
     ``rand()``, so a retried task rebuilds exactly the same partitioning.
+
+    ``mode='overwrite'`` replaces the partitions present in ``df`` only;
+    ``mode='replace'`` replaces everything under ``path``.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     if files_per_value and cols:
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_value))
         df = df.repartition(*[F.col(f"`{c}`") for c in cols], salt)
-    w = df.write.format(fmt).mode(mode).option("maxRecordsPerFile", max_records_per_file)
-    if mode == "overwrite":
-        # Replace only the partitions this run writes, never the whole table.
-        w = w.option("partitionOverwriteMode", "dynamic")
+    w = df.write.format(fmt).mode("overwrite" if mode == "replace" else mode)
+    w = w.option("maxRecordsPerFile", max_records_per_file)
+    if mode in ("overwrite", "replace"):
+        w = w.option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
     if cols:
         w = w.partitionBy(*cols)
     w.save(path)
 
 
-def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = RUN_PARTITIONS) -> None:
-    """Publish one run of an indicator mart (S4): the run's partitions are replaced
-    if the run is repeated, other runs are untouched."""
-    write_table(df, path, partition_by, mode="overwrite")
+def run_folder(path: str, as_of) -> str:
+    """The partition folder of the run at ``as_of`` (text or datetime): year, month, day, extraction time."""
+    t = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
+    stamp = {"extract_year": f"{t:%Y}", "extract_month": f"{t:%Y_%m}", "extract_day": f"{t:%Y_%m_%d}",
+             "extract_time": (t - _dt.datetime(1970, 1, 1)) // _dt.timedelta(seconds=1)}
+    return "/".join([path.rstrip("/"), *(f"{c}={stamp[c]}" for c in RUN_PARTITIONS)])
+
+
+def write_run(df: DataFrame, path: str, as_of, files: int | None = None) -> None:
+    """Publish one run of a table (S4, S10): the run's folder is replaced as a whole.
+
+    Repeating a run with fewer rows, or none, leaves no row of the first
+    attempt behind; other runs are untouched. ``df`` carries no stamp
+    columns, they are the folder names. ``files`` bounds the files of the run.
+    """
+    if files:
+        df = df.repartition(files)
+    write_table(df, run_folder(path, as_of), mode="replace")
+
+
+def write_version(df: DataFrame, path: str, partition_by: Sequence[str] | str = ()) -> int:
+    """Replace a whole table (D8): a new version folder, then its commit record.
+
+    Readers keep the version they started with, and a value that has left a
+    partition is gone with the next version.
+    """
+    spark = df.sparkSession
+    last = last_version(spark, path)
+    n = 0 if last is None else last + 1
+    write_table(df, f"{path}/version={n}", partition_by, mode="replace")
+    commit(spark, path, n)
+    return n
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The last committed version of a table written by ``write_version``."""
+    n = last_version(spark, path)
+    if n is None:
+        raise FileNotFoundError(f"no committed version at {path}")
+    return read_table(spark, f"{path}/version={n}", schema)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,

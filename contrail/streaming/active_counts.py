@@ -23,12 +23,15 @@ from contrail.sources.sinks import read_table, write_table
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
+    """A stream over the files of a table, be ``path`` one file or a folder of them."""
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(path)
+    # As a pattern (of that one path) Spark takes a file as well as a folder.
+    path = path.rstrip("/")
+    return r.load(f"{path[:-1]}[{path[-1]}]")
 
 
 def windowed_counts(stream: DataFrame, ts: str, group: Sequence[str], window: str, watermark: str,
@@ -80,12 +83,14 @@ def start_scd2_stream(stream: DataFrame, table_path: str, key: str, ts: str, tra
                       checkpoint: str, tie_break: Sequence[str] = ()) -> StreamingQuery:
     """Keep a stored type-2 history current from a stream.
 
-    Each micro-batch is merged into the table with ``upsert_scd2`` under the
-    stream's batch id, so a batch replayed from the checkpoint after a
-    failure rewrites the same ``batch=<id>`` folder from the same input.
+    Each micro-batch is merged with ``upsert_scd2`` as the table's next batch;
+    the stream (named by its checkpoint) and its batch id go into the commit
+    record. A batch replayed after a failure is merged once, and a new stream
+    on an old table carries on after the table's last batch.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_scd2(batch.sparkSession, table_path, batch, key, ts, tracked, tie_break, batch=batch_id)
+        upsert_scd2(batch.sparkSession, table_path, batch, key, ts, tracked, tie_break,
+                    source=checkpoint, source_id=batch_id)
 
     return (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
             .trigger(availableNow=True).start())

@@ -27,7 +27,20 @@ def test_null_ratios_one_pass(spark):
 
 
 def test_prune_sparse(spark):
-    assert C.prune_sparse(_nested(spark), 0.7).columns == ["id", "x", "tags", "time_details"]
+    out = C.prune_sparse(_nested(spark), 0.7)
+    assert out.columns == ["id", "x", "tags", "time_details"]
+    assert {r.id: r.x for r in out.collect()}["2"] is None            # blanks come back as NULL
+    # the share is compared unrounded: 0.7000004 is above 0.7
+    near = spark.range(2_500_000).selectExpr("id", "IF(id < 1750001, NULL, 1) AS c")
+    assert C.prune_sparse(near, 0.7).columns == ["id"]
+
+
+def test_huge_epochs_become_null(spark):
+    from contrail.functions.timefmt import duration, epoch_to_ts
+    df = spark.createDataFrame([("99999999999999999",), ("-99999999999999999",), ("253402300799",), ("x",), ("9223372036854775807",)], "s string")
+    assert [None if r.t is None else str(r.t) for r in df.select(epoch_to_ts("s").alias("t")).collect()] == [
+        None, None, "9999-12-31 23:59:59", None, None]
+    assert [r.d is None for r in df.select(duration("s").alias("d")).where("true").collect()] == [True, True, False, True, True]
 
 
 def test_flatten_struct_and_epoch(spark):

@@ -1,8 +1,8 @@
 from contrail import cli
 from contrail.plans import views as V
 from contrail.session import scratch_path
-from contrail.sources.feeds import land_json, stamp_extract
-from contrail.sources.sinks import latest_run, read_table, write_table
+from contrail.sources.feeds import land_json
+from contrail.sources.sinks import latest_run, read_table, write_run
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,8 +19,7 @@ def test_cli_ingest_clean_indicators(spark, tmp_path, capsys):
     assert read_table(spark, bronze).count() == ev.count()
     # clean + indicators over the detail feed
     det_bronze, silver, marts = (scratch_path(spark, n) for n in ("cli_det", "cli_silver", "cli_marts"))
-    write_table(stamp_extract(V.detail_view(spark, SF).drop("extract_ts"), "2002-01-01 00:00:00"), det_bronze,
-                ["extract_year", "extract_month", "extract_day", "extract_time"], mode="overwrite")
+    write_run(V.detail_view(spark, SF).drop("extract_ts"), det_bronze, "2002-01-01 00:00:00")
     assert cli.main(["clean", "--bronze", det_bronze, "--silver", silver], spark) == 0
     assert cli.main(["indicators", "--silver", silver, "--out", marts, "--as-of", "1998-01-01 00:00:00",
                      "--dims", SF, "--names", "current_flight_by_airline,in_out_flight"], spark) == 0

@@ -22,7 +22,9 @@ SCHEMA = "id int, scheduled_time_arrival timestamp_ntz, estimated_arrival timest
 
 def test_current_truth_table(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    assert {r.id for r in current_flights(df, AS_OF).collect()} == {4, 5, 6, 8}
+    rows = current_flights(df, AS_OF).collect()
+    assert {r.id for r in rows} == {4, 5, 6, 8}
+    assert all(r.is_current is True and r.end_time is None for r in rows)
 
 
 def test_session_zone_does_not_matter(spark):

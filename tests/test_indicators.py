@@ -25,10 +25,19 @@ def test_one_sided_airports_get_zero(spark):
 
 
 def test_duration_does_not_wrap(spark):
-    df = spark.createDataFrame([("x", "L", 90000), ("y", "L", 3600)],
+    df = spark.createDataFrame([("z", "L", None), ("x", "L", 90000), ("y", "L", 3600)],
                                "id string, airline_name string, historical_flighttime bigint")
-    rows = I.longest_by_time(df, 2).collect()
-    assert [(r.id, r.flighttime_hms) for r in rows] == [("x", "25:00:00"), ("y", "01:00:00")]
+    mart = I.longest_by_time(df)
+    assert mart.count() == 3
+    rows = I.top_longest_by_time(mart, 3).collect()
+    assert [(r.id, r.flighttime_hms) for r in rows] == [("x", "25:00:00"), ("y", "01:00:00"), ("z", None)]
+
+
+def test_airline_country_is_unique(spark):
+    from contrail.operators.dims import airline_country_dim
+    supplier = spark.createDataFrame([(1, "S1", 0), (2, "S1", 1), (3, "S2", 9)], "s_suppkey long, s_name string, s_nationkey int")
+    nation = spark.createDataFrame([(0, "FRANCE", 0), (1, "BRAZIL", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    assert sorted(map(tuple, airline_country_dim(supplier, nation).collect())) == [("S1", "BRAZIL"), ("S2", None)]
 
 
 def test_regional_flag_by_name_or_code(spark):
@@ -68,19 +77,6 @@ def test_active_set_properties(spark):
     assert act.where("on_ground <> '0' OR status_text LIKE '%Landed%'").count() == 0
 
 
-def test_parallel_guard_is_a_no_op_on_wide_tables(spark):
-    from contrail.plans.views import ensure_parallel
-    from contrail.session import scratch_path
-    from helpers import plan_text
-    path = scratch_path(spark, "wide")
-    n = spark.sparkContext.defaultParallelism
-    spark.range(0, 10_000).repartition(n * 2).write.parquet(path)      # >= one file per core
-    wide = spark.read.parquet(path)
-    assert "REPARTITION" not in plan_text(ensure_parallel(wide, "id"))
-    narrow = spark.read.parquet(f"{SF}/lineitem.parquet")               # one row group: one split
-    assert "REPARTITION" in plan_text(ensure_parallel(narrow, "l_orderkey"))
-
-
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_published_marts_equal_queries(spark):
     out = scratch_path(spark, "marts")
     dims = {"continents": Q.continents(spark, SF),
-            "airline_countries": airline_country_dim(V.read(spark, SF, "supplier"))}
+            "airline_countries": airline_country_dim(V.read(spark, SF, "supplier"), V.read(spark, SF, "nation"))}
     silver = Q.silver(spark, SF)
     names = P.publish_indicators(silver, Q.AS_OF, out, dims)
     assert set(names) == set(P.INDICATORS)

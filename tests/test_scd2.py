@@ -11,13 +11,13 @@ def t(h):
     return T0 + dt.timedelta(hours=h)
 
 
-SCHEMA = "id string, name string, sexe string, ts timestamp_ntz"
+SCHEMA = "id string, name string, gate string, ts timestamp_ntz"     # one flight: its status and its gate
 
 
 def _first(spark):
-    df = spark.createDataFrame([("1", "Alice", "F", t(0)), ("2", "Bob", "M", t(0)), ("3", "Charlie", "M", t(0))],
-                               SCHEMA)
-    return scd2_init(df, "id", "ts")
+    rows = [("LH12", "scheduled", "A1", t(0)), ("AF7", "boarding", None, t(0)), ("TP3", "delayed", "C9", t(0)),
+            ("KL9", "scheduled", "D2", t(0))]
+    return scd2_init(spark.createDataFrame(rows, SCHEMA), "id", "ts")
 
 
 def _by_id(df):
@@ -31,54 +31,77 @@ def test_first_load_columns(spark):
     h = _first(spark)
     assert set(h.columns) >= {"is_current", "effective_time", "end_time"}
     rows = h.collect()
-    assert len(rows) == 3 and all(r.is_current and r.end_time is None for r in rows)
+    assert len(rows) == 4 and all(r.is_current and r.end_time is None for r in rows)
 
 
 def test_upsert_closes_and_inserts(spark):
-    upd = spark.createDataFrame([("1", "Axel", "M", t(1)), ("2", "Bob", "F", t(1)), ("3", "Charlie", "F", t(1))],
-                                SCHEMA)
-    out = scd2_merge(_first(spark), upd, "id", "ts", ["name", "sexe"])
-    rows = out.collect()
+    upd = spark.createDataFrame([("LH12", "airborne", "A1", t(1)), ("AF7", "boarding", "B4", t(1))], SCHEMA)
+    rows = scd2_merge(_first(spark), upd, "id", "ts", ["name", "gate"]).collect()
     assert len(rows) == 6
-    assert sum(r.is_current for r in rows) == 3
+    assert sorted(r.id for r in rows if r.is_current) == ["AF7", "KL9", "LH12", "TP3"]
     closed = [r for r in rows if not r.is_current]
-    assert all(r.end_time == t(1) for r in closed)
+    assert sorted(r.id for r in closed) == ["AF7", "LH12"] and all(r.end_time == t(1) for r in closed)
 
 
 def test_unchanged_new_absent_keys(spark):
-    upd = spark.createDataFrame([("1", "Alice", "F", t(1)), ("4", "Dan", "M", t(1))], SCHEMA)
-    out = _by_id(scd2_merge(_first(spark), upd, "id", "ts", ["name", "sexe"]))
-    assert len(out["1"]) == 1 and out["1"][0].effective_time == t(0)        # unchanged: nothing
-    assert len(out["2"]) == 1 and out["2"][0].is_current                    # absent: untouched
-    assert len(out["4"]) == 1 and out["4"][0].is_current                    # new: inserted
+    upd = spark.createDataFrame([("LH12", "scheduled", "A1", t(1)), ("IB5", "scheduled", "E1", t(1))], SCHEMA)
+    out = _by_id(scd2_merge(_first(spark), upd, "id", "ts", ["name", "gate"]))
+    assert len(out["LH12"]) == 1 and out["LH12"][0].effective_time == t(0)   # unchanged: nothing
+    assert len(out["TP3"]) == 1 and out["TP3"][0].is_current                 # absent: untouched
+    assert len(out["IB5"]) == 1 and out["IB5"][0].is_current                 # new: inserted
+
+
+def test_null_keys_and_null_times_are_kept(spark):
+    base = [(None, "scheduled", "X", t(0)), ("NT", "scheduled", "Y", None), ("LH12", "scheduled", "A1", t(0))]
+    upd = [(None, "airborne", "X", t(1)), ("NT", "airborne", "Y", t(1)), ("LH12", "airborne", "A1", None),
+           ("NEW", "scheduled", "Z", None)]
+    h = scd2_merge(scd2_init(spark.createDataFrame(base, SCHEMA), "id", "ts"), spark.createDataFrame(upd, SCHEMA),
+                   "id", "ts", ["name"])
+    rows = [(r.id, r.name, r.is_current, r.effective_time, r.end_time) for r in h.collect()]
+    assert sorted(rows, key=repr) == sorted([
+        (None, "scheduled", False, t(0), t(1)), (None, "airborne", True, t(1), None),
+        ("NT", "scheduled", False, None, t(1)), ("NT", "airborne", True, t(1), None),
+        ("LH12", "scheduled", True, t(0), None),            # an update without a time replaces nothing
+        ("NEW", "scheduled", True, None, None)], key=repr)
+    again = scd2_merge(h, spark.createDataFrame(upd, SCHEMA), "id", "ts", ["name"])
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, h.collect()))
+
+
+def test_history_of_null_keys_and_times(spark):
+    feed = [(None, "a", "X", t(0)), (None, "b", "X", t(1)), ("K", "a", "X", None), ("K", "b", "X", t(2)), ("K", "b", "X", t(3))]
+    got = [(r.id, r.name, r.effective_time, r.end_time, r.is_current)
+           for r in scd2_history(spark.createDataFrame(feed, SCHEMA), "id", "ts", ["name"]).collect()]
+    assert sorted(got, key=repr) == sorted([
+        (None, "a", t(0), t(1), False), (None, "b", t(1), None, True),
+        ("K", "a", None, t(2), False), ("K", "b", t(2), None, True)], key=repr)
 
 
 def test_null_to_value_is_a_change_when_nullsafe(spark):
-    base = scd2_init(spark.createDataFrame([("1", None, "F", t(0))], SCHEMA), "id", "ts")
-    upd = spark.createDataFrame([("1", "Alice", "F", t(1))], SCHEMA)
+    base = scd2_init(spark.createDataFrame([("LH12", None, "A1", t(0))], SCHEMA), "id", "ts")
+    upd = spark.createDataFrame([("LH12", "scheduled", "A1", t(1))], SCHEMA)
     assert scd2_merge(base, upd, "id", "ts", ["name"]).count() == 2
     assert scd2_merge(base, upd, "id", "ts", ["name"], nullsafe=False).count() == 1
 
 
 def test_duplicate_keys_in_one_batch_take_latest(spark):
-    upd = spark.createDataFrame([("1", "Ann", "F", t(2)), ("1", "Axel", "M", t(1))], SCHEMA)
-    out = _by_id(scd2_merge(_first(spark), upd, "id", "ts", ["name", "sexe"]))["1"]
-    assert [r.name for r in out] == ["Alice", "Ann"]
+    upd = spark.createDataFrame([("LH12", "airborne", "A1", t(2)), ("LH12", "boarding", "A2", t(1))], SCHEMA)
+    out = _by_id(scd2_merge(_first(spark), upd, "id", "ts", ["name", "gate"]))["LH12"]
+    assert [r.name for r in out] == ["scheduled", "airborne"]
     assert sum(r.is_current for r in out) == 1
 
 
 def test_late_older_snapshot_is_ignored(spark):
-    upd = spark.createDataFrame([("1", "Axel", "M", t(5))], SCHEMA)
-    h = scd2_merge(_first(spark), upd, "id", "ts", ["name", "sexe"])
-    late = spark.createDataFrame([("1", "Old", "F", t(3))], SCHEMA)
-    out = _by_id(scd2_merge(h, late, "id", "ts", ["name", "sexe"]))["1"]
-    assert [r.name for r in out] == ["Alice", "Axel"] and out[-1].is_current
+    upd = spark.createDataFrame([("LH12", "airborne", "A1", t(5))], SCHEMA)
+    h = scd2_merge(_first(spark), upd, "id", "ts", ["name", "gate"])
+    late = spark.createDataFrame([("LH12", "boarding", "A2", t(3))], SCHEMA)
+    out = _by_id(scd2_merge(h, late, "id", "ts", ["name", "gate"]))["LH12"]
+    assert [r.name for r in out] == ["scheduled", "airborne"] and out[-1].is_current
 
 
 def test_merge_is_idempotent(spark):
-    upd = spark.createDataFrame([("1", "Axel", "M", t(1)), ("5", "Eve", "F", t(1))], SCHEMA)
-    once = scd2_merge(_first(spark), upd, "id", "ts", ["name", "sexe"])
-    twice = scd2_merge(once, upd, "id", "ts", ["name", "sexe"])
+    upd = spark.createDataFrame([("LH12", "airborne", "A1", t(1)), ("IB5", "scheduled", "E1", t(1))], SCHEMA)
+    once = scd2_merge(_first(spark), upd, "id", "ts", ["name", "gate"])
+    twice = scd2_merge(once, upd, "id", "ts", ["name", "gate"])
     key = lambda r: (r.id, r.effective_time, r.is_current, r.end_time)
     assert sorted(map(key, once.collect())) == sorted(map(key, twice.collect()))
 
@@ -97,13 +120,13 @@ def test_history_equals_repeated_merges(spark):
     for hour in (0, 10, 20):
         batch = feed.where(F.col("ts") == F.lit(t(hour)).cast("timestamp_ntz"))
         h = scd2_init(batch, "id", "ts") if h is None else scd2_merge(h, batch, "id", "ts", ["name"])
-    hist = scd2_history(feed, "id", "ts", ["name"], slice_seconds=3600)
+    hist = scd2_history(feed, "id", "ts", ["name"])
     key = lambda r: (r.id, r.name, r.effective_time, r.end_time, r.is_current)
     assert sorted(map(key, h.collect()), key=repr) == sorted(map(key, hist.collect()), key=repr)
 
 
 def test_history_properties(spark):
-    hist = scd2_history(_feed(spark), "id", "ts", ["name"], slice_seconds=3600).collect()
+    hist = scd2_history(_feed(spark), "id", "ts", ["name"]).collect()
     by = {}
     for r in hist:
         by.setdefault(r.id, []).append(r)
@@ -148,11 +171,3 @@ def test_merge_properties_random(spark, batches):
             assert a.name != b.name  # a new version only on a (NULL-safe) change
     again = scd2_merge(hist, df, "id", "ts", ["name"])
     assert sorted(map(repr, again.collect())) == sorted(map(repr, rows))
-
-
-def test_history_same_with_adaptive_hot_key_slices(spark):
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    plain = scd2_history(ev, "user_id", "ts", ["event_type"], ["event_id"], checkpoint=False)
-    hot = scd2_history(ev, "user_id", "ts", ["event_type"], ["event_id"], target_rows=3)
-    k = lambda r: (r.user_id, r.event_id, r.effective_time, r.end_time, r.is_current)
-    assert sorted(map(k, plain.collect())) == sorted(map(k, hot.collect()))

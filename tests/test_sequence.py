@@ -5,70 +5,60 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contrail.operators.sequence import time_slice, with_neighbor
+from contrail.operators.sequence import with_neighbor
+from helpers import plan_text
 
 T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "k string, ts timestamp_ntz, n int, v string"
 
 
-def _rows(seed, n=400):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        # key 0 is hot: about a third of all rows.
-        k = 0 if rnd.random() < 0.34 else rnd.randint(1, 12)
-        ts = T0 + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 5))
-        rows.append((k, ts, i, rnd.choice(["a", "b", None])))
-    return rows
+def _plain(df, direction):
+    rank = [F.col("ts").asc_nulls_first(), F.col("n").asc_nulls_first()]
+    w = Window.partitionBy("k").orderBy(*rank)
+    shift = F.lag if direction == "prev" else F.lead
+    return df.select("*", shift("v").over(w).alias("x_v"), shift("n").over(w).alias("x_n"))
 
 
-@pytest.mark.parametrize("slice_seconds", [60, 3600, 86_400, 10 ** 9])
-@pytest.mark.parametrize("direction", ["prev", "next"])
-def test_matches_plain_window(spark, slice_seconds, direction):
-    df = spark.createDataFrame(_rows(slice_seconds), "k int, ts timestamp_ntz, i int, v string")
-    got = with_neighbor(df, ["k"], ["ts", "i"], ["v", "i"], time_slice("ts", slice_seconds), direction)
-    w = Window.partitionBy("k").orderBy("ts", "i")
-    fn = F.lag if direction == "prev" else F.lead
-    want = df.select("i", fn("v").over(w).alias("nv"), fn("i").over(w).alias("ni"))
-    a = sorted((r.i, r[f"{direction}_v"], r[f"{direction}_i"]) for r in got.collect())
-    b = sorted((r.i, r.nv, r.ni) for r in want.collect())
-    assert a == b
-
-
-def test_hot_key_is_split_across_slices(spark):
-    df = spark.createDataFrame(_rows(7), "k int, ts timestamp_ntz, i int, v string")
-    got = with_neighbor(df, ["k"], ["ts", "i"], ["i"], time_slice("ts", 3600), "prev")
-    from helpers import plan_text
-    plan = plan_text(got)
-    # The big window is partitioned by (key, slice), never by the key alone.
-    assert "hashpartitioning(k#" in plan and "__slice" in plan
-
-
-def test_adaptive_slices_split_a_hot_key_inside_one_slice(spark):
-    from contrail.operators.sequence import SLICE_COL, with_time_slices
-    df = spark.createDataFrame(_rows(11, n=600), "k int, ts timestamp_ntz, i int, v string")
-    year = 365 * 86_400                      # one fixed slice would hold each key's whole history
-    sliced = with_time_slices(df, ["k"], "ts", base_seconds=year, target_rows=20)
-    per_key = {r.k: r.n for r in sliced.groupBy("k").agg(F.countDistinct(SLICE_COL).alias("n")).collect()}
-    assert per_key[0] >= 5                   # the hot key (~200 rows) is cut into many slices
-    got = with_neighbor(sliced, ["k"], ["ts", "i"], ["v"], F.col(SLICE_COL), "prev")
-    w = Window.partitionBy("k").orderBy("ts", "i")
-    want = {r.i: r.nv for r in df.select("i", F.lag("v").over(w).alias("nv")).collect()}
-    assert {r.i: r.prev_v for r in got.collect()} == want
-
-
-def test_adaptive_slices_fall_back_when_hot_keys_unbounded(spark):
-    from contrail.operators.sequence import SLICE_COL, with_time_slices
-    df = spark.createDataFrame(_rows(12, n=200), "k int, ts timestamp_ntz, i int, v string")
-    sliced = with_time_slices(df, ["k"], "ts", base_seconds=86_400, target_rows=1, max_hot_keys=1)
-    assert sliced.select(SLICE_COL).distinct().count() <= 6   # fixed daily slices over 5 days
+def _feed(spark, seed=0):
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "b", None, "hot", "hot", "hot"]), rng.choice([None, T0 + dt.timedelta(minutes=rng.randint(0, 50))]), i, f"v{i}")
+            for i in range(600)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(6)
 
 
 @pytest.mark.parametrize("direction", ["prev", "next"])
-def test_null_times_are_stitched(spark, direction):
-    rows = [(k, None if i % 7 == 0 else ts, i, v) for k, ts, i, v in _rows(21, n=300)]
-    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, i int, v string")
-    got = with_neighbor(df, ["k"], ["ts", "i"], ["i"], time_slice("ts", 3600), direction)
-    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), "i")
-    fn = F.lag if direction == "prev" else F.lead
-    want = {r.i: r.n for r in df.select("i", fn("i").over(w).alias("n")).collect()}
-    assert {r.i: r[f"{direction}_i"] for r in got.collect()} == want
+@pytest.mark.parametrize("pieces", [None, 1, 3, 40])
+def test_equals_plain_window(spark, direction, pieces):
+    df = _feed(spark)
+    got = with_neighbor(df, ["k"], ["ts", "n"], ["v", "n"], direction, prefix="x_", pieces=pieces)
+    key = lambda r: repr((r.k, r.ts, r.n, r.v, r.x_v, r.x_n))
+    assert sorted(map(key, got.collect())) == sorted(map(key, _plain(df, direction).collect()))
+
+
+def test_hot_key_within_one_second_is_split(spark):
+    """A key with every row in one second still spreads evenly: pieces follow rank, not time."""
+    n, pieces = 40_000, 20
+    df = spark.range(n).selectExpr("'hot' AS k", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "CAST(id AS INT) AS n", "'v' AS v")
+    df = df.repartition(8)
+    rng = df.repartitionByRange(pieces, "k", "ts", "n").groupBy(F.spark_partition_id()).count()
+    assert rng.agg(F.max("count")).first()[0] <= 2 * n / pieces
+    got = with_neighbor(df, ["k"], ["ts", "n"], ["n"], pieces=pieces)
+    assert got.where("prev_n = n - 1").count() == n - 1 and got.where("prev_n IS NULL").count() == 1
+
+
+def test_many_hot_keys(spark):
+    df = spark.range(60_000).selectExpr("CAST(id % 300 AS STRING) AS k", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts",
+                                        "CAST(id AS INT) AS n", "'v' AS v")
+    got = with_neighbor(df, ["k"], ["ts", "n"], ["n"], "next", pieces=32)
+    assert got.where("next_n = n + 300").count() == 60_000 - 300
+
+
+def test_one_lazy_plan_and_one_read(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plan = plan_text(with_neighbor(df, ["user_id"], ["ts", "event_id"], ["event_type"]), "simple")
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_bad_direction(spark):
+    with pytest.raises(ValueError):
+        with_neighbor(_feed(spark), ["k"], ["ts"], ["v"], "up")

@@ -7,9 +7,12 @@ from pyspark.sql import types as T
 from contrail.session import scratch_path
 from contrail.sources import feeds, sinks
 
-PEOPLE = [("1", "Alice", "1996", "1996_5", "1996_5_12"), ("2", "Bob", "1997", "1997_6", "1997_6_13"),
-          ("3", "Charlie", "1998", "1998_7", "1998_7_14")]
-PEOPLE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "name", "year", "month", "day")])
+# Daily movements per airport, partitioned by the day's folders.
+MOVES = [("CDG", 612, "2023", "2023_11", "2023_11_30"), ("FRA", 544, "2023", "2023_12", "2023_12_01"),
+         ("LIS", 301, "2024", "2024_02", "2024_02_29")]
+MOVES_SCHEMA = T.StructType([T.StructField("airport", T.StringType()), T.StructField("movements", T.IntegerType()),
+                             *[T.StructField(f"extract_{c}", T.StringType()) for c in ("year", "month", "day")]])
+DAY = ["extract_year", "extract_month", "extract_day"]
 
 
 def _local(path):
@@ -17,34 +20,53 @@ def _local(path):
 
 
 def test_partitioned_write_folders_and_read_back(spark):
-    path = scratch_path(spark, "people")
-    df = spark.createDataFrame(PEOPLE, PEOPLE_SCHEMA)
-    sinks.write_table(df, path, ["year", "month", "day"])
-    assert os.path.isdir(os.path.join(_local(path), "year=1996", "month=1996_5", "day=1996_5_12"))
-    back = sinks.read_table(spark, path, PEOPLE_SCHEMA)
-    assert back.schema == PEOPLE_SCHEMA
-    assert sorted(map(tuple, back.collect())) == sorted(PEOPLE)
+    path = scratch_path(spark, "moves")
+    sinks.write_table(spark.createDataFrame(MOVES, MOVES_SCHEMA), path, DAY)
+    assert os.path.isdir(os.path.join(_local(path), "extract_year=2024", "extract_month=2024_02", "extract_day=2024_02_29"))
+    back = sinks.read_table(spark, path, MOVES_SCHEMA)
+    assert back.schema == MOVES_SCHEMA
+    assert sorted(map(tuple, back.collect())) == sorted(MOVES)
 
 
 def test_single_string_partition_column(spark):
-    path = scratch_path(spark, "people1")
-    sinks.write_table(spark.createDataFrame(PEOPLE, PEOPLE_SCHEMA), path, "year")
-    assert os.path.isdir(os.path.join(_local(path), "year=1997"))
+    path = scratch_path(spark, "moves1")
+    sinks.write_table(spark.createDataFrame(MOVES, MOVES_SCHEMA), path, "airport")
+    assert os.path.isdir(os.path.join(_local(path), "airport=FRA"))
 
 
-def test_mart_rerun_is_idempotent_and_latest_run(spark):
+RUN_SCHEMA = "k string, v int, extract_year string, extract_month string, extract_day string, extract_time bigint"
+
+
+def test_run_is_replaced_as_a_whole_and_latest_run(spark):
     path = scratch_path(spark, "mart")
-    rows = [("a", 1, 100), ("b", 2, 100)]
-    schema = "k string, v int, extract_time bigint"
-    for _ in range(2):
-        sinks.write_mart(spark.createDataFrame(rows, schema), path, ["extract_time"])
-    sinks.write_mart(spark.createDataFrame([("a", 9, 200)], schema), path, ["extract_time"])
-    full = sinks.read_table(spark, path, T._parse_datatype_string(schema))
+    mart = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    early, late = "2024-05-06 07:00:00", "2024-05-06 08:00:00"
+    for rows in ([("a", 1), ("b", 2), ("c", 3)], [("a", 1), ("b", 2)]):
+        sinks.write_run(mart(rows), path, early)
+    sinks.write_run(mart([("a", 9)]), path, late)
+    full = sinks.read_table(spark, path, T._parse_datatype_string(RUN_SCHEMA))
     assert full.count() == 3
     last = sinks.latest_run(full)
-    assert [tuple(r) for r in last.collect()] == [("a", 9, 200)]
+    assert [tuple(r)[:5] for r in last.collect()] == [("a", 9, "2024", "2024_05", "2024_05_06")]
     from helpers import plan_text
     assert "PartitionFilters: [isnotnull(extract_time" in plan_text(last) and "subquery" in plan_text(last)
+    sinks.write_run(mart([]), path, late)
+    assert sinks.read_table(spark, path, T._parse_datatype_string(RUN_SCHEMA)).count() == 2
+
+
+def test_versions_replace_the_whole_table(spark):
+    path = scratch_path(spark, "serving")
+    flags = lambda rows: spark.createDataFrame(rows, "id int, is_current boolean")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_version(spark, path)
+    sinks.write_version(flags([(1, True), (2, True)]), path, "is_current")
+    sinks.write_version(flags([(1, True), (2, False)]), path, "is_current")
+    got = lambda: sorted((r.id, r.is_current) for r in sinks.read_version(spark, path, flags([]).schema).collect())
+    assert got() == [(1, True), (2, False)]
+    sinks.write_table(flags([(7, True)]), f"{path}/version=2", "is_current", mode="replace")      # died before its commit
+    assert got() == [(1, True), (2, False)]
+    sinks.write_version(flags([(3, True)]), path, "is_current")
+    assert got() == [(3, True)]
 
 
 def test_schema_round_trip_and_bad_schema(tmp_path):
@@ -84,20 +106,22 @@ def test_scan_pushes_filter_and_prunes_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in plan
 
 
-def test_bronze_run_is_idempotent_and_keeps_other_runs(spark):
+def test_bronze_takes_every_file_once(spark):
     landing, bronze = scratch_path(spark, "landing_b"), scratch_path(spark, "bronze_b")
-    spark.createDataFrame([('{"id": 1, "name": "A"}',), ('{"id": 2, "name": "B"}',), ('{"id": ',)],
-                          "value string").write.text(landing)
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    land = lambda lines: spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(landing)
+    land(['{"id": 1, "name": "A"}', '{"id": 2, "name": "B"}', '{"id": ', ""])
     r1 = feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 07:00:00")
-    feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 07:00:00")     # retry of the same run
-    r2 = feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 08:00:00")  # next run, same day
+    feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 07:00:00")       # retry of the same run
+    land(['{"id": 3, "name": "C"}'])
+    r2 = feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 08:00:00")  # next run: the new file only
     assert r2 - r1 == 3600
-    df = spark.read.parquet(bronze)
-    assert df.count() == 4                                   # 2 rows x 2 runs, retry not doubled
-    assert sorted(r.extract_time for r in df.select("extract_time").distinct().collect()) == [r1, r2]
+    rows = sorted((r.extract_time, r.id) for r in spark.read.parquet(bronze).collect())
+    assert rows == [(r1, 1), (r1, 2), (r2, 3)]
     q = spark.read.parquet(f"{bronze}/_quarantine")
-    assert q.count() == 2 and q.columns[0] == "_corrupt_record"
+    assert [(r._corrupt_record, r.extract_time) for r in q.collect()] == [('{"id": ', r1)]
+    feeds.ingest_to_bronze(spark, landing, schema, bronze, "2024-05-06 09:00:00")       # nothing has landed
+    assert spark.read.parquet(bronze).count() == 3
 
 
 def test_files_per_value_bounds_small_files(spark):
