@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +19,25 @@ from contrail.session import scratch_path, table_path
 SLICE_BYTES = 2 << 20
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Put this package on the import path of Python workers, wherever the driver was started.
+
+    Executors on other hosts get the package by ``--py-files`` or an install.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the two columns an operator reads, whatever else the table holds."""
+    reach_workers(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -62,6 +77,7 @@ def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             yield part.filter(pa.array(keep(part)))
+    reach_workers(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 
@@ -84,6 +100,7 @@ def located(docs: DataFrame) -> DataFrame:
 
     A frame that doesn't come straight from files is written first.
     """
+    reach_workers(docs.sparkSession)
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
     place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
     try:

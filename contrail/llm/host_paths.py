@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import stored, text_slices
+from contrail.llm.common import reach_workers, stored, text_slices
 
 # HTML element names by role.
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas|select|xmp|noembed|noframes"
@@ -190,6 +190,7 @@ def main_text(html: str, host_path: str | None) -> str:
 
 
 def _html(pages: DataFrame) -> DataFrame:
+    reach_workers(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
