@@ -155,12 +155,21 @@ def _null_ratio_sql() -> str:
     return w(FLIGHTS, DETAIL, raw) + "\nUNION ALL\n".join(parts)
 
 
-def _leg_leaf_sql() -> str:
+def _leg_leaf_sql(more: str = "") -> str:
     def side(name: str) -> dict[str, str]:
         def pick(attr: str) -> str:
             return f"CASE WHEN k % 2 = 1 THEN {_col(name, attr, True)} ELSE {_col(name, attr, False)} END"
         p = f"aircraft_airport_{name}"
         return {
+            f"{p}_website": "'https://' || " + pick("iata") + " || '.example'",
+            f"{p}_visible": "'true'",
+            f"{p}_timezone_offsetHours": "CAST(k AS VARCHAR) || ':00'",
+            f"{p}_timezone_isDst": "'false'",
+            f"{p}_timezone_abbrName": "'Universal Time'",
+            f"{p}_timezone_abbr": "'UTC'",
+            f"{p}_position_country_codeLong": "'X' || " + pick("country_code"),
+            f"{p}_position_country_id": "substr(" + pick("country_code") + ", 2)",
+            f"{p}_position_altitude": "CAST(k * 100 AS VARCHAR)",
             f"{p}_code_iata": pick("iata"),
             f"{p}_code_icao": "'I' || " + pick("iata"),
             f"{p}_name": pick("name"),
@@ -179,7 +188,7 @@ def _leg_leaf_sql() -> str:
         "aircraft_time_real_departure": "CAST(arr_s - k * 86400 AS VARCHAR)",
         **side("destination"), **side("origin"),
     }
-    return (w(FLIGHTS, DETAIL) + f"SELECT id AS current_id, {_sel(leaves)} "
+    return (w(FLIGHTS, DETAIL) + f"SELECT id AS current_id, {more}{_sel(leaves)} "
             "FROM detail, range(1, 4) AS t(k) WHERE ln <> 7 AND k <= ln % 4")
 
 
@@ -287,6 +296,24 @@ ORACLE: dict[str, str] = {
                    + STAMP_TS.format(t=AS_OF) + " FROM events",
     "bronze_ingest": "SELECT event_id, ts, user_id, event_type, value, props, "
                      + STAMP_TS.format(t=AS_OF) + " FROM events",
+    "ingest_airline": "SELECT 'A' || s_suppkey AS Code, 'S' || s_suppkey AS ICAO, s_name AS Name, " + STAMP_TS.format(t=AS_OF)
+                      + " FROM supplier",
+    "ingest_airport": "SELECT CAST(c_custkey % 3000 AS VARCHAR) AS altitude, CAST(c_nationkey AS VARCHAR) AS country, "
+                      "'AP' || c_custkey AS iata, 'IAP' || c_custkey AS icao, CAST(c_custkey * 7 % 120 - 60 AS VARCHAR) AS latitude, "
+                      "CAST(c_custkey * 37 % 360 - 180 AS VARCHAR) AS longitude, c_name AS name, " + STAMP_TS.format(t=AS_OF)
+                      + " FROM customer",
+    "ingest_flight": "SELECT 'T' || (l_partkey % 90) AS aircraft_code, 'A' || (l_suppkey % 36) AS airline_iata, "
+                     "'S' || l_suppkey AS airline_icao, CAST(l_quantity * 100 AS INTEGER) AS altitude, "
+                     "'S' || l_suppkey || '-' || l_linenumber AS callsign, 'AP' || (l_partkey % 25) AS destination_airport_iata, "
+                     "CAST(l_partkey % 500 AS INTEGER) AS ground_speed, CAST(l_partkey % 360 AS INTEGER) AS heading, "
+                     "CAST(l_partkey AS VARCHAR) AS icao_24bit, l_orderkey || '-' || l_linenumber AS id, "
+                     "CAST(l_partkey * 7 % 120 - 60 AS DOUBLE) AS latitude, CAST(l_partkey * 37 % 360 - 180 AS DOUBLE) AS longitude, "
+                     "CAST(l_orderkey AS VARCHAR) AS number, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS on_ground, "
+                     "'AP' || (l_suppkey % 25) AS origin_airport_iata, 'R' || l_partkey AS registration, "
+                     "CASE WHEN l_linenumber = 7 THEN 'x' END AS squawk, CAST(floor(epoch(l_shipdate)) AS INTEGER) AS time, "
+                     "0 AS vertical_speed, " + STAMP_TS.format(t=AS_OF) + " FROM lineitem",
+    "ingest_detail": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity, " + STAMP_TS.format(t=AS_OF)
+                     + " FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
     "enrich_detail": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity "
                      "FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
     "enrich_detail_missing": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders "
@@ -344,6 +371,7 @@ FROM silver""",
                        "id || '#' || CAST(k AS VARCHAR) AS leg_id FROM detail, range(1, 4) AS t(k) "
                        "WHERE ln <> 7 AND k <= ln % 4",
     "flatten_history": _leg_leaf_sql(),
+    "history_mart": _leg_leaf_sql("aircraft_model, " + STAMP_TS.format(t=AS_OF) + ", "),
     # aggregates / indicators
     "airline_active_counts": FA + "SELECT airline_name, airline_iata, count(*) AS total_active_flights "
                              "FROM active_f GROUP BY airline_name, airline_iata",

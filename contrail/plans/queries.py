@@ -186,6 +186,42 @@ def q_bronze_ingest(spark, d):
     return sinks.read_table(spark, bronze, BRONZE_SCHEMA)
 
 
+STAMP_FIELDS = BRONZE_SCHEMA.fields[-4:]
+
+
+def _ingested(spark, d, name, feed):
+    """Land a feed as JSON, ingest it under its declared schema in two runs, read bronze back."""
+    landing, bronze = scratch_path(spark, f"land_{name}"), scratch_path(spark, f"bronze_{name}")
+    schema = feeds.feed_schema(name)
+    feeds.land_json(feed, landing)
+    for as_of in (AS_OF, RUN_AS_OF[2]):            # the second run finds no new file
+        feeds.ingest_to_bronze(spark, landing, schema, bronze, as_of)
+    return sinks.read_table(spark, bronze, T.StructType([*schema.fields, *STAMP_FIELDS]))
+
+
+def q_ingest_flight(spark, d):
+    """Writes: the position feed ingested into bronze."""
+    return _ingested(spark, d, "flight", V.position_feed(spark, d))
+
+
+def q_ingest_airline(spark, d):
+    """Writes: the airline feed ingested into bronze."""
+    return _ingested(spark, d, "airline", V.airline_feed(spark, d))
+
+
+def q_ingest_airport(spark, d):
+    """Writes: the airport feed ingested into bronze."""
+    return _ingested(spark, d, "airport", V.airport_feed(spark, d))
+
+
+def q_ingest_detail(spark, d):
+    """Writes: summaries matched with their details (S8), stamped, as a bronze run."""
+    path = scratch_path(spark, "bronze_enriched")
+    matched = q_enrich_detail(spark, d)
+    sinks.write_run(matched, path, AS_OF)
+    return sinks.read_table(spark, path, T.StructType([*matched.schema.fields, *STAMP_FIELDS]))
+
+
 def q_enrich_detail(spark, d):
     matched, _ = enrich(V.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
                         V.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"),
@@ -325,6 +361,15 @@ def q_flatten_history(spark, d):
     return explode_flatten(src, "aircraft_history", prefix="aircraft")
 
 
+def q_history_mart(spark, d):
+    """Writes: past legs flattened to their 41 leaves with the flight they belong to, as one run of a mart."""
+    path = scratch_path(spark, "history_mart")
+    legs = explode_flatten(V.detail_view(spark, d).selectExpr("id AS current_id", "aircraft_model", "aircraft_history"),
+                           "aircraft_history", prefix="aircraft")
+    sinks.write_run(legs, path, AS_OF)
+    return sinks.read_table(spark, path, T.StructType([*legs.schema.fields, *STAMP_FIELDS]))
+
+
 # ---- aggregates and indicators -----------------------------------------------
 
 def q_airline_active_counts(spark, d):

@@ -206,13 +206,17 @@ def detail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _airport_sql(side: str, k: int) -> str:
+    """One end of a past leg with the 19 leaves of the feed, as a SQL struct."""
     a = f"{side}_airport"
-    return (f"named_struct('code', named_struct('iata', {a}_iata, 'icao', concat('I', {a}_iata)), "
+    return (f"named_struct('website', concat('https://', {a}_iata, '.example'), 'visible', 'true', "
+            f"'code', named_struct('iata', {a}_iata, 'icao', concat('I', {a}_iata)), "
+            f"'timezone', named_struct('offset', '{k * 3600}', 'offsetHours', '{k}:00', 'isDst', 'false', "
+            f"'abbrName', 'Universal Time', 'name', 'UTC', 'abbr', 'UTC'), "
             f"'name', {a}_name, "
-            f"'position', named_struct('country', named_struct('name', {a}_country_name, 'code', {a}_country_code), "
-            f"'latitude', {a}_latitude, 'longitude', {a}_longitude, "
-            f"'region', named_struct('city', concat('City ', {a}_iata))), "
-            f"'timezone', named_struct('name', 'UTC', 'offset', '{k * 3600}'))")
+            f"'position', named_struct('country', named_struct('name', {a}_country_name, "
+            f"'codeLong', concat('X', {a}_country_code), 'code', {a}_country_code, 'id', substring({a}_country_code, 2)), "
+            f"'altitude', '{k * 100}', 'region', named_struct('city', concat('City ', {a}_iata)), "
+            f"'latitude', {a}_latitude, 'longitude', {a}_longitude))")
 
 
 def _leg_sql(k: int) -> str:
@@ -232,5 +236,37 @@ def history_array() -> Column:
     return F.expr(f"CASE WHEN _ln = 7 THEN NULL ELSE slice(array({legs}), 1, _ln % 4) END")
 
 
+def airline_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airline feed: suppliers under the feed's column names."""
+    key = _s(F.col("s_suppkey"))
+    return read(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("A"), key).alias("Code"), F.concat(F.lit("S"), key).alias("ICAO"), F.col("s_name").alias("Name"))
+
+
+def airport_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airport feed: one airport per customer city, under the feed's column names."""
+    key = F.col("c_custkey")
+    return read(spark, sf_dir, "customer").select(
+        _s(key % 3000).alias("altitude"), _s(F.col("c_nationkey")).alias("country"), F.concat(F.lit("AP"), _s(key)).alias("iata"),
+        F.concat(F.lit("IAP"), _s(key)).alias("icao"), _s(key * 7 % 120 - 60).alias("latitude"),
+        _s(key * 37 % 360 - 180).alias("longitude"), F.col("c_name").alias("name"))
+
+
+def position_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight position feed: one fix per line item, under the feed's 19 columns."""
+    order, line, part, supp = (F.col(f"l_{c}") for c in ("orderkey", "linenumber", "partkey", "suppkey"))
+    air = _s(supp)
+    return read(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("T"), _s(part % 90)).alias("aircraft_code"), F.concat(F.lit("A"), _s(supp % 36)).alias("airline_iata"),
+        F.concat(F.lit("S"), air).alias("airline_icao"), (F.col("l_quantity") * 100).cast("int").alias("altitude"),
+        F.concat(F.lit("S"), air, F.lit("-"), _s(line)).alias("callsign"), F.concat(F.lit("AP"), _s(part % 25)).alias("destination_airport_iata"),
+        (part % 500).cast("int").alias("ground_speed"), (part % 360).cast("int").alias("heading"), _s(part).alias("icao_24bit"),
+        F.concat(_s(order), F.lit("-"), _s(line)).alias("id"), ((part * 7) % 120 - 60).cast("double").alias("latitude"),
+        ((part * 37) % 360 - 180).cast("double").alias("longitude"), _s(order).alias("number"),
+        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("on_ground"), F.concat(F.lit("AP"), _s(supp % 25)).alias("origin_airport_iata"),
+        F.concat(F.lit("R"), _s(part)).alias("registration"), F.when(line == 7, F.lit("x")).alias("squawk"),
+        epoch_seconds("l_shipdate").cast("int").alias("time"), F.lit(0).alias("vertical_speed"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events")
