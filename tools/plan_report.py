@@ -39,7 +39,7 @@ def shape(df) -> list[str]:
 
 
 def main() -> None:
-    spark = build_session(extra={"spark.sql.autoBroadcastJoinThreshold": "-1", "contrail.broadcast.maxRows": "30"})
+    spark = build_session(extra={"spark.sql.autoBroadcastJoinThreshold": "-1", "contrail.broadcast.maxBytes": "4000"})
     # By default only read-only queries: write-through ones write at construction.
     default = sorted(n for n, f in QUERIES.items() if "Writes" not in (f.__doc__ or ""))
     for name in sys.argv[1:] or default:
