@@ -8,11 +8,12 @@ sets confirm it.
 
 No bucket is expanded into all its pairs. Equal sets are folded first. A bucket
 is then compared with one pivot at a time, links are merged into components, and
-only members of different components are looked at again; once a few pivots have
-merged what belongs together, the pairs still open (members of one bucket in
-different components, never compared, whose sizes and whose distances to a
-common pivot allow a link) are compared outright, so that no pair that shares a
-bucket is lost.
+only members of different components are looked at again. After a few pivots, the
+documents of buckets that still hold several components meet by their rarest
+shingles: two sets of similarity 0.85 must share one of the rarest 15 % of either
+(in one order of all shingles by frequency), and bit marks of the sets bound what
+two of them share, so documents that have only common
+passages in common are never paired, and no pair that shares a bucket is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import ASCII_LOWER_WORDS, id_text, split_words, stored, text_bytes, text_slices, without_ids
@@ -30,8 +31,10 @@ from contrail.llm.common import ASCII_LOWER_WORDS, id_text, split_words, stored,
 SHINGLE, LINK_PERCENT = 5, 85
 #: At similarity 0.85 all bands miss a pair with probability (1 - 0.85^8)^32 = 4e-5.
 BANDS, ROWS = 32, 8
-#: Pivots a bucket is compared with before its open pairs are taken one by one.
-PIVOT_ROUNDS = 4
+#: Pivots a bucket is compared with before its documents meet by rare shingles; any number gives the same links.
+PIVOT_ROUNDS = 1
+#: Words of 64 bits that mark which shingles a document has, for a bound on what two documents share.
+MARKS = 16
 #: Distinct words whose hash a task remembers.
 CACHE_WORDS = 500_000
 
@@ -68,7 +71,7 @@ def shingle_sets(texts: list[bytes], known: dict) -> list[np.ndarray]:
             sets.append(np.unique(h[a:b - SHINGLE + 1]))
         else:
             n = b - a
-            sets.append(_mix64((w[a:b] * _PLACES[:n]).sum(keepdims=True, dtype=_U64) + _PLACES[SHINGLE] * _U64(n)) if n else w[a:a])
+            sets.append(_mix64((w[a:b] * _PLACES[:n]).sum(keepdims=True, dtype=_U64) + _PLACES[SHINGLE:] * _U64(n)) if n else w[a:a])
     return sets
 
 
@@ -173,6 +176,60 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
+def _rare_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, n, comp, shingle, at, marks): for each node the shingles of its prefix that any other node has, too, with their place.
+
+    Shingles are ordered by the number of ``nodes`` that have them. Two sets with
+    100 * common >= 85 * total share at least 85 % of either set, so the first
+    n - ceil(0.85 n) + 1 of each must have one in common. Those nobody shares come first and match nothing.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for at in range(0, part.num_rows, 256):
+                piece = part.slice(at, 256)
+                values = [np.frombuffer(x.as_buffer(), np.int64) for x in piece.column("set")]
+                of = np.repeat(np.arange(len(values)), [len(v) for v in values])
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("node").take(pa.array(of)), pa.array(np.concatenate(values))], ["node", "shingle"])
+    each = stored(sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(run, "node long, shingle long"), "near-shingles")
+    often = stored(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "near-often")
+    marks = each.groupBy("node").agg(*(
+        F.expr(f"coalesce(bit_or(CASE WHEN (shiftright(shingle, 6) & {MARKS - 1}) = {i} THEN shiftleft(1L, CAST(shingle & 63 AS INT)) END), 0L)").alias(f"m{i}")
+        for i in range(MARKS)))
+    known = each.join(often, "shingle").groupBy("node").agg(
+        F.sort_array(F.collect_set(F.struct("often", "shingle"))).alias("known")).join(nodes, "node")
+    prefix = F.col("n") - F.ceil(F.col("n") * LINK_PERCENT / 100) + 1
+    alone = F.col("n") - F.size("known")
+    first = F.slice("known", 1, F.greatest(prefix - alone, F.lit(0)).cast("int"))
+    return known.join(marks, "node").select(
+        "node", "n", "comp", *_MARK_COLUMNS, alone.alias("alone"), F.posexplode(first).alias("i", "f")).select(
+        "node", "n", "comp", "f.shingle", (F.col("alone") + F.col("i")).alias("at"), *_MARK_COLUMNS)
+
+
+_MARK_COLUMNS = tuple(f"m{i}" for i in range(MARKS))
+
+
+def _only_in(side: str, other: str) -> Column:
+    """At least so many shingles of one document are missing in the other: marks that only the one has."""
+    out = F.lit(0)
+    for c in _MARK_COLUMNS:
+        out = out + F.bit_count(F.col(side + c).bitwiseAND(F.bitwise_not(F.col(other + c))))
+    return out
+
+
+def _pairs_of_rare(rare: DataFrame) -> DataFrame:
+    """Pairs of different components that share a rare shingle; the largest component of a shingle is not paired with itself."""
+    per = rare.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("k"))
+    top = per.groupBy("shingle").agg(F.max_by("comp", "k").alias("top"), F.count(F.lit(1)).alias("comps"))
+    top = stored(top.where("comps > 1").select("shingle", "top"), "near-top")
+    rare = stored(rare.join(top, "shingle"), "near-rare")
+    other = rare.select("shingle", *(F.col(c).alias(f"p_{c}") for c in ("node", "n", "comp", "at", *_MARK_COLUMNS)))
+    # From the first shingle that two sets share, no more can follow than what is left of either.
+    left = F.least(F.col("n") - F.col("at"), F.col("p_n") - F.col("p_at"), F.col("n") - _only_in("", "p_"), F.col("p_n") - _only_in("p_", ""))
+    enough = (100 + LINK_PERCENT) * left >= LINK_PERCENT * (F.col("n") + F.col("p_n"))
+    return rare.where("comp != top").join(other, "shingle").where(enough & (F.col("comp") != F.col("p_comp")))
+
+
 def near_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, comp): representative of each set as digest, rep, copies; component of each linked representative as node, comp."""
     ids = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
@@ -185,13 +242,10 @@ def near_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     comp = stored(members.select("node", F.col("node").alias("comp")).distinct(), "near-comp")
     tested = None
     for turn in range(PIVOT_ROUNDS + 1):
-        if turn == 0:
-            open_ = members.withColumn("comp", F.col("node"))
-        else:
-            open_ = members.join(comp, "node")
+        open_ = members.join(comp, "node") if turn else members.withColumn("comp", F.col("node"))
+        first = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
         pivots = open_.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            *(F.min_by(c, F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias(f"p_{c}") for c in ("node", "n", "comp")),
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), *(F.min_by(c, first).alias(f"p_{c}") for c in ("node", "n", "comp")),
         ).where("lo != hi").drop("lo", "hi")
         pivots = stored(pivots, f"near-pivots-{turn}")
         if pivots.isEmpty():
@@ -199,10 +253,8 @@ def near_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         if turn < PIVOT_ROUNDS:
             pairs = open_.join(pivots, "key").where("comp != p_comp")
         else:
-            # what is open after all pivots: every pair across components of one bucket
-            other = open_.select("key", *(F.col(c).alias(f"p_{c}") for c in ("node", "n", "comp")))
-            left = open_.join(pivots.select("key"), "key", "left_semi")
-            pairs = left.join(other, "key").where("comp < p_comp")
+            nodes = stored(open_.join(pivots.select("key"), "key", "left_semi").select("node", "n", "comp").distinct(), "near-open")
+            pairs = _pairs_of_rare(_rare_shingles(nodes, sets))
         pairs = pairs.where(100 * F.least("n", "p_n") >= LINK_PERCENT * F.greatest("n", "p_n"))
         pairs = pairs.select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
         if tested is not None:
