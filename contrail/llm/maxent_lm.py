@@ -1,7 +1,7 @@
 """Language-model scores from a hashed maximum-entropy model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class, history). Frequent words
-share classes of 64 by frequency, both factors are softmaxes over sums of
+share classes of 48 by frequency, both factors are softmaxes over sums of
 hashed n-gram and skip features, and one class stands for the rest of the
 vocabulary, whose words keep their add-one unigram probability within it. The
 probabilities of all words and of one unseen word add up to 1.
@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from contrail.llm.common import ASCII_LOWER_WORDS, fold_of, located, split_words, stored, text_bytes, text_slices
 
 #: Classes (the last holds the tail), words of a class, rows of the class and the word weight tables.
-CLASSES, SLOTS, CLASS_ROWS, WORD_ROWS = 32, 64, 1 << 15, 1 << 14
+CLASSES, SLOTS, CLASS_ROWS, WORD_ROWS = 16, 48, 1 << 15, 1 << 14
 HEAD = (CLASSES - 1) * SLOTS
 #: Tokens of a gradient update, step size, rows of a weight table that travel together.
-BATCH, RATE, PIECE = 4096, 0.25, 2048
+BATCH, RATE, PIECE = 8192, 0.25, 2048
 #: Text of a scoring block, and distinct words a counting task holds before it passes them on.
 BLOCK_BYTES, FLUSH = 8 << 20, 300_000
 #: The end of a text as a token: no word is empty.
@@ -131,14 +131,20 @@ def _step(table: np.ndarray, past: np.ndarray, hits: np.ndarray, rows: np.ndarra
     """One gradient update of the rows used, with a step size that shrinks with a row's past gradients."""
     grad = np.exp(_log_softmax(_logits(table, rows)))
     grad[np.arange(len(target)), target] -= 1
-    flat = rows.ravel()
+    if (rows[:, 0] == 0).all():  # the constant of every token: no need to sort it out
+        _move(table, past, hits, np.zeros(1, np.int64), grad.sum(axis=0, keepdims=True), np.array([len(grad)]))
+        rows = rows[:, 1:]
+    flat = rows.ravel().astype(np.uint16)  # tables have fewer rows than that, and short numbers sort fast
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     begins = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-    used = flat[begins]
-    total = np.add.reduceat(grad[order // rows.shape[1]], begins, axis=0)
+    total = np.add.reduceat(grad.take(order // rows.shape[1], axis=0), begins, axis=0)
+    _move(table, past, hits, flat[begins].astype(np.int64), total, np.diff(np.r_[begins, len(flat)]))
+
+
+def _move(table: np.ndarray, past: np.ndarray, hits: np.ndarray, used: np.ndarray, total: np.ndarray, n: np.ndarray) -> None:
     past[used] += (total * total).mean(axis=1)
-    hits[used] += np.diff(np.r_[begins, len(flat)])
+    hits[used] += n
     table[used] -= RATE * total / np.sqrt(past[used] + 1.0)[:, None]
 
 
