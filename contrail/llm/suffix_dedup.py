@@ -33,7 +33,7 @@ from contrail.llm.induced_sort import suffixes
 
 LENGTH, GRAM = 400, 32
 #: Window starts of a band, at each step of splitting.
-WIDTHS = (32, 8, 1)
+WIDTHS = (64, 8, 1)
 #: Different bands of one core that are sorted without splitting, and bands of a shard.
 LARGE_CORE, SHARD_BANDS = 2048, 8192
 _U64 = np.uint64
