@@ -121,15 +121,18 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _logits(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = table[rows[:, 0]]
+    out = table.take(rows[:, 0], axis=0)
     for j in range(1, rows.shape[1]):
-        out += table[rows[:, j]]
+        out += table.take(rows[:, j], axis=0)
     return out
 
 
 def _step(table: np.ndarray, past: np.ndarray, hits: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One gradient update of the rows used, with a step size that shrinks with a row's past gradients."""
-    grad = np.exp(_log_softmax(_logits(table, rows)))
+    grad = _logits(table, rows)
+    grad -= grad.max(axis=1, keepdims=True)
+    np.exp(grad, out=grad)
+    grad /= grad.sum(axis=1, keepdims=True)
     grad[np.arange(len(target)), target] -= 1
     if (rows[:, 0] == 0).all():  # the constant of every token: no need to sort it out
         _move(table, past, hits, np.zeros(1, np.int64), grad.sum(axis=0, keepdims=True), np.array([len(grad)]))
