@@ -346,9 +346,9 @@ ORACLE: dict[str, str] = {
         "FROM detail",
     "clean_to_silver": w(FLIGHTS, CLEAN, """versions AS (
 SELECT id, airline_icao, origin_airport_iata, destination_airport_iata, status_text, on_ground, extract_ts AS time_updated,
-  row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC NULLS LAST, aircraft_model ASC NULLS LAST,
-    airline_name ASC NULLS LAST, historical_flighttime ASC NULLS LAST, on_ground ASC NULLS LAST,
-    destination_airport_iata ASC NULLS LAST, status_text ASC NULLS LAST) AS rn FROM clean)""")
+  row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC NULLS LAST, status_text DESC NULLS LAST,
+    on_ground DESC NULLS LAST, airline_icao DESC NULLS LAST, origin_airport_iata DESC NULLS LAST,
+    destination_airport_iata DESC NULLS LAST) AS rn FROM clean)""")
     + "SELECT * EXCLUDE (rn), TRUE AS is_current, time_updated AS effective_time, CAST(NULL AS TIMESTAMP) AS end_time "
     "FROM versions WHERE rn = 1",
     "current_flights": FC + "SELECT * FROM current_f",
