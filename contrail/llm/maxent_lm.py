@@ -1,10 +1,12 @@
 """Language-model scores from a hashed maximum-entropy model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class, history). Frequent words
-share classes of 48 by frequency, both factors are softmaxes over sums of
-hashed n-gram and skip features, and one class stands for the rest of the
-vocabulary, whose words keep their add-one unigram probability within it. The
-probabilities of all words and of one unseen word add up to 1.
+share classes by frequency, both factors are softmaxes over sums of hashed
+n-gram and skip features. The rest of the vocabulary is dealt to tail classes by
+a hash of the word, so that the history bears on it too; within a tail class a
+word keeps its add-one unigram share. The probabilities of all words and of one
+unseen word in each tail class add up to 1. Classes, named words and feature rows
+grow with the counted vocabulary.
 
 Training is distributed: every task makes stochastic gradient updates over its
 own documents from the same start, and Spark averages the rows of the weight
@@ -16,6 +18,8 @@ never held, collected or broadcast as a whole.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,17 +31,20 @@ from pyspark.sql import functions as F
 
 from contrail.llm.common import ASCII_LOWER_WORDS, fold_of, located, split_words, stored, text_bytes, text_slices
 
-#: Classes (the last holds the tail), words of a class, rows of the class and the word weight tables.
-CLASSES, SLOTS, CLASS_ROWS, WORD_ROWS = 16, 48, 1 << 15, 1 << 14
-HEAD = (CLASSES - 1) * SLOTS
 #: Tokens of a gradient update, step size, rows of a weight table that travel together.
-BATCH, RATE, PIECE = 8192, 0.25, 2048
+BATCH, RATE, PIECE = 4096, 0.25, 2048
+#: Distinct words up to which the model has its least shape; past it each side grows with the fourth root.
+LEAST_SHAPE_WORDS = 400_000
+#: Rows of a run that are summed place by place.
+SHORT = 12
 #: Text of a scoring block, and distinct words a counting task holds before it passes them on.
 BLOCK_BYTES, FLUSH = 8 << 20, 300_000
 #: The end of a text as a token: no word is empty.
 END = b""
 _BEGIN = 0x51ED270B
 _U32 = np.uint32
+#: The rank of every word without a name of its own.
+_TAIL = np.iinfo(np.int64).max
 
 
 def learns_from(col: Column) -> Column:
@@ -45,13 +52,46 @@ def learns_from(col: Column) -> Column:
     return F.coalesce(fold_of(col, 7) != 2, F.lit(True))
 
 
+@dataclass(frozen=True)
+class Shape:
+    """Classes of named words, words of each, tail classes, rows of the class and the word weight tables."""
+
+    own: int = 31
+    slots: int = 64
+    tails: int = 1
+    class_rows: int = 1 << 15
+    word_rows: int = 1 << 14
+
+    @property
+    def named(self) -> int:
+        return self.own * self.slots
+
+    @staticmethod
+    def of(v: int) -> Shape:
+        """The shape for ``v`` distinct words; named words and weights grow with the square root of ``v``."""
+        g = max(1.0, v / LEAST_SHAPE_WORDS) ** 0.25
+        return Shape(math.ceil(31 * g), math.ceil(64 * g), math.ceil(32 * g), math.ceil(g * 16) * PIECE, math.ceil(g * 8) * PIECE)
+
+
 @dataclass
 class Weights:
-    classes: np.ndarray  # CLASS_ROWS x CLASSES
-    words: np.ndarray    # WORD_ROWS x SLOTS
+    classes: np.ndarray  # class_rows x (own + tails)
+    words: np.ndarray    # word_rows x slots
+    tails: int = 1
+
+    @property
+    def own(self) -> int:
+        return self.classes.shape[1] - self.tails
+
+    @property
+    def slots(self) -> int:
+        return self.words.shape[1]
 
     def copy(self) -> Weights:
-        return Weights(self.classes.copy(), self.words.copy())
+        return Weights(self.classes.copy(), self.words.copy(), self.tails)
+
+    def class_of(self, rank: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        return np.where(rank < self.own * self.slots, rank // self.slots, self.own + tail % self.tails)
 
 
 @dataclass
@@ -63,10 +103,15 @@ class Vocabulary:
     v: int        # distinct training tokens
     tail_n: int   # training tokens outside the head
     tail_v: int   # distinct ones
+    shape: Shape = Shape()
+    tail_mass: np.ndarray | None = None  # of each tail class: its words' counts, each plus one, and one unseen word
+
+    def masses(self) -> np.ndarray:
+        return np.array([self.tail_n + self.tail_v + 1.0]) if self.tail_mass is None else self.tail_mass
 
 
 class Tokens:
-    """Token arrays of some texts: rank in the head (HEAD for the tail), hash, and place in the text."""
+    """Token arrays of some texts: rank in the head (_TAIL outside it), hash, tail hash, and place in the text."""
 
     def __init__(self, texts: list[bytes], head: dict[bytes, int], extra: Callable[[list[bytes]], np.ndarray] | None = None):
         words, off = split_words(texts, ASCII_LOWER_WORDS)
@@ -79,8 +124,9 @@ class Tokens:
         inside = np.ones(len(ids), bool)
         inside[ends] = False
         ids[inside] = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-        self.rank = np.array([head.get(w, HEAD) for w in kinds], np.int64)[ids]
+        self.rank = np.array([head.get(w, _TAIL) for w in kinds], np.int64)[ids]
         self.hash = np.array([xxhash.xxh32_intdigest(w) for w in kinds], _U32)[ids]
+        self.tail = np.array([zlib.crc32(w) for w in kinds], np.int64)[ids]
         self.place = np.arange(len(ids)) - np.repeat(ends - self.lengths + 1, self.lengths)
         self.extra = extra(kinds)[ids] if extra else None
 
@@ -102,17 +148,18 @@ def _rows(n: int, *parts: np.ndarray | int) -> np.ndarray:
     return (1 + (x >> _U32(7)) % _U32(n - 1)).astype(np.int64)
 
 
-def class_features(t: Tokens) -> np.ndarray:
+def class_features(t: Tokens, n: int) -> np.ndarray:
     """Rows for P(class | history): constant, previous word, previous two, the one before, and the third before."""
     a, b, c = t.back(1), t.back(2), t.back(3)
-    return np.stack([np.zeros(len(a), np.int64), _rows(CLASS_ROWS, 1, a), _rows(CLASS_ROWS, 2, a, b), _rows(CLASS_ROWS, 3, b), _rows(CLASS_ROWS, 4, c)], axis=1)
+    return np.stack([np.zeros(len(a), np.int64), _rows(n, 1, a), _rows(n, 2, a, b), _rows(n, 3, b), _rows(n, 4, c)], axis=1)
 
 
-def word_features(t: Tokens, own: np.ndarray) -> np.ndarray:
+def word_features(t: Tokens, named: np.ndarray, w: Weights) -> np.ndarray:
     """Rows for P(word | class, history): each class's constant, then class with previous and with skipped word."""
-    a, b = t.back(1)[own], t.back(2)[own]
-    k = t.rank[own] // SLOTS
-    return np.stack([k, CLASSES + _rows(WORD_ROWS - CLASSES, 5, k, a), CLASSES + _rows(WORD_ROWS - CLASSES, 6, k, b)], axis=1)
+    a, b = t.back(1)[named], t.back(2)[named]
+    k = t.rank[named] // w.slots
+    n = len(w.words) - w.own
+    return np.stack([k, w.own + _rows(n, 5, k, a), w.own + _rows(n, 6, k, b)], axis=1)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -137,16 +184,29 @@ def _step(table: np.ndarray, past: np.ndarray, hits: np.ndarray, rows: np.ndarra
     if (rows[:, 0] == 0).all():  # the constant of every token: no need to sort it out
         _move(table, past, hits, np.zeros(1, np.int64), grad.sum(axis=0, keepdims=True), np.array([len(grad)]))
         rows = rows[:, 1:]
-    flat = rows.ravel().astype(np.uint16)  # tables have fewer rows than that, and short numbers sort fast
+    flat = rows.ravel().astype(np.uint16 if len(table) <= 1 << 16 else _U32)  # short numbers sort fast
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     begins = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-    total = np.add.reduceat(grad.take(order // rows.shape[1], axis=0), begins, axis=0)
-    _move(table, past, hits, flat[begins].astype(np.int64), total, np.diff(np.r_[begins, len(flat)]))
+    n = np.diff(np.r_[begins, len(flat)])
+    _move(table, past, hits, flat[begins].astype(np.int64), _sums(grad, order // rows.shape[1], begins, n), n)
+
+
+def _sums(grad: np.ndarray, at: np.ndarray, begins: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``at`` of each run: short runs place by place, which is faster than ``reduceat``, long ones one by one."""
+    total = grad.take(at[begins], axis=0)
+    for j in range(1, SHORT):
+        some = np.flatnonzero((n > j) & (n <= SHORT))
+        if not len(some):
+            break
+        total[some] += grad.take(at[begins[some] + j], axis=0)
+    for i in np.flatnonzero(n > SHORT).tolist():
+        total[i] = grad.take(at[begins[i]:begins[i] + n[i]], axis=0).sum(axis=0)
+    return total
 
 
 def _move(table: np.ndarray, past: np.ndarray, hits: np.ndarray, used: np.ndarray, total: np.ndarray, n: np.ndarray) -> None:
-    past[used] += (total * total).mean(axis=1)
+    past[used] += np.einsum("ij,ij->i", total, total) / total.shape[1]
     hits[used] += n
     table[used] -= RATE * total / np.sqrt(past[used] + 1.0)[:, None]
 
@@ -158,15 +218,16 @@ class Trainer:
         self.hits = [np.zeros(len(t), np.float32) for t in (self.w.classes, self.w.words)]
 
     def learn(self, t: Tokens) -> None:
-        features = class_features(t)
-        own = np.flatnonzero(t.rank < HEAD)
-        words = word_features(t, own)
-        cut = np.searchsorted(own, np.arange(0, len(t.rank) + BATCH, BATCH))
+        features = class_features(t, len(self.w.classes))
+        k = self.w.class_of(t.rank, t.tail)
+        named = np.flatnonzero(k < self.w.own)
+        words = word_features(t, named, self.w)
+        cut = np.searchsorted(named, np.arange(0, len(t.rank) + BATCH, BATCH))
         for i, at in enumerate(range(0, len(t.rank), BATCH)):
-            _step(self.w.classes, self.past[0], self.hits[0], features[at:at + BATCH], np.minimum(t.rank[at:at + BATCH] // SLOTS, CLASSES - 1))
+            _step(self.w.classes, self.past[0], self.hits[0], features[at:at + BATCH], k[at:at + BATCH])
             mine = slice(cut[i], cut[i + 1])
             if mine.start < mine.stop:
-                _step(self.w.words, self.past[1], self.hits[1], words[mine], t.rank[own[mine]] % SLOTS)
+                _step(self.w.words, self.past[1], self.hits[1], words[mine], t.rank[named[mine]] % self.w.slots)
 
 
 def log10_probabilities(w: Weights, t: Tokens, tail_log10: np.ndarray) -> np.ndarray:
@@ -174,13 +235,13 @@ def log10_probabilities(w: Weights, t: Tokens, tail_log10: np.ndarray) -> np.nda
     out = np.empty(len(t.rank))
     for at in range(0, len(t.rank), BATCH):
         part = _part(t, at, min(at + BATCH, len(t.rank)))
-        k = np.minimum(part.rank // SLOTS, CLASSES - 1)
-        lp = _log_softmax(_logits(w.classes, class_features(part)))[np.arange(len(k)), k].astype(np.float64)
-        own = np.flatnonzero(part.rank < HEAD)
-        if len(own):
-            lp[own] += _log_softmax(_logits(w.words, word_features(part, own)))[np.arange(len(own)), part.rank[own] % SLOTS]
+        k = w.class_of(part.rank, part.tail)
+        lp = _log_softmax(_logits(w.classes, class_features(part, len(w.classes))))[np.arange(len(k)), k].astype(np.float64)
+        named = np.flatnonzero(k < w.own)
+        if len(named):
+            lp[named] += _log_softmax(_logits(w.words, word_features(part, named, w)))[np.arange(len(named)), part.rank[named] % w.slots]
         lp /= np.log(10)
-        out[at:at + BATCH] = np.where(part.rank < HEAD, lp, lp + tail_log10[at:at + BATCH])[part.skip:]
+        out[at:at + BATCH] = np.where(k < w.own, lp, lp + tail_log10[at:at + BATCH])[part.skip:]
     return out
 
 
@@ -189,7 +250,7 @@ class _part:  # noqa: N801
 
     def __init__(self, t: Tokens, a: int, b: int):
         self.skip = 0
-        self.rank, self.place = t.rank[a:b], t.place[a:b]
+        self.rank, self.tail, self.place = t.rank[a:b], t.tail[a:b], t.place[a:b]
         self._t, self._a, self._b = t, a, b
 
     def back(self, k: int) -> np.ndarray:
@@ -225,61 +286,84 @@ def _counted(counts: dict[bytes, int]) -> pa.RecordBatch:
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     """Sizes, the frequent words, and their counts by rank (the end of text is always among them)."""
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy((F.col("word") == F.lit(END)).desc(), F.col("c").desc(), "word").limit(HEAD).collect()
+    shape = Shape.of(v)
+    top = counts.orderBy((F.col("word") == F.lit(END)).desc(), F.col("c").desc(), "word").limit(shape.named).collect()
     top.sort(key=lambda r: (-r.c, bytes(r.word)))
     c = np.array([r.c for r in top], np.float64)
     head = {bytes(r.word): i for i, r in enumerate(top)} or {END: 0}
-    return Vocabulary(head, n, v, int(n - c.sum()), v - len(top)), c
+    mass = np.ones(shape.tails)
+    for k, m in counts.groupBy((F.crc32("word") % shape.tails).alias("k")).agg(F.sum(F.col("c") + 1)).collect():
+        mass[k] += m
+    for r in top:
+        mass[zlib.crc32(bytes(r.word)) % shape.tails] -= r.c + 1
+    return Vocabulary(head, n, v, int(n - c.sum()), v - len(top), shape, mass), c
 
 
 def start_weights(vocab: Vocabulary, counts: np.ndarray) -> Weights:
     """Zero but for the constants, which hold the unigram distribution; slots without a word are shut."""
-    full = np.zeros(HEAD)
+    shape, masses = vocab.shape, vocab.masses()
+    full = np.zeros(shape.named)
     full[:len(counts)] = counts
-    by_class = np.r_[full.reshape(-1, SLOTS).sum(axis=1), vocab.tail_n + vocab.tail_v + 1]
-    w = Weights(np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, SLOTS), np.float32))
+    slots = full.reshape(-1, shape.slots)
+    by_class = np.r_[slots.sum(axis=1), masses]
+    w = Weights(np.zeros((shape.class_rows, len(by_class)), np.float32), np.zeros((shape.word_rows, shape.slots), np.float32), len(masses))
     w.classes[0] = np.log(by_class + 1e-9) - np.log(by_class.sum() + 1e-9)
-    slots = full.reshape(-1, SLOTS)
-    w.words[:CLASSES - 1] = np.where(np.arange(HEAD).reshape(-1, SLOTS) < len(vocab.head), np.log(slots + 0.5), -1e4)
+    w.words[:shape.own] = np.where(np.arange(shape.named).reshape(-1, shape.slots) < len(vocab.head), np.log(slots + 0.5), -1e4)
     return w
 
 
-def train(docs: DataFrame, vocab: Vocabulary, start: Weights) -> Weights:
-    """One distributed round of gradient updates over all documents."""
+def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray) -> Weights:
+    """One distributed round of gradient updates over all documents; only rows that a task has updated travel."""
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((vocab.head, start))
+    shared = sc.broadcast((vocab, counts))
+    out = start_weights(vocab, counts)
+    stride = len(out.classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, first = shared.value
+        vocab, counts = shared.value
         trainer = None
         for part in text_slices(batches):
-            trainer = trainer or Trainer(first)
-            trainer.learn(Tokens(text_bytes(part.column("text")), head))
+            trainer = trainer or Trainer(start_weights(vocab, counts))
+            trainer.learn(Tokens(text_bytes(part.column("text")), vocab.head))
         if trainer:
+            first = start_weights(vocab, counts)
             for k, (new, old, hits) in enumerate(zip(_tables(trainer.w), _tables(first), trainer.hits, strict=True)):
                 for at in range(0, len(new), PIECE):
                     h = hits[at:at + PIECE]
-                    moved = (new[at:at + PIECE] - old[at:at + PIECE]) * h[:, None]
+                    used = np.flatnonzero(h)
+                    if not len(used):
+                        continue
+                    moved = (new[at + used] - old[at + used]) * h[used, None]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([k * CLASS_ROWS + at], pa.int64()), pa.array([moved.astype("<f4").tobytes()], pa.binary()), pa.array([h.tobytes()], pa.binary())],
+                        [pa.array([k * stride + at], pa.int64()), pa.array([moved.astype("<f4").tobytes()], pa.binary()), pa.array([h.tobytes()], pa.binary())],
                         ["piece", "moved", "hits"])
 
     def add(key: tuple, rows: pa.Table) -> pa.Table:
-        moved = hits = 0
+        hits = np.zeros(PIECE)
+        moved = None
         for m, h in zip(rows.column("moved").to_pylist(), rows.column("hits").to_pylist(), strict=True):
-            moved, hits = moved + np.frombuffer(m, "<f4").astype(np.float64), hits + np.frombuffer(h, "<f4").astype(np.float64)
-        return pa.table({"piece": [key[0].as_py()], "moved": [moved.astype("<f4").tobytes()], "hits": [hits.astype("<f4").tobytes()]})
+            h = np.frombuffer(h, "<f4")
+            used = np.flatnonzero(h)
+            m = np.frombuffer(m, "<f4").reshape(len(used), -1)
+            if moved is None:
+                moved = np.zeros((PIECE, m.shape[1]))
+            moved[used] += m
+            hits += h
+        return pa.table({"piece": [key[0].as_py()], "moved": [moved[hits > 0].astype("<f4").tobytes()], "hits": [hits.astype("<f4").tobytes()]})
 
     schema = "piece long, moved binary, hits binary"
-    # two steps, so that no task adds up the pieces of every other task
-    parts = docs.select("text").mapInArrow(run, schema).withColumn("lane", F.spark_partition_id() % 32)
+    # two steps, so that no task adds up the pieces of every other task, with few partial sums for few tasks
+    # and a task for each core, however many files there are: each sends the rows it has updated just once
+    tasks = max(1, min(docs.rdd.getNumPartitions(), sc.defaultParallelism))
+    lanes = max(1, math.isqrt(tasks))
+    parts = docs.select("text").coalesce(tasks).mapInArrow(run, schema).withColumn("lane", F.spark_partition_id() % lanes)
     partial = parts.groupBy("piece", "lane").applyInArrow(add, schema)
-    out = start.copy()
     for row in partial.groupBy("piece").applyInArrow(add, schema).collect():
-        k, at = divmod(row.piece, CLASS_ROWS)
+        k, at = divmod(row.piece, stride)
         table = _tables(out)[k]
-        h = np.frombuffer(row.hits, "<f4")[:, None]
-        table[at:at + PIECE] += np.frombuffer(row.moved, "<f4").reshape(-1, table.shape[1]) / np.maximum(h, 1)
+        h = np.frombuffer(row.hits, "<f4")
+        used = np.flatnonzero(h)
+        table[at + used] += np.frombuffer(row.moved, "<f4").reshape(len(used), -1) / h[used, None]
     return out
 
 
@@ -331,11 +415,11 @@ def score_documents(docs: DataFrame, trains: Callable[[Column], Column] = learns
     taught = docs.where(trains(F.col("doc_id")))
     counts = stored(word_counts(taught), "lm-counts")
     vocab, top = vocabulary(counts)
-    weights = train(taught, vocab, start_weights(vocab, top))
+    weights = train(taught, vocab, top)
     shared = docs.sparkSession.sparkContext.broadcast((vocab, weights))
     ends = vocab.head.get(END)
     end_count = int(top[ends]) if ends is not None and len(top) else 0
-    known = stored(block_words(docs), "lm-block-words").join(counts, "word").select("block", "word", "c")
+    known = block_words(docs).join(counts, "word").select("block", "word", "c")
 
     def run(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
         vocab, weights = shared.value
@@ -344,7 +428,7 @@ def score_documents(docs: DataFrame, trains: Callable[[Column], Column] = learns
         out = []
         for part in text_slices(texts.combine_chunks().to_batches()):
             t = Tokens(text_bytes(part.column("text")), vocab.head, lambda kinds: np.array([c.get(w, 0) for w in kinds], np.float64))
-            tail = np.log10((t.extra + 1) / (vocab.tail_n + vocab.tail_v + 1))
+            tail = np.log10((t.extra + 1) / vocab.masses()[t.tail % weights.tails])
             begins = np.cumsum(t.lengths) - t.lengths
             base = np.log10((t.extra + 1) / (vocab.n + vocab.v + 1))
             out.append(pa.RecordBatch.from_arrays(

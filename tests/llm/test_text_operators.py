@@ -287,3 +287,37 @@ def test_language_model_probabilities_add_up():
         tail = np.full(len(t.rank), np.log10((c + 1) / (vocab.tail_n + vocab.tail_v + 1)))
         total += 10 ** maxent_lm.log10_probabilities(tr.w, t, tail)[at]
     assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_language_model_grows_with_the_vocabulary():
+    small, large = maxent_lm.Shape.of(1000), maxent_lm.Shape.of(100_000_000)
+    assert small.named >= 1984 and small.tails > 1 and maxent_lm.BATCH <= 4096
+    assert all(getattr(large, f) > 3 * getattr(small, f) for f in ("own", "slots", "tails", "class_rows", "word_rows"))
+    assert large.class_rows % maxent_lm.PIECE == 0 and large.class_rows > large.word_rows > large.own
+
+
+def test_language_model_history_bears_on_tail_words():
+    import zlib
+
+    import numpy as np
+
+    shape = maxent_lm.Shape(tails=4)
+    words = {w: 10 for w in (b"t1", b"t2", b"t3", b"t4", b"t5", b"t6")}
+    one = next(w for w in words if zlib.crc32(w) % 4 != zlib.crc32(b"t1") % 4)
+    mass = np.ones(4)
+    for w, c in words.items():
+        mass[zlib.crc32(w) % 4] += c + 1
+    vocab = maxent_lm.Vocabulary({b"": 0, b"a": 1, b"b": 2}, 120, 9, 60, 6, shape, mass)
+    tr = maxent_lm.Trainer(maxent_lm.start_weights(vocab, np.array([20.0, 20.0, 20.0])))
+    for _ in range(30):
+        tr.learn(maxent_lm.Tokens([b"a t1", b"b " + one], vocab.head))
+
+    def p(text, word, c):
+        t = maxent_lm.Tokens([text + b" " + word], vocab.head)
+        return 10 ** maxent_lm.log10_probabilities(tr.w, t, np.log10((c + 1) / mass[t.tail % 4]))[1]
+    assert p(b"a", b"t1", 10) > 2 * p(b"b", b"t1", 10)
+    unseen = {}
+    for i in range(40):
+        unseen.setdefault(zlib.crc32(b"u%d" % i) % 4, b"u%d" % i)
+    everything = [(b"", 0), (b"a", 0), (b"b", 0), *words.items(), *((w, 0) for w in unseen.values())]
+    assert sum(p(b"a", w, c) for w, c in everything) == pytest.approx(1, abs=1e-4)
