@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import id_text, stored, text_slices, utf8, without_ids
+from contrail.llm.common import id_text, stored, text_slices, utf8
 
 #: Chunks have 2 KiB on average and lie between these bounds (the last may be shorter).
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 512, 16384, 11
@@ -119,5 +119,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``exact_groups`` keeps."""
-    return without_ids(docs, exact_groups(docs).where(~F.col("kept")).select("doc_id").distinct())
+    """The rows of ``docs``, all columns, that ``exact_groups`` keeps.
+
+    Each row is judged by its id and its text: a copy takes no other text of the
+    same id with it. Of rows with a null id those go whose text a numbered row has.
+    """
+    gone = exact_groups(docs).where(~F.col("kept")).select("doc_id", "text_sha256").distinct()
+    sha = F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"), 256)
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (sha == gone["text_sha256"]), "left_anti")

@@ -59,6 +59,13 @@ def test_drop_copies_keeps_columns(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted(r[0] for r in exact_brute(corpus()) if r[3])
 
 
+@pytest.mark.parametrize("rows", [EDGES, [(1, "one"), (1, "two"), (2, "one")], [(None, "a"), (None, "a"), (None, "b"), (3, "b")]])
+def test_drop_copies_decides_by_row(spark, rows):
+    left = drop_copies(with_clashes(docs_frame(spark, rows))).collect()
+    want = Counter((r[0], r[4]) for r in exact_brute(rows) if r[3])
+    assert Counter((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in left) == want
+
+
 def test_chunks_follow_content():
     rng = random.Random(3)
     body = prose(rng, 6000).encode()
