@@ -1,9 +1,11 @@
 """Main text of web pages by consensus host paths.
 
-Every page is read into containers; a container scores by the running text that
-stands in it, links discounted. Pages of one host share templates, so each page
-votes for the generalised tag-class paths of its best containers, Spark sums the
-votes per host, and the pages are extracted again with their host's winning path.
+Every page is read into containers; a container scores by all the running text
+inside it, links discounted. A page's own container is found from the element with
+most text: its outermost article or main, or else what it climbs to while more text
+with few links or a headline comes in. Pages of one host share templates, so each
+page votes for the generalised tag-class paths on that climb, Spark sums the votes
+per host, and the pages are extracted again with their host's winning path.
 A page without that path (or with next to nothing there) uses its own best one.
 """
 
@@ -50,13 +52,19 @@ ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 #: Containers a page votes for, and the share of its best score below which the host's path doesn't count.
 VOTES, LEAST_SHARE = 3, 0.2
+#: A climb takes in a parent whose added text has at most this share in links, and a headline or at least that share of new text.
+MOST_LINKED, LEAST_ADDED = 0.3, 0.1
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: A class that says a page has or lacks a sidebar is no sidebar: what follows these words marks nothing.
+LAYOUT = frozenset("has no with without".split())
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "dropped", "score", "inside")
+    __slots__ = ("tag", "path", "parent", "dropped", "shut", "score", "direct", "chars", "linked", "heads", "inside", "in_article")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
-        self.tag, self.parent, self.score = tag, parent, 0.0
+        self.tag, self.parent, self.score, self.direct = tag, parent, 0.0, 0.0
+        self.chars = self.linked = self.heads = 0
         names, hidden = "", False
         marks: set[str] = set()
         if attrs and "=" in attrs or "hidden" in attrs:
@@ -67,6 +75,7 @@ class Node:
                 elif key != "aria-hidden":
                     for name in value.split():
                         parts = [w.lower() for w in WORD.findall(name)]
+                        parts = parts[:next((i for i, w in enumerate(parts) if w in LAYOUT), len(parts))]
                         marks.update(parts)
                         marks.add("".join(parts))
                     if key == "class":
@@ -76,7 +85,11 @@ class Node:
         self.inside = bool(parent and parent.inside) or tag in ("article", "main")
         header = not self.inside and (tag == "header" or bool(marks & PAGE_HEADER))
         keep = tag in ("html", "body", "article", "main")
-        self.dropped = bool(parent and parent.dropped) or hidden or tag in DROPPED or header or not keep and (
+        # elements and hidden parts shut all that is inside; a wrapper's class doesn't take an outermost article or main with it
+        self.shut = bool(parent and parent.shut) or hidden or tag in DROPPED or tag == "header" and not self.inside
+        wrapped = bool(parent and parent.dropped) and (tag not in ("article", "main") or parent.in_article)
+        self.in_article = bool(parent and parent.in_article) or tag == "article"
+        self.dropped = self.shut or wrapped or header or not keep and (
             not marks.isdisjoint(_EXACT) or any(m.startswith(_PREFIX) for m in marks)) or (
             tag == "article" and not marks.isdisjoint(("comment", "comments", "reply", "ad", "advert", "promo", "related", "sponsored", "teaser")))
 
@@ -97,12 +110,17 @@ def blocks_of(html: str) -> tuple[list[tuple[str, Node]], list[Node]]:
             here = next(n for n in reversed(stack) if n.tag not in INLINE)
             blocks.append((block, here))
             gain = max(0.0, len(block) - 2.0 * linked)
-            if not here.dropped and gain:
+            if not here.dropped:
                 # a paragraph speaks for what holds it, other text for its own element
-                up = here.parent if here.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "td", "blockquote") and here.parent else here
-                up.score += gain
-                if up.parent and up.tag not in ("article", "main"):
-                    up.parent.score += gain / 2
+                up = here.parent if here.tag in (*HEADINGS, "p", "li", "pre", "td", "blockquote") and here.parent else here
+                up.direct += gain
+                head = here.tag in HEADINGS and bool(gain)
+                while up:
+                    up.score += gain
+                    up.chars += len(block)
+                    up.linked += linked
+                    up.heads += head
+                    up = up.parent
         linked = 0
 
     for m in TOKEN.finditer(html):
@@ -150,15 +168,30 @@ def blocks_of(html: str) -> tuple[list[tuple[str, Node]], list[Node]]:
     return blocks, nodes
 
 
+def climb(nodes: list[Node]) -> list[Node]:
+    """Containers from the element with most text of its own up to the one that holds the page's main text."""
+    node = max(nodes, key=lambda n: n.direct)
+    line, chain = [node], []
+    up = node
+    while up:
+        chain.append(up)
+        up = up.parent
+    whole = [n for n in chain if n.tag in ("article", "main")]
+    if whole:
+        return [n for n in chain[:chain.index(whole[-1]) + 1] if n.score]
+    for up in chain[1:]:
+        here = line[-1]
+        added = up.chars - here.chars
+        if added > 0 and up.linked - here.linked <= MOST_LINKED * added and (up.heads > here.heads or added >= LEAST_ADDED * here.chars):
+            line.append(up)
+    return line
+
+
 def votes(html: str) -> list[tuple[str, float]]:
-    """Paths of the page's best containers with their share of the best score."""
+    """Paths of the page's own container and the last ones on the climb to it, with their share of its score."""
     _, nodes = blocks_of(html)
-    by_path: dict[str, float] = {}
-    for n in nodes:
-        if n.score:
-            by_path[n.path] = by_path.get(n.path, 0) + n.score
-    best = sorted(by_path.items(), key=lambda x: (-x[1], x[0]))[:VOTES]
-    return [(path, score / best[0][1]) for path, score in best]
+    line = [n for n in climb(nodes) if n.score]
+    return list({n.path: n.score / line[-1].score for n in line[-VOTES:]}.items())
 
 
 def main_text(html: str, host_path: str | None) -> str:
@@ -167,7 +200,8 @@ def main_text(html: str, host_path: str | None) -> str:
     by_path: dict[str, float] = {}
     for n in nodes:
         by_path[n.path] = by_path.get(n.path, 0) + n.score
-    own = min(by_path, key=lambda p: (-by_path[p], p))
+    own = climb(nodes)
+    own = own[-1].path if own else ""
     if not by_path[own]:
         return ""
     path = host_path if by_path.get(host_path, 0) >= LEAST_SHARE * by_path[own] else own

@@ -229,6 +229,27 @@ def test_pages(spark):
     assert host_paths.extract_main_text(pages.limit(0)).collect() == []
 
 
+LONG = "Running text of the article, with words enough to count. " * 18
+LAYOUTS = [
+    ("<article><h1>Title</h1><div class=entry-content><p>{0}</p></div></article>", ["Title", LONG]),
+    ("<div class=post><h1>Title</h1><div class=entry-content><p>{0}</p></div></div>", ["Title", LONG]),
+    ("<article><div class=lead><p>Lead. {1}</p></div><div class=body><p>{0}</p></div></article>", ["Lead. " + LONG[:200], LONG]),
+    ("<article><p>First. {1}</p><ul><li>One. {0}</li></ul></article>", ["First. " + LONG[:200], "One. " + LONG]),
+    ("<div class='has-sidebar'><div class='content-with-sidebar no-comments'><p>{0}</p></div></div>", [LONG]),
+    ("<div class='sidebar-layout'><main><p>{0}</p></main></div>", [LONG]),
+    ("<div class='widget'><article><p>{0}</p></article></div>", [LONG]),
+]
+
+
+@pytest.mark.parametrize(("html", "want"), LAYOUTS)
+def test_main_text_takes_every_part(html, want):
+    page = "<html><body><nav><a href=/>Home page</a></nav>" + html.format(LONG, LONG[:200]) + (
+        "<div class=sidebar><p>Beside the text.</p></div><div><a href=/x>Other pages of this site</a></div></body></html>")
+    path = max(host_paths.votes(page), key=lambda v: v[1])[0]
+    for p in (None, path):
+        assert host_paths.main_text(page, p) == "\n".join(" ".join(w.split()) for w in want)
+
+
 # ---- language model ------------------------------------------------------------------
 
 def fold7(i):
