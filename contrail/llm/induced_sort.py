@@ -1,11 +1,11 @@
-"""External suffix sorting by induction, with common-prefix lengths.
+"""Suffix sorting by induction with spilling queues, and with common-prefix lengths.
 
 Suffixes are sorted by recursive induced sorting: the suffixes that start at a
 left-most smaller symbol are named by their substrings and sorted recursively
 where names repeat, then all other suffixes are induced from them in two scans.
 The scans read from a priority queue over symbols. Entries for symbols far
-from the scan wait in buffers that spill to disk; only the stretch of symbols
-being scanned is in memory. Every entry carries its suffix and the length of its
+from the scan wait in buffers that spill to disk. Symbols, names and the result of
+the recursion are in memory, so the caller bounds the text. Every entry carries its suffix and the length of its
 common prefix with its neighbour, and an induced neighbour's length follows from
 the smallest length scanned in between.
 """

@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by external suffix sorting.
+"""Removal of repeated byte strings by suffix sorting in shards bounded to memory.
 
 A byte goes when a string of 400 bytes covers it that also starts anywhere else.
 
@@ -14,7 +14,8 @@ core becomes one symbol between the bytes of its edges, and the suffixes of all
 bands are sorted by recursive induction with disk-backed queues
 (``induced_sort``): a window is repeated when it shares its whole length with a
 neighbour. A core with very many different bands is first split into
-finer bands, down to single windows, so that no shard depends on one core.
+finer bands, down to single windows, so that no shard depends on one core; single
+windows are decided by folding alone.
 """
 
 from __future__ import annotations
