@@ -15,7 +15,10 @@ from contrail.llm.maxent_lm import score_documents
 from contrail.llm.pii_bootstrap import find_personal_data
 from contrail.llm.quality_knn import score_quality
 from contrail.llm.secret_scan import scan_secrets
+from contrail.llm.simhash_blocks import simhash_duplicates
+from contrail.llm.spelling_trie import spelling_variants
 from contrail.llm.suffix_dedup import remove_repeats
+from contrail.llm.token_alignment import align_documents
 from contrail.llm.wu_manber import decontaminate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +31,13 @@ def byte_bpe_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def alignment_files() -> tuple[str, str]:
+    """Paths of the byte-level vocabulary and of the sentencepiece model that are aligned."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -69,9 +79,21 @@ def op10_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(read_table(spark, sf_dir, "documents"), *alignment_files())
+
+
+def op12_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_knn, op2_maxent_lm, op3_pii_bootstrap, op4_chunk_dedup, op5_host_paths, op6_suffix_dedup, op7_byte_bpe,
-    op8_secret_scan, op9_circulant_minhash, op10_wu_manber)}
+    op8_secret_scan, op9_circulant_minhash, op10_wu_manber, op11_token_alignment, op12_simhash_blocks, op13_spelling_trie)}
 
 # DuckDB SQL over the whole tables, where SQL can express the result.
 ORACLE: dict[str, str] = {
