@@ -18,6 +18,8 @@ once a block, and links themselves never travel.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +31,26 @@ from pyspark.sql import functions as F
 
 from contrail.llm.common import id_text, stored, text_slices
 
-#: Text bytes of a block (one row at least), and of the texts that are tokenized at once.
-BLOCK_BYTES, ENCODE_BYTES = 4 << 20, 1 << 18
-#: An id pair as one number: B's id in the low bits.
-B_BITS = 32
+#: Text bytes of a block (one row at least), and of the texts that are encoded and aligned at once.
+BLOCK_BYTES, PIECE_BYTES = 4 << 20, 1 << 19
+#: An id pair as one number: B's id in the low bits. A document's place and a byte offset in it likewise.
+B_BITS, END_BITS = 32, 40
+#: A's tokens by ranks take quadratic time in one pre-token; texts with a run of so many characters of a kind go by merges.
+LONG_RUN = 4000
+_LONG = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
+
+
+class Spelling:
+    """The bytes of every token of a vocabulary, for joining the tokens of many texts at once."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(x) for x in tokens], np.int64)
+        self.start = self.size.cumsum() - self.size
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        size = self.size[ids]
+        return self.data[np.repeat(self.start[ids] - (size.cumsum() - size), size) + np.arange(size.sum())]
 
 
 class Tokenizers:
@@ -40,32 +58,50 @@ class Tokenizers:
 
     def __init__(self, a_json: str, b_model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_str(a_json)
-        self.a.encode_special_tokens = True
+        self.a_json, self.by_merges = a_json, None
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        model = json.loads(a_json)["model"]
         known = byte_letters()
-        entries = {i: e for e, i in self.a.get_vocab(with_added_tokens=False).items()}
-        self.a_bytes = [bytes(map(known.__getitem__, entries[i])) if set(entries.get(i, "")) <= known.keys() and i in entries else b""
-                        for i in range(max(entries) + 1)]
-        self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        entries = {i: bytes(map(known.__getitem__, e)) for e, i in model["vocab"].items() if set(e) <= known.keys()}
+        self.a_spelling = Spelling([entries.get(i, b"") for i in range(max(model["vocab"].values()) + 1)])
+        self.b_spelling = Spelling([self._piece(i) for i in range(self.b.get_piece_size())])
+        # merges in the order of their tokens' ids say the same as the ids taken as ranks, which is the quicker way
+        made = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+        self.by_ranks = None
+        if made == sorted(made) and 256 + len(made) == len(set(made) | {i for i, e in entries.items() if len(e) == 1}):
+            ranks = {entries[i]: i for i in {*made, *(i for i, e in entries.items() if len(e) == 1)}}
+            self.by_ranks = tiktoken.Encoding("a", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for each text, none where the joined bytes of either aren't those of a space and the text."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for i, t in enumerate(texts):
-            want = b" " + t.encode()
-            if not t or b"".join(map(self.a_bytes.__getitem__, a[i])) != want or b"".join(map(self.b_bytes.__getitem__, b[i])) != want:
-                a[i], b[i] = [], []
-        return a, b
+    def encode_a(self, text: str) -> np.ndarray:
+        if self.by_ranks is not None and not (len(text) >= LONG_RUN and _LONG.search(text)):
+            return self.by_ranks.encode_to_numpy(text)
+        if self.by_merges is None:
+            from tokenizers import Tokenizer
+            self.by_merges = Tokenizer.from_str(self.a_json)
+            self.by_merges.encode_special_tokens = True
+        return np.array(self.by_merges.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
+        """List columns of both sides' ids, empty where the joined bytes of either aren't those of a space and the text."""
+        a = [self.encode_a(" " + t) if t else np.zeros(0, np.uint32) for t in texts]
+        b = [np.array(x, np.int32) for x in self.b.encode(texts, num_threads=1)]
+        good = np.ones(len(texts), bool)
+        for ids, spelling in ((a, self.a_spelling), (b, self.b_spelling)):
+            n = np.r_[0, np.cumsum([len(x) for x in ids])]
+            flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int64)
+            joined, upto = spelling.spell(flat), np.r_[0, spelling.size[flat].cumsum()][n]
+            good &= [joined[x:y].tobytes() == b" " + t.encode() for t, x, y in zip(texts, upto[:-1], upto[1:], strict=True)]
+        return _lists(a, good), _lists(b, good)
+
+
+#: Fixed value: how the byte-level vocabulary's library splits a text before its merges.
+PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_letters() -> dict[str, int]:
@@ -75,6 +111,12 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+def _lists(ids: list[np.ndarray], good: np.ndarray) -> pa.ListArray:
+    ids = [x if ok else x[:0] for x, ok in zip(ids, good, strict=True)]
+    off = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)))
+
+
 _READY: dict[str, Tokenizers] = {}
 
 
@@ -87,40 +129,24 @@ def worker_tokenizers(a_json: str, b_model: bytes) -> Tokenizers:
     return _READY[key]
 
 
-def _encoded(both: Tokenizers, texts: list[str]) -> tuple[pa.Array, pa.Array]:
-    """List columns of ids of both tokenizers, the texts taken in bounded pieces."""
-    a_parts, b_parts, at = [], [], 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= ENCODE_BYTES):
-            size += len(texts[end])
-            end += 1
-        a, b = both.encode(texts[at:end])
-        a_parts.append(pa.array(a, pa.list_(pa.int32())))
-        b_parts.append(pa.array(b, pa.list_(pa.int32())))
-        at = end
-    kind = pa.list_(pa.int32())
-    return pa.chunked_array(a_parts, kind).combine_chunks(), pa.chunked_array(b_parts, kind).combine_chunks()
-
-
-def _tokens(ids: pa.Array, size: np.ndarray, side: str) -> pa.Table:
-    """One row per token: doc, end (bytes from the document's start) and the token's place in the slice."""
-    flat, doc = pc.list_flatten(ids), pc.list_parent_indices(ids)
+def _tokens(ids: pa.ListArray, size: np.ndarray, side: str) -> pa.Table:
+    """One row per token: its document and end there as one key, and its place among all tokens."""
+    flat, doc = pc.list_flatten(ids), pc.list_parent_indices(ids).to_numpy().astype(np.int64)
     run = pc.cumulative_sum(pa.array(size[flat.to_numpy()], pa.int64())).to_numpy()
     # what had run up before the document's first token is taken off
-    first = pc.list_value_length(ids).to_numpy().cumsum() - pc.list_value_length(ids).to_numpy()
-    before = np.r_[0, run][first]
-    return pa.table({"doc": doc, "end": run - before[doc.to_numpy()], side: np.arange(len(flat), dtype=np.int64)})
+    n = pc.list_value_length(ids).to_numpy().astype(np.int64)
+    before = np.r_[0, run][n.cumsum() - n]
+    return pa.table({"key": doc << END_BITS | run - before[doc], side: np.arange(len(flat), dtype=np.int64)})
 
 
-def align(a_ids: pa.Array, b_ids: pa.Array, a_size: np.ndarray, b_size: np.ndarray) -> pa.Table:
-    """One row per link in text order: doc, a and b (places of the tokens in the slice), both (A and B end here)."""
+def align(a_ids: pa.ListArray, b_ids: pa.ListArray, a_size: np.ndarray, b_size: np.ndarray) -> pa.Table:
+    """One row per link in text order: doc, a and b (places of the tokens among all), both (A and B end here)."""
     a, b = _tokens(a_ids, a_size, "a"), _tokens(b_ids, b_size, "b")
-    met = a.join(b, ["doc", "end"], join_type="full outer", use_threads=False).combine_chunks()
-    met = met.take(pc.sort_indices(met, [("doc", "ascending"), ("end", "ascending")]))
+    met = a.join(b, "key", join_type="full outer", use_threads=False).combine_chunks()
+    met = met.take(pa.array(np.argsort(met["key"].to_numpy(), kind="stable")))
     both = pc.and_(pc.is_valid(met["a"]), pc.is_valid(met["b"]))
     # at an end of one side the other side's token is the next to end
-    return pa.table({"doc": met["doc"], "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]), "both": both})
+    return pa.table({"doc": met["key"].to_numpy() >> END_BITS, "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]), "both": both})
 
 
 def group_digests(a_ids: pa.Array, b_ids: pa.Array, links: pa.Table) -> list[str]:
@@ -152,30 +178,36 @@ _BLOCKS = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links
            "codes binary, pairs array<long>, counts array<long>")
 
 
+_BLOCK_SCHEMA = pa.schema([
+    ("block", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
+    ("groups_sha256", pa.string()), ("codes", pa.binary()), ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+
+
+def _aligned(part: pa.RecordBatch, both: Tokenizers) -> tuple[list[pa.Array], np.ndarray]:
+    """n_a, n_b, n_groups, n_links, digest of each row, and the id pair of every link in order."""
+    a_ids, b_ids = both.encode(pc.fill_null(part.column("text"), "").to_pylist())
+    links = align(a_ids, b_ids, both.a_spelling.size, both.b_spelling.size)
+    a, b = pc.list_flatten(a_ids).to_numpy().astype(np.int64), pc.list_flatten(b_ids).to_numpy().astype(np.int64)
+    doc, n = links["doc"].to_numpy(), part.num_rows
+    rows = [pc.list_value_length(a_ids), pc.list_value_length(b_ids), pa.array(np.bincount(doc[links["both"].to_numpy()], minlength=n)),
+            pa.array(np.bincount(doc, minlength=n)), pa.array(group_digests(a_ids, b_ids, links), pa.string())]
+    return rows, a[links["a"].to_numpy()] << B_BITS | b[links["b"].to_numpy()]
+
+
 def _block_rows(part: pa.RecordBatch, block: int, both: Tokenizers) -> tuple[pa.RecordBatch, pa.RecordBatch]:
     """The rows of a block's documents, and the one row of its distinct pairs with their counts."""
-    a_ids, b_ids = _encoded(both, pc.fill_null(part.column("text"), "").to_pylist())
-    links = align(a_ids, b_ids, both.a_size, both.b_size)
-    a, b = pc.list_flatten(a_ids).to_numpy().astype(np.int64), pc.list_flatten(b_ids).to_numpy().astype(np.int64)
-    pair = pa.array((a[links["a"].to_numpy()] << B_BITS) | b[links["b"].to_numpy()])
+    done = [_aligned(piece, both) for piece in text_slices(iter([part]), PIECE_BYTES)]
+    pair = pa.array(np.concatenate([p for _, p in done]))
     counted = pa.table({"pair": pair}).group_by("pair", use_threads=False).aggregate([([], "count_all")]).combine_chunks()
-    n, doc = part.num_rows, links["doc"].to_numpy()
-    n_links = np.bincount(doc, minlength=n)
-    n_groups = np.bincount(doc[links["both"].to_numpy()], minlength=n)
     # a document's links, as places in the block's list of pairs
     codes = pc.index_in(pair, counted["pair"].combine_chunks()).to_numpy().astype(np.int32)
-    at = np.r_[0, n_links.cumsum()]
-    sha = group_digests(a_ids, b_ids, links)
-    schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
-                        ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("codes", pa.binary()),
-                        ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
-    none = pa.nulls(n)
-    rows = [pa.array([block] * n), part.column("doc_id"), pc.list_value_length(a_ids), pc.list_value_length(b_ids), pa.array(n_groups),
-            pa.array(n_links), pa.array(sha, pa.string()), pa.array([codes[at[i]:at[i + 1]].tobytes() for i in range(n)], pa.binary()), none, none]
-    rows = pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(rows, schema, strict=True)], schema=schema)
+    columns = [pa.concat_arrays([rows[i].cast(_BLOCK_SCHEMA.field(i + 2).type) for rows, _ in done]) for i in range(5)]
+    at, n = np.r_[0, columns[3].to_numpy().cumsum()], part.num_rows
+    codes = pa.array([codes[at[i]:at[i + 1]].tobytes() for i in range(n)], pa.binary())
+    rows = [pa.array([block] * n, pa.int64()), part.column("doc_id"), *columns, codes, *(pa.nulls(n, f.type) for f in list(_BLOCK_SCHEMA)[-2:])]
     lists = {"block": [block], "pairs": [counted["pair"].to_numpy()], "counts": [counted["count_all"].to_numpy()]}
-    listed = pa.RecordBatch.from_arrays([pa.array(lists.get(f.name, [None]), f.type) for f in schema], schema=schema)
-    return rows, listed
+    listed = [pa.array(lists.get(f.name, [None]), f.type) for f in _BLOCK_SCHEMA]
+    return pa.RecordBatch.from_arrays(rows, schema=_BLOCK_SCHEMA), pa.RecordBatch.from_arrays(listed, schema=_BLOCK_SCHEMA)
 
 
 def blocks(docs: DataFrame, a_json: str, b_model: bytes) -> DataFrame:

@@ -69,7 +69,7 @@ def test_align_documents(spark, rows):
 def test_align_documents_over_many_blocks(spark, monkeypatch):
     rows = some_prose(2, 80)
     monkeypatch.setattr(token_alignment, "BLOCK_BYTES", 2000)
-    monkeypatch.setattr(token_alignment, "ENCODE_BYTES", 500)
+    monkeypatch.setattr(token_alignment, "PIECE_BYTES", 500)
     got = align_documents(docs_frame(spark, rows).repartition(5), *alignment_files()).collect()
     assert Counter(map(tuple, got)) == align_brute(rows)
 
@@ -80,6 +80,21 @@ def test_align_long_texts(spark):
     assert Counter(map(tuple, got)) == align_brute(rows)
 
 
+def test_ranks_encode_as_merges_do():
+    """Every code point in places where the splitting pattern looks at its class, and runs on both sides of the switch."""
+    from tokenizers import Tokenizer
+    a_path, b_path = alignment_files()
+    both = token_alignment.Tokenizers(open(a_path).read(), open(b_path, "rb").read())
+    merges = Tokenizer.from_file(a_path)
+    merges.encode_special_tokens = True
+    assert both.by_ranks is not None
+    texts = [" " + "".join(f"a{c}a1{c}1.{c}. {c}{c} x{c}\n" for c in map(chr, range(lo, lo + 256)))
+             for lo in range(0, 0x110000, 256) if not 0xD800 <= lo < 0xE000]
+    texts += [" " + x * n for x in ("a", " ", "é", "ab 1") for n in (1, token_alignment.LONG_RUN - 2, token_alignment.LONG_RUN + 5)]
+    for t, e in zip(texts, merges.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert both.encode_a(t).tolist() == e.ids, hex(ord(t[2]))
+
+
 def bits_brute(t):
     w = (t or "").encode().lower().split()
     sh = [b" ".join(w[i:i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [b" ".join(w)] if w else []
