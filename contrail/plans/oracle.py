@@ -476,6 +476,25 @@ GROUP BY user_id""",
                   "AND (end_time IS NULL OR end_time > TIMESTAMP '2024-01-15 12:00:00')",
     # streaming
     "stream_scd2_merge": _scd_sql(False),
+    "stream_active_flights": w(FLIGHTS, _silver("TIMESTAMP '1997-12-31 00:00:00'"), """polls AS (
+SELECT id, extract_ts, airline_name, airline_iata, on_ground, status_text, estimated_arrival, scheduled_time_arrival FROM silver
+UNION ALL
+SELECT id, TIMESTAMP '1997-12-31 18:00:00', CASE WHEN o % 7 = 1 THEN 'Moved' ELSE airline_name END,
+  CASE WHEN o % 7 = 1 THEN 'M1' ELSE airline_iata END, on_ground, CASE WHEN o % 5 = 0 THEN 'Landed 12:00' ELSE status_text END,
+  estimated_arrival, scheduled_time_arrival
+FROM (SELECT *, CAST(split_part(id, '-', 1) AS BIGINT) AS o FROM silver) WHERE o % 5 = 0 OR o % 7 = 1
+UNION ALL
+SELECT id, extract_ts, airline_name, airline_iata, on_ground, status_text, estimated_arrival, scheduled_time_arrival
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC NULLS LAST,
+    aircraft_model ASC NULLS LAST, airline_name ASC NULLS LAST, historical_flighttime ASC NULLS LAST,
+    on_ground ASC NULLS LAST, destination_airport_iata ASC NULLS LAST, status_text ASC NULLS LAST) AS rn FROM flights
+  WHERE extract_ts > TIMESTAMP '1997-12-31 00:00:00' AND extract_ts <= TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1)""",
+        """last_seen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC) AS rn FROM polls) WHERE rn = 1)""") + """
+SELECT airline_name, airline_iata, count(*) AS total_active_flights FROM last_seen
+WHERE TRY_CAST(on_ground AS INTEGER) = 0 AND NOT contains(status_text, 'Landed')
+  AND (coalesce(estimated_arrival, scheduled_time_arrival) IS NULL
+       OR coalesce(estimated_arrival, scheduled_time_arrival) >= (SELECT max(extract_ts) FROM polls))
+GROUP BY airline_name, airline_iata""",
     "stream_active_counts": "SELECT date_trunc('day', ts) AS window_start, "
                             "date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n "
                             "FROM events GROUP BY 1, 2, 3",

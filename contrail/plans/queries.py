@@ -29,6 +29,7 @@ from contrail.session import scratch_path, table_path
 from contrail.sources import feeds, sinks
 from contrail.sources.scd2_table import read_scd2, upsert_scd2
 from contrail.streaming import active_counts as S
+from contrail.streaming.active_flights import active_changes, start_active_counts
 
 # Fixed parameters of the registered queries.
 AS_OF = "1998-01-01 00:00:00"
@@ -566,6 +567,38 @@ def q_stream_active_counts(spark, d):
     return S.read_window_counts(spark, out, ["window_start", "event_type"])
 
 
+# When the flights of the first poll are seen again, some landed, some under another airline.
+SEEN_AGAIN = "1997-12-31 18:00:00"
+SNAPSHOT_COLUMNS = ["id", "extract_ts", "airline_name", "airline_iata", "on_ground", "status_text", "estimated_arrival",
+                    "scheduled_time_arrival"]
+
+
+def _polls(spark, d) -> list[DataFrame]:
+    """Two polls of the feed, one snapshot per flight and time: the second has new flights and some of the first again."""
+    first = silver(spark, d, RUN_AS_OF[0]).select(*SNAPSHOT_COLUMNS)
+    order = F.split_part("id", F.lit("-"), F.lit(1)).cast("bigint")
+    landed, moved = order % 5 == 0, order % 7 == 1
+    again = first.where(landed | moved).withColumns({
+        "extract_ts": ts_literal(SEEN_AGAIN),
+        "status_text": F.when(landed, F.lit("Landed 12:00")).otherwise(F.col("status_text")),
+        "airline_name": F.when(moved, F.lit("Moved")).otherwise(F.col("airline_name")),
+        "airline_iata": F.when(moved, F.lit("M1")).otherwise(F.col("airline_iata"))})
+    new = V.flight_view(spark, d).where((F.col("extract_ts") > ts_literal(RUN_AS_OF[0])) & (F.col("extract_ts") <= ts_literal(AS_OF)))
+    return [first, dedup_latest(new, "id", V.flight_dedup_order()).select(*SNAPSHOT_COLUMNS).unionByName(again)]
+
+
+def q_stream_active_flights(spark, d):
+    """Writes: two polls land one after the other; after each the stream is drained from the same checkpoint. State
+    of each flight takes counts back as flights land, change airline or pass their arrival; the totals are read back."""
+    land, out, ckpt = (scratch_path(spark, n) for n in ("polls", "active_counts", "active_ckpt"))
+    groups = ["airline_name", "airline_iata"]
+    for poll in _polls(spark, d):
+        sinks.write_table(poll, land)
+        stream = S.file_stream(spark, land, poll.schema)
+        start_active_counts(active_changes(stream, "id", "extract_ts", groups), groups, out, ckpt).awaitTermination()
+    return sinks.read_version(spark, out).select(*groups, F.col("n").alias("total_active_flights"))
+
+
 def q_stream_scd2_merge(spark, d):
     """Writes: the change feed lands in two drops (before / after the split);
     after each drop the stream is drained with ``availableNow`` from the same

@@ -70,17 +70,19 @@ def write_run(df: DataFrame, path: str, as_of, files: int | None = None) -> None
     write_table(df, run_folder(path, as_of), mode="replace")
 
 
-def write_version(df: DataFrame, path: str, partition_by: Sequence[str] | str = ()) -> int:
+def write_version(df: DataFrame, path: str, partition_by: Sequence[str] | str = (), source: str | None = None,
+                  source_id: int | None = None) -> int:
     """Replace a whole table (D8): a new version folder, then its commit record.
 
     Readers keep the version they started with, and a value that has left a
-    partition is gone with the next version.
+    partition is gone with the next version. ``source`` and ``source_id`` name the
+    batch that made the version, for writers that must add a replayed batch once.
     """
     spark = df.sparkSession
     last = last_version(spark, path)
     n = 0 if last is None else last + 1
     write_table(df, f"{path}/version={n}", partition_by, mode="replace")
-    commit(spark, path, n)
+    commit(spark, path, n, source, source_id)
     return n
 
 
