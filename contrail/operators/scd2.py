@@ -130,3 +130,49 @@ def scd2_as_of(history: DataFrame, as_of: Column) -> DataFrame:
     """The version of every key that was valid at ``as_of`` (time travel over C3/C2 output)."""
     return history.where((F.col("effective_time") <= as_of)
                          & (F.col("end_time").isNull() | (F.col("end_time") > as_of)))
+
+
+def scd2_timeline(feed: DataFrame, key: str, ts: str, tracked: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
+    """Every row of a change feed with ``starts`` (it begins a version) and, where it does, the version's SCD2 columns.
+
+    Rows that repeat their predecessor's attributes begin nothing now, but would if a late
+    snapshot came between: a history that late rows can be spliced into keeps them.
+    """
+    order = [ts, *tie_break]
+    p = with_neighbor(feed.withColumn("__seen", F.lit(True)), [key], order, ["__seen", *tracked], "prev", prefix="__p_")
+    changed = F.col("__p___seen").isNull()
+    for a in tracked:
+        changed = changed | ~F.col(a).eqNullSafe(F.col(f"__p_{a}"))
+    rows = p.withColumn("starts", changed).select(*feed.columns, "starts")
+    n = with_neighbor(rows.where("starts").withColumn("__seen", F.lit(True)), [key], order, [ts, "__seen"], "next", prefix="__n_")
+    scd = {"is_current": F.col("__n___seen").isNull(), "effective_time": F.col(ts), "end_time": F.col(f"__n_{ts}")}
+    none = {"is_current": F.lit(False), "effective_time": F.lit(None).cast(feed.schema[ts].dataType), "end_time": F.lit(None).cast(feed.schema[ts].dataType)}
+    versions = n.withColumns(scd).select(*rows.columns, *SCD_COLUMNS)
+    return versions.unionByName(rows.where("NOT starts").withColumns(none))
+
+
+def timeline_history(timeline: DataFrame) -> DataFrame:
+    """The type-2 history of a timeline: the rows that begin versions, as ``scd2_history`` gives them."""
+    return timeline.where("starts").drop("starts")
+
+
+def scd2_splice(timeline: DataFrame, late: DataFrame, key: str, ts: str, tracked: Sequence[str], tie_break: Sequence[str] = ()
+                ) -> tuple[DataFrame, DataFrame]:
+    """Splice snapshots of any age into a timeline: (untouched, repaired) rows, together the new timeline.
+
+    A late snapshot with other attributes splits the version it falls in, the rest of which
+    begins anew where it was next seen; versions that become neighbours with equal attributes
+    merge. Only keys that ``late`` names are worked on; a writer keeps what it has of the others.
+    However a feed is dealt over batches, the result is the timeline of the whole feed. A row whose key, time
+    and tie break are known is a replay and changes nothing. NULL keys are one key; rows
+    without a time come first in theirs.
+    """
+    place = [key, ts, *tie_break]
+    names = late.select(F.col(key).alias("__k")).distinct()
+    mine = timeline.join(names, timeline[key].eqNullSafe(names["__k"]), "left_semi")
+    untouched = timeline.join(names, timeline[key].eqNullSafe(names["__k"]), "left_anti")
+    cols = [c for c in timeline.columns if c not in (*SCD_COLUMNS, "starts")]
+    # a known row wins over its replay, and of replays in one batch any one does: they are the same
+    all_rows = mine.select(*cols, F.lit(0).alias("__new")).unionByName(late.select(*cols, F.lit(1).alias("__new")))
+    kept = dedup_latest(all_rows, place, [F.col("__new").asc()]).drop("__new")
+    return untouched, scd2_timeline(kept, key, ts, tracked, tie_break)

@@ -280,6 +280,61 @@ UNION ALL
 SELECT u.*, TRUE AS is_current, u.ts AS effective_time, CAST(NULL AS TIMESTAMP) AS end_time
 FROM upd u JOIN pairs p ON p.u_id = u.event_id WHERE p.replace_it OR p.b_id IS NULL"""
 
+# Two polls: the second has the flights new since the first, and some of the first again, landed or under another airline.
+FIRST_POLL = "TIMESTAMP '1997-12-31 00:00:00'"
+POLLS = """polls AS (
+SELECT * FROM silver
+UNION ALL BY NAME
+SELECT * EXCLUDE (o) REPLACE (TIMESTAMP '1997-12-31 18:00:00' AS extract_ts,
+  CASE WHEN o % 7 = 1 THEN 'Moved' ELSE airline_name END AS airline_name, CASE WHEN o % 7 = 1 THEN 'M1' ELSE airline_iata END AS airline_iata,
+  CASE WHEN o % 5 = 0 THEN 'Landed 12:00' ELSE status_text END AS status_text)
+FROM (SELECT *, CAST(split_part(id, '-', 1) AS BIGINT) AS o FROM silver) WHERE o % 5 = 0 OR o % 7 = 1
+UNION ALL BY NAME
+SELECT * EXCLUDE (rn)
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC NULLS LAST,
+    aircraft_model ASC NULLS LAST, airline_name ASC NULLS LAST, historical_flighttime ASC NULLS LAST,
+    on_ground ASC NULLS LAST, destination_airport_iata ASC NULLS LAST, status_text ASC NULLS LAST) AS rn FROM flights
+  WHERE extract_ts > TIMESTAMP '1997-12-31 00:00:00' AND extract_ts <= TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1)"""
+THIRD_POLL = """third AS (SELECT * FROM polls UNION ALL BY NAME
+SELECT * REPLACE (TIMESTAMP '1998-01-01 18:00:00' AS extract_ts, 'Scheduled' AS status_text, 'GLIDER one' AS aircraft_model)
+FROM silver WHERE CAST(split_part(id, '-', 1) AS BIGINT) % 11 = 0)"""
+
+
+def _last_seen(src: str) -> str:
+    return (f"last_seen AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC) AS rn "
+            f"FROM {src}) WHERE rn = 1)")
+
+
+LAST_SEEN = _last_seen("polls")
+
+
+def _side(s: str, a: str) -> str:
+    return f"TRY_CAST({s}_airport_{a} AS DOUBLE)"
+
+
+MARTS_SQL = w(FLIGHTS, _silver(FIRST_POLL), POLLS, THIRD_POLL, _last_seen("third"),
+              "act AS (SELECT * FROM last_seen WHERE TRY_CAST(on_ground AS INTEGER) = 0 AND NOT contains(status_text, 'Landed'))",
+              f"""dist AS (SELECT origin_airport_country_name AS country, origin_airport_country_code AS code,
+  CAST(round({hav(_side('origin', 'latitude'), _side('origin', 'longitude'), _side('destination', 'latitude'), _side('destination', 'longitude'))}, 6)
+       AS DECIMAL(18, 6)) AS km FROM act)""") + """
+SELECT 'current_flight_by_airline' AS mart, airline_name AS g1, airline_iata AS g2, CAST(NULL AS VARCHAR) AS g3, CAST(NULL AS VARCHAR) AS g4,
+  count(*) AS flights, CAST(NULL AS DOUBLE) AS number FROM act GROUP BY ALL
+UNION ALL
+SELECT 'regional_flight', origin_airport_country_name, origin_airport_country_code, airline_name, airline_iata,
+  count(*) FILTER (origin_airport_country_name = destination_airport_country_name OR origin_airport_country_code = destination_airport_country_code),
+  NULL FROM act GROUP BY ALL
+UNION ALL
+SELECT 'avg_distance_by_country', country, code, NULL, NULL, NULL, round(CAST(sum(km) AS DOUBLE) / nullif(count(km), 0), 6) FROM dist GROUP BY country, code
+UNION ALL
+SELECT 'aircraft_company_flight', split_part(aircraft_model, ' ', 1), NULL, NULL, NULL, count(*), NULL FROM act GROUP BY ALL
+UNION ALL
+SELECT 'aircraft_model_by_country', origin_airport_country_name, aircraft_model, NULL, NULL, count(aircraft_model), NULL FROM last_seen GROUP BY ALL
+UNION ALL
+SELECT 'in_out_flight', code, max(name), NULL, NULL, CAST(sum(o) AS BIGINT), CAST(sum(1 - o) AS DOUBLE) FROM (
+  SELECT origin_airport_iata AS code, origin_airport_name AS name, 1 AS o FROM last_seen
+  UNION ALL SELECT destination_airport_iata, destination_airport_name, 0 FROM last_seen) GROUP BY code
+"""
+
 ORACLE: dict[str, str] = {
     # sources / sinks
     "scan_filter": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem "
@@ -476,25 +531,14 @@ GROUP BY user_id""",
                   "AND (end_time IS NULL OR end_time > TIMESTAMP '2024-01-15 12:00:00')",
     # streaming
     "stream_scd2_merge": _scd_sql(False),
-    "stream_active_flights": w(FLIGHTS, _silver("TIMESTAMP '1997-12-31 00:00:00'"), """polls AS (
-SELECT id, extract_ts, airline_name, airline_iata, on_ground, status_text, estimated_arrival, scheduled_time_arrival FROM silver
-UNION ALL
-SELECT id, TIMESTAMP '1997-12-31 18:00:00', CASE WHEN o % 7 = 1 THEN 'Moved' ELSE airline_name END,
-  CASE WHEN o % 7 = 1 THEN 'M1' ELSE airline_iata END, on_ground, CASE WHEN o % 5 = 0 THEN 'Landed 12:00' ELSE status_text END,
-  estimated_arrival, scheduled_time_arrival
-FROM (SELECT *, CAST(split_part(id, '-', 1) AS BIGINT) AS o FROM silver) WHERE o % 5 = 0 OR o % 7 = 1
-UNION ALL
-SELECT id, extract_ts, airline_name, airline_iata, on_ground, status_text, estimated_arrival, scheduled_time_arrival
-FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC NULLS LAST,
-    aircraft_model ASC NULLS LAST, airline_name ASC NULLS LAST, historical_flighttime ASC NULLS LAST,
-    on_ground ASC NULLS LAST, destination_airport_iata ASC NULLS LAST, status_text ASC NULLS LAST) AS rn FROM flights
-  WHERE extract_ts > TIMESTAMP '1997-12-31 00:00:00' AND extract_ts <= TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1)""",
-        """last_seen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY extract_ts DESC) AS rn FROM polls) WHERE rn = 1)""") + """
+    "stream_active_flights": w(FLIGHTS, _silver(FIRST_POLL), POLLS, LAST_SEEN) + """
 SELECT airline_name, airline_iata, count(*) AS total_active_flights FROM last_seen
 WHERE TRY_CAST(on_ground AS INTEGER) = 0 AND NOT contains(status_text, 'Landed')
   AND (coalesce(estimated_arrival, scheduled_time_arrival) IS NULL
        OR coalesce(estimated_arrival, scheduled_time_arrival) >= (SELECT max(extract_ts) FROM polls))
 GROUP BY airline_name, airline_iata""",
+    "marts_from_changes": MARTS_SQL,
+    "scd2_splice": w(HISTORY) + "SELECT * FROM hist",
     "stream_active_counts": "SELECT date_trunc('day', ts) AS window_start, "
                             "date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n "
                             "FROM events GROUP BY 1, 2, 3",

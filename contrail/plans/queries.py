@@ -8,6 +8,7 @@ shared scratch folder and return the rows read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ from contrail.operators.current import active_flights, current_flights, current_
 from contrail.operators.dedup import dedup_latest
 from contrail.operators.dims import airline_country_dim, continent_dim
 from contrail.operators.enrich import enrich
+from contrail.operators.maintained import MART_COLUMNS, maintain_marts, read_mart
 from contrail.operators.nested import explode_flatten
-from contrail.operators.scd2 import scd2_as_of, scd2_history, scd2_init, scd2_merge
+from contrail.operators.scd2 import scd2_as_of, scd2_history, scd2_init, scd2_merge, scd2_splice, scd2_timeline, timeline_history
 from contrail.plans import views as V
 from contrail.plans.jobs import silver_job
 from contrail.session import scratch_path, table_path
@@ -549,6 +551,23 @@ def q_scd2_history(spark, d):
     return _history(spark, d)
 
 
+def q_scd2_splice(spark, d):
+    """Writes: events dealt over three batches in no order of time, the last with replays of the first; each is
+    spliced into the stored timeline, and the history of the whole feed is read back (C3)."""
+    ev, timeline = V.events(spark, d), None
+    batches = [ev.where(F.col("event_id") % 3 == i) for i in (2, 0)] + [ev.where(F.col("event_id") % 3 != 0)]
+    for late in batches:
+        if timeline is None:
+            parts = [scd2_timeline(late, "user_id", "ts", ["event_type"], ["event_id"])]
+        else:
+            parts = scd2_splice(timeline, late, "user_id", "ts", ["event_type"], ["event_id"])
+        path = scratch_path(spark, "scd2_timeline")
+        for part in parts:
+            sinks.write_table(part, path)
+        timeline = spark.read.schema(parts[0].schema).parquet(path)
+    return timeline_history(timeline)
+
+
 def q_scd2_as_of(spark, d):
     return scd2_as_of(_history(spark, d), ts_literal(SCD_AS_OF))
 
@@ -573,9 +592,9 @@ SNAPSHOT_COLUMNS = ["id", "extract_ts", "airline_name", "airline_iata", "on_grou
                     "scheduled_time_arrival"]
 
 
-def _polls(spark, d) -> list[DataFrame]:
+def _polls(spark, d, columns=SNAPSHOT_COLUMNS) -> list[DataFrame]:
     """Two polls of the feed, one snapshot per flight and time: the second has new flights and some of the first again."""
-    first = silver(spark, d, RUN_AS_OF[0]).select(*SNAPSHOT_COLUMNS)
+    first = silver(spark, d, RUN_AS_OF[0]).select(*columns)
     order = F.split_part("id", F.lit("-"), F.lit(1)).cast("bigint")
     landed, moved = order % 5 == 0, order % 7 == 1
     again = first.where(landed | moved).withColumns({
@@ -584,7 +603,7 @@ def _polls(spark, d) -> list[DataFrame]:
         "airline_name": F.when(moved, F.lit("Moved")).otherwise(F.col("airline_name")),
         "airline_iata": F.when(moved, F.lit("M1")).otherwise(F.col("airline_iata"))})
     new = V.flight_view(spark, d).where((F.col("extract_ts") > ts_literal(RUN_AS_OF[0])) & (F.col("extract_ts") <= ts_literal(AS_OF)))
-    return [first, dedup_latest(new, "id", V.flight_dedup_order()).select(*SNAPSHOT_COLUMNS).unionByName(again)]
+    return [first, dedup_latest(new, "id", V.flight_dedup_order()).select(*columns).unionByName(again)]
 
 
 def q_stream_active_flights(spark, d):
@@ -599,6 +618,50 @@ def q_stream_active_flights(spark, d):
     return sinks.read_version(spark, out).select(*groups, F.col("n").alias("total_active_flights"))
 
 
+# When a third poll sees some flights of the first once more.
+SEEN_LAST = "1998-01-01 18:00:00"
+
+
+def _three_batches(spark, d) -> list[DataFrame]:
+    polls = _polls(spark, d, ["id", "extract_ts", *MART_COLUMNS])
+    once_more = polls[0].where(F.split_part("id", F.lit("-"), F.lit(1)).cast("bigint") % 11 == 0).withColumns({
+        "extract_ts": ts_literal(SEEN_LAST), "status_text": F.lit("Scheduled"), "aircraft_model": F.lit("GLIDER one")})
+    return [*polls, once_more]
+
+
+# How the marts kept from changes are shown in one table: up to four group columns as text, a count and a number.
+_SHOWN = {
+    "current_flight_by_airline": (["airline_name", "airline_iata"], "total_active_flights", None),
+    "regional_flight": (["country", "country_code", "airline_name", "airline_iata"], "total_regional_flights", None),
+    "avg_distance_by_country": (["country", "country_code"], None, "average_flight_length_km"),
+    "aircraft_company_flight": (["aircraft_manufacturer"], "total_active_flights", None),
+    "aircraft_model_by_country": (["country", "aircraft_model"], "total_aircraft_model", None),
+    "in_out_flight": (["airport_iata", "airport_name"], "out_flight_count", "in_flight_count"),
+}
+
+
+def show_marts(read) -> DataFrame:
+    """All marts in one table, each got by ``read(name)``."""
+    parts = []
+    for name, (groups, count, number) in _SHOWN.items():
+        m = read(name)
+        g = [F.col(groups[i]) if i < len(groups) else F.lit(None).cast("string") for i in range(4)]
+        parts.append(m.select(F.lit(name).alias("mart"), *(c.alias(f"g{i + 1}") for i, c in enumerate(g)),
+                              (F.col(count) if count else F.lit(None)).cast("bigint").alias("flights"),
+                              (F.col(number) if number else F.lit(None)).cast("double").alias("number")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_marts_from_changes(spark, d):
+    """Writes: three batches merged into stored silver; after each, six marts take what the batch opened and closed
+    (I1, I2, I4-I7); shown in one table."""
+    path, out = scratch_path(spark, "silver_marts"), scratch_path(spark, "kept_marts")
+    for batch in _three_batches(spark, d):
+        upsert_scd2(spark, path, batch, "id", "extract_ts", MART_COLUMNS, tie_break=["status_text"])
+        maintain_marts(spark, path, out)
+    return show_marts(lambda name: read_mart(spark, out, name))
+
+
 def q_stream_scd2_merge(spark, d):
     """Writes: the change feed lands in two drops (before / after the split);
     after each drop the stream is drained with ``availableNow`` from the same
