@@ -395,6 +395,13 @@ ORACLE: dict[str, str] = {
         f"CASE WHEN {c} IS NULL OR trim({c}) IN ('', 'N/A') THEN NULL ELSE {c} END AS {c}" for c in FLIGHT_COLS)
         + ", historical_flighttime, scheduled_time_arrival, estimated_arrival, extract_ts FROM flights",
     "null_ratio_profile": _null_ratio_sql(),
+    "profile_from_runs": w(FLIGHTS) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL{more} THEN 1.0 ELSE 0.0 END), 6) AS missing_ratio FROM flights"
+        for c, more in [(c, f" OR trim({c}) IN ('', 'N/A')") for c in FLIGHT_COLS]
+        + [(c, "") for c in ("historical_flighttime", "scheduled_time_arrival", "estimated_arrival", "extract_ts")]),
+    "prune_from_profiles": w(FLIGHTS) + "SELECT " + ", ".join(
+        f"CASE WHEN {c} IS NULL OR trim({c}) IN ('', 'N/A') THEN NULL ELSE {c} END AS {c}" for c in FLIGHT_COLS)
+        + ", historical_flighttime, scheduled_time_arrival, extract_ts FROM flights",
     "prune_sparse_columns": w(FLIGHTS, DETAIL) + "SELECT " + ", ".join(
         f"CASE WHEN {c} IS NULL OR trim({c}) IN ('', 'N/A') THEN NULL ELSE {c} END AS {c}" for c in FLIGHT_COLS)
         + ", CAST(upd_s AS VARCHAR) AS time, extract_ts, TRUE AS has_time_details, ln <> 7 AS has_aircraft_history "

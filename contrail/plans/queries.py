@@ -24,6 +24,7 @@ from contrail.operators.dims import airline_country_dim, continent_dim
 from contrail.operators.enrich import enrich
 from contrail.operators.maintained import MART_COLUMNS, maintain_marts, read_mart
 from contrail.operators.nested import explode_flatten
+from contrail.operators.profile import merged_ratios, prune_by_profile, update_profiles
 from contrail.operators.scd2 import scd2_as_of, scd2_history, scd2_init, scd2_merge, scd2_splice, scd2_timeline, timeline_history
 from contrail.plans import views as V
 from contrail.plans.jobs import silver_job
@@ -286,6 +287,30 @@ def q_prune_sparse_columns(spark, d):
     return out.select(*[nested.get(c, F.col(c)) for c in out.columns])
 
 
+def _profiled_runs(spark, d) -> tuple[str, str]:
+    """The flight feed as three bronze runs, profiled as they come; (bronze, profiles)."""
+    bronze, profiles = scratch_path(spark, "bronze_profiled"), scratch_path(spark, "profiles")
+    feed = V.flight_view(spark, d)
+    part = F.pmod(F.xxhash64("id"), F.lit(3))
+    for i, as_of in enumerate(RUN_AS_OF):
+        sinks.write_run(feed.where(part == i), bronze, as_of)
+        update_profiles(spark, bronze, profiles)
+    return bronze, profiles
+
+
+def q_profile_from_runs(spark, d):
+    """Writes: three runs, each profiled when it came; the share of missing values over all of them from the sums."""
+    _, profiles = _profiled_runs(spark, d)
+    return merged_ratios(spark, profiles).withColumn("missing_ratio", F.round("missing_ratio", 6))
+
+
+def q_prune_from_profiles(spark, d):
+    """Writes: the runs pruned of columns over a fifth missing, decided by the stored profiles."""
+    bronze, profiles = _profiled_runs(spark, d)
+    feed = sinks.read_table(spark, bronze).drop(*sinks.RUN_PARTITIONS)
+    return prune_by_profile(feed, merged_ratios(spark, profiles), 0.2)
+
+
 # Fixed order among snapshots of one flight and time: every column the silver query shows.
 SILVER_COLUMNS = ["id", "airline_icao", "origin_airport_iata", "destination_airport_iata", "status_text", "on_ground",
                   "time_updated"]
