@@ -351,6 +351,8 @@ ORACLE: dict[str, str] = {
                    + STAMP_TS.format(t=AS_OF) + " FROM events",
     "bronze_ingest": "SELECT event_id, ts, user_id, event_type, value, props, "
                      + STAMP_TS.format(t=AS_OF) + " FROM events",
+    "stream_ingest": "SELECT event_id, ts, user_id, event_type, value, props, "
+                     + STAMP_TS.format(t=AS_OF) + " FROM events",
     "ingest_airline": "SELECT 'A' || s_suppkey AS Code, 'S' || s_suppkey AS ICAO, s_name AS Name, " + STAMP_TS.format(t=AS_OF)
                       + " FROM supplier",
     "ingest_airport": "SELECT CAST(c_custkey % 3000 AS VARCHAR) AS altitude, CAST(c_nationkey AS VARCHAR) AS country, "

@@ -33,6 +33,7 @@ from contrail.sources import feeds, sinks
 from contrail.sources.scd2_table import read_scd2, upsert_scd2
 from contrail.streaming import active_counts as S
 from contrail.streaming.active_flights import active_changes, start_active_counts
+from contrail.streaming.ingest import BATCH_COLUMN, start_ingest
 
 # Fixed parameters of the registered queries.
 AS_OF = "1998-01-01 00:00:00"
@@ -190,6 +191,20 @@ def q_bronze_ingest(spark, d):
     return sinks.read_table(spark, bronze, BRONZE_SCHEMA)
 
 
+def q_stream_ingest(spark, d):
+    """Writes: events land as JSON lines in two drops with a broken line; after each drop one stream feeds bronze and the
+    quarantine, three files a batch, and once more with nothing new; bronze is read back."""
+    landing, bronze, ckpt = (scratch_path(spark, n) for n in ("landing_s", "bronze_s", "ingest_ckpt"))
+    first = F.col("event_id") % 4 != 0
+    for drop in (first, ~first, None):
+        if drop is not None:
+            feeds.land_json(V.events(spark, d).where(drop).repartition(4), landing)
+            spark.createDataFrame([('{"event_id": 1, "ts": ',)], "value string").write.mode("append").text(landing)
+        start_ingest(spark, landing, EVENTS_JSON_SCHEMA, bronze, ckpt, AS_OF, max_files_per_trigger=3).awaitTermination()
+    schema = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(BATCH_COLUMN, T.StringType())])
+    return sinks.read_table(spark, bronze, schema).drop(BATCH_COLUMN)
+
+
 STAMP_FIELDS = BRONZE_SCHEMA.fields[-4:]
 
 
