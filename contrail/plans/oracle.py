@@ -373,6 +373,10 @@ ORACLE: dict[str, str] = {
                      + " FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
     "enrich_detail": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity "
                      "FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
+    "enrich_late": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity "
+                     "FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
+    "enrich_pending": "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 1 THEN 2 ELSE 1 END AS polls_waited "
+                      "FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
     "enrich_detail_missing": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders "
                              "WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
     "extract_stamp": w(FLIGHTS) + "SELECT id, extract_ts, " + STAMP_TS.format(t="extract_ts") + " FROM flights",

@@ -21,7 +21,7 @@ from contrail.operators import indicators as I
 from contrail.operators.current import active_flights, current_flights, current_versions, with_current_flag
 from contrail.operators.dedup import dedup_latest
 from contrail.operators.dims import airline_country_dim, continent_dim
-from contrail.operators.enrich import enrich
+from contrail.operators.enrich import enrich, enrich_poll, read_enriched, read_pending
 from contrail.operators.maintained import MART_COLUMNS, maintain_marts, read_mart
 from contrail.operators.nested import explode_flatten
 from contrail.operators.profile import merged_ratios, prune_by_profile, update_profiles
@@ -254,6 +254,29 @@ def q_enrich_detail_missing(spark, d):
     return missing
 
 
+def _enrich_polls(spark, d) -> str:
+    """Two polls: each brings half of the orders, and the details of every third order come with the second only."""
+    path = scratch_path(spark, "enrich_polls")
+    orders = V.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    lines = V.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    early, late = F.col("l_orderkey") % 3 != 0, F.col("l_orderkey") % 3 == 0
+    odd, even = F.col("o_orderkey") % 2 == 1, F.col("o_orderkey") % 2 == 0
+    polls = ((odd, early), (even, late | (F.col("l_orderkey") % 2 == 0)))
+    for i, (summaries, details) in enumerate((*polls, polls[1])):          # the second poll is repeated
+        enrich_poll(spark, path, orders.where(summaries), lines.where(details), "o_orderkey", "l_orderkey", min(i, 1))
+    return path
+
+
+def q_enrich_late(spark, d):
+    """Writes: details that come one poll late still meet their summaries (S8); the enriched rows are read back."""
+    return read_enriched(spark, _enrich_polls(spark, d))
+
+
+def q_enrich_pending(spark, d):
+    """Writes: the summaries that wait for their detail after both polls."""
+    return read_pending(spark, _enrich_polls(spark, d)).select("o_orderkey", "o_custkey", "o_orderstatus", "polls_waited")
+
+
 def q_extract_stamp(spark, d):
     return feeds.stamp_extract(V.flight_view(spark, d).select("id", "extract_ts"), "extract_ts")
 
