@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ASCII_LOWER_WORDS, id_text, split_words, stored, text_bytes, text_slices, without_ids
+from contrail.llm.common import ASCII_LOWER_WORDS, id_text, split_words, stored, text_bytes, text_slices
 
 SHINGLE, LINK_PERCENT = 5, 85
 #: At similarity 0.85 all bands miss a pair with probability (1 - 0.85^8)^32 = 4e-5.
@@ -109,8 +109,18 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return _mix64((rows * _BAND_MIX[:, :ROWS]).sum(axis=2, dtype=_U64) + _BAND_MIX[:, ROWS]).view(np.int64)
 
 
+def _digest(s: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(s.tobytes())
+
+
+def _with_text_hash(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the hash of the text, which with the id tells rows apart."""
+    base = id_text(docs)
+    return base.withColumn("text_hash", F.xxhash64("text"))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """One row per row: doc_id, n_shingles, digest of the set (null if empty), bands."""
+    """One row per row: doc_id, text_hash, n_shingles, digest of the set (null if empty), bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHash()
         for part in text_slices(batches):
@@ -118,22 +128,26 @@ def sketches(docs: DataFrame) -> DataFrame:
             full = [s for s in sets if len(s)]
             keys = iter(band_keys(signatures(full)).tolist())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                [part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                  pa.array([next(keys) if len(s) else [] for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands"])
-    return id_text(docs).mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+                ["doc_id", "text_hash", "n_shingles", "digest", "bands"])
+    return _with_text_hash(docs).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of the given documents: sorted 64-bit shingle hashes as bytes."""
+    """(node, set) of the given (node, rep): sorted 64-bit shingle hashes as bytes. The node is the hash of the
+    set's digest, so of an id on several texts each set is its own node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHash()
         for part in text_slices(batches):
             sets = shingle_sets(text_bytes(part.column("text")), known)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"])
+            node = [xxhash.xxh64_intdigest(_digest(s), 42) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(node, np.uint64).view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"])
     base = id_text(docs)
-    return base.join(nodes, base.doc_id == nodes.node, "left_semi").mapInArrow(run, "node long, set binary")
+    sets = base.join(nodes, base.doc_id == nodes.rep, "left_semi").mapInArrow(run, "node long, set binary")
+    return sets.join(nodes.select(F.col("node").alias("_n")), sets.node == F.col("_n"), "left_semi")
 
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -231,14 +245,20 @@ def _pairs_of_rare(rare: DataFrame) -> DataFrame:
 
 
 def near_links(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(groups, comp): representative of each set as digest, rep, copies; component of each linked representative as node, comp."""
+    """(groups, comp): each set as digest, node, rep (its smallest id), copies; component of each linked set as node, comp.
+
+    Sets, not ids, are linked: a set's node is the hash of its digest.
+    """
     ids = rows.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    groups = stored(ids.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "near-groups")
+    groups = stored(ids.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.xxhash64("digest")), "near-groups")
     one = ids.join(groups.select(F.col("digest").alias("_d"), "rep"), (F.col("digest") == F.col("_d")) & (F.col("doc_id") == F.col("rep")), "left_semi")
-    banded = stored(one.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key")), "near-banded")
+    banded = stored(one.select(
+        F.xxhash64("digest").alias("node"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key")), "near-banded")
     shared = stored(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "near-buckets")
-    members = stored(banded.join(shared, "key"), "near-members")
-    sets = stored(_sets_of(docs, members.select("node").distinct()), "near-sets")
+    met = stored(banded.join(shared, "key"), "near-members")
+    sets = stored(_sets_of(docs, met.select("node", "rep").distinct()), "near-sets")
+    members = met.drop("rep")
     comp = stored(members.select("node", F.col("node").alias("comp")).distinct(), "near-comp")
     tested = None
     for turn in range(PIVOT_ROUNDS + 1):
@@ -280,19 +300,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     >= 85 * union; component_id is the smallest doc_id reachable. Null, empty and
     wordless texts have no shingles, link with nothing and are their own
     component. Texts of fewer than five words link only with equal word
-    sequences. Rows without an id keep a null component and stay. Rows repeated
-    with the same id are the same document and share its component.
+    sequences. Rows without an id keep a null component and stay. Rows are linked by their sets
+    alone: an id on several texts stands for as many documents, each in its own text's component.
     """
+    return _judged(docs).drop("text_hash")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``text_hash``."""
     rows = stored(sketches(docs), "near-sketches")
     groups, comp = near_links(docs, rows)
-    found = groups.join(comp, groups.rep == comp.node, "left").select(
-        F.col("digest"), F.coalesce("comp", "rep").alias("found"), "copies", F.col("comp").isNotNull().alias("linked"))
-    found = stored(found.where("copies > 1 or linked").select("digest", "found"), "near-found")
-    out = rows.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
+    led = groups.join(comp, "node")
+    smallest = stored(led.groupBy("comp").agg(F.min("rep").alias("found")), "near-smallest")
+    linked = led.join(smallest, "comp").select("digest", "found")
+    copies = groups.where("copies > 1").join(comp, "node", "left_anti").select("digest", F.col("rep").alias("found"))
+    found = stored(linked.union(copies), "near-found")
+    out = rows.select("doc_id", "text_hash", "n_shingles", "digest").join(found, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns: one document of each component, the one with the smallest id."""
-    return without_ids(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct())
+    """The rows of ``docs``, all columns: one document of each component, the one with the smallest id.
+
+    Each row is judged by its id and its text (a 64-bit hash of it), so an id on a near copy and on a clean text keeps the
+    clean one. Rows without an id stay. Of two texts in one component under its smallest id both stay.
+    """
+    gone = _judged(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    text = F.xxhash64(docs["text"].cast("string"))
+    return docs.join(gone, (docs["doc_id"].cast("long") == F.col("_id")) & (text == F.col("_hash")), "left_anti")

@@ -81,11 +81,6 @@ def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -
     return docs.mapInArrow(run, docs.schema)
 
 
-def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id is not in the one column of ``gone``."""
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[gone.columns[0]]), "left_anti")
-
-
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts, offsets of length n + 1); null counts as empty."""
     col = pc.fill_null(col.cast(pa.binary()), b"")

@@ -108,7 +108,7 @@ class Searcher:
     def __init__(self, items: list[tuple[object, bytes]], window: int = WINDOW):
         self.vocab: dict[bytes, int] = {}
         by_len: dict[int, tuple[list, list]] = {}
-        self.item_ids = [str(i) for i, _ in items]
+        self.item_ids = [i for i, _ in items]
         for k, (_, text) in enumerate(items):
             ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
             m = min(window, len(ids))
@@ -137,7 +137,8 @@ class Searcher:
         cut = np.searchsorted(text, np.arange(len(texts) + 1))
         items: list[list[str]] = [[] for _ in texts]
         for t, owner in np.unique(np.concatenate(pairs), axis=0).tolist():
-            items[t].append(self.item_ids[owner])
+            if self.item_ids[owner] is not None:
+                items[t].append(self.item_ids[owner])
         return n, [hit[cut[i]:cut[i + 1]] - off[i] for i in range(len(texts))], items
 
 
@@ -181,7 +182,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     A document word is hit when it lies inside any occurrence of a window of any
     item; a document is contaminated when at least a twentieth of its words are
     hit. Null or wordless texts have no words and are clean; null or wordless
-    items match nothing; items with equal texts are all reported; a repeated item
+    items match nothing; an item without an id hits words like any other, but is not named or counted; items with equal texts are all reported; a repeated item
     id counts once. Repeated rows give a row each, and an empty benchmark hits
     nothing. ``items`` lists the item ids as sorted strings. No shuffle: every
     slice of texts is searched by each benchmark block in turn.

@@ -88,29 +88,41 @@ def test_identifier_collision_takes_another_seed(spark, monkeypatch):
 
 
 def near_brute(rows):
-    sets = {}
-    for i, t in rows:
+    """Rows are linked by their sets, whatever their ids."""
+    sets = []
+    for _, t in rows:
         w = (t or "").encode().lower().split()
-        s = {tuple(w[j:j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
-        sets[i] = s
-    root = {i: i for i in sets}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-    ids = sorted(i for i in sets if i is not None and sets[i])
-    for a in ids:
-        for b in ids:
-            if a < b and min(len(sets[a]), len(sets[b])) * 100 >= 85 * max(len(sets[a]), len(sets[b])):
-                both = len(sets[a] & sets[b])
-                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
-                    x, y = sorted((find(a), find(b)))
-                    root[y] = x
-    return Counter((i, len(sets[i]), find(i) if i is not None else None, i is None or find(i) == i) for i, _ in rows)
-
-
-@pytest.mark.parametrize("rows", [corpus(1), [r for r in EDGES if r[0] is not None] + [(None, "no id")], []])
+        sets.append(frozenset(tuple(w[j:j + 5]) for j in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    smallest = {}
+    for (i, _), s in zip(rows, sets, strict=True):
+        if i is not None and s:
+            smallest[s] = min(i, smallest.get(s, i))
+    root = {s: s for s in smallest}
+
+    def find(s):
+        while root[s] is not s:
+            s = root[s]
+        return s
+    all_ = list(smallest)
+    for k, a in enumerate(all_):
+        for b in all_[:k]:
+            if min(len(a), len(b)) * 100 >= 85 * max(len(a), len(b)):
+                both = len(a & b)
+                if 100 * both >= 85 * (len(a) + len(b) - both):
+                    root[find(a)] = find(b)
+    low = {}
+    for s, i in smallest.items():
+        low[find(s)] = min(i, low.get(find(s), i))
+    comp = [None if i is None else low[find(s)] if s else i for (i, _), s in zip(rows, sets, strict=True)]
+    return Counter((i, len(s), c, i == c) for (i, _), s, c in zip(rows, sets, comp, strict=True))
+
+
+TWO_TEXTS = [(5, "one two three four five six seven eight nine ten " * 3), (3, "one two three four five six seven eight nine ten " * 3),
+             (5, "a clean text that nobody else has in this small table of rows"), (2, "two texts of one component under one smallest id a b c d e f g"),
+             (2, "two texts of one component under one smallest id a b c d e f g A"), (None, None), (None, "one"), (4, None), (4, "")]
+
+
+@pytest.mark.parametrize("rows", [corpus(1), EDGES, TWO_TEXTS, []])
 def test_near_duplicates(spark, rows):
     got = near_duplicates(with_clashes(docs_frame(spark, rows))).collect()
     assert Counter(map(tuple, got)) == near_brute(rows)
@@ -129,6 +141,14 @@ def test_drop_near_duplicates(spark):
     assert sorted(r.doc_id for r in left) == sorted(i for (i, _, _, kept), n in near_brute(rows).items() if kept for _ in range(n))
 
 
+def test_drop_near_duplicates_decides_by_row(spark):
+    """An id on a near copy and on a clean text keeps the clean one; null ids and null texts stay."""
+    docs = with_clashes(docs_frame(spark, TWO_TEXTS))
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(TWO_TEXTS) - Counter([TWO_TEXTS[0]])
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(0)
     a = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))

@@ -51,7 +51,7 @@ def contamination_brute(rows, items):
         w = tuple(WORD.findall((t or "").encode().lower()))
         m = min(13, len(w))
         for j in range(len(w) - m + 1 if m else 0):
-            windows.setdefault(w[j:j + m], set()).add(str(i))
+            windows.setdefault(w[j:j + m], set()).add(None if i is None else str(i))
     out = []
     for d, t in rows:
         w, hit, found = WORD.findall((t or "").encode().lower()), set(), set()
@@ -59,7 +59,7 @@ def contamination_brute(rows, items):
             for j in range(len(w) - m + 1):
                 if owners := windows.get(tuple(w[j:j + m])):
                     hit.update(range(j, j + m))
-                    found |= owners
+                    found |= owners - {None}
         out.append((d, len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit) and 20 * len(hit) >= len(w)))
     return out
 
@@ -76,7 +76,6 @@ def test_decontaminate(spark, monkeypatch, block):
         rows.append((300 + i, rng.choice([" ", ", ", "\n"]).join(parts).upper() if i % 4 == 0 else " ".join(parts)))
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = with_clashes(docs_frame(spark, rows))
-    items = [("None" if i is None else i, t) for i, t in items]
     want = contamination_brute(rows, items)
     assert Counter(tuple(r)[:6] for r in decontaminate(docs, bench).collect()) == Counter(want)
     left = drop_contaminated(docs, bench)
