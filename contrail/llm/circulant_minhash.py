@@ -142,12 +142,13 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         known = _WordHash()
         for part in text_slices(batches):
             sets = shingle_sets(text_bytes(part.column("text")), known)
-            node = [xxhash.xxh64_intdigest(_digest(s), 42) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(node, np.uint64).view(np.int64)), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"])
+            node = np.array([xxhash.xxh64_intdigest(_digest(s), 42) for s in sets], np.uint64).view(np.int64)
+            own = pa.array(node == part.column("node").to_numpy())
+            found = [part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(found, ["node", "set"]).filter(own)
     base = id_text(docs)
-    sets = base.join(nodes, base.doc_id == nodes.rep, "left_semi").mapInArrow(run, "node long, set binary")
-    return sets.join(nodes.select(F.col("node").alias("_n")), sets.node == F.col("_n"), "left_semi")
+    # a row meets every node of its id, and stands for its own
+    return base.join(nodes, base.doc_id == nodes.rep).select("text", "node").mapInArrow(run, "node long, set binary")
 
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
