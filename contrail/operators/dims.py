@@ -10,7 +10,9 @@ turns out small).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes a broadcast table may have on disk. Override per session.
@@ -57,3 +59,35 @@ def airline_country_dim(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """
     named = supplier.join(bounded_broadcast(nation), supplier.s_nationkey == nation.n_nationkey, "left")
     return named.groupBy(F.col("s_name").alias("airline_name")).agg(F.min("n_name").alias("airline_country_name"))
+
+
+# What the first part of a time zone's name says of its continent, and longer names that say otherwise.
+ZONE_CONTINENTS = {
+    "Africa": "AFRICA", "America": "AMERICA", "Antarctica": "ANTARCTICA", "Arctic": "EUROPE", "Asia": "ASIA",
+    "Australia": "OCEANIA", "Europe": "EUROPE", "Pacific": "OCEANIA", "Pacific/Galapagos": "AMERICA",
+    "Pacific/Easter": "AMERICA", "Atlantic/Azores": "EUROPE", "Atlantic/Bermuda": "AMERICA", "Atlantic/Canary": "EUROPE",
+    "Atlantic/Cape_Verde": "AFRICA", "Atlantic/Faroe": "EUROPE", "Atlantic/Madeira": "EUROPE", "Atlantic/Reykjavik": "EUROPE",
+    "Atlantic/St_Helena": "AFRICA", "Atlantic/Stanley": "AMERICA", "Indian/Antananarivo": "AFRICA", "Indian/Comoro": "AFRICA",
+    "Indian/Mauritius": "AFRICA", "Indian/Mayotte": "AFRICA", "Indian/Reunion": "AFRICA", "Indian/Maldives": "ASIA",
+}
+
+
+def zone_prefix_dim(spark: SparkSession, prefixes: Mapping[str, str] = ZONE_CONTINENTS) -> DataFrame:
+    """(prefix, continent) of time-zone names; a prefix is whole parts between slashes."""
+    return spark.createDataFrame(list(prefixes.items()), "prefix STRING, continent STRING")
+
+
+def zone_continents(zones: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """time zone -> continent by its longest known prefix; a zone without one is left out.
+
+    ``zones`` has the names in its first column, repeated or null ones too. Each distinct zone is exploded into
+    its prefixes ('a/b/c': 'a', 'a/b', 'a/b/c') and those meet ``prefixes`` in an equi-join, so rows grow by the parts
+    of a name and not by the prefixes known. A prefix given twice counts with its largest continent.
+    """
+    zone = zones.select(F.col(f"`{zones.columns[0]}`").alias("zone")).where("zone IS NOT NULL").distinct()
+    parts = F.split("zone", "/")
+    cut = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    steps = zone.select("zone", F.posexplode(cut).alias("depth", "prefix"))
+    known = prefixes.select("prefix", "continent").where("continent IS NOT NULL")
+    return (steps.join(bounded_broadcast(known), "prefix").groupBy("zone")
+            .agg(F.max(F.struct("depth", "continent"))["continent"].alias("continent")))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from contrail.functions.geo import haversine_km
 from contrail.functions.timefmt import epoch_seconds
 from contrail.operators.dedup import top_k_per_group
-from contrail.operators.dims import join_dimension
+from contrail.operators.dims import bounded_broadcast, join_dimension, zone_continents
 from contrail.operators.sequence import with_neighbor
 
 # Decimal places kept for floating averages and distances in outputs.
@@ -169,17 +169,29 @@ def airport_inbound(current: DataFrame) -> DataFrame:
     return _per_airport(current, "destination", "in_flight_count")
 
 
-def with_continent(df: DataFrame, continents: DataFrame, country_col: str = "origin_airport_country_name"
-                   ) -> DataFrame:
+def with_continent(df: DataFrame, continents: DataFrame, country_col: str = "origin_airport_country_name",
+                   zone_prefixes: DataFrame | None = None, zone_col: str = "origin_airport_timezone_name",
+                   zones: DataFrame | None = None) -> DataFrame:
     """Attach the continent of ``country_col`` from a country -> continent dimension
-    (broadcast only after its size is checked)."""
+    (broadcast only after its size is checked).
+
+    With ``zone_prefixes`` a row whose country has no continent there takes that of its time zone's longest
+    known prefix. ``zones`` names the time zones there are (the airports'); without it they come from ``df``, which
+    is then read twice."""
     dim = continents.withColumnRenamed("country", "__country")
-    return (join_dimension(df, dim, F.col(country_col) == F.col("__country"), "left").drop("__country"))
+    out = join_dimension(df, dim, F.col(country_col) == F.col("__country"), "left").drop("__country")
+    if zone_prefixes is None:
+        return out
+    zones = df.select(zone_col) if zones is None else zones
+    by_zone = zone_continents(zones, zone_prefixes).select(F.col("zone").alias("__zone"), F.col("continent").alias("__by_zone"))
+    return (out.join(bounded_broadcast(by_zone, bound_by=zones), F.col(zone_col) == F.col("__zone"), "left")
+            .withColumn("continent", F.coalesce("continent", "__by_zone")).drop("__zone", "__by_zone"))
 
 
-def top_regional_airline_by_continent(active: DataFrame, continents: DataFrame, ties: bool = False) -> DataFrame:
+def top_regional_airline_by_continent(active: DataFrame, continents: DataFrame, ties: bool = False,
+                                      zone_prefixes: DataFrame | None = None, zones: DataFrame | None = None) -> DataFrame:
     """Airline with the most regional active flights per origin continent."""
-    per = (with_continent(regional_flag(active), continents)
+    per = (with_continent(regional_flag(active), continents, zone_prefixes=zone_prefixes, zones=zones)
            .groupBy("continent", "airline_name", "airline_iata")
            .agg(F.sum("regional_flights_active").cast("bigint").alias("total_regional_flights")))
     return top_k_per_group(per, "continent",
@@ -187,9 +199,10 @@ def top_regional_airline_by_continent(active: DataFrame, continents: DataFrame,
                             F.col("airline_iata").asc_nulls_last()], k=1, ties=ties)
 
 
-def avg_distance_by_continent(routes: DataFrame, continents: DataFrame) -> DataFrame:
+def avg_distance_by_continent(routes: DataFrame, continents: DataFrame, zone_prefixes: DataFrame | None = None,
+                              zones: DataFrame | None = None) -> DataFrame:
     """Mean route km per origin continent."""
-    return avg_distance(with_continent(routes, continents), ["continent"])
+    return avg_distance(with_continent(routes, continents, zone_prefixes=zone_prefixes, zones=zones), ["continent"])
 
 
 def top_models_by_airline_country(current: DataFrame, airline_dim: DataFrame, k: int = 3) -> DataFrame:

@@ -73,6 +73,13 @@ def _active(name: str = "active_f", src: str = "current_f") -> str:
 CURRENT = _current()
 ACTIVE = _active()
 
+NATION_ZONES = """nation_zones AS (
+SELECT n_name AS country, CASE WHEN n_nationkey <> 9 THEN CASE WHEN n_nationkey % 5 = 0 THEN 'America/' ELSE '' END
+  || array_to_string([upper(x[1:1]) || lower(x[2:]) FOR x IN string_split(r_name, ' ')], ' ') || '/' || n_name END AS zone
+FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+# Every country has the continent of its region, known or by its zone; the one country without either has none.
+ZONED = """continents AS (SELECT n_name AS country, r_name AS continent FROM nation JOIN region ON n_regionkey = r_regionkey
+WHERE n_nationkey <> 9)"""
 CONTINENTS = """continents AS (
 SELECT n_name AS country, r_name AS continent FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -371,6 +378,23 @@ ORACLE: dict[str, str] = {
                      "0 AS vertical_speed, " + STAMP_TS.format(t=AS_OF) + " FROM lineitem",
     "ingest_detail": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity, " + STAMP_TS.format(t=AS_OF)
                      + " FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
+    "ingest_detail_feed": w(FLIGHTS, DETAIL, NATION_ZONES) + """SELECT id, airline_icao, status_text,
+  zone AS origin_airport_timezone_name, CASE WHEN ln = 7 THEN '' WHEN ln = 6 THEN '99999999999999999'
+    ELSE CAST(arr_s - historical_flighttime AS VARCHAR) END AS real_departure,
+  CAST(CASE WHEN ln <> 7 THEN ln % 4 END AS INTEGER) AS n_legs,
+  CASE WHEN ln <> 7 AND ln % 4 > 0 THEN destination_airport_iata END AS first_leg_origin,
+  CAST(CASE WHEN ln % 2 = 0 THEN 2 END AS INTEGER) AS n_fixes, CASE WHEN ln % 2 = 0 THEN CAST(upd_s AS VARCHAR) END AS last_fix_ts,
+  """ + STAMP_TS.format(t=AS_OF) + " FROM detail LEFT JOIN nation_zones ON origin_airport_country_name = country",
+    "ingest_detail_quarantine": "SELECT CASE l_linenumber WHEN 7 THEN 'time_details' WHEN 6 THEN 'trail' "
+                                "WHEN 5 THEN 'aircraft_history,trail' ELSE 'malformed' END AS failed_fields, count(*) AS n_records "
+                                "FROM lineitem WHERE l_linenumber >= 4 GROUP BY 1",
+    "scan_by_id": "SELECT l_orderkey || '-' || l_linenumber AS id, 'S' || l_suppkey || '-' || l_linenumber AS callsign, "
+                  "CAST(floor(epoch(l_shipdate)) AS INTEGER) AS time, CAST(l_partkey * 7 % 120 - 60 AS DOUBLE) AS latitude, "
+                  "CAST(l_partkey * 37 % 360 - 180 AS DOUBLE) AS longitude, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS on_ground "
+                  "FROM lineitem WHERE l_orderkey || '-' || l_linenumber IN ('1-1', '7-2', '30-3', '100-1', '500-4', '1123-7', "
+                  "'1499-2', 'no such flight')",
+    "compacted_runs": "SELECT event_id, ts, user_id, event_type, value, props, "
+                      + STAMP_TS.format(t="(TIMESTAMP '1998-01-01 00:00:00' + to_hours(hour(ts)))") + " FROM events",
     "enrich_detail": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity "
                      "FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
     "enrich_late": "SELECT o_orderkey, o_custkey, o_orderstatus, l_orderkey, l_linenumber, l_quantity "
@@ -556,3 +580,6 @@ GROUP BY airline_name, airline_iata""",
                             "date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n "
                             "FROM events GROUP BY 1, 2, 3",
 }
+ORACLE["detail_to_silver"] = ORACLE["clean_to_silver"]
+for _name in ("top_regional_airline", "avg_distance"):
+    ORACLE[f"{_name}_by_zone"] = ORACLE[f"{_name}_by_continent"].replace(CONTINENTS, ZONED)

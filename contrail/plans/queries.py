@@ -20,7 +20,7 @@ from contrail.operators import clean as C
 from contrail.operators import indicators as I
 from contrail.operators.current import active_flights, current_flights, current_versions, with_current_flag
 from contrail.operators.dedup import dedup_latest
-from contrail.operators.dims import airline_country_dim, continent_dim
+from contrail.operators.dims import airline_country_dim, bounded_broadcast, continent_dim
 from contrail.operators.enrich import enrich, enrich_poll, read_enriched, read_pending
 from contrail.operators.maintained import MART_COLUMNS, maintain_marts, read_mart
 from contrail.operators.nested import explode_flatten
@@ -30,6 +30,7 @@ from contrail.plans import views as V
 from contrail.plans.jobs import silver_job
 from contrail.session import scratch_path, table_path
 from contrail.sources import feeds, sinks
+from contrail.sources.compaction import compact_runs, read_runs
 from contrail.sources.scd2_table import read_scd2, upsert_scd2
 from contrail.streaming import active_counts as S
 from contrail.streaming.active_flights import active_changes, start_active_counts
@@ -241,6 +242,69 @@ def q_ingest_detail(spark, d):
     return sinks.read_table(spark, path, T.StructType([*matched.schema.fields, *STAMP_FIELDS]))
 
 
+def _detail_bronze(spark, d) -> str:
+    """Land the detail feed with broken records among it and ingest it under its 63 declared fields."""
+    landing, bronze = scratch_path(spark, "land_detail"), scratch_path(spark, "bronze_landed_detail")
+    feeds.land_json(V.detail_feed(spark, d), landing)
+    line, rec = F.col("l_linenumber"), F.concat(F.lit('{"id": "'), F.col("l_orderkey").cast("string"), F.lit('", '))
+    broken = (F.when(line == 7, F.concat(rec, F.lit('"time_details": "n/a"}')))
+              .when(line == 6, F.concat(rec, F.lit('"trail": {"lat": "1"}}')))
+              .when(line == 5, F.concat(rec, F.lit('"trail": 1, "aircraft_history": ["x"]}')))
+              .when(line == 4, F.concat(rec, F.lit('"time_details": {'))))
+    V.read(spark, d, "lineitem").where(line >= 4).select(broken.alias("value")).write.mode("append").text(landing)
+    feeds.ingest_to_bronze(spark, landing, feeds.feed_schema("detail"), bronze, AS_OF)
+    return bronze
+
+
+def q_ingest_detail_feed(spark, d):
+    """Writes: the nested detail feed from landed JSON into bronze (S6, S9, S13), read back with leaves of its struct and arrays."""
+    schema = T.StructType([*feeds.feed_schema("detail").fields, *STAMP_FIELDS])
+    return sinks.read_table(spark, _detail_bronze(spark, d), schema).select(
+        "id", "airline_icao", "status_text", "origin_airport_timezone_name",
+        F.col("time_details.real.departure").alias("real_departure"), F.array_size("aircraft_history").alias("n_legs"),
+        F.get(F.col("aircraft_history.airport.origin.code.iata"), F.lit(0)).alias("first_leg_origin"),
+        F.array_size("trail").alias("n_fixes"), F.get(F.col("trail.ts"), F.lit(1)).alias("last_fix_ts"),
+        *[f.name for f in STAMP_FIELDS])
+
+
+def q_ingest_detail_quarantine(spark, d):
+    """Writes: the broken records of the same ingest, counted by the fields that did not parse."""
+    bad = spark.read.parquet(f"{_detail_bronze(spark, d)}/_quarantine")
+    return (bad.groupBy(F.array_join(F.array_sort(feeds.FAILED_COLUMN), ",").alias("failed_fields"))
+            .agg(F.count(F.lit(1)).alias("n_records")))
+
+
+def q_detail_to_silver(spark, d):
+    """Writes: landed detail JSON through bronze and the cleaning job into the stored silver history, read back."""
+    bronze, path = _detail_bronze(spark, d), scratch_path(spark, "silver_landed")
+    silver_job(spark, bronze, path, V.TIME_DETAIL_LEAVES, V.EPOCH_TEXT_COLUMNS, ["status_text"], tie_break=SILVER_TIE_BREAK)
+    return read_scd2(spark, path).select(*SILVER_COLUMNS, "is_current", "effective_time", "end_time")
+
+
+POINT_IDS = ("1-1", "7-2", "30-3", "100-1", "500-4", "1123-7", "1499-2", "no such flight")
+
+
+def q_scan_by_id(spark, d):
+    """Writes: the position feed sorted by id with bloom filters in files over all ids; a few flights are read by id."""
+    path = scratch_path(spark, "indexed")
+    sinks.write_indexed(V.spread(V.position_feed(spark, d)), path, "id")
+    return feeds.read_feed(spark, path, feeds.feed_schema("flight"), where=f"id IN {POINT_IDS}",
+                           columns=["id", "callsign", "time", "latitude", "longitude", "on_ground"])
+
+
+def q_compacted_runs(spark, d):
+    """Writes: events as one run for each hour of a day, the first 20 packed into a few files, in two goes (S3, S4, S10);
+    all runs are read back."""
+    path = scratch_path(spark, "hourly")
+    hour = F.to_timestamp_ntz(F.concat(F.lit("1998-01-01 "), F.date_format("ts", "HH"), F.lit(":00:00")))
+    runs = feeds.stamp_extract(V.events(spark, d).withColumn("at", hour), "at").drop("at")
+    sinks.write_table(runs, path, sinks.RUN_PARTITIONS)
+    day = int(sinks.run_folder("", "1998-01-01 00:00:00").rpartition("=")[2])
+    for hours in (12, 20):
+        compact_runs(spark, path, day + hours * 3600, BRONZE_SCHEMA)
+    return read_runs(spark, path, BRONZE_SCHEMA)
+
+
 def q_enrich_detail(spark, d):
     matched, _ = enrich(V.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
                         V.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"),
@@ -512,6 +576,26 @@ def q_avg_distance_by_continent(spark, d):
     return I.avg_distance_by_continent(I.route_distance(active(spark, d)), continents(spark, d))
 
 
+def _zoned(spark, d, rows) -> tuple[DataFrame, dict]:
+    """Rows with the origin's time zone, and what the continents need when only two countries of three are known."""
+    zones = V.nation_zones(spark, d)
+    zoned = zones.select(F.col("country").alias("origin_airport_country_name"), F.col("zone").alias("origin_airport_timezone_name"))
+    nation = V.read(spark, d, "nation")
+    known = continent_dim(nation.where("n_nationkey % 3 <> 0"), V.read(spark, d, "region"))
+    return (rows.join(bounded_broadcast(zoned, bound_by=nation), "origin_airport_country_name", "left"),
+            {"continents": known, "zone_prefixes": V.zone_prefixes(spark, d), "zones": zones.select("zone")})
+
+
+def q_top_regional_airline_by_zone(spark, d):
+    rows, dims = _zoned(spark, d, active(spark, d))
+    return I.top_regional_airline_by_continent(rows, **dims)
+
+
+def q_avg_distance_by_zone(spark, d):
+    rows, dims = _zoned(spark, d, active(spark, d))
+    return I.avg_distance_by_continent(I.route_distance(rows), **dims)
+
+
 def _airline_countries(spark, d):
     return airline_country_dim(V.read(spark, d, "supplier"), V.read(spark, d, "nation"))
 

@@ -212,6 +212,35 @@ def detail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def detail_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail feed as landed: ``detail_view`` with a time zone for the origin and a trail of two fixes on even lines.
+    Declared fields that a record lacks are simply not in its JSON."""
+    zone = bounded_broadcast(nation_zones(spark, sf_dir).select(
+        F.col("country").alias("origin_airport_country_name"), F.col("zone").alias("origin_airport_timezone_name")))
+    fix = [F.struct(F.col("longitude").alias("lng"), F.lit(str(k)).alias("alt"), F.col("latitude").alias("lat"),
+                    F.col("time").alias("ts")) for k in (1, 2)]
+    even = F.split("id", "-")[1].cast("int") % 2 == 0
+    return (detail_view(spark, sf_dir).drop("extract_ts").join(zone, "origin_airport_country_name", "left")
+            .withColumn("trail", F.when(even, F.array(*fix))))
+
+
+def nation_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """country -> time zone: named after the region, for every fifth nation below 'America/'; one nation has none."""
+    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
+    home = F.concat(F.initcap("r_name"), F.lit("/"), F.col("n_name"))
+    zone = F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit("America/"), home)).otherwise(home)
+    return (nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey)
+            .select(F.col("n_name").alias("country"), F.when(F.col("n_nationkey") != 9, zone).alias("zone")))
+
+
+def zone_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """prefix -> continent for ``nation_zones``: each region's own, and a longer one below 'America/'."""
+    region = read(spark, sf_dir, "region")
+    word = F.initcap("r_name")
+    return region.select(F.explode(F.array(word, F.concat(F.lit("America/"), word))).alias("prefix"),
+                         F.col("r_name").alias("continent"))
+
+
 def _airport_sql(side: str, k: int) -> str:
     """One end of a past leg with the 19 leaves of the feed, as a SQL struct."""
     a = f"{side}_airport"

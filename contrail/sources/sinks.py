@@ -50,6 +50,20 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | str = ()
     w.save(path)
 
 
+def write_indexed(df: DataFrame, path: str, key: str, mode: str = "append", row_group_bytes: int = 32 << 20) -> None:
+    """Write a table for point reads by ``key`` (S1): rows sorted within each file, with Parquet bloom filters.
+
+    Sorting needs no shuffle. Within a file at most a row group or two can hold a value by their bounds, and
+    their bloom filter rules out the files that don't have it, so an equality predicate on ``key`` (pushed down by
+    ``read_feed``) decodes the row groups that hold it and few others. Bloom filters are sized by the values found.
+    """
+    (df.sortWithinPartitions(F.col(f"`{key}`")).write.mode(mode)
+       .option("parquet.block.size", row_group_bytes)
+       .option(f"parquet.bloom.filter.enabled#{key}", "true")
+       .option("parquet.bloom.filter.adaptive.enabled", "true")
+       .parquet(path))
+
+
 def run_folder(path: str, as_of) -> str:
     """The partition folder of the run at ``as_of`` (text or datetime): year, month, day, extraction time."""
     t = as_of if isinstance(as_of, _dt.datetime) else _dt.datetime.fromisoformat(str(as_of))
