@@ -41,6 +41,8 @@ SHAPES = {
 ROUNDS, MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 3, 5, 0.8, 0.9
 #: Characters of text looked at on either side of an instance.
 CONTEXT = 64
+#: Matches whose places are summed at a time, and characters of a piece of text (at least ``CONTEXT``).
+BLOCK, PIECE = 128, 512
 
 
 def _digits(text: Column) -> Column:
@@ -69,17 +71,42 @@ def is_valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it inside its lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as array<struct<start, end, found>>, in code points, ends exclusive."""
+    """Leftmost non-overlapping matches as array<struct<start, end, found>>, in code points, ends exclusive.
+
+    Positions are sums over the gaps and matches before: within blocks of ``BLOCK`` matches, then over the blocks, since
+    appending to an array copies it.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.split(text, pattern, -1), found, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
-    begins = F.aggregate(
-        F.slice(pairs, 1, F.greatest(F.size(pairs) - 1, F.lit(0))),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["m"])).alias("at"), F.array_append(acc["starts"], acc["at"] + x["gap"]).alias("starts")),
-    )["starts"]
-    return F.zip_with(begins, found, lambda s, m: F.struct(s.alias("start"), (s + F.length(m)).alias("end"), m.alias("found")))
+    none = F.array().cast(_SPANS)
+
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        end = start + F.length(x["m"])
+        return F.struct(end.alias("at"), F.array_append(acc["spans"], F.struct(
+            start.alias("start"), end.alias("end"), x["m"].alias("found"))).alias("spans"))
+
+    def block(p: Column, j: Column) -> Column:
+        size = F.least(F.lit(BLOCK), F.size(p) - 1 - j * BLOCK)
+        return F.aggregate(F.slice(p, j * BLOCK + 1, size), F.struct(F.lit(0).alias("at"), none.alias("spans")), add)
+
+    def placed(blocks: Column) -> Column:
+        begins = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")), lambda acc, b: F.struct(
+            (acc["at"] + b["at"]).alias("at"), F.array_append(acc["begins"], acc["at"]).alias("begins")))["begins"]
+        return F.flatten(F.zip_with(blocks, begins, lambda b, o: F.transform(b["spans"], lambda s: F.struct(
+            (s["start"] + o).alias("start"), (s["end"] + o).alias("end"), s["found"].alias("found")))))
+
+    def spans(p: Column) -> Column:
+        last = ((F.size(p) - 2) / BLOCK).cast("int")
+        return F.when(F.size(p) < 2, none).otherwise(
+            _bound(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda j: block(p, j)), placed))
+    return _bound(pairs, spans)
 
 
 _SPANS = "array<struct<start:int,end:int,found:string>>"
@@ -93,17 +120,26 @@ def base_matches(kind: str, text: Column) -> Column:
 
 
 def _instances(text: Column) -> Column:
-    """Identifier-like runs, without the punctuation around them, with the text on either side."""
+    """Identifier-like runs, without the punctuation around them, with the text on either side.
+
+    The text is cut into pieces first: what stands around a run is taken from two or three of them, not counted from the
+    text's start for each run.
+    """
     runs = F.when(text.rlike("[0-9@]"), matches(text, INSTANCE)).otherwise(F.array().cast(_SPANS))
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}+"), F.lit(0))
 
-    def trimmed(m: Column) -> Column:
+    def part(p: Column, at: Column, n: Column) -> Column:
+        first = (at / PIECE).cast("int")
+        return F.substring(F.array_join(F.slice(p, first + 1, F.lit(2)), ""), at - first * PIECE + 1, n)
+
+    def trimmed(m: Column, p: Column) -> Column:
         core = F.regexp_replace(m["found"], r"""^["'\[{<,;:!?*#]+|["'\]}>.,;:!?*#]+$""", "")
         start = m["start"] + F.length(m["found"]) - F.length(F.regexp_replace(m["found"], r"""^["'\[{<,;:!?*#]+""", ""))
         before = F.greatest(start - CONTEXT, F.lit(0))
         return F.struct(
             start.alias("start"), (start + F.length(core)).alias("end"), core.alias("found"),
-            F.substring(text, before + 1, start - before).alias("left"), F.substring(text, start + F.length(core) + 1, F.lit(CONTEXT)).alias("right"))
-    return F.transform(runs, trimmed)
+            part(p, before, start - before).alias("left"), part(p, start + F.length(core), F.lit(CONTEXT)).alias("right"))
+    return _bound(pieces, lambda p: F.transform(runs, lambda m: trimmed(m, p)))
 
 
 def _words(text: Column) -> Column:
@@ -173,6 +209,21 @@ def _ranked(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
 
 
+def _clear_of(added: Column, base: Column) -> Column:
+    """The added spans that overlap no base span; blocks of base spans in order are passed over by their bounds."""
+    def blocks(spans: Column) -> Column:
+        def block(j: Column) -> Column:
+            own = F.slice(spans, j * BLOCK + 1, F.lit(BLOCK))
+            return F.struct(F.array_min(own)["start"].alias("lo"), F.array_max(F.transform(own, lambda s: s["end"])).alias("hi"), own.alias("spans"))
+        return F.transform(F.sequence(F.lit(0), ((F.size(spans) - 1) / BLOCK).cast("int")), block)
+
+    def clear(held: Column) -> Column:
+        return F.filter(added, lambda s: ~F.exists(held, lambda k: (k["lo"] < s["end"]) & (s["start"] < k["hi"]) & F.exists(
+            k["spans"], lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+
+    return F.when((F.size(added) == 0) | (F.size(base) == 0), added).otherwise(_bound(F.sort_array(base), lambda b: _bound(blocks(b), clear)))
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
@@ -194,8 +245,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     rows = scanned.join(added, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), "left")
     base = F.concat(*(_ranked(k, F.col(k)) for k in KINDS))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    added = F.filter(
-        F.coalesce("added", none), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    added = _clear_of(F.coalesce("added", none), base)
     return rows.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(_digest_text(base).cast("binary"), 256).alias("base_sha256"), _digest_text(F.concat(base, added)).alias("spans"),
