@@ -5,8 +5,8 @@ inside it, links discounted. A page's own container is found from the element wi
 most text: its outermost article or main, or else what it climbs to while more text
 with few links or a headline comes in. Pages of one host share templates, so each
 page votes for the generalised tag-class paths on that climb, Spark sums the votes
-per host, and the pages are extracted again with their host's winning path.
-A page without that path (or with next to nothing there) uses its own best one.
+per host, and the pages are extracted again with their host's winning path: from there
+the page is climbed as long as article text comes in. A page whose own container holds more uses that.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 from contrail.llm.common import reach_workers, stored, text_slices
 
 # HTML element names by role.
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas|select|xmp|noembed|noframes"
+RAW = "script|style|noscript|template|textarea|title|iframe|svg|annotation|annotation-xml|object|canvas|select|xmp|noembed|noframes"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp"
-    " small span strike strong sub sup time tt u var wbr br".split())
+    " small span strike strong sub sup time tt u var wbr br"
+    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup"
+    " munder mover munderover mmultiscripts mtable mtr mtd maction semantics".split())
 DROPPED = frozenset("head nav footer aside form button input dialog menu fieldset audio video map".split())
 CLOSES_ITSELF = {
     "p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -42,6 +44,15 @@ MARKS = (
     " search skip tagcloud").split()
 _EXACT = frozenset(m for m in MARKS if m[-1] != "*")
 _PREFIX = tuple(m[:-1] for m in MARKS if m[-1] == "*")
+# Words beside a mark that leave a name a name of layout ("comments-section"); with any other word
+# ("related-work") a name inside an article may be its own subject.
+LAYOUT_WORDS = frozenset(
+    "section list listing box container wrapper wrap block area panel module group row col column grid item items entry unit slot"
+    " posts post article articles story stories links link news topics videos video more read reading bar button buttons icon icons"
+    " tools title header heading head body inner outer left right top bottom main content text page site form field input thread"
+    " threads user users reader readers author meta count counter sticky inline float mobile desktop js fb facebook twitter google"
+    " media network networks follow up letter email mail sign in out us me on the for you your view views show load also like likes"
+    " wide small large big mini dark light hidden visible default primary secondary id no new latest popular trending and by to".split())
 PAGE_HEADER = frozenset(("header", "banner", "siteheader", "pageheader"))
 
 TOKEN = re.compile(
@@ -50,8 +61,8 @@ TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
 ATTR = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
-#: Containers a page votes for, and the share of its best score below which the host's path doesn't count.
-VOTES, LEAST_SHARE = 3, 0.2
+#: Containers a page votes for, and characters of a block that runs as text.
+VOTES, RUNNING = 3, 80
 #: A climb takes in a parent whose added text has at most this share in links, and a headline or at least that share of new text.
 MOST_LINKED, LEAST_ADDED = 0.3, 0.1
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -60,13 +71,18 @@ LAYOUT = frozenset("has no with without".split())
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "dropped", "shut", "score", "direct", "chars", "linked", "heads", "inside", "in_article")
+    __slots__ = ("tag", "path", "parent", "dropped", "shut", "score", "direct", "chars", "linked", "heads", "inside", "in_article",
+                 "cut", "doubtful", "held", "held_linked", "longest")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent, self.score, self.direct = tag, parent, 0.0, 0.0
         self.chars = self.linked = self.heads = 0
+        self.held = self.held_linked = self.longest = 0
         names, hidden = "", False
         marks: set[str] = set()
+        # a header of the page is no main text, a header inside an article is
+        self.inside = bool(parent and parent.inside) or tag in ("article", "main")
+        plain = False
         if attrs and "=" in attrs or "hidden" in attrs:
             for m in ATTR.finditer(attrs):
                 key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -76,28 +92,41 @@ class Node:
                     for name in value.split():
                         parts = [w.lower() for w in WORD.findall(name)]
                         parts = parts[:next((i for i, w in enumerate(parts) if w in LAYOUT), len(parts))]
-                        marks.update(parts)
-                        marks.add("".join(parts))
+                        named = {*parts, "".join(parts)}
+                        marks |= named
+                        # a name of nothing but marks and layout words says what the element is
+                        plain = plain or is_marked(named) and all(w in LAYOUT_WORDS or w.isdigit() or is_marked({w}) for w in parts)
                     if key == "class":
                         names = "".join("." + re.sub(r"[0-9]+", "#", c) for c in sorted(value.lower().split()))
         self.path = f"{parent.path}/{tag}{names}" if parent else ""
-        # a header of the page is no main text, a header inside an article is
-        self.inside = bool(parent and parent.inside) or tag in ("article", "main")
         header = not self.inside and (tag == "header" or bool(marks & PAGE_HEADER))
         keep = tag in ("html", "body", "article", "main")
         # elements and hidden parts shut all that is inside; a wrapper's class doesn't take an outermost article or main with it
         self.shut = bool(parent and parent.shut) or hidden or tag in DROPPED or tag == "header" and not self.inside
-        wrapped = bool(parent and parent.dropped) and (tag not in ("article", "main") or parent.in_article)
         self.in_article = bool(parent and parent.in_article) or tag == "article"
-        self.dropped = self.shut or wrapped or header or not keep and (
-            not marks.isdisjoint(_EXACT) or any(m.startswith(_PREFIX) for m in marks)) or (
+        marked = not keep and is_marked(marks)
+        self.doubtful = marked and self.inside and not plain
+        self.cut = header or marked and not self.doubtful or (
             tag == "article" and not marks.isdisjoint(("comment", "comments", "reply", "ad", "advert", "promo", "related", "sponsored", "teaser")))
+        self.dropped = False
+
+    def settle(self) -> None:
+        """Decide on this element once its text is known and its parent is decided. A doubtful name cuts what is mostly links
+        or has no running text."""
+        doubt = self.doubtful and (self.held_linked > MOST_LINKED * self.held or self.longest < RUNNING)
+        wrapped = bool(self.parent and self.parent.dropped) and (self.tag not in ("article", "main") or self.parent.in_article)
+        self.dropped = self.shut or wrapped or self.cut or doubt
+
+
+def is_marked(words: set[str]) -> bool:
+    return not words.isdisjoint(_EXACT) or any(w.startswith(_PREFIX) for w in words)
 
 
 def blocks_of(html: str) -> tuple[list[tuple[str, Node]], list[Node]]:
     """The blocks of text in page order, each with the element it stands in, and all elements."""
     root = Node("", "", None)
     stack, nodes, blocks = [root], [root], []
+    links_in: list[int] = []
     text: list[str] = []
     linked, at = 0, 0
     links = 0
@@ -109,18 +138,7 @@ def blocks_of(html: str) -> tuple[list[tuple[str, Node]], list[Node]]:
         if block:
             here = next(n for n in reversed(stack) if n.tag not in INLINE)
             blocks.append((block, here))
-            gain = max(0.0, len(block) - 2.0 * linked)
-            if not here.dropped:
-                # a paragraph speaks for what holds it, other text for its own element
-                up = here.parent if here.tag in (*HEADINGS, "p", "li", "pre", "td", "blockquote") and here.parent else here
-                up.direct += gain
-                head = here.tag in HEADINGS and bool(gain)
-                while up:
-                    up.score += gain
-                    up.chars += len(block)
-                    up.linked += linked
-                    up.heads += head
-                    up = up.parent
+            links_in.append(linked)
         linked = 0
 
     for m in TOKEN.finditer(html):
@@ -165,12 +183,40 @@ def blocks_of(html: str) -> tuple[list[tuple[str, Node]], list[Node]]:
     if at < len(html):
         text.append(html[at:])
     flush()
+    weigh(blocks, links_in, nodes)
     return blocks, nodes
 
 
-def climb(nodes: list[Node]) -> list[Node]:
-    """Containers from the element with most text of its own up to the one that holds the page's main text."""
-    node = max(nodes, key=lambda n: n.direct)
+def weigh(blocks: list[tuple[str, Node]], links_in: list[int], nodes: list[Node]) -> None:
+    """Settle which elements are no main text, and score the others by their text, links discounted."""
+    if any(n.doubtful for n in nodes):
+        for (block, here), linked in zip(blocks, links_in, strict=True):
+            up: Node | None = here
+            while up:
+                up.held += len(block)
+                up.held_linked += linked
+                up.longest = max(up.longest, len(block))
+                up = up.parent
+    for n in nodes:
+        n.settle()
+    for (block, here), linked in zip(blocks, links_in, strict=True):
+        if here.dropped:
+            continue
+        gain = max(0.0, len(block) - 2.0 * linked)
+        # a paragraph speaks for what holds it, other text for its own element
+        up = here.parent if here.tag in (*HEADINGS, "p", "li", "pre", "td", "blockquote") and here.parent else here
+        up.direct += gain
+        head = here.tag in HEADINGS and bool(gain)
+        while up:
+            up.score += gain
+            up.chars += len(block)
+            up.linked += linked
+            up.heads += head
+            up = up.parent
+
+
+def climb(node: Node) -> list[Node]:
+    """Containers from an element up to the one that holds the page's main text."""
     line, chain = [node], []
     up = node
     while up:
@@ -190,21 +236,24 @@ def climb(nodes: list[Node]) -> list[Node]:
 def votes(html: str) -> list[tuple[str, float]]:
     """Paths of the page's own container and the last ones on the climb to it, with their share of its score."""
     _, nodes = blocks_of(html)
-    line = [n for n in climb(nodes) if n.score]
+    line = [n for n in climb(max(nodes, key=lambda n: n.direct)) if n.score]
     return list({n.path: n.score / line[-1].score for n in line[-VOTES:]}.items())
 
 
 def main_text(html: str, host_path: str | None) -> str:
-    """Blocks inside the containers of the host's path, or of the page's own best one."""
+    """Blocks inside the container that the host's path leads to on this page, or inside the page's own where that holds more."""
     blocks, nodes = blocks_of(html)
     by_path: dict[str, float] = {}
     for n in nodes:
         by_path[n.path] = by_path.get(n.path, 0) + n.score
-    own = climb(nodes)
-    own = own[-1].path if own else ""
-    if not by_path[own]:
+    own = climb(max(nodes, key=lambda n: n.direct))
+    path = own[-1].path if own else ""
+    if not by_path[path]:
         return ""
-    path = host_path if by_path.get(host_path, 0) >= LEAST_SHARE * by_path[own] else own
+    anchors = [n for n in nodes if n.path == host_path and n.score]
+    if anchors:
+        led = climb(max(anchors, key=lambda n: n.score))[-1].path
+        path = led if by_path[led] >= by_path[path] else path
     inside: dict[int, bool] = {}
 
     def within(n: Node | None) -> bool:
