@@ -3,8 +3,10 @@
 Base findings come from three patterns. On top of them, runs of base64 and
 hex text are decoded and parsed, and reported only when their structure holds:
 
-* ``pem``: an armoured block whose body decodes to a private key encoding;
-* ``key``: bare base64 or hex that decodes to a private key encoding: a DER
+* ``pem``: an armoured block whose body decodes to a private key encoding, also with headers or with line ends
+  written as escapes; a block that its headers say is encrypted must name a cipher, a fitting start vector and
+  hold whole cipher blocks;
+* ``key``: bare base64 (in one run or wrapped over lines) or hex that decodes to a private key encoding: a DER
   sequence whose nested lengths fill it exactly, or an OpenSSH key container;
 * ``jwt``: a signed token whose header is JSON with an ``alg``, whose payload is
   JSON and whose signature decodes.
@@ -31,9 +33,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "pem", "key", "jwt")
 
-PEM = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
+PEM = re.compile(r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----((?:[^-]++|-(?!----))*+)-----END \1PRIVATE KEY-----")
+LINE_END = r"(?:\r?\n|(?:\\+r)?\\+n)"
+ESCAPED_END = re.compile(r"(?:\\+r)?\\+n")
+HEADER = re.compile(r"[ \t]*([A-Za-z][A-Za-z0-9-]*):[ \t]*(.*)")
+CIPHER = re.compile(r"((?:AES|DES|CAMELLIA|ARIA|SEED|BF|CAST5|IDEA|RC2)[A-Z0-9-]*),([0-9A-Fa-f]+)")
 JWT = re.compile(r"(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+(?![A-Za-z0-9_-])")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{44,}={0,2}(?![A-Za-z0-9+/_=-])")
+WRAPPED = re.compile(
+    rf"(?<![A-Za-z0-9+/_-])((?:[A-Za-z0-9+/]{{40,}}+{LINE_END}[ \t]*+)++)([A-Za-z0-9+/]*+={{0,2}})")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{2}){40,}(?![0-9A-Fa-f])|(?<![0-9A-Fa-f])(?:[0-9A-F]{2}){40,}(?![0-9A-Fa-f])")
 
 # DER tags and the magic of an OpenSSH private key.
@@ -118,6 +126,48 @@ def _openssh_fills(raw: bytes) -> bool:
     return at == len(raw)
 
 
+def is_sealed_key(headers: dict[str, str], raw: bytes) -> bool:
+    """Whether an encrypted armoured key names its cipher, with a start vector of a block, and holds whole blocks."""
+    named = CIPHER.fullmatch(headers.get("dek-info", "").strip())
+    if not named or len(named[2]) not in (16, 32):
+        return False
+    return len(raw) >= 64 and len(raw) % (len(named[2]) // 2) == 0
+
+
+def is_armoured_key(body: str) -> bool:
+    """Whether the text between the armour lines is a key: optional headers, then base64. Escaped line ends are line ends."""
+    lines = ESCAPED_END.sub("\n", body).strip().splitlines()
+    headers: dict[str, str] = {}
+    at, last = 0, ""
+    while at < len(lines):
+        line = lines[at].strip("\"'")
+        if m := HEADER.fullmatch(line):
+            last = m[1].lower()
+            headers[last] = m[2]
+        elif headers and line[:1] in (" ", "\t"):
+            headers[last] += line.strip()
+        else:
+            break
+        at += 1
+    raw = decode64("".join(line.strip().strip("\"',;") for line in lines[at:]))
+    if not raw:
+        return False
+    sealed = "encrypted" in headers.get("proc-type", "").lower()
+    return is_sealed_key(headers, raw) if sealed else is_private_key(raw)
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int]]:
+    """Where base64 wrapped over lines is a key. The words after the last line end may or may not belong to it."""
+    found = []
+    for m in WRAPPED.finditer(text):
+        whole = ESCAPED_END.sub("\n", m[1]).rstrip()
+        for body, end in ((whole + m[2], m.end()), (whole, m.start() + len(re.sub(rf"{LINE_END}[ \t]*\Z", "", m[1])))):
+            if (raw := decode64(body)) and is_private_key(raw):
+                found.append((m.start(), end))
+                break
+    return found
+
+
 def is_signed_token(text: str) -> bool:
     head, body, signature = map(decode64, text.split("."))
     if not head or not body or not signature:
@@ -139,9 +189,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans whose decoded structure proves them; none lies inside another."""
-    found = [("pem", *m.span()) for m in PEM.finditer(text) if (raw := decode64(m[2])) and is_private_key(raw)]
+    found = [("pem", *m.span()) for m in PEM.finditer(text) if is_armoured_key(m[2])]
     found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(m[0])]
     taken = [(a, b) for _, a, b in found]
+    wrapped = [(a, b) for a, b in wrapped_keys(text) if not any(x <= a < y for x, y in taken)]
+    found += [("key", a, b) for a, b in wrapped]
+    taken += wrapped
     for pattern, decode in ((BASE64, decode64), (HEX_KEY, bytes.fromhex)):
         for m in pattern.finditer(text):
             if not any(a <= m.start() < b for a, b in taken) and (raw := decode(m[0])) and is_private_key(raw):
