@@ -583,3 +583,9 @@ GROUP BY airline_name, airline_iata""",
 ORACLE["detail_to_silver"] = ORACLE["clean_to_silver"]
 for _name in ("top_regional_airline", "avg_distance"):
     ORACLE[f"{_name}_by_zone"] = ORACLE[f"{_name}_by_continent"].replace(CONTINENTS, ZONED)
+ORACLE["latest_marts"] = " UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, '1998_01_01' AS extract_day, count(*) AS n_rows FROM ({ORACLE[query]}) HAVING count(*) > 0" for mart, query in (
+        ("current_flight_by_airline", "airline_active_counts"), ("regional_flight", "regional_by_country_airline"),
+        ("longest_flight_by_time", "longest_by_time"), ("longest_flight_by_distance", "longest_by_distance"),
+        ("avg_distance_by_country", "avg_distance_by_country"), ("aircraft_company_flight", "manufacturer_counts"),
+        ("aircraft_model_by_country", "models_by_country"), ("in_out_flight", "airport_in_out")))

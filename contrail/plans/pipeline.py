@@ -12,12 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from contrail.functions.timefmt import STAMP_FORMATS
 from contrail.operators import indicators as I
 from contrail.operators.current import active_flights, current_flights
-from contrail.sources.sinks import write_run
+from contrail.sources.sinks import latest_run, read_table, write_run
 
 # name -> (input set, builder(input, dims))
 INDICATORS: dict[str, tuple[str, Callable[[DataFrame, dict], DataFrame]]] = {
@@ -84,3 +86,16 @@ def publish_indicators(silver: DataFrame, as_of, out_root: str, dims: dict | Non
         for df in shared:
             df.unpersist()
     return names
+
+
+def read_latest_marts(spark: SparkSession, out_root: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """The newest run of each mart under ``out_root`` (S12), stamps as text; a mart that was never published raises.
+
+    Each is lazy and reads its newest run's folder only.
+    """
+    marts = {}
+    for n in names or INDICATORS:
+        schema = spark.read.parquet(f"{out_root}/{n}").schema
+        full = T.StructType([T.StructField(f.name, T.StringType()) if f.name in STAMP_FORMATS else f for f in schema])
+        marts[n] = latest_run(read_table(spark, f"{out_root}/{n}", full))
+    return marts

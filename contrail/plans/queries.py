@@ -28,6 +28,7 @@ from contrail.operators.profile import merged_ratios, prune_by_profile, update_p
 from contrail.operators.scd2 import scd2_as_of, scd2_history, scd2_init, scd2_merge, scd2_splice, scd2_timeline, timeline_history
 from contrail.plans import views as V
 from contrail.plans.jobs import silver_job
+from contrail.plans.pipeline import publish_indicators, read_latest_marts
 from contrail.session import scratch_path, table_path
 from contrail.sources import feeds, sinks
 from contrail.sources.compaction import compact_runs, read_runs
@@ -159,6 +160,21 @@ def q_mart_top3(spark, d):
                     F.col("airline_iata").asc_nulls_last()], 3)
 
 
+LATEST_MARTS = ("current_flight_by_airline", "regional_flight", "longest_flight_by_time", "longest_flight_by_distance",
+                "avg_distance_by_country", "aircraft_company_flight", "aircraft_model_by_country", "in_out_flight")
+
+
+def q_latest_marts(spark, d):
+    """Writes: two runs of every indicator mart; the newest run of each mart is read, with its size and day."""
+    out = scratch_path(spark, "latest_marts")
+    for as_of in RUN_AS_OF[:2]:
+        publish_indicators(silver(spark, d, as_of), as_of, out, names=LATEST_MARTS)
+    marts = read_latest_marts(spark, out, LATEST_MARTS)
+    sizes = [df.groupBy("extract_day").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("mart"), "extract_day", "n_rows")
+             for n, df in marts.items()]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 EVENTS_JSON_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
