@@ -1,50 +1,53 @@
 """Language-model scores from a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class, history). Frequent words
-share classes by frequency, both factors are softmaxes over sums of hashed
-n-gram and skip features. The rest of the vocabulary is dealt to tail classes by
-a hash of the word, so that the history bears on it too; within a tail class a
-word keeps its add-one unigram share. The probabilities of all words and of one
-unseen word in each tail class add up to 1. Classes, named words and feature rows
-grow with the counted vocabulary.
-
-Training is distributed: every task makes stochastic gradient updates over its
-own documents from the same start, and Spark averages the rows of the weight
-tables, weighted by how often each task has updated them. Word counts cover all
-training documents. For scoring, documents are taken in blocks of rows; a block
-meets the counts of its own distinct words in a cogroup, so the vocabulary is
-never held, collected or broadcast as a whole.
+A word is reached in three choices, class, class within it and word, each a
+softmax over sums of hashed n-gram and skip features of the history:
+P(word | history) is their product. Half of the classes hold the frequent words,
+by frequency. All other words are dealt to the leaves of the other half by a hash,
+so that the history bears on them too; within such a leaf a word keeps its add-one
+unigram share. The probabilities of all words and of one unseen word in each of
+those leaves add up to 1. Leaves and feature rows grow with the counted vocabulary.
+
+Training is synchronous: documents are dealt to ROUNDS rounds by a hash of the
+row, and in each round Spark adds up one gradient over all its documents. The
+gradient is what was seen minus what is drawn from the model's own softmax, one
+draw for each choice by a hash of the token's place, so its parts are whole
+numbers: their sum, and so every score, is the same on any number of cores, tasks
+and files. Word counts cover all training documents. For scoring, documents are
+taken in blocks of rows; a block meets the counts of its own distinct words in a
+cogroup, so the vocabulary is never held, collected or broadcast as a whole.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm.common import ASCII_LOWER_WORDS, fold_of, located, split_words, stored, text_bytes, text_slices
 
-#: Tokens of a gradient update, step size, rows of a weight table that travel together.
-BATCH, RATE, PIECE = 4096, 0.25, 2048
-#: Distinct words up to which the model has its least shape; past it each side grows with the fourth root.
+#: Rounds of training, its step, the counts that damp a rare row's step, and text of a task in a round.
+ROUNDS, STEP, DAMP, TASK_BYTES = 6, 1 / 1.5, 4.0, 64 << 20
+#: Tokens taken at a time, rows of the weight table that travel together, text bytes hashed at a time.
+BATCH, PIECE, HASH_BYTES = 8192, 4096, 1 << 20
+#: Distinct words up to which the model has its least shape; past it weights and leaves grow with the square root.
 LEAST_SHAPE_WORDS = 400_000
-#: Rows of a run that are summed place by place.
-SHORT = 12
+#: The weight table is broadcast, so it stops growing here; leaves don't.
+MOST_WEIGHT_BYTES = 512 << 20
+#: Log weight of a branch that no word is in, and the most a sum of weights may be.
+SHUT, MOST = -60.0, 80.0
 #: Text of a scoring block, and distinct words a counting task holds before it passes them on.
 BLOCK_BYTES, FLUSH = 8 << 20, 300_000
 #: The end of a text as a token: no word is empty.
 END = b""
 _BEGIN = 0x51ED270B
-_U32 = np.uint32
-#: The rank of every word without a name of its own.
-_TAIL = np.iinfo(np.int64).max
+_U32, _U64 = np.uint32, np.uint64
 
 
 def learns_from(col: Column) -> Column:
@@ -54,213 +57,202 @@ def learns_from(col: Column) -> Column:
 
 @dataclass(frozen=True)
 class Shape:
-    """Classes of named words, words of each, tail classes, rows of the class and the word weight tables."""
+    """Branches of each choice, and rows of the weight table."""
 
-    own: int = 31
-    slots: int = 64
-    tails: int = 1
-    class_rows: int = 1 << 15
-    word_rows: int = 1 << 14
+    fan: int = 16
+    rows: int = 1 << 18
 
     @property
     def named(self) -> int:
-        return self.own * self.slots
-
-    @staticmethod
-    def of(v: int) -> Shape:
-        """The shape for ``v`` distinct words; named words and weights grow with the square root of ``v``."""
-        g = max(1.0, v / LEAST_SHAPE_WORDS) ** 0.25
-        return Shape(math.ceil(31 * g), math.ceil(64 * g), math.ceil(32 * g), math.ceil(g * 16) * PIECE, math.ceil(g * 8) * PIECE)
-
-
-@dataclass
-class Weights:
-    classes: np.ndarray  # class_rows x (own + tails)
-    words: np.ndarray    # word_rows x slots
-    tails: int = 1
+        """Leaves of one word each."""
+        return self.fan // 2 * self.fan ** 2
 
     @property
-    def own(self) -> int:
-        return self.classes.shape[1] - self.tails
+    def tails(self) -> int:
+        """Leaves shared by all other words."""
+        return self.fan ** 3 - self.named
 
     @property
-    def slots(self) -> int:
-        return self.words.shape[1]
-
-    def copy(self) -> Weights:
-        return Weights(self.classes.copy(), self.words.copy(), self.tails)
+    def nodes(self) -> int:
+        return 1 + self.fan + self.fan ** 2
 
-    def class_of(self, rank: np.ndarray, tail: np.ndarray) -> np.ndarray:
-        return np.where(rank < self.own * self.slots, rank // self.slots, self.own + tail % self.tails)
+    @staticmethod
+    def of(v: int) -> Shape:
+        """The shape for ``v`` distinct words; leaves and weights grow with the square root of ``v``."""
+        g = max(1.0, v / LEAST_SHAPE_WORDS) ** (1 / 6)
+        fan = math.ceil(16 * g)
+        rows = min(math.ceil(64 * g ** 2), MOST_WEIGHT_BYTES // (4 * fan * PIECE)) * PIECE
+        return Shape(fan, rows)
 
 
 @dataclass
 class Vocabulary:
-    """The frequent words by rank, and the size of what is left."""
+    """The frequent words by rank, the size of what is left, and the mass of each shared leaf."""
 
     head: dict[bytes, int]
     n: int        # training tokens
     v: int        # distinct training tokens
-    tail_n: int   # training tokens outside the head
-    tail_v: int   # distinct ones
-    shape: Shape = Shape()
-    tail_mass: np.ndarray | None = None  # of each tail class: its words' counts, each plus one, and one unseen word
+    shape: Shape
+    tail_mass: np.ndarray  # of each shared leaf: its words' counts, each plus one, and one unseen word
+    _index: tuple | None = field(default=None, repr=False)
+
+    def leaves(self, h: np.ndarray) -> np.ndarray:
+        """The leaf of each word hash."""
+        if self._index is None:
+            words = list(self.head)
+            mine = hashes_of(words)
+            order = np.argsort(mine)
+            bits = max(1, len(words)).bit_length() + 5
+            keys = mine[order]
+            begin = np.searchsorted(keys, np.arange(1 << bits).astype(_U64) << _U64(64 - bits))
+            most = int(np.diff(np.r_[begin, len(keys)]).max(initial=0))
+            ranks = np.array([self.head[w] for w in words], np.int64)[order]
+            pad = np.zeros(most + 1, np.int64)
+            self._index = bits, begin, most, np.r_[keys, pad.astype(_U64)], np.r_[ranks, pad - 1]
+        bits, begin, most, keys, ranks = self._index
+        out = self.shape.named + (h % _U64(self.shape.tails)).astype(np.int64)
+        at = begin[h >> _U64(64 - bits)]
+        for j in range(most):
+            same = (keys[at + j] == h) & (ranks[at + j] >= 0)
+            out[same] = ranks[at[same] + j]
+        return out
+
 
-    def masses(self) -> np.ndarray:
-        return np.array([self.tail_n + self.tail_v + 1.0]) if self.tail_mass is None else self.tail_mass
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and the offset of each text in them; no word is made an object."""
+    if not texts:
+        return np.zeros(0, _U64), np.zeros(1, np.int64)
+    data = np.frombuffer(b" ".join([*texts, b""]).translate(ASCII_LOWER_WORDS), np.uint8)
+    word = np.r_[False, data != 32, False]
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    first, last = edges[::2], edges[1::2]
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    out = np.empty(len(first), _U64)
+    i = 0
+    while i < len(first):
+        j = max(i + 1, int(np.searchsorted(last, first[i] + HASH_BYTES, side="right")))
+        size = last[i:j] - first[i:j]
+        at = np.cumsum(size) - size
+        inside = np.arange(int(size.sum())) - np.repeat(at, size)
+        power = np.cumprod(np.full(int(size.max()), 0x9E3779B97F4A7C15, _U64))
+        out[i:j] = np.add.reduceat((data[np.repeat(first[i:j], size) + inside].astype(_U64) + _U64(1)) * power[inside], at)
+        i = j
+    out ^= out >> _U64(29)
+    out *= _U64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> _U64(32)), np.searchsorted(first, begins)
 
 
 class Tokens:
-    """Token arrays of some texts: rank in the head (_TAIL outside it), hash, tail hash, and place in the text."""
+    """Token arrays of some texts: leaf, hashes of the word and of the two before it, and place in the text."""
 
-    def __init__(self, texts: list[bytes], head: dict[bytes, int], extra: Callable[[list[bytes]], np.ndarray] | None = None):
-        words, off = split_words(texts, ASCII_LOWER_WORDS)
-        at = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        at[END] = len(at)
-        kinds = list(at)
+    def __init__(self, texts: list[bytes], vocab: Vocabulary):
+        words, off = word_hashes(texts)
         self.lengths = np.diff(off) + 1
-        ends = np.cumsum(self.lengths) - 1
-        ids = np.full(len(words) + len(texts), at[END], np.int64)
-        inside = np.ones(len(ids), bool)
-        inside[ends] = False
-        ids[inside] = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-        self.rank = np.array([head.get(w, _TAIL) for w in kinds], np.int64)[ids]
-        self.hash = np.array([xxhash.xxh32_intdigest(w) for w in kinds], _U32)[ids]
-        self.tail = np.array([zlib.crc32(w) for w in kinds], np.int64)[ids]
-        self.place = np.arange(len(ids)) - np.repeat(ends - self.lengths + 1, self.lengths)
-        self.extra = extra(kinds)[ids] if extra else None
-
-    def back(self, k: int) -> np.ndarray:
-        """Hash of the k-th token before each one."""
+        self.ends = np.cumsum(self.lengths) - 1
+        self.inside = np.ones(len(words) + len(texts), bool)
+        self.inside[self.ends] = False
+        h = np.zeros(len(self.inside), _U64)
+        h[self.inside] = words
+        self.leaf = vocab.leaves(h)
+        self.hash = (h >> _U64(32)).astype(_U32)
+        self.place = np.arange(len(h)) - np.repeat(self.ends - self.lengths + 1, self.lengths)
+        self.before, self.skipped = self._back(1), self._back(2)
+
+    def _back(self, k: int) -> np.ndarray:
         out = np.full(len(self.hash), _BEGIN, _U32)
         if k < len(out):
             out[k:] = np.where(self.place[k:] >= k, self.hash[:-k], _U32(_BEGIN))
         return out
 
 
-def _rows(n: int, *parts: np.ndarray | int) -> np.ndarray:
-    """Hashed feature rows in 1..n-1; the first part tells the features apart."""
+def _mix(*parts: np.ndarray | int) -> np.ndarray:
     x = np.zeros(1, _U32)
     for p in parts:
         x = (x ^ np.asarray(p).astype(_U32)) * _U32(0x9E3779B1)
         x = x ^ (x >> _U32(15))
-    x = x * _U32(0x85EBCA77)
-    return (1 + (x >> _U32(7)) % _U32(n - 1)).astype(np.int64)
-
-
-def class_features(t: Tokens, n: int) -> np.ndarray:
-    """Rows for P(class | history): constant, previous word, previous two, the one before, and the third before."""
-    a, b, c = t.back(1), t.back(2), t.back(3)
-    return np.stack([np.zeros(len(a), np.int64), _rows(n, 1, a), _rows(n, 2, a, b), _rows(n, 3, b), _rows(n, 4, c)], axis=1)
-
+    return x
 
-def word_features(t: Tokens, named: np.ndarray, w: Weights) -> np.ndarray:
-    """Rows for P(word | class, history): each class's constant, then class with previous and with skipped word."""
-    a, b = t.back(1)[named], t.back(2)[named]
-    k = t.rank[named] // w.slots
-    n = len(w.words) - w.own
-    return np.stack([k, w.own + _rows(n, 5, k, a), w.own + _rows(n, 6, k, b)], axis=1)
 
+def choices(t: Tokens, shape: Shape, part: slice) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """For each of a token's three choices the rows of the weight table that bear on it, and the branch taken.
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
-def _logits(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = table.take(rows[:, 0], axis=0)
-    for j in range(1, rows.shape[1]):
-        out += table.take(rows[:, j], axis=0)
-    return out
-
-
-def _step(table: np.ndarray, past: np.ndarray, hits: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
-    """One gradient update of the rows used, with a step size that shrinks with a row's past gradients."""
-    grad = _logits(table, rows)
-    grad -= grad.max(axis=1, keepdims=True)
-    np.exp(grad, out=grad)
-    grad /= grad.sum(axis=1, keepdims=True)
-    grad[np.arange(len(target)), target] -= 1
-    if (rows[:, 0] == 0).all():  # the constant of every token: no need to sort it out
-        _move(table, past, hits, np.zeros(1, np.int64), grad.sum(axis=0, keepdims=True), np.array([len(grad)]))
-        rows = rows[:, 1:]
-    flat = rows.ravel().astype(np.uint16 if len(table) <= 1 << 16 else _U32)  # short numbers sort fast
-    order = np.argsort(flat, kind="stable")
-    flat = flat[order]
-    begins = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-    n = np.diff(np.r_[begins, len(flat)])
-    _move(table, past, hits, flat[begins].astype(np.int64), _sums(grad, order // rows.shape[1], begins, n), n)
-
-
-def _sums(grad: np.ndarray, at: np.ndarray, begins: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of the rows ``at`` of each run: short runs place by place, which is faster than ``reduceat``, long ones one by one."""
-    total = grad.take(at[begins], axis=0)
-    for j in range(1, SHORT):
-        some = np.flatnonzero((n > j) & (n <= SHORT))
-        if not len(some):
-            break
-        total[some] += grad.take(at[begins[some] + j], axis=0)
-    for i in np.flatnonzero(n > SHORT).tolist():
-        total[i] = grad.take(at[begins[i]:begins[i] + n[i]], axis=0).sum(axis=0)
-    return total
-
-
-def _move(table: np.ndarray, past: np.ndarray, hits: np.ndarray, used: np.ndarray, total: np.ndarray, n: np.ndarray) -> None:
-    past[used] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-    hits[used] += n
-    table[used] -= RATE * total / np.sqrt(past[used] + 1.0)[:, None]
-
-
-class Trainer:
-    def __init__(self, start: Weights):
-        self.w = start.copy()
-        self.past = [np.zeros(len(t), np.float32) for t in (self.w.classes, self.w.words)]
-        self.hits = [np.zeros(len(t), np.float32) for t in (self.w.classes, self.w.words)]
-
-    def learn(self, t: Tokens) -> None:
-        features = class_features(t, len(self.w.classes))
-        k = self.w.class_of(t.rank, t.tail)
-        named = np.flatnonzero(k < self.w.own)
-        words = word_features(t, named, self.w)
-        cut = np.searchsorted(named, np.arange(0, len(t.rank) + BATCH, BATCH))
-        for i, at in enumerate(range(0, len(t.rank), BATCH)):
-            _step(self.w.classes, self.past[0], self.hits[0], features[at:at + BATCH], k[at:at + BATCH])
-            mine = slice(cut[i], cut[i + 1])
-            if mine.start < mine.stop:
-                _step(self.w.words, self.past[1], self.hits[1], words[mine], t.rank[named[mine]] % self.w.slots)
-
-
-def log10_probabilities(w: Weights, t: Tokens, tail_log10: np.ndarray) -> np.ndarray:
-    """log10 P of every token; ``tail_log10`` is what a tail token has within its class."""
-    out = np.empty(len(t.rank))
-    for at in range(0, len(t.rank), BATCH):
-        part = _part(t, at, min(at + BATCH, len(t.rank)))
-        k = w.class_of(part.rank, part.tail)
-        lp = _log_softmax(_logits(w.classes, class_features(part, len(w.classes))))[np.arange(len(k)), k].astype(np.float64)
-        named = np.flatnonzero(k < w.own)
-        if len(named):
-            lp[named] += _log_softmax(_logits(w.words, word_features(part, named, w)))[np.arange(len(named)), part.rank[named] % w.slots]
-        lp /= np.log(10)
-        out[at:at + BATCH] = np.where(k < w.own, lp, lp + tail_log10[at:at + BATCH])[part.skip:]
+    The node has a row of its own. Hashed with it go the previous word, the previous two and, past it, the word
+    before; the pair is left out of the last choice and the skip out of the second, where they tell little.
+    """
+    fan, leaf = shape.fan, t.leaf[part]
+    a, b = t.before[part], t.skipped[part]
+    one, two, skip = _mix(1, a), _mix(2, a, b), _mix(3, b)
+    nodes = np.zeros(len(leaf), np.int64), 1 + leaf // fan ** 2, 1 + fan + leaf // fan
+    taken = leaf // fan ** 2, leaf // fan % fan, leaf % fan
+    for node, branch, features in zip(nodes, taken, ((one, two, skip), (one, two), (one, skip)), strict=True):
+        own = node.astype(_U32) * _U32(0x9E3779B1)
+        rows = [node]
+        for f in features:
+            x = (f ^ own) * _U32(0x85EBCA77)
+            x = (x ^ (x >> _U32(15))) * _U32(0x9E3779B1)
+            rows.append(shape.nodes + ((x.astype(_U64) * _U64(shape.rows - shape.nodes)) >> _U64(32)).astype(np.int64))
+        yield rows, branch
+
+
+def _sums(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Running sums over the branches of their unscaled probabilities; the last column is the whole."""
+    x = table.take(rows[0], axis=0)
+    for r in rows[1:]:
+        x += table.take(r, axis=0)
+    np.minimum(x, MOST, out=x)
+    np.exp(x, out=x)
+    return np.cumsum(x, axis=1, out=x)
+
+
+class Gradient:
+    """What a round's tokens took and what was drawn from the model, for each weight."""
+
+    def __init__(self, table: np.ndarray, shape: Shape):
+        self.table, self.shape = table, shape
+        self.seen, self.drawn = np.zeros(table.size, np.int32), np.zeros(table.size, np.int32)
+
+    def add(self, t: Tokens, ids: np.ndarray) -> None:
+        """``ids`` of the texts set equal texts' draws apart."""
+        one, fan = np.int32(1), self.shape.fan
+        salt = np.repeat(_mix(ids, ids >> 32), t.lengths)
+        for at in range(0, len(t.leaf), BATCH):
+            part = slice(at, at + BATCH)
+            seed = _mix(7, salt[part], t.place[part], t.hash[part])
+            for level, (rows, branch) in enumerate(choices(t, self.shape, part)):
+                sums = _sums(self.table, rows)
+                u = (_mix(level, seed).astype(np.float32) + np.float32(0.5)) / np.float32(2 ** 32)
+                drawn = np.minimum(np.count_nonzero(sums < (u * sums[:, -1])[:, None], axis=1), fan - 1)
+                for r in rows:
+                    np.add.at(self.seen, r * fan + branch, one)
+                    np.add.at(self.drawn, r * fan + drawn, one)
+
+
+def step(table: np.ndarray, seen: np.ndarray, drawn: np.ndarray, r: int) -> None:
+    """Move the weights of ``table`` by the gradient of round ``r``, taken against the counts that were expected."""
+    gradient = seen.astype(np.float64) - drawn
+    table += (STEP * math.sqrt(2 / (2 + r)) * np.log1p(gradient / (drawn + DAMP))).astype(np.float32)
+
+
+def log10_probabilities(table: np.ndarray, vocab: Vocabulary, t: Tokens, c: np.ndarray) -> np.ndarray:
+    """log10 P of every token; ``c`` are the words' counts, which share out the leaves of several words."""
+    out = np.empty(len(t.leaf))
+    for at in range(0, len(t.leaf), BATCH):
+        part = slice(at, at + BATCH)
+        p = np.zeros(len(t.leaf[part]))
+        for rows, branch in choices(t, vocab.shape, part):
+            x = table.take(rows[0], axis=0)
+            for r in rows[1:]:
+                x += table.take(r, axis=0)
+            np.minimum(x, MOST, out=x)
+            chosen = x[np.arange(len(branch)), branch].astype(np.float64)
+            np.exp(x, out=x)
+            p += chosen - np.log(x.sum(axis=1, dtype=np.float64))
+        out[part] = p / np.log(10)
+    shared = np.flatnonzero(t.leaf >= vocab.shape.named)
+    out[shared] += np.log10((c[shared] + 1) / vocab.tail_mass[t.leaf[shared] - vocab.shape.named])
     return out
 
 
-class _part:  # noqa: N801
-    """Tokens a..b with three tokens of history kept in front; ``skip`` counts those."""
-
-    def __init__(self, t: Tokens, a: int, b: int):
-        self.skip = 0
-        self.rank, self.tail, self.place = t.rank[a:b], t.tail[a:b], t.place[a:b]
-        self._t, self._a, self._b = t, a, b
-
-    def back(self, k: int) -> np.ndarray:
-        a, b = self._a, self._b
-        lo = max(a - k, 0)
-        h = np.full(b - a, _BEGIN, _U32)
-        h[lo + k - a:] = self._t.hash[lo:max(b - k, lo)]
-        return np.where(self.place >= k, h, _U32(_BEGIN))
-
-
 # ---- Spark side ----------------------------------------------------------------
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -289,94 +281,106 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     shape = Shape.of(v)
     top = counts.orderBy((F.col("word") == F.lit(END)).desc(), F.col("c").desc(), "word").limit(shape.named).collect()
     top.sort(key=lambda r: (-r.c, bytes(r.word)))
-    c = np.array([r.c for r in top], np.float64)
     head = {bytes(r.word): i for i, r in enumerate(top)} or {END: 0}
-    mass = np.ones(shape.tails)
-    for k, m in counts.groupBy((F.crc32("word") % shape.tails).alias("k")).agg(F.sum(F.col("c") + 1)).collect():
-        mass[k] += m
-    for r in top:
-        mass[zlib.crc32(bytes(r.word)) % shape.tails] -= r.c + 1
-    return Vocabulary(head, n, v, int(n - c.sum()), v - len(top), shape, mass), c
-
-
-def start_weights(vocab: Vocabulary, counts: np.ndarray) -> Weights:
-    """Zero but for the constants, which hold the unigram distribution; slots without a word are shut."""
-    shape, masses = vocab.shape, vocab.masses()
-    full = np.zeros(shape.named)
-    full[:len(counts)] = counts
-    slots = full.reshape(-1, shape.slots)
-    by_class = np.r_[slots.sum(axis=1), masses]
-    w = Weights(np.zeros((shape.class_rows, len(by_class)), np.float32), np.zeros((shape.word_rows, shape.slots), np.float32), len(masses))
-    w.classes[0] = np.log(by_class + 1e-9) - np.log(by_class.sum() + 1e-9)
-    w.words[:shape.own] = np.where(np.arange(shape.named).reshape(-1, shape.slots) < len(vocab.head), np.log(slots + 0.5), -1e4)
-    return w
-
-
-def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray) -> Weights:
-    """One distributed round of gradient updates over all documents; only rows that a task has updated travel."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((vocab, counts))
-    out = start_weights(vocab, counts)
-    stride = len(out.classes)
+    vocab = Vocabulary(head, n, v, shape, np.ones(shape.tails))
+
+    def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass = np.zeros(shape.tails, np.int64)
+        for batch in batches:
+            leaf = vocab.leaves(hashes_of(batch.column("word").to_pylist()))
+            shared = leaf >= shape.named
+            np.add.at(mass, leaf[shared] - shape.named, batch.column("c").to_numpy()[shared] + 1)
+        used = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(mass[used])], ["leaf", "mass"])
+
+    for k, m in counts.select("word", "c").mapInArrow(masses, "leaf long, mass long").groupBy("leaf").agg(F.sum("mass")).collect():
+        vocab.tail_mass[k] += m
+    return vocab, np.array([r.c for r in top], np.float64)
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """The hash of each word, 0 for the end of a text."""
+    out = np.zeros(len(words), _U64)
+    real = np.array([w != END for w in words], bool)
+    out[real] = word_hashes([w for w in words if w != END])[0]
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, counts = shared.value
-        trainer = None
-        for part in text_slices(batches):
-            trainer = trainer or Trainer(start_weights(vocab, counts))
-            trainer.learn(Tokens(text_bytes(part.column("text")), vocab.head))
-        if trainer:
-            first = start_weights(vocab, counts)
-            for k, (new, old, hits) in enumerate(zip(_tables(trainer.w), _tables(first), trainer.hits, strict=True)):
-                for at in range(0, len(new), PIECE):
-                    h = hits[at:at + PIECE]
-                    used = np.flatnonzero(h)
-                    if not len(used):
-                        continue
-                    moved = (new[at + used] - old[at + used]) * h[used, None]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k * stride + at], pa.int64()), pa.array([moved.astype("<f4").tobytes()], pa.binary()), pa.array([h.tobytes()], pa.binary())],
-                        ["piece", "moved", "hits"])
 
-    def add(key: tuple, rows: pa.Table) -> pa.Table:
-        hits = np.zeros(PIECE)
-        moved = None
-        for m, h in zip(rows.column("moved").to_pylist(), rows.column("hits").to_pylist(), strict=True):
-            h = np.frombuffer(h, "<f4")
-            used = np.flatnonzero(h)
-            m = np.frombuffer(m, "<f4").reshape(len(used), -1)
-            if moved is None:
-                moved = np.zeros((PIECE, m.shape[1]))
-            moved[used] += m
-            hits += h
-        return pa.table({"piece": [key[0].as_py()], "moved": [moved[hits > 0].astype("<f4").tobytes()], "hits": [hits.astype("<f4").tobytes()]})
-
-    schema = "piece long, moved binary, hits binary"
-    # two steps, so that no task adds up the pieces of every other task, with few partial sums for few tasks
-    # and a task for each core, however many files there are: each sends the rows it has updated just once
-    tasks = max(1, min(docs.rdd.getNumPartitions(), sc.defaultParallelism))
-    lanes = max(1, math.isqrt(tasks))
-    parts = docs.select("text").coalesce(tasks).mapInArrow(run, schema).withColumn("lane", F.spark_partition_id() % lanes)
-    partial = parts.groupBy("piece", "lane").applyInArrow(add, schema)
-    for row in partial.groupBy("piece").applyInArrow(add, schema).collect():
-        k, at = divmod(row.piece, stride)
-        table = _tables(out)[k]
-        h = np.frombuffer(row.hits, "<f4")
-        used = np.flatnonzero(h)
-        table[at + used] += np.frombuffer(row.moved, "<f4").reshape(len(used), -1) / h[used, None]
-    return out
+def start_weights(vocab: Vocabulary, counts: np.ndarray) -> np.ndarray:
+    """Zero but for the rows of the nodes, which hold the unigram distribution; branches without a word are shut."""
+    shape = vocab.shape
+    leaves = np.zeros(shape.fan ** 3)
+    leaves[:len(counts)] = counts
+    leaves[shape.named:] = vocab.tail_mass
+    table = np.zeros((shape.rows, shape.fan), np.float32)
+    under = leaves.reshape(-1, shape.fan)
+    for first in (1 + shape.fan, 1, 0):
+        whole = under.sum(axis=1, keepdims=True)
+        share = np.divide(under, whole, out=np.zeros_like(under), where=whole > 0)
+        table[first:first + len(under)] = np.where(share > 0, np.log(np.maximum(share, 1e-30)), SHUT)
+        under = whole.reshape(-1, shape.fan) if first else under
+    return table
 
 
-def _tables(w: Weights) -> tuple[np.ndarray, np.ndarray]:
-    return w.classes, w.words
+def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, size: int) -> np.ndarray:
+    """The weights after all rounds over ``docs``, which hold about ``size`` bytes of text.
 
+    A task sends the parts of the table its tokens have touched, as whole numbers, so it doesn't matter how
+    documents are dealt to tasks. Every document is learnt from in one round.
+    """
+    sc = docs.sparkSession.sparkContext
+    table = start_weights(vocab, counts)
+    fan = vocab.shape.fan
+    tasks = max(1, min(docs.rdd.getNumPartitions(), max(sc.defaultParallelism, math.ceil(size / ROUNDS / TASK_BYTES))))
+    lanes = max(1, math.isqrt(tasks))
+    schema = "piece long, counts binary"
 
-def with_blocks(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, block): runs of rows of one file that hold about BLOCK_BYTES of text."""
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        total = np.zeros((2, PIECE * fan), np.int64)
+        for counts in rows.column("counts").to_pylist():
+            total += _unpacked(counts, fan)
+        return pa.table({"piece": [key[0].as_py()], "counts": [_packed(total)]})
+
+    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    for r in range(ROUNDS):
+        shared = sc.broadcast((vocab, table))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            vocab, table = shared.value
+            g = None
+            for part in text_slices(batches):
+                g = g or Gradient(table, vocab.shape)
+                ids = part.column("doc_id").fill_null(0).to_numpy()
+                g.add(Tokens(text_bytes(part.column("text")), vocab), ids)
+            for at in range(0, len(table) if g else 0, PIECE):
+                both = np.stack([x[at * fan:(at + PIECE) * fan] for x in (g.seen, g.drawn)])
+                if both.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([_packed(both)], pa.binary())], ["piece", "counts"])
+
+        parts = docs.where(dealt == r).select("doc_id", "text").coalesce(tasks).mapInArrow(run, schema)
+        partial = parts.withColumn("lane", F.spark_partition_id() % lanes).groupBy("piece", "lane").applyInArrow(add, schema)
+        for piece, counts in partial.groupBy("piece").applyInArrow(add, schema).collect():
+            seen, drawn = _unpacked(counts, fan).reshape(2, PIECE, fan)
+            step(table[piece:piece + PIECE], seen, drawn, r)
+        shared.unpersist()
+    return table
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return pa.Codec("zstd").compress(counts.astype("<i8").tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes, fan: int) -> np.ndarray:
+    raw = pa.Codec("zstd").decompress(data, 2 * PIECE * fan * 8, asbytes=True)
+    return np.frombuffer(raw, "<i8").reshape(2, PIECE * fan)
+
+
+def with_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, text, block): runs of rows of one file that hold about BLOCK_BYTES of text; and the bytes of all text."""
     rows_at = located(docs)
     n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()
     rows = max(1, int(BLOCK_BYTES * n / max(size, 1)))
-    return rows_at.select("doc_id", "text", F.xxhash64("file", F.floor(F.col("row") / rows)).alias("block"))
+    return rows_at.select("doc_id", "text", F.xxhash64("file", F.floor(F.col("row") / rows)).alias("block")), size
 
 
 def block_words(blocks: DataFrame) -> DataFrame:
@@ -411,11 +415,11 @@ def score_documents(docs: DataFrame, trains: Callable[[Column], Column] = learns
     probability, ``score`` the model's; both use counts of all training texts.
     Rows without an id are trained on and not held out. With no training text every count is 0.
     """
-    docs = with_blocks(docs)
+    docs, size = with_blocks(docs)
     taught = docs.where(trains(F.col("doc_id")))
     counts = stored(word_counts(taught), "lm-counts")
     vocab, top = vocabulary(counts)
-    weights = train(taught, vocab, top)
+    weights = train(taught, vocab, top, size)
     shared = docs.sparkSession.sparkContext.broadcast((vocab, weights))
     ends = vocab.head.get(END)
     end_count = int(top[ends]) if ends is not None and len(top) else 0
@@ -424,16 +428,17 @@ def score_documents(docs: DataFrame, trains: Callable[[Column], Column] = learns
     def run(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
         vocab, weights = shared.value
         c = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist(), strict=True))
-        c[END] = end_count
         out = []
         for part in text_slices(texts.combine_chunks().to_batches()):
-            t = Tokens(text_bytes(part.column("text")), vocab.head, lambda kinds: np.array([c.get(w, 0) for w in kinds], np.float64))
-            tail = np.log10((t.extra + 1) / vocab.masses()[t.tail % weights.tails])
-            begins = np.cumsum(t.lengths) - t.lengths
-            base = np.log10((t.extra + 1) / (vocab.n + vocab.v + 1))
+            texts_now = text_bytes(part.column("text"))
+            t = Tokens(texts_now, vocab)
+            seen = np.full(len(t.leaf), end_count, np.float64)
+            seen[t.inside] = np.fromiter(map(c.get, split_words(texts_now, ASCII_LOWER_WORDS)[0], repeat(0)), np.float64)
+            begins = t.ends - t.lengths + 1
+            base = np.log10((seen + 1) / (vocab.n + vocab.v + 1))
             out.append(pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(t.lengths, pa.int64()), pa.array(np.add.reduceat((t.extra > 0).astype(np.int64), begins)),
-                 pa.array(np.add.reduceat(base, begins)), pa.array(np.add.reduceat(log10_probabilities(weights, t, tail), begins))],
+                [part.column("doc_id"), pa.array(t.lengths, pa.int64()), pa.array(np.add.reduceat((seen > 0).astype(np.int64), begins)),
+                 pa.array(np.add.reduceat(base, begins)), pa.array(np.add.reduceat(log10_probabilities(weights, vocab, t, seen), begins))],
                 ["doc_id", "n_tokens", "n_known", "base_score", "score"]))
         return pa.Table.from_batches(out, _SCORED)
 

@@ -292,52 +292,134 @@ def test_language_model_learns_context(spark):
     assert sum(r.score for r in got) > 0.8 * sum(r.base_score for r in got)
 
 
-def test_language_model_probabilities_add_up():
+def lm_of(counts, fan=4):
+    """A small model whose named leaves are fewer than its words."""
+    import numpy as np
+
+    shape = maxent_lm.Shape(fan, maxent_lm.PIECE)
+    top = sorted(counts, key=lambda w: (w != b"", -counts[w], w))[:shape.named]
+    vocab = maxent_lm.Vocabulary({w: i for i, w in enumerate(top)}, sum(counts.values()), len(counts), shape, np.ones(shape.tails))
+    leaf_of = dict(zip(counts, vocab.leaves(maxent_lm.hashes_of(list(counts))).tolist(), strict=True))
+    for w, c in counts.items():
+        if leaf_of[w] >= shape.named:
+            vocab.tail_mass[leaf_of[w] - shape.named] += c + 1
+    assert all((leaf_of[w] == vocab.head[w]) if w in vocab.head else (leaf_of[w] >= shape.named) for w in counts)
+    return vocab, maxent_lm.start_weights(vocab, np.array([counts[w] for w in top], float))
+
+
+def lm_learn(vocab, table, texts, rounds):
+    import numpy as np
+
+    for r in range(rounds):
+        g = maxent_lm.Gradient(table, vocab.shape)
+        g.add(maxent_lm.Tokens(texts, vocab), np.arange(len(texts)) + 1000 * r)
+        maxent_lm.step(table, *(x.reshape(table.shape) for x in (g.seen, g.drawn)), r)
+
+
+def lm_p(vocab, table, counts, text, word):
+    """P(word | text); ``word`` b"" is the end."""
     import numpy as np
 
-    vocab = maxent_lm.Vocabulary({b"": 0, b"a": 1, b"b": 2}, 30, 8, 6, 5)
-    w = maxent_lm.start_weights(vocab, np.array([10.0, 8.0, 6.0]))
-    tr = maxent_lm.Trainer(w)
-    texts = [b"a b a c", b"b b a", b""]
-    tr.learn(maxent_lm.Tokens(texts, vocab.head))
-    total = 0
-    for word, c in ((b"", 0), (b"a", 0), (b"b", 0), (b"t1", 2), (b"t2", 1), (b"t3", 1), (b"t4", 1), (b"t5", 1), (b"unseen", 0)):
-        t = maxent_lm.Tokens([b"a b " + word], vocab.head)
-        at = 2
-        tail = np.full(len(t.rank), np.log10((c + 1) / (vocab.tail_n + vocab.tail_v + 1)))
-        total += 10 ** maxent_lm.log10_probabilities(tr.w, t, tail)[at]
-    assert total == pytest.approx(1, abs=1e-4)
+    t = maxent_lm.Tokens([text + b" " + word], vocab)
+    at = len(text.split())
+    c = np.zeros(len(t.leaf))
+    c[at] = counts.get(word, 0)
+    return 10 ** maxent_lm.log10_probabilities(table, vocab, t, c)[at]
+
+
+def lm_everything(vocab, counts):
+    """All words and one unseen word of each shared leaf."""
+    unseen, i = {}, 0
+    while len(unseen) < vocab.shape.tails:
+        w = b"unseen%d" % i
+        unseen.setdefault(int(vocab.leaves(maxent_lm.hashes_of([w]))[0]), w)
+        i += 1
+    return [*counts, *unseen.values()]
+
+
+def test_language_model_probabilities_add_up():
+    rng = random.Random(3)
+    counts = {b"": 30, **{b"w%d" % i: 1 + 200 // (i + 1) for i in range(90)}}
+    vocab, table = lm_of(counts)
+    words = list(counts)[1:]
+    texts = [b" ".join(rng.choices(words, k=30)) for _ in range(20)] + [b""]
+    for rounds in (0, 3):
+        lm_learn(vocab, table, texts, rounds)
+        for text in (b"", b"w1", b"w3 w80", b"never w1 w2"):
+            total = sum(lm_p(vocab, table, counts, text, w) for w in lm_everything(vocab, counts))
+            assert total == pytest.approx(1, abs=1e-4)
+    start = lm_of(counts)[1]
+    whole = sum(counts.values()) + sum(1 for w in counts if w not in vocab.head) + vocab.shape.tails
+    assert lm_p(vocab, start, counts, b"", b"w1") == pytest.approx(counts[b"w1"] / whole, rel=1e-4)
 
 
 def test_language_model_grows_with_the_vocabulary():
-    small, large = maxent_lm.Shape.of(1000), maxent_lm.Shape.of(100_000_000)
-    assert small.named >= 1984 and small.tails > 1 and maxent_lm.BATCH <= 4096
-    assert all(getattr(large, f) > 3 * getattr(small, f) for f in ("own", "slots", "tails", "class_rows", "word_rows"))
-    assert large.class_rows % maxent_lm.PIECE == 0 and large.class_rows > large.word_rows > large.own
+    small, large, vast = (maxent_lm.Shape.of(v) for v in (1000, 100_000_000, 10 ** 12))
+    assert small.named >= 1984 and small.tails >= 1984
+    assert all(getattr(large, f) > 3 * getattr(small, f) for f in ("named", "tails", "nodes", "rows"))
+    assert vast.named > 10 * large.named and 4 * vast.fan * vast.rows <= maxent_lm.MOST_WEIGHT_BYTES
+    for s in (small, large, vast):
+        assert s.rows % maxent_lm.PIECE == 0 and s.rows > 2 * s.nodes
 
 
 def test_language_model_history_bears_on_tail_words():
-    import zlib
+    counts = {b"": 20, b"a": 40, b"b": 40, **{b"n%d" % i: 20 for i in range(40)}, **{b"t%d" % i: 10 for i in range(40)}}
+    vocab, table = lm_of(counts)
+    leaf = {w: int(vocab.leaves(maxent_lm.hashes_of([w]))[0]) for w in counts}
+    first = next(w for w in counts if w.startswith(b"t") and leaf[w] >= vocab.shape.named)
+    other = next(w for w in counts if w.startswith(b"t") and leaf[w] >= vocab.shape.named and leaf[w] != leaf[first])
+    lm_learn(vocab, table, [b"a " + first, b"b " + other] * 20, 4)
+    assert lm_p(vocab, table, counts, b"a", first) > 2 * lm_p(vocab, table, counts, b"b", first)
+    assert sum(lm_p(vocab, table, counts, b"a", w) for w in lm_everything(vocab, counts)) == pytest.approx(1, abs=1e-4)
+
+
+def test_language_model_gradient_is_that_of_a_softmax():
+    """Seen counts, and draws in the softmax's proportions, against plain Python over each choice."""
+    import math
 
     import numpy as np
 
-    shape = maxent_lm.Shape(tails=4)
-    words = {w: 10 for w in (b"t1", b"t2", b"t3", b"t4", b"t5", b"t6")}
-    one = next(w for w in words if zlib.crc32(w) % 4 != zlib.crc32(b"t1") % 4)
-    mass = np.ones(4)
-    for w, c in words.items():
-        mass[zlib.crc32(w) % 4] += c + 1
-    vocab = maxent_lm.Vocabulary({b"": 0, b"a": 1, b"b": 2}, 120, 9, 60, 6, shape, mass)
-    tr = maxent_lm.Trainer(maxent_lm.start_weights(vocab, np.array([20.0, 20.0, 20.0])))
-    for _ in range(30):
-        tr.learn(maxent_lm.Tokens([b"a t1", b"b " + one], vocab.head))
-
-    def p(text, word, c):
-        t = maxent_lm.Tokens([text + b" " + word], vocab.head)
-        return 10 ** maxent_lm.log10_probabilities(tr.w, t, np.log10((c + 1) / mass[t.tail % 4]))[1]
-    assert p(b"a", b"t1", 10) > 2 * p(b"b", b"t1", 10)
-    unseen = {}
-    for i in range(40):
-        unseen.setdefault(zlib.crc32(b"u%d" % i) % 4, b"u%d" % i)
-    everything = [(b"", 0), (b"a", 0), (b"b", 0), *words.items(), *((w, 0) for w in unseen.values())]
-    assert sum(p(b"a", w, c) for w, c in everything) == pytest.approx(1, abs=1e-4)
+    counts = {b"": 300, **{b"w%d" % i: 5 + i for i in range(60)}}
+    vocab, table = lm_of(counts)
+    lm_learn(vocab, table, [b"w1 w2 w3", b"w2 w9 w50"] * 5, 2)
+    texts = [b"w1 w2"] * 4000
+    g = maxent_lm.Gradient(table, vocab.shape)
+    g.add(maxent_lm.Tokens(texts, vocab), np.arange(len(texts)))
+    t = maxent_lm.Tokens([b"w1 w2"], vocab)
+    want_seen, want_drawn = Counter(), Counter()
+    fan = vocab.shape.fan
+    for rows, branch in maxent_lm.choices(t, vocab.shape, slice(None)):
+        for i in range(3):
+            x = [sum(float(table[r[i], j]) for r in rows) for j in range(fan)]
+            z = sum(map(math.exp, x))
+            for r in rows:
+                want_seen[r[i], branch[i]] += 4000
+                for j in range(fan):
+                    want_drawn[r[i], j] += 4000 * math.exp(x[j]) / z
+    seen, drawn = (x.reshape(table.shape) for x in (g.seen, g.drawn))
+    assert {k: seen[k] for k in zip(*map(np.ndarray.tolist, np.nonzero(seen)), strict=True)} == dict(want_seen)
+    assert drawn.sum() == seen.sum()
+    for k, n in want_drawn.items():
+        assert abs(drawn[k] - n) < 6 * math.sqrt(n + 1) + 1
+
+
+def test_language_model_scores_do_not_depend_on_partitions(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, rng.randint(0, 300))) for i in range(300)] + [(None, "no id"), (7, None), (8, "same"), (8, "same")]
+    got = []
+    for files in (1, 7):
+        path = str(tmp_path / f"in{files}")
+        docs_frame(spark, rows).repartition(files, "text").write.parquet(path)
+        out = maxent_lm.score_documents(spark.read.parquet(path)).collect()
+        got.append(sorted(out, key=lambda r: (r.doc_id or 0, r.n_tokens, r.score)))
+    assert got[0] == [r for r in got[1]] or all(
+        (a.doc_id, a.n_tokens, a.n_known) == (b.doc_id, b.n_tokens, b.n_known) and a.score == pytest.approx(b.score, rel=1e-9)
+        for a, b in zip(*got, strict=True))
+
+
+def test_language_model_hashes_words_of_any_length():
+    texts = [b"", b"Hello  wOrld a", b" \t", b"x" * (3 << 20) + b" a", "café a hello\x00".encode(), b"hello\x00\x00"]
+    h, off = maxent_lm.word_hashes(texts)
+    words, want = maxent_lm.split_words(texts, maxent_lm.ASCII_LOWER_WORDS)
+    assert off.tolist() == want.tolist() and len(h) == len(words)
+    assert len({*zip(words, h.tolist(), strict=True)}) == len(set(words)) == len(set(h.tolist()))
