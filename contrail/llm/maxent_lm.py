@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 from contrail.llm.common import ASCII_LOWER_WORDS, fold_of, located, split_words, stored, text_bytes, text_slices
 
-#: Rounds of training, its step, the counts that damp a rare row's step, and text of a task in a round.
-ROUNDS, STEP, DAMP, TASK_BYTES = 6, 1 / 1.5, 4.0, 64 << 20
+#: Rounds of training, its step, and the counts that damp a rare row's step.
+ROUNDS, STEP, DAMP = 6, 1 / 1.5, 4.0
+#: Text of a task in a round, at least (while cores are free) and at most; tasks whose sums one task adds up.
+TASK_BYTES, LANE = (8 << 20, 64 << 20), 64
 #: Tokens taken at a time, rows of the weight table that travel together, text bytes hashed at a time.
 BATCH, PIECE, HASH_BYTES = 8192, 4096, 1 << 20
 #: Distinct words up to which the model has its least shape; past it weights and leaves grow with the square root.
@@ -43,7 +45,7 @@ MOST_WEIGHT_BYTES = 512 << 20
 #: Log weight of a branch that no word is in, and the most a sum of weights may be.
 SHUT, MOST = -60.0, 80.0
 #: Text of a scoring block, and distinct words a counting task holds before it passes them on.
-BLOCK_BYTES, FLUSH = 8 << 20, 300_000
+BLOCK_BYTES, FLUSH = 16 << 20, 300_000
 #: The end of a text as a token: no word is empty.
 END = b""
 _BEGIN = 0x51ED270B
@@ -331,8 +333,9 @@ def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, size: int) ->
     sc = docs.sparkSession.sparkContext
     table = start_weights(vocab, counts)
     fan = vocab.shape.fan
-    tasks = max(1, min(docs.rdd.getNumPartitions(), max(sc.defaultParallelism, math.ceil(size / ROUNDS / TASK_BYTES))))
-    lanes = max(1, math.isqrt(tasks))
+    # each task sends what it has touched, so few tasks send less; past TASK_BYTES a task would be long to lose
+    most, least = (math.ceil(size / ROUNDS / b) for b in TASK_BYTES)
+    tasks = max(1, min(docs.rdd.getNumPartitions(), max(least, min(most, sc.defaultParallelism))))
     schema = "piece long, counts binary"
 
     def add(key: tuple, rows: pa.Table) -> pa.Table:
@@ -358,8 +361,9 @@ def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, size: int) ->
                     yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([_packed(both)], pa.binary())], ["piece", "counts"])
 
         parts = docs.where(dealt == r).select("doc_id", "text").coalesce(tasks).mapInArrow(run, schema)
-        partial = parts.withColumn("lane", F.spark_partition_id() % lanes).groupBy("piece", "lane").applyInArrow(add, schema)
-        for piece, counts in partial.groupBy("piece").applyInArrow(add, schema).collect():
+        if tasks > LANE:  # in two steps, so that no task adds up the pieces of every other task
+            parts = parts.groupBy("piece", (F.spark_partition_id() % math.isqrt(tasks)).alias("lane")).applyInArrow(add, schema)
+        for piece, counts in parts.groupBy("piece").applyInArrow(add, schema).collect():
             seen, drawn = _unpacked(counts, fan).reshape(2, PIECE, fan)
             step(table[piece:piece + PIECE], seen, drawn, r)
         shared.unpersist()
@@ -367,12 +371,14 @@ def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, size: int) ->
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    return pa.Codec("zstd").compress(counts.astype("<i8").tobytes(), asbytes=True)
+    """The counts in the shortest numbers that hold them; most are 0, which compresses."""
+    size = next(n for n in (1, 2, 4, 8) if counts.max(initial=0) < 256 ** n // 2)
+    return bytes([size]) + pa.Codec("zstd", 3).compress(counts.astype(f"<i{size}").tobytes(), asbytes=True)
 
 
 def _unpacked(data: bytes, fan: int) -> np.ndarray:
-    raw = pa.Codec("zstd").decompress(data, 2 * PIECE * fan * 8, asbytes=True)
-    return np.frombuffer(raw, "<i8").reshape(2, PIECE * fan)
+    raw = pa.Codec("zstd").decompress(data[1:], 2 * PIECE * fan * data[0], asbytes=True)
+    return np.frombuffer(raw, f"<i{data[0]}").reshape(2, PIECE * fan)
 
 
 def with_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
