@@ -21,6 +21,7 @@ cogroup, so the vocabulary is never held, collected or broadcast as a whole.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
@@ -42,8 +43,8 @@ BATCH, PIECE, HASH_BYTES = 8192, 4096, 1 << 20
 LEAST_SHAPE_WORDS = 400_000
 #: The weight table is broadcast, so it stops growing here; leaves don't.
 MOST_WEIGHT_BYTES = 512 << 20
-#: Log weight of a branch that no word is in, and the most a sum of weights may be.
-SHUT, MOST = -60.0, 80.0
+#: Log weight of a branch that no word is in, and the most a weight may be: four of them can be put to the exponent.
+SHUT, MOST = -60.0, 20.0
 #: Text of a scoring block, and distinct words a counting task holds before it passes them on.
 BLOCK_BYTES, FLUSH = 16 << 20, 300_000
 #: The end of a text as a token: no word is empty.
@@ -196,14 +197,20 @@ def choices(t: Tokens, shape: Shape, part: slice) -> Iterator[tuple[list[np.ndar
         yield rows, branch
 
 
-def _sums(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """Running sums over the branches of their unscaled probabilities; the last column is the whole."""
+def _logits(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
     x = table.take(rows[0], axis=0)
     for r in rows[1:]:
         x += table.take(r, axis=0)
-    np.minimum(x, MOST, out=x)
+    return x
+
+
+def _sums(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Running sums over the branches of their unscaled probabilities; the last column is the whole."""
+    x = _logits(table, rows)
     np.exp(x, out=x)
-    return np.cumsum(x, axis=1, out=x)
+    for j in range(1, x.shape[1]):  # faster than cumsum along short rows
+        x[:, j] += x[:, j - 1]
+    return x
 
 
 class Gradient:
@@ -223,7 +230,7 @@ class Gradient:
             for level, (rows, branch) in enumerate(choices(t, self.shape, part)):
                 sums = _sums(self.table, rows)
                 u = (_mix(level, seed).astype(np.float32) + np.float32(0.5)) / np.float32(2 ** 32)
-                drawn = np.minimum(np.count_nonzero(sums < (u * sums[:, -1])[:, None], axis=1), fan - 1)
+                drawn = (sums >= (u * sums[:, -1])[:, None]).argmax(axis=1)  # u is at most 1: the last branch always is
                 for r in rows:
                     np.add.at(self.seen, r * fan + branch, one)
                     np.add.at(self.drawn, r * fan + drawn, one)
@@ -233,6 +240,7 @@ def step(table: np.ndarray, seen: np.ndarray, drawn: np.ndarray, r: int) -> None
     """Move the weights of ``table`` by the gradient of round ``r``, taken against the counts that were expected."""
     gradient = seen.astype(np.float64) - drawn
     table += (STEP * math.sqrt(2 / (2 + r)) * np.log1p(gradient / (drawn + DAMP))).astype(np.float32)
+    np.minimum(table, MOST, out=table)
 
 
 def log10_probabilities(table: np.ndarray, vocab: Vocabulary, t: Tokens, c: np.ndarray) -> np.ndarray:
@@ -242,13 +250,10 @@ def log10_probabilities(table: np.ndarray, vocab: Vocabulary, t: Tokens, c: np.n
         part = slice(at, at + BATCH)
         p = np.zeros(len(t.leaf[part]))
         for rows, branch in choices(t, vocab.shape, part):
-            x = table.take(rows[0], axis=0)
-            for r in rows[1:]:
-                x += table.take(r, axis=0)
-            np.minimum(x, MOST, out=x)
+            x = _logits(table, rows)
             chosen = x[np.arange(len(branch)), branch].astype(np.float64)
             np.exp(x, out=x)
-            p += chosen - np.log(x.sum(axis=1, dtype=np.float64))
+            p += chosen - np.log(np.einsum("ij->i", x).astype(np.float64))
         out[part] = p / np.log(10)
     shared = np.flatnonzero(t.leaf >= vocab.shape.named)
     out[shared] += np.log10((c[shared] + 1) / vocab.tail_mass[t.leaf[shared] - vocab.shape.named])
@@ -260,15 +265,13 @@ def log10_probabilities(table: np.ndarray, vocab: Vocabulary, t: Tokens, c: np.n
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over all rows, the end of each text included; summed in the tasks before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
+        counts: Counter[bytes] = Counter()
         for part in text_slices(batches):
-            words, _ = split_words(text_bytes(part.column("text")), ASCII_LOWER_WORDS)
-            for w in words:
-                counts[w] = counts.get(w, 0) + 1
-            counts[END] = counts.get(END, 0) + part.num_rows
+            counts.update(split_words(text_bytes(part.column("text")), ASCII_LOWER_WORDS)[0])
+            counts[END] += part.num_rows
             if len(counts) > FLUSH:
                 yield _counted(counts)
-                counts = {}
+                counts = Counter()
         yield _counted(counts)
     return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -344,13 +347,13 @@ def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, size: int) ->
             total += _unpacked(counts, fan)
         return pa.table({"piece": [key[0].as_py()], "counts": [_packed(total)]})
 
+    words = sc.broadcast(vocab)
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
     for r in range(ROUNDS):
-        shared = sc.broadcast((vocab, table))
+        shared = sc.broadcast(table)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            vocab, table = shared.value
-            g = None
+            vocab, table, g = words.value, shared.value, None
             for part in text_slices(batches):
                 g = g or Gradient(table, vocab.shape)
                 ids = part.column("doc_id").fill_null(0).to_numpy()
@@ -366,7 +369,7 @@ def train(docs: DataFrame, vocab: Vocabulary, counts: np.ndarray, size: int) ->
         for piece, counts in parts.groupBy("piece").applyInArrow(add, schema).collect():
             seen, drawn = _unpacked(counts, fan).reshape(2, PIECE, fan)
             step(table[piece:piece + PIECE], seen, drawn, r)
-        shared.unpersist()
+        shared.destroy()
     return table
 
 
