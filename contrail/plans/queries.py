@@ -303,7 +303,7 @@ POINT_IDS = ("1-1", "7-2", "30-3", "100-1", "500-4", "1123-7", "1499-2", "no suc
 def q_scan_by_id(spark, d):
     """Writes: the position feed sorted by id with bloom filters in files over all ids; a few flights are read by id."""
     path = scratch_path(spark, "indexed")
-    sinks.write_indexed(V.spread(V.position_feed(spark, d)), path, "id")
+    sinks.write_indexed(V.position_feed(spark, d, for_sort=True), path, "id")
     return feeds.read_feed(spark, path, feeds.feed_schema("flight"), where=f"id IN {POINT_IDS}",
                            columns=["id", "callsign", "time", "latitude", "longitude", "on_ground"])
 
