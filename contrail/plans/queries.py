@@ -20,7 +20,7 @@ from contrail.operators import clean as C
 from contrail.operators import indicators as I
 from contrail.operators.current import active_flights, current_flights, current_versions, with_current_flag
 from contrail.operators.dedup import dedup_latest
-from contrail.operators.dims import airline_country_dim, bounded_broadcast, continent_dim
+from contrail.operators.dims import airline_country_dim, bounded_broadcast, continent_dim, planned_bytes
 from contrail.operators.enrich import enrich, enrich_poll, read_enriched, read_pending
 from contrail.operators.maintained import MART_COLUMNS, maintain_marts, read_mart
 from contrail.operators.nested import explode_flatten
@@ -34,7 +34,7 @@ from contrail.sources import feeds, sinks
 from contrail.sources.compaction import compact_runs, read_runs
 from contrail.sources.scd2_table import read_scd2, upsert_scd2
 from contrail.streaming import active_counts as S
-from contrail.streaming.active_flights import active_changes, start_active_counts
+from contrail.streaming.active_flights import STATE_GROUPS, active_changes, start_active_counts
 from contrail.streaming.ingest import BATCH_COLUMN, start_ingest
 
 # Fixed parameters of the registered queries.
@@ -772,15 +772,21 @@ def _polls(spark, d, columns=SNAPSHOT_COLUMNS) -> list[DataFrame]:
     return [first, dedup_latest(new, "id", V.flight_dedup_order()).select(*columns).unionByName(again)]
 
 
+# Bytes of the line items for each group of flights, which Python holds whole: some two hundred thousand snapshots at most.
+STATE_GROUP_BYTES = 4 << 20
+
+
 def q_stream_active_flights(spark, d):
     """Writes: two polls land one after the other; after each the stream is drained from the same checkpoint. State
     of each flight takes counts back as flights land, change airline or pass their arrival; the totals are read back."""
     land, out, ckpt = (scratch_path(spark, n) for n in ("polls", "active_counts", "active_ckpt"))
     groups = ["airline_name", "airline_iata"]
+    state_groups = max(STATE_GROUPS, -(-planned_bytes(V.read(spark, d, "lineitem")) // STATE_GROUP_BYTES))
     for poll in _polls(spark, d):
         sinks.write_table(poll, land)
         stream = S.file_stream(spark, land, poll.schema)
-        start_active_counts(active_changes(stream, "id", "extract_ts", groups), groups, out, ckpt).awaitTermination()
+        changes = active_changes(stream, "id", "extract_ts", groups, state_groups=state_groups)
+        start_active_counts(changes, groups, out, ckpt).awaitTermination()
     return sinks.read_version(spark, out).select(*groups, F.col("n").alias("total_active_flights"))
 
 
