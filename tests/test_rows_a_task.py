@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from contrail.plans import queries as Q
 from contrail.plans import views as V
-from tests.conftest import SF_SMALL
-from tests.helpers import plan_text, rows_of
+from conftest import SF_SMALL
+from helpers import plan_text, rows_of
 
 
 @pytest.fixture
