@@ -5,7 +5,7 @@ model without any training: every byte is mapped to one code point, a token
 becomes the piece of its mapped bytes, and its score is the negative rank, so
 sentencepiece's best-scoring merge is the merge of lowest rank. Normalisation is
 the identity. Texts are split into pre-tokens by the tokenizer's pattern, each
-distinct pre-token is encoded once while a worker remembers it, and the ids are decoded again by the
+distinct pre-token is encoded once while a task remembers it, and the ids are decoded again by the
 inverse byte mapping.
 """
 
@@ -25,8 +25,8 @@ from contrail.llm.common import id_text, text_slices
 #: Byte b is the code point FIRST + b: letters only, so nothing counts as white space.
 FIRST = 0x100
 BYTE_MAP = {b: chr(FIRST + b) for b in range(256)}
-#: Distinct pre-tokens a worker remembers before it starts again, and the longest remembered.
-CACHE_ENTRIES, CACHE_CHARS = 600_000, 64
+#: Distinct pre-tokens a task remembers before it starts again, and the longest remembered.
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -121,7 +121,7 @@ class Coder:
         return b"".join(map(self.token.__getitem__, ids.split()))
 
 
-#: One coder for each Python worker and vocabulary, so that a later task finds the pre-tokens of earlier ones.
+#: One coder for each Python worker and vocabulary. Its pre-tokens go with the task: a worker that is kept for other stages has no use for them.
 _CODERS: dict[str, Coder] = {}
 
 
@@ -148,6 +148,7 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, with_ids: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_coder(*shared.value, pattern)
+        coder.known.clear()  # a task that failed leaves some
         for part in text_slices(batches):
             n, ids_sha, out_sha, ids = [], [], [], []
             for joined, count in coder.encode(pc.fill_null(part.column("text"), "").to_pylist()):
@@ -162,5 +163,6 @@ def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, with_ids: b
                 cols.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
+        coder.known.clear()
 
     return id_text(docs).mapInArrow(run, schema)

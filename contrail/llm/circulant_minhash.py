@@ -36,7 +36,7 @@ PIVOT_ROUNDS = 1
 #: Words of 64 bits that mark which shingles a document has, for a bound on what two documents share.
 MARKS = 16
 #: Distinct words whose hash a task remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _U64, _U32 = np.uint64, np.uint32
 _PLACES = np.random.Generator(np.random.PCG64(9)).integers(1, 1 << 63, SHINGLE + 1, dtype=_U64) * _U64(2) + _U64(1)

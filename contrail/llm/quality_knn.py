@@ -60,6 +60,13 @@ def profiles(part: pa.RecordBatch) -> np.ndarray:
     return out
 
 
+def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of at most BLOCK rows: a profile takes 32 KiB however short its text is."""
+    for part in text_slices(batches):
+        for at in range(0, part.num_rows, BLOCK):
+            yield part.slice(at, BLOCK)
+
+
 def weighted(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return np.hstack([unit(rows[:, :FEATURES] * idf), SHAPE_WEIGHT * rows[:, FEATURES:]])
 
@@ -109,7 +116,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train: Callable, per_lab
     chosen = id_text(docs).join(picked, F.col("doc_id") == F.col("id")).select("doc_id", "text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_blocks(batches):
             rows = profiles(part)
             at = [np.flatnonzero(r) for r in rows]
             yield pa.RecordBatch.from_arrays(
@@ -145,7 +152,12 @@ def train_model(docs: DataFrame, labels: DataFrame, train: Callable, per_label:
 
 def _scorer(docs: DataFrame, model: Model | None) -> Callable[[pa.RecordBatch], np.ndarray]:
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return lambda part: shared.value.score(profiles(part)) if shared.value else np.ones(part.num_rows)
+
+    def score(part: pa.RecordBatch) -> np.ndarray:
+        if not shared.value or not part.num_rows:
+            return np.ones(part.num_rows)
+        return np.concatenate([shared.value.score(profiles(part.slice(at, BLOCK))) for at in range(0, part.num_rows, BLOCK)])
+    return score
 
 
 def learns_from(col):

@@ -3,9 +3,12 @@
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from contrail.llm import quality_knn
 from contrail.llm.quality_knn import keep_quality, score_quality
 
 from .helpers import EDGES, docs_frame, prose, with_clashes
@@ -50,3 +53,18 @@ def test_without_training_labels_everything_stays(spark, labels):
     docs = docs_frame(spark, [(1, "some words"), (2, None)])
     assert [r.score for r in score_quality(docs, labels).collect()] == [1.0, 1.0]
     assert score_quality(docs.limit(0), labels).collect() == []
+
+
+def test_short_texts_are_profiled_in_blocks(spark, monkeypatch):
+    """A profile is 32 KiB, so a slice of many short texts must not be profiled as a whole."""
+    texts = [f"{i} ab cd {i * 7}" for i in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    rows, full = [], quality_knn.profiles(batch)
+    y = np.arange(400) % 2
+    model = quality_knn.fit(full[:400], y, 0.5)
+    monkeypatch.setattr(quality_knn, "profiles", lambda part, f=quality_knn.profiles: rows.append(part.num_rows) or f(part))
+    score = quality_knn._scorer(docs_frame(spark, []), model)
+    assert np.array_equal(score(batch), model.score(full))
+    assert len(score(batch.slice(0, 0))) == 0
+    assert max(rows) <= quality_knn.BLOCK and sum(rows) == 3000
+    assert [b.num_rows for b in quality_knn.text_blocks(iter([batch]))] == [512] * 5 + [440]

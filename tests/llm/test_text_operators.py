@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from contrail.llm import host_paths, maxent_lm, pii_bootstrap, secret_scan, wu_manber
@@ -423,3 +424,16 @@ def test_language_model_hashes_words_of_any_length():
     words, want = maxent_lm.split_words(texts, maxent_lm.ASCII_LOWER_WORDS)
     assert off.tolist() == want.tolist() and len(h) == len(words)
     assert len({*zip(words, h.tolist(), strict=True)}) == len(set(words)) == len(set(h.tolist()))
+
+
+def test_pretokens_go_with_the_task(spark):
+    """A worker is kept for other stages; the pre-tokens of a task are not."""
+    path, pattern = byte_bpe_files()
+    encode_documents(docs_frame(spark, [(i, f"pretoken number {i * 7919}") for i in range(500)]), path, pattern).collect()
+
+    def held(batches):
+        from contrail.llm import byte_bpe
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([sum(len(c.known) for c in byte_bpe._CODERS.values())])], ["n"])
+    assert {r.n for r in spark.range(64, numPartitions=8).mapInArrow(held, "n long").collect()} == {0}
