@@ -21,17 +21,16 @@ cogroup, so the vocabulary is never held, collected or broadcast as a whole.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ASCII_LOWER_WORDS, fold_of, located, split_words, stored, text_bytes, text_slices
+from contrail.llm.common import ASCII_LOWER_WORDS, fold_of, located, split_words, stored, text_bytes, text_slices, word_array  # noqa: F401
 
 #: Rounds of training, its step, and the counts that damp a rare row's step.
 ROUNDS, STEP, DAMP = 6, 1 / 1.5, 4.0
@@ -198,21 +197,32 @@ def choices(t: Tokens, shape: Shape, part: slice) -> Iterator[tuple[list[np.ndar
 
 
 def _logits(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    x = table.take(rows[0], axis=0)
+    # all rows are in the table: with "clip" numpy copies them straight to where they go
+    x, more = (np.empty((len(rows[0]), table.shape[1]), table.dtype) for _ in range(2))
+    table.take(rows[0], axis=0, out=x, mode="clip")
     for r in rows[1:]:
-        x += table.take(r, axis=0)
+        x += table.take(r, axis=0, out=more, mode="clip")
     return x
 
 
 def _sums(table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """Running sums over the branches of their unscaled probabilities; the last column is the whole."""
-    x = _logits(table, rows)
+    """Running sums over the branches, one to a row, of their unscaled probabilities; the last row is the whole."""
+    x = np.ascontiguousarray(_logits(table, rows).T)
     np.exp(x, out=x)
-    for j in range(1, x.shape[1]):  # faster than cumsum along short rows
-        x[:, j] += x[:, j - 1]
+    for j in range(1, len(x)):  # faster than cumsum along short rows
+        x[j] += x[j - 1]
     return x
 
 
+def _drawn(sums: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The first branch whose running sum reaches the share ``u`` of the whole; u is at most 1, so the last one does."""
+    at = u * sums[-1]
+    out = np.zeros(len(u), np.int16)
+    for row in sums[:-1]:
+        out += (row < at).view(np.int8)
+    return out.astype(np.int64)
+
+
 class Gradient:
     """What a round's tokens took and what was drawn from the model, for each weight."""
 
@@ -230,7 +240,7 @@ class Gradient:
             for level, (rows, branch) in enumerate(choices(t, self.shape, part)):
                 sums = _sums(self.table, rows)
                 u = (_mix(level, seed).astype(np.float32) + np.float32(0.5)) / np.float32(2 ** 32)
-                drawn = (sums >= (u * sums[:, -1])[:, None]).argmax(axis=1)  # u is at most 1: the last branch always is
+                drawn = _drawn(sums, u)
                 for r in rows:
                     np.add.at(self.seen, r * fan + branch, one)
                     np.add.at(self.drawn, r * fan + drawn, one)
@@ -265,19 +275,24 @@ def log10_probabilities(table: np.ndarray, vocab: Vocabulary, t: Tokens, c: np.n
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) over all rows, the end of each text included; summed in the tasks before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        held: list[pa.RecordBatch] = []
+        texts = 0
         for part in text_slices(batches):
-            counts.update(split_words(text_bytes(part.column("text")), ASCII_LOWER_WORDS)[0])
-            counts[END] += part.num_rows
-            if len(counts) > FLUSH:
-                yield _counted(counts)
-                counts = Counter()
-        yield _counted(counts)
+            counts = word_array(text_bytes(part.column("text")), ASCII_LOWER_WORDS)[0].value_counts()
+            held.append(pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], ["word", "c"]))
+            texts += part.num_rows
+            if sum(x.num_rows for x in held) > FLUSH:
+                held = _summed(held)
+                if held[0].num_rows > FLUSH // 2:
+                    yield held.pop()
+        yield from _summed([*held, pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([texts], pa.int64())], ["word", "c"])])
     return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _counted(counts: dict[bytes, int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
+def _summed(counts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """One record of (word, c) that adds up the given ones."""
+    total = pa.Table.from_batches(counts).group_by("word").aggregate([("c", "sum")])
+    return total.rename_columns(["word", "c"]).combine_chunks().to_batches()
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
@@ -395,15 +410,20 @@ def with_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
 def block_words(blocks: DataFrame) -> DataFrame:
     """(block, word): each distinct word of a block, once for each task that reads part of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, seen = None, set()
+        now, held = None, []
         for part in text_slices(batches):
             block = part.column("block").to_numpy()
             for a, b in _runs(block):
-                if block[a] != now or len(seen) > FLUSH:
-                    yield _named(now, seen)
-                    now, seen = int(block[a]), set()
-                seen.update(split_words(text_bytes(part.column("text").slice(a, b - a)), ASCII_LOWER_WORDS)[0])
-        yield _named(now, seen)
+                if block[a] != now:
+                    yield from _named(now, held)
+                    now, held = int(block[a]), []
+                held.append(word_array(text_bytes(part.column("text").slice(a, b - a)), ASCII_LOWER_WORDS)[0].unique())
+                if sum(map(len, held)) > FLUSH:
+                    held = [_distinct(held)]
+                    if len(held[0]) > FLUSH // 2:
+                        yield from _named(now, held)
+                        held = []
+        yield from _named(now, held)
     return blocks.mapInArrow(run, "block long, word binary")
 
 
@@ -412,8 +432,14 @@ def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
 
 
-def _named(block: int | None, words: set[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block or 0] * len(words), pa.int64()), pa.array(list(words), pa.binary())], ["block", "word"])
+def _distinct(words: list[pa.Array]) -> pa.Array:
+    return pa.chunked_array(words, pa.binary()).unique()
+
+
+def _named(block: int | None, words: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    if words:
+        found = _distinct(words)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block, np.int64)), found], ["block", "word"])
 
 
 def score_documents(docs: DataFrame, trains: Callable[[Column], Column] = learns_from) -> DataFrame:
@@ -436,13 +462,19 @@ def score_documents(docs: DataFrame, trains: Callable[[Column], Column] = learns
 
     def run(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
         vocab, weights = shared.value
-        c = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist(), strict=True))
+        parts = list(text_slices(texts.combine_chunks().to_batches()))
+        split = [word_array(text_bytes(part.column("text")), ASCII_LOWER_WORDS)[0] for part in parts]
+        # one call, as each builds its table of the block's words anew; a word that isn't known gets the 0 behind the counts
+        c = np.r_[words.column("c").to_numpy(), 0].astype(np.float64)
+        places = pc.index_in(pa.chunked_array(split, pa.binary()), words.column("word").combine_chunks())
+        places = places.fill_null(len(c) - 1).to_numpy()
+        ends = np.cumsum([len(x) for x in split])
         out = []
-        for part in text_slices(texts.combine_chunks().to_batches()):
+        for part, place in zip(parts, np.split(places, ends[:-1]), strict=True):
             texts_now = text_bytes(part.column("text"))
             t = Tokens(texts_now, vocab)
             seen = np.full(len(t.leaf), end_count, np.float64)
-            seen[t.inside] = np.fromiter(map(c.get, split_words(texts_now, ASCII_LOWER_WORDS)[0], repeat(0)), np.float64)
+            seen[t.inside] = c[place]
             begins = t.ends - t.lengths + 1
             base = np.log10((seen + 1) / (vocab.n + vocab.v + 1))
             out.append(pa.RecordBatch.from_arrays(

@@ -7,11 +7,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from contrail.llm import host_paths, maxent_lm, pii_bootstrap, secret_scan, wu_manber
 from contrail.llm.byte_bpe import encode_documents, load_ranks
+from contrail.llm.common import ASCII_LOWER_WORDS, split_words, text_slices, word_array
 from contrail.llm.queries import byte_bpe_files
 from contrail.llm.wu_manber import decontaminate, drop_contaminated
 
@@ -426,6 +428,41 @@ def test_language_model_hashes_words_of_any_length():
     assert len({*zip(words, h.tolist(), strict=True)}) == len(set(words)) == len(set(h.tolist()))
 
 
+def test_words_as_arrow_arrays_equal_split_words():
+    for texts in ([], [b""], [b" a", b""], [b"", b"", b"b c "], [b"\t\n x\x0b", b"ZZ z", b"  "], [b"one"] * 5, ["naïve 日本 \x00 é".encode(), b"q"]):
+        words, off = word_array(texts, ASCII_LOWER_WORDS)
+        known, begins = split_words(texts, ASCII_LOWER_WORDS)
+        assert words.to_pylist() == known and off.tolist() == begins.tolist()
+
+
+def test_counting_tasks_pass_on_what_they_hold(spark, monkeypatch):
+    """Word counts and a block's words are the same however often a task passes on what it has."""
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 30) + f" W{i} w{i % 7}") for i in range(300)] + [(900, None), (901, "")]
+    monkeypatch.setattr(maxent_lm, "text_slices", lambda batches: text_slices(batches, 500))
+    for flush in (10, 10 ** 6):
+        monkeypatch.setattr(maxent_lm, "FLUSH", flush)
+        got = {bytes(r.word): r.c for r in maxent_lm.word_counts(docs_frame(spark, rows).coalesce(2)).collect()}
+        want = Counter(w.lower().encode() for _, t in rows for w in (t or "").split()) + Counter({b"": len(rows)})
+        assert got == dict(want)
+        blocks = docs_frame(spark, rows).selectExpr("doc_id", "text", "doc_id div 50 AS block")
+        assert {(r.block, bytes(r.word)) for r in maxent_lm.block_words(blocks).collect()} == {
+            (i // 50, w.lower().encode()) for i, t in rows for w in (t or "").split()}
+
+
+def test_draws_take_the_first_branch_that_reaches_the_share():
+    rng = np.random.default_rng(2)
+    table = rng.normal(size=(50, 16)).astype(np.float32)
+    at = [rng.integers(0, 50, 400) for _ in range(3)]
+    sums = np.exp(table[at[0]] + table[at[1]] + table[at[2]])
+    for j in range(1, 16):
+        sums[:, j] += sums[:, j - 1]
+    u = np.r_[np.float32(0), np.float32(1), rng.random(398, dtype=np.float32)]
+    got = maxent_lm._sums(table, at)
+    assert np.array_equal(got.T, sums)
+    assert np.array_equal(maxent_lm._drawn(got, u), (sums >= (u * sums[:, -1])[:, None]).argmax(axis=1))
+
+
 def test_pretokens_go_with_the_task(spark):
     """A worker is kept for other stages; the pre-tokens of a task are not."""
     path, pattern = byte_bpe_files()
