@@ -194,6 +194,29 @@ def test_remove_repeats_splits_large_cores(spark, monkeypatch, limit):
     assert Counter(map(tuple, remove_repeats(docs_frame(spark, rows)).collect())) == suffix_brute(rows)
 
 
+def test_edges_shared_by_a_core_are_not_sorted(monkeypatch):
+    """Two bands that differ in one byte need no symbols for the rest of their edges."""
+    rng, length = random.Random(11), suffix_dedup.LENGTH
+    bands, texts = [], []
+    for k in range(40):
+        base = bytearray(rng.randbytes(length + 63))
+        for j in range(2 if k % 4 else 5):
+            raw = bytearray(base)
+            raw[rng.randrange(60) if j % 2 else length + rng.randrange(60)] ^= j + 1
+            (core, key, at, high, cut), = suffix_dedup.cut_bands(bytes(raw), 0, 63, 0, 64)
+            bands.append({"core": core, "id": key, "file": 0, "row": len(texts), "start": at, "high": high, "n": 64, "times": 1, "bytes": cut})
+            texts.append(bytes(raw))
+    sizes = []
+    monkeypatch.setattr(suffix_dedup, "suffixes", lambda x, f=suffixes: sizes.append(len(x)) or f(x))
+    got = Counter()
+    for _, row, a, b in suffix_dedup.repeated_windows(bands, 64):
+        got.update((row, i) for i in range(a, b - length + 1))
+    seen = Counter(t[i:i + length] for t in texts for i in range(64))
+    assert got == Counter((row, i) for row, t in enumerate(texts) for i in range(64) if seen[t[i:i + length]] > 1)
+    assert sum(sizes) < 60 * len(bands)  # 128 symbols a band without that
+    assert suffix_dedup.repeated_windows([], 64) == []
+
+
 def test_suffixes_with_spills():
     rng = random.Random(7)
     for _ in range(300):
