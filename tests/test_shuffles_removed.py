@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from contrail.operators.clean import sparse_columns
 from contrail.plans import views as V
 from contrail.session import SHUFFLE_CLEANUP_CONF, shuffles_removed
+from contrail.sources.sinks import read_version, write_version
 from conftest import SF_SMALL
+from helpers import rows_of
 
 
 def shuffle_files(spark):
@@ -38,3 +40,11 @@ def test_the_setting_is_as_it_was_and_frames_can_be_read_again(spark):
     except ValueError:
         pass
     assert spark.conf.get(SHUFFLE_CLEANUP_CONF, None) == was and sorted(df.collect()) == first
+
+
+def test_writes_leave_no_shuffle_behind_and_are_packed(spark, tmp_path):
+    before, df = shuffle_files(spark), V.read(spark, SF_SMALL, "lineitem").repartition(3, "l_orderkey")
+    assert write_version(df, str(tmp_path / "t")) == 0
+    assert left_of(spark, before) == set()
+    assert all(f.endswith(".zstd.parquet") or ".zstd." in f for f in read_version(spark, str(tmp_path / "t")).inputFiles())
+    assert rows_of(read_version(spark, str(tmp_path / "t"))) == rows_of(df)
