@@ -2,9 +2,11 @@ import time
 
 from pyspark.sql import functions as F
 
+from contrail.operators import scd2
 from contrail.operators.clean import sparse_columns
 from contrail.plans import views as V
 from contrail.session import SHUFFLE_CLEANUP_CONF, shuffles_removed
+from contrail.sources.scd2_table import read_scd2, upsert_scd2
 from contrail.sources.sinks import read_version, write_version
 from conftest import SF_SMALL
 from helpers import rows_of
@@ -48,3 +50,16 @@ def test_writes_leave_no_shuffle_behind_and_are_packed(spark, tmp_path):
     assert left_of(spark, before) == set()
     assert all(f.endswith(".zstd.parquet") or ".zstd." in f for f in read_version(spark, str(tmp_path / "t")).inputFiles())
     assert rows_of(read_version(spark, str(tmp_path / "t"))) == rows_of(df)
+
+
+def test_a_batch_written_down_is_not_sought_for_doubles_again(spark, tmp_path, monkeypatch):
+    sought, real = [], scd2._latest
+    monkeypatch.setattr(scd2, "_latest", lambda *a: sought.append(1) or real(*a))
+    first = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), (None, 1, "n"), (None, 3, "m")], "k STRING, t INT, s STRING")
+    second = spark.createDataFrame([("a", 3, "z"), ("a", 4, "y"), ("b", 5, "q"), ("b", 5, "r"), (None, 3, "o"), ("c", None, "c")], "k STRING, t INT, s STRING")
+    path = str(tmp_path / "h")
+    for part in (first, second):
+        upsert_scd2(spark, path, part, "k", "t", ["s"], tie_break=["s"])
+    assert sought == []
+    merged = scd2.scd2_merge(scd2.scd2_init(first, "k", "t", ["s"]), second, "k", "t", ["s"], ["s"])
+    assert rows_of(read_scd2(spark, path)) == rows_of(merged) and len(sought) == 2
